@@ -35,6 +35,17 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
               .select(*df.columns)
 
 
+# Rows per range partition when numbering a dimension of known size.
+ROWS_PER_KEY_PARTITION = 500_000
+
+
+def partitions_for(rows: int | None) -> int | None:
+    """Range partitions for ``rows`` input rows (None: use the shuffle default)."""
+    if rows is None:
+        return None
+    return max(1, -(-rows // ROWS_PER_KEY_PARTITION))
+
+
 def dense_key(df: DataFrame, order: list[str], key: str, num_partitions: int | None = None) -> DataFrame:
     """Add ``key`` = 1..n in ascending ``order`` (which must be unique per row)."""
     spark = df.sparkSession

@@ -93,10 +93,10 @@ MART_ORDER = {
     "mart_result_by_module": ["code_module", "code_presentation", "final_result"],
     "mart_score_by_gender": ["code_presentation", "gender", "assessment_type"],
     "mart_education_impact": ["code_presentation", "highest_education", "assessment_type"],
-    "mart_vle_engagement": ["code_presentation", risk_order()],
+    "mart_vle_engagement": ["code_presentation", risk_order],
     "mart_at_risk_students": ["id_student", "code_presentation"],
 }
 
 
 def ordered(name: str, df: DataFrame) -> DataFrame:
-    return df.orderBy(*MART_ORDER[name])
+    return df.orderBy(*[c() if callable(c) else c for c in MART_ORDER[name]])

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from edustar.functions.expr import risk_band
 from edustar.operators.joins import sized_broadcast
-from edustar.operators.keys import dense_key, first_per_key
+from edustar.operators.keys import dense_key, first_per_key, partitions_for
 
 ENROLMENT = ["id_student", "code_module", "code_presentation"]
 
@@ -45,31 +45,31 @@ def dim_time(spark: SparkSession, existing: DataFrame | None = None) -> DataFram
     return existing.unionByName(new.select(*existing.columns))
 
 
-def dim_course(silver_courses: DataFrame) -> DataFrame:
+def dim_course(silver_courses: DataFrame, rows_hint: int | None = None) -> DataFrame:
     d = first_per_key(silver_courses.select("code_module", "code_presentation",
                                             "module_presentation_length"),
                       ["code_module", "code_presentation"], ["module_presentation_length"])
-    return dense_key(d, ["code_module", "code_presentation"], "course_key")
+    return dense_key(d, ["code_module", "code_presentation"], "course_key", partitions_for(rows_hint))
 
 
 STUDENT_ATTRS = ["id_student", "gender", "region", "highest_education", "imd_band", "age_band",
                  "disability", "num_of_prev_attempts", "studied_credits"]
 
 
-def dim_student(silver_student_info: DataFrame) -> DataFrame:
+def dim_student(silver_student_info: DataFrame, rows_hint: int | None = None) -> DataFrame:
     """One row per student: the attributes of the first enrolment by
     (code_presentation, code_module); attempts and credits are per enrolment."""
     d = first_per_key(silver_student_info.select(*STUDENT_ATTRS, "code_presentation", "code_module"),
                       ["id_student"], ["code_presentation", "code_module"])
-    return dense_key(d.select(*STUDENT_ATTRS), ["id_student"], "student_key")
+    return dense_key(d.select(*STUDENT_ATTRS), ["id_student"], "student_key", partitions_for(rows_hint))
 
 
-def dim_assessment(silver_assessments: DataFrame) -> DataFrame:
+def dim_assessment(silver_assessments: DataFrame, rows_hint: int | None = None) -> DataFrame:
     d = silver_assessments.select("id_assessment", "code_module", "assessment_type",
                                   F.col("weight").cast("double").alias("weight"),
                                   F.col("date").alias("day_due"))
     d = first_per_key(d, ["id_assessment"], ["code_module", "assessment_type", "weight", "day_due"])
-    return dense_key(d, ["id_assessment"], "assessment_key")
+    return dense_key(d, ["id_assessment"], "assessment_key", partitions_for(rows_hint))
 
 
 def submissions_with_course(sa: DataFrame, assessments: DataFrame,

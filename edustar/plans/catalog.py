@@ -23,7 +23,6 @@ from edustar.operators import reports as R
 from edustar.operators import silver as S
 from edustar.operators import star
 from edustar.plans.warehouse import Warehouse
-from edustar.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,7 +42,7 @@ def W(spark, sf_dir) -> Warehouse:
 # --- silver -----------------------------------------------------------------
 def _silver_key(table: str, clean):
     def run(spark, sf_dir):
-        return clean(fixtures.bronze(spark, sf_dir)[table])
+        return clean(W(spark, sf_dir).bronze()[table])
     return run
 
 
@@ -61,17 +60,20 @@ def _dim_time(spark, sf_dir):
 
 @query("dim_course")
 def _dim_course(spark, sf_dir):
-    return star.dim_course(W(spark, sf_dir).silver()["courses"])
+    w = W(spark, sf_dir)
+    return star.dim_course(w.silver()["courses"], w.sizes.get("silver_courses"))
 
 
 @query("dim_student")
 def _dim_student(spark, sf_dir):
-    return star.dim_student(W(spark, sf_dir).silver()["student_info"])
+    w = W(spark, sf_dir)
+    return star.dim_student(w.silver()["student_info"], w.sizes.get("silver_student_info"))
 
 
 @query("dim_assessment")
 def _dim_assessment(spark, sf_dir):
-    return star.dim_assessment(W(spark, sf_dir).silver()["assessments"])
+    w = W(spark, sf_dir)
+    return star.dim_assessment(w.silver()["assessments"], w.sizes.get("silver_assessments"))
 
 
 @query("left_join_enrolment")

@@ -56,8 +56,12 @@ class Warehouse:
         return self._tables[name]
 
     def bronze(self) -> dict[str, DataFrame]:
+        """Raw tables, written once (the landing layer) and read back."""
         if self._bronze is None:
-            self._bronze = fixtures.bronze(self.spark, self.sf_dir)
+            t = fixtures.read_tables(self.spark, self.sf_dir, ["lineitem", "orders"])
+            grain = self._put("bronze_line_grain", fixtures.line_grain(fixtures.base_lines(t)))
+            lazy = fixtures.bronze(self.spark, self.sf_dir, grain=grain)
+            self._bronze = {n: self._put(f"bronze_{n}", df) for n, df in lazy.items()}
         return self._bronze
 
     # -- layers ------------------------------------------------------------
@@ -72,9 +76,10 @@ class Warehouse:
         if not all(d in self._tables for d in DIMS):
             s = self.silver()
             self._put("dim_time", star.dim_time(self.spark))
-            self._put("dim_course", star.dim_course(s["courses"]))
-            self._put("dim_student", star.dim_student(s["student_info"]))
-            self._put("dim_assessment", star.dim_assessment(s["assessments"]))
+            z = self.sizes
+            self._put("dim_course", star.dim_course(s["courses"], z.get("silver_courses")))
+            self._put("dim_student", star.dim_student(s["student_info"], z.get("silver_student_info")))
+            self._put("dim_assessment", star.dim_assessment(s["assessments"], z.get("silver_assessments")))
         return {d: self._tables[d] for d in DIMS}
 
     def fact(self) -> DataFrame:
@@ -95,9 +100,7 @@ class Warehouse:
         return self._tables[name]
 
     def log(self) -> DataFrame:
-        if "monitoring_log" not in self._tables:
-            self._put("monitoring_log", self.bronze()["monitoring_log"])
-        return self._tables["monitoring_log"]
+        return self.bronze()["monitoring_log"]
 
     def table(self, name: str) -> DataFrame:
         """Any materialised table by name."""

@@ -6,7 +6,7 @@ test tables by a fixed rule (FIXTURES.md §3). Everything is a lazy
 DataFrame over the whole input tables; the mapping grows with them.
 
 base relation ``li`` = lineitem ⋈ orders, with
-  id_student = o_custkey, k = l_partkey % 210, m = l_partkey % 7,
+  id_student = o_custkey, k = l_partkey % 210, m = k % 7 (= l_partkey % 7),
   p = (year % 2) * 2 + (month > 6), code_module = letter m three times,
   code_presentation = ('2013' if year odd else '2014') + ('B' if month <= 6 else 'J').
 """
@@ -31,38 +31,59 @@ def read_tables(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
 
 
+def presentation_of(p) -> F.Column:
+    """p = (year % 2) * 2 + (month > 6): odd years are 2013, first halves are B."""
+    return F.concat(F.when(p >= 2, "2013").otherwise("2014"), F.when(p % 2 == 0, "B").otherwise("J"))
+
+
 def base_lines(t: dict[str, DataFrame]) -> DataFrame:
-    """li: one row per line item with its order's customer and date attributes."""
+    """li: one row per line item with its order's customer and date attributes (ints only)."""
     l = t["lineitem"].select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
                              "l_discount", "l_tax", "l_shipdate")
     o = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
     j = l.join(o, l.l_orderkey == o.o_orderkey)
     y, mo = F.year("o_orderdate"), F.month("o_orderdate")
     return j.select(
-        "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate",
+        "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate",
         F.col("o_custkey").cast("int").alias("id_student"),
         (F.col("l_partkey") % 210).cast("int").alias("k"),
-        (F.col("l_partkey") % 7).cast("int").alias("m"),
         ((y % 2) * 2 + F.when(mo <= 6, 0).otherwise(1)).cast("int").alias("p"),
-        _module(F.col("l_partkey") % 7).alias("code_module"),
-        F.concat(F.when(y % 2 == 1, "2013").otherwise("2014"),
-                 F.when(mo <= 6, "B").otherwise("J")).alias("code_presentation"),
     )
 
 
-def raw_student_assessment(li: DataFrame) -> DataFrame:
+def line_grain(li: DataFrame) -> DataFrame:
+    """One row per (student, item k, half-year p): every line-derived raw table
+    is a roll-up of this grain, so lineitem ⋈ orders is scanned and shuffled once.
+
+    (student, k, p) is exactly (student, id_assessment); module and
+    presentation are functions of (k, p); the registration measures are
+    min/max, which combine across the finer grain.
+    """
+    ln = F.col("l_linenumber")
     score = F.when(F.col("l_tax") > 0.075, F.lit(None)).otherwise(
         2 * F.col("l_quantity") + F.when(F.col("l_discount") > 0.095, 3).otherwise(0))
-    df = (li.groupBy("id_student", (10000 + 4 * F.col("k") + F.col("p")).alias("id_assessment"))
-          .agg(F.max(F.dayofmonth("l_shipdate")).alias("date_submitted"),
-               F.max(score).alias("score"))
-          .withColumn("is_banked", F.lit(0)))
+    g = (li.groupBy("id_student", "k", "p")
+         .agg(F.max(F.dayofmonth("l_shipdate")).alias("max_day"),
+              F.max(score).alias("max_score"),
+              F.min(-30 + 10 * ln).alias("min_reg"),
+              F.max(F.when(F.col("l_tax") > 0.065, 20 * ln)).alias("max_unreg")))
+    # Module and presentation are functions of (k, p): derived after the shuffle.
+    m = (F.col("k") % 7).cast("int")
+    return g.select("id_student", "k", "p", m.alias("m"), _module(m).alias("code_module"),
+                    presentation_of(F.col("p")).alias("code_presentation"),
+                    "max_day", "max_score", "min_reg", "max_unreg")
+
+
+def raw_student_assessment(grain: DataFrame) -> DataFrame:
+    df = grain.select("id_student", (10000 + 4 * F.col("k") + F.col("p")).alias("id_assessment"),
+                      F.col("max_day").alias("date_submitted"), F.col("max_score").alias("score"),
+                      F.lit(0).alias("is_banked"))
     return schemas.conform(df, schemas.STUDENT_ASSESSMENT)
 
 
-def raw_assessments(li: DataFrame) -> DataFrame:
+def raw_assessments(grain: DataFrame) -> DataFrame:
     k = F.col("k")
-    df = (li.select("code_module", "code_presentation", "k", "p").distinct()
+    df = (grain.select("code_module", "code_presentation", "k", "p").distinct()
           .select("code_module", "code_presentation",
                   (10000 + 4 * k + F.col("p")).alias("id_assessment"),
                   F.when(k % 3 == 0, "TMA").when(k % 3 == 1, "CMA").otherwise("Exam")
@@ -73,21 +94,21 @@ def raw_assessments(li: DataFrame) -> DataFrame:
     return schemas.conform(df, schemas.ASSESSMENTS)
 
 
-def raw_courses(li: DataFrame) -> DataFrame:
-    df = (li.select("code_module", "code_presentation", "m", "p").distinct()
+def raw_courses(grain: DataFrame) -> DataFrame:
+    df = (grain.select("code_module", "code_presentation", "m", "p").distinct()
           .withColumn("module_presentation_length", 234 + (7 * F.col("m") + F.col("p")) % 36))
     return schemas.conform(df, schemas.COURSES)
 
 
-def raw_student_info(li: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+def raw_student_info(grain: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     sid, m, p = F.col("id_student"), F.col("m"), F.col("p")
     # Enrolments absent on purpose: unknown students and missing enrolments
     # exercise the left joins of the fact build.
-    enrol = (li.select("id_student", "m", "p", "code_module", "code_presentation").distinct()
+    enrol = (grain.select("id_student", "m", "p", "code_module", "code_presentation").distinct()
              .filter((sid % 50 != 0) & ((sid + 3 * m + p) % 29 != 0)))
     c = customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = nation.select("n_nationkey", "n_name")
-    j = enrol.join(c, enrol.id_student == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+    j = enrol.join(c, enrol.id_student == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
     ck, bal = F.col("c_custkey"), F.col("c_acctbal")
     band = F.floor(bal / 1000).cast("long") * 10
     fr = (7 * ck + 3 * m + p) % 10
@@ -110,11 +131,10 @@ def raw_student_info(li: DataFrame, customer: DataFrame, nation: DataFrame) -> D
     return schemas.conform(df, schemas.STUDENT_INFO)
 
 
-def raw_student_registration(li: DataFrame) -> DataFrame:
-    ln = F.col("l_linenumber")
-    df = (li.groupBy("code_module", "code_presentation", "id_student")
-          .agg(F.min(-30 + 10 * ln).alias("date_registration"),
-               F.max(F.when(F.col("l_tax") > 0.065, 20 * ln)).alias("date_unregistration")))
+def raw_student_registration(grain: DataFrame) -> DataFrame:
+    df = (grain.groupBy("code_module", "code_presentation", "id_student")
+          .agg(F.min("min_reg").alias("date_registration"),
+               F.max("max_unreg").alias("date_unregistration")))
     return schemas.conform(df, schemas.STUDENT_REGISTRATION)
 
 
@@ -161,17 +181,22 @@ def monitoring_log(events: DataFrame) -> DataFrame:
     return schemas.conform(df, schemas.MONITORING_LOG)
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The seven raw tables plus the monitoring log, as lazy DataFrames."""
+def bronze(spark: SparkSession, sf_dir: str, grain: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The seven raw tables plus the monitoring log, as lazy DataFrames.
+
+    ``grain`` is ``line_grain`` of the inputs, passed in when it has been
+    written already (the warehouse writes it once and derives from the copy).
+    """
     t = read_tables(spark, sf_dir, ["lineitem", "orders", "customer", "nation", "events"])
-    li = base_lines(t)
+    if grain is None:
+        grain = line_grain(base_lines(t))
     return {
-        "courses": raw_courses(li),
-        "assessments": raw_assessments(li),
+        "courses": raw_courses(grain),
+        "assessments": raw_assessments(grain),
         "vle": raw_vle(t["events"]),
-        "student_info": raw_student_info(li, t["customer"], t["nation"]),
-        "student_registration": raw_student_registration(li),
-        "student_assessment": raw_student_assessment(li),
+        "student_info": raw_student_info(grain, t["customer"], t["nation"]),
+        "student_registration": raw_student_registration(grain),
+        "student_assessment": raw_student_assessment(grain),
         "student_vle": raw_student_vle(t["events"]),
         "monitoring_log": monitoring_log(t["events"]),
     }

@@ -121,5 +121,6 @@ class Warehouse:
     def build_all(self) -> dict[str, int]:
         for n in M.MARTS:
             self.mart(n)
-        self.log()
+        if "monitoring_log" in self.bronze():
+            self.log()
         return dict(self.sizes)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,23 @@ _CACHE: dict[tuple, "Warehouse"] = {}
 
 DIMS = ("dim_time", "dim_course", "dim_student", "dim_assessment")
 
+# Independent tables of one layer are written by concurrent Spark jobs, so
+# small tables do not leave most task slots idle while one job runs.
+CONCURRENT_WRITES = 4
+
+# Tables written sorted within each partition, for data skipping on common filters.
+SORTED_WITHIN = {
+    "fact_performance": ["risk_group", "final_result"],
+    "stg_fact_performance": ["risk_group", "final_result"],
+}
+
+# SQL names of the warehouse tables, as the report SQL refers to them.
+SQL_NAMES = {
+    "dim_time": "Dim_Time", "dim_course": "Dim_Course", "dim_student": "Dim_Student",
+    "dim_assessment": "Dim_Assessment", "fact_performance": "Fact_Performance",
+    "stg_fact_performance": "stg_fact_performance", "monitoring_log": "monitoring_log",
+}
+
 
 class Warehouse:
     """Lazily materialised layers for one input folder and one session."""
@@ -51,35 +69,51 @@ class Warehouse:
     # -- plumbing ----------------------------------------------------------
     def _put(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"
+        if name in SORTED_WITHIN:
+            # Local sort per task (no shuffle): Parquet min/max statistics then let
+            # filters such as risk_group = 'High' skip row groups, the columnar
+            # counterpart of the single-column indexes on the warehouse fact.
+            df = df.sortWithinPartitions(*SORTED_WITHIN[name])
         self.sizes[name] = write_parquet_counted(df, path)
         self._tables[name] = self.spark.read.parquet(path)
         return self._tables[name]
 
+    def _put_many(self, frames: dict) -> None:
+        """Write several tables of one layer concurrently (values: DataFrame or thunk)."""
+        def one(item):
+            name, df = item
+            self._put(name, df() if callable(df) else df)
+        with ThreadPoolExecutor(max_workers=CONCURRENT_WRITES) as pool:
+            list(pool.map(one, frames.items()))
+
     def bronze(self) -> dict[str, DataFrame]:
         """Raw tables, written once (the landing layer) and read back."""
         if self._bronze is None:
             t = fixtures.read_tables(self.spark, self.sf_dir, ["lineitem", "orders"])
             grain = self._put("bronze_line_grain", fixtures.line_grain(fixtures.base_lines(t)))
             lazy = fixtures.bronze(self.spark, self.sf_dir, grain=grain)
-            self._bronze = {n: self._put(f"bronze_{n}", df) for n, df in lazy.items()}
+            self._put_many({f"bronze_{n}": df for n, df in lazy.items()})
+            self._bronze = {n: self._tables[f"bronze_{n}"] for n in lazy}
         return self._bronze
 
     # -- layers ------------------------------------------------------------
     def silver(self) -> dict[str, DataFrame]:
         names = list(S.CLEANERS) + ["vle_clicks"]
         if not all(f"silver_{n}" in self._tables for n in names):
-            for n, df in S.build(self.bronze()).items():
-                self._put(f"silver_{n}", df)
+            self._put_many({f"silver_{n}": df for n, df in S.build(self.bronze()).items()})
         return {n: self._tables[f"silver_{n}"] for n in names}
 
     def dims(self) -> dict[str, DataFrame]:
         if not all(d in self._tables for d in DIMS):
             s = self.silver()
-            self._put("dim_time", star.dim_time(self.spark))
             z = self.sizes
-            self._put("dim_course", star.dim_course(s["courses"], z.get("silver_courses")))
-            self._put("dim_student", star.dim_student(s["student_info"], z.get("silver_student_info")))
-            self._put("dim_assessment", star.dim_assessment(s["assessments"], z.get("silver_assessments")))
+            # Thunks: each dense key checkpoints while it is built, inside its own job.
+            self._put_many({
+                "dim_time": lambda: star.dim_time(self.spark),
+                "dim_course": lambda: star.dim_course(s["courses"], z.get("silver_courses")),
+                "dim_student": lambda: star.dim_student(s["student_info"], z.get("silver_student_info")),
+                "dim_assessment": lambda: star.dim_assessment(s["assessments"], z.get("silver_assessments")),
+            })
         return {d: self._tables[d] for d in DIMS}
 
     def fact(self) -> DataFrame:
@@ -118,9 +152,25 @@ class Warehouse:
             return self.log()
         raise KeyError(name)
 
+    def register_views(self) -> list[str]:
+        """Expose every built table as a temporary SQL view (views over the
+        written Parquet, so ``spark.sql`` report queries read the same layer)."""
+        names = []
+        tables = dict(self.dims())
+        tables["fact_performance"] = self.fact()
+        tables["stg_fact_performance"] = self.staging()
+        tables.update({m: self.mart(m) for m in M.MARTS})
+        if "monitoring_log" in self.bronze():
+            tables["monitoring_log"] = self.log()
+        for n, df in tables.items():
+            view = SQL_NAMES.get(n, n)
+            df.createOrReplaceTempView(view)
+            names.append(view)
+        return names
+
     def build_all(self) -> dict[str, int]:
-        for n in M.MARTS:
-            self.mart(n)
+        stg = self.staging()
+        self._put_many({n: fn(stg) for n, fn in M.MARTS.items() if n not in self._tables})
         if "monitoring_log" in self.bronze():
             self.log()
         return dict(self.sizes)

@@ -46,6 +46,14 @@ SQL_NAMES = {
 }
 
 
+def _locked(fn):
+    def run(self, *a, **k):
+        with self._lock:
+            return fn(self, *a, **k)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
 class Warehouse:
     """Lazily materialised layers for one input folder and one session."""
 
@@ -57,6 +65,8 @@ class Warehouse:
         self._bronze = bronze
         self._tables: dict[str, DataFrame] = {}
         self.sizes: dict[str, int] = {}
+        # One builder per layer at a time: callers on other threads wait for it.
+        self._lock = threading.RLock()
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
@@ -86,6 +96,7 @@ class Warehouse:
         with ThreadPoolExecutor(max_workers=CONCURRENT_WRITES) as pool:
             list(pool.map(one, frames.items()))
 
+    @_locked
     def bronze(self) -> dict[str, DataFrame]:
         """Raw tables, written once (the landing layer) and read back."""
         if self._bronze is None:
@@ -97,12 +108,14 @@ class Warehouse:
         return self._bronze
 
     # -- layers ------------------------------------------------------------
+    @_locked
     def silver(self) -> dict[str, DataFrame]:
         names = list(S.CLEANERS) + ["vle_clicks"]
         if not all(f"silver_{n}" in self._tables for n in names):
             self._put_many({f"silver_{n}": df for n, df in S.build(self.bronze()).items()})
         return {n: self._tables[f"silver_{n}"] for n in names}
 
+    @_locked
     def dims(self) -> dict[str, DataFrame]:
         if not all(d in self._tables for d in DIMS):
             s = self.silver()
@@ -116,18 +129,21 @@ class Warehouse:
             })
         return {d: self._tables[d] for d in DIMS}
 
+    @_locked
     def fact(self) -> DataFrame:
         if "fact_performance" not in self._tables:
             dims = self.dims()
             self._put("fact_performance", star.fact_performance(self.silver(), dims, self.sizes))
         return self._tables["fact_performance"]
 
+    @_locked
     def staging(self) -> DataFrame:
         if "stg_fact_performance" not in self._tables:
             f = self.fact()
             self._put("stg_fact_performance", star.staging(f, self.dims(), self.sizes))
         return self._tables["stg_fact_performance"]
 
+    @_locked
     def mart(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._put(name, M.MARTS[name](self.staging()))
@@ -152,6 +168,7 @@ class Warehouse:
             return self.log()
         raise KeyError(name)
 
+    @_locked
     def register_views(self) -> list[str]:
         """Expose every built table as a temporary SQL view (views over the
         written Parquet, so ``spark.sql`` report queries read the same layer)."""
@@ -168,6 +185,7 @@ class Warehouse:
             names.append(view)
         return names
 
+    @_locked
     def build_all(self) -> dict[str, int]:
         stg = self.staging()
         self._put_many({n: fn(stg) for n, fn in M.MARTS.items() if n not in self._tables})

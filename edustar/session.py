@@ -45,3 +45,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="edustar-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
+
+
+def object_store_conf(endpoint: str, access_key: str, secret_key: str, path_style: bool = True,
+                      ssl: bool = True) -> dict[str, str]:
+    """Session settings for an S3-compatible store (pass to ``local_session(extra=...)``
+    or the cluster's spark-defaults). Credentials come from the caller."""
+    return {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.access.key": access_key,
+        "spark.hadoop.fs.s3a.secret.key": secret_key,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl).lower(),
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+    }

@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    cpus = cpus if cpus.isdigit() else str(os.cpu_count() or 8)
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     from edustar.plans.catalog import QUERIES
     from edustar.plans.warehouse import Warehouse

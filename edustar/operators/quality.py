@@ -16,6 +16,7 @@ reach the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -34,6 +35,7 @@ SCORE_NULL_WARN_PCT = 25.0
 SCORE_NULL_FAIL_PCT = 60.0
 DWH, MART = "dwh", "mart"
 MAX_OFFENDING = 20
+CONCURRENT_TABLES = 4
 ERROR_DETAIL_CHARS = 500
 
 RESULT_SCHEMA = StructType([StructField("check_name", StringType(), False),
@@ -132,16 +134,18 @@ def run_health_checks(spark: SparkSession, tables: dict[str, DataFrame],
     by_table: dict[tuple, list[Check]] = {}
     for c in checks:
         by_table.setdefault((c.database, c.table), []).append(c)
-    results: dict[str, tuple] = {}
-    for (_, table), cs in by_table.items():
+
+    def one(item):
+        (_, table), cs = item
         try:
-            df = tables[table.lower()]
-            rows = _table_checks(df, cs)
+            return _table_checks(tables[table.lower()], cs)
         except Exception as e:  # noqa: BLE001 - any failure is reported as ERROR
             msg = str(e)[:ERROR_DETAIL_CHARS]
-            rows = [(c.name, "ERROR", msg) for c in cs]
-        for r in rows:
-            results[r[0]] = r
+            return [(c.name, "ERROR", msg) for c in cs]
+
+    # Tables are independent: their aggregates run as concurrent jobs.
+    with ThreadPoolExecutor(max_workers=CONCURRENT_TABLES) as pool:
+        results = {r[0]: r for rows in pool.map(one, by_table.items()) for r in rows}
     return spark.createDataFrame([results[c.name] for c in checks], RESULT_SCHEMA)
 
 

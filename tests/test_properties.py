@@ -65,3 +65,18 @@ def test_round_dec_is_half_up_on_the_decimal_value(spark, xs, n):
     want = [float(Decimal(x).quantize(Decimal("1e-10"), ROUND_HALF_UP).quantize(q, ROUND_HALF_UP))
             for x in (float(v) for v in xs)]
     assert got == want
+
+
+def test_expected_check_outcomes_on_fixture(spark):
+    """FIXTURES.md §5: the suite passes; of the declared tests only the mart's
+    final_result not_null fails, because unmatched enrolments leave null results."""
+    suite = {r.check_name: r.status for r in QUERIES["dq_suite"](spark, SF_SMALL).collect()}
+    assert len(suite) == 18 and set(suite.values()) == {"PASS"}
+    failing = [r.test_name for r in QUERIES["dq_declared_not_null"](spark, SF_SMALL).collect() if r.failures]
+    assert failing == ["not_null_mart_result_by_module_final_result"]
+    for k in ("dq_declared_unique", "dq_declared_accepted_values"):
+        rows = QUERIES[k](spark, SF_SMALL).collect()
+        assert rows and all(r.status == "PASS" for r in rows), k
+    n = {k: len(QUERIES[k](spark, SF_SMALL).collect())
+         for k in ("dq_declared_not_null", "dq_declared_unique", "dq_declared_accepted_values")}
+    assert n == {"dq_declared_not_null": 41, "dq_declared_unique": 8, "dq_declared_accepted_values": 23}

@@ -105,7 +105,8 @@ def fact_performance(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
     sizes = sizes or {}
     n_asm = sizes.get("dim_assessment")
     scored = with_score_vs_avg(fact_base(silver, n_asm), n_asm).withColumn("risk_group", risk_band())
-    dt = F.broadcast(dims["dim_time"].select("code_presentation", "time_key"))  # seeded: 4 rows
+    dt = sized_broadcast(dims["dim_time"].select("code_presentation", "time_key"),
+                         known_rows=sizes.get("dim_time"))
     dc = sized_broadcast(dims["dim_course"].select("code_module", "code_presentation", "course_key"),
                          known_rows=sizes.get("dim_course"))
     da = sized_broadcast(dims["dim_assessment"].select("id_assessment", "assessment_key"),
@@ -128,7 +129,7 @@ def staging(fact: DataFrame, dims: dict[str, DataFrame], sizes: dict[str, int] |
     ds = sized_broadcast(dims["dim_student"], known_rows=sizes.get("dim_student"))
     dc = sized_broadcast(dims["dim_course"], known_rows=sizes.get("dim_course"))
     da = sized_broadcast(dims["dim_assessment"], known_rows=sizes.get("dim_assessment"))
-    dt = F.broadcast(dims["dim_time"])
+    dt = sized_broadcast(dims["dim_time"], known_rows=sizes.get("dim_time"))
     j = (fact.join(dc, "course_key").join(da.drop("code_module"), "assessment_key")
          .join(dt.drop("code_presentation"), "time_key").join(ds, "student_key"))
     return j.select(

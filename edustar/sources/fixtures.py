@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edustar import schemas
+from edustar.operators.joins import sized_broadcast
 
 # Fixed values of the mapping: module letters and event-type -> check status.
 MODULE_LETTERS = "ABCDEFG"
@@ -108,7 +109,8 @@ def raw_student_info(grain: DataFrame, customer: DataFrame, nation: DataFrame) -
              .filter((sid % 50 != 0) & ((sid + 3 * m + p) % 29 != 0)))
     c = customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = nation.select("n_nationkey", "n_name")
-    j = enrol.join(c, enrol.id_student == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
+    j = (enrol.join(c, enrol.id_student == c.c_custkey)
+         .join(sized_broadcast(n), F.col("c_nationkey") == n.n_nationkey))
     ck, bal = F.col("c_custkey"), F.col("c_acctbal")
     band = F.floor(bal / 1000).cast("long") * 10
     fr = (7 * ck + 3 * m + p) % 10

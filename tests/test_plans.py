@@ -30,3 +30,14 @@ def test_scans_are_pruned(spark):
 def test_silver_filters_are_pushed_to_scan(spark):
     p = _plan(QUERIES["silver_student_assessment"](spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(id_assessment), IsNotNull(id_student)" in p
+
+
+def test_plan_invariants_for_every_query(spark):
+    """No Python evaluation, no cross/nested-loop join anywhere; windows only
+    over already-aggregated rows (dense-key offsets, the mart's course shares)."""
+    from tools.plan_audit import audit
+    window_ok = {"dim_course", "dim_student", "dim_assessment", "mart_result_by_module"}
+    for name, fn in QUERIES.items():
+        a = audit(fn(spark, SF_SMALL))
+        assert a["python"] == 0 and a["nested_loop_or_cartesian"] == 0, name
+        assert a["windows"] == 0 or name in window_ok, name

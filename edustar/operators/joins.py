@@ -1,7 +1,28 @@
-"""Join helpers: broadcast only behind an explicit size check."""
+"""Join helpers: broadcast only behind an explicit size check; hot keys salted.
+
+Two ways a shuffle join goes wrong at scale, and what is done about each:
+
+* **Broadcasting something that grows.** ``sized_broadcast`` ships a side to
+  every task only when its row count is within ``BROADCAST_MAX_ROWS``.
+* **A hot key.** In a shuffle join every row of one key lands in one task;
+  a key holding a third of the rows makes that task a third of the job.
+  ``detect_hot_keys`` finds such keys from a sample of the big side (a
+  bounded top-k), and ``HotKeys.join`` spreads each hot key's big-side rows
+  over several salt buckets while the small side's rows for that key are
+  copied into every bucket. Every big row still meets exactly the small
+  rows of its key, so inner, left and left-anti results are unchanged;
+  non-hot keys keep salt 0 and are not copied.
+
+``lookup_join`` combines both: broadcast when the small side is bounded,
+otherwise a (salted where needed) shuffle join.
+"""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +30,19 @@ from pyspark.sql import functions as F
 # a few hundred bytes, so this keeps a broadcast under ~100 MB.
 BROADCAST_MAX_ROWS = 250_000
 
+# Hot-key detection: rows sampled from the big side, most keys ever salted,
+# fewest sampled hits that count as evidence, and the bucket cap per key.
+HOT_SAMPLE_ROWS = 1_000_000
+MAX_HOT_KEYS = 256
+MIN_SAMPLE_HITS = 20
+MAX_SALT_BUCKETS = 1024
+HOT_SEED = 17
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+SALT = "_salt"
+BUCKETS = "_buckets"
+
+
+def sized_broadcast(df: DataFrame, max_rows: int | None = None,
                     known_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
@@ -19,5 +51,116 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     join stays a shuffle join, which AQE may still turn into a broadcast or
     split for skew at run time.
     """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, known_rows) else df
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, known_rows: int | None = None) -> bool:
+    limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    n = known_rows if known_rows is not None else df.limit(limit + 1).count()
+    return n <= limit
+
+
+@dataclass
+class HotKeys:
+    """Keys of a join that hold more than one shuffle partition's share of rows.
+
+    ``table`` has the key columns plus ``_buckets`` (salt buckets for that
+    key) and at most ``MAX_HOT_KEYS`` rows, so broadcasting it is bounded.
+    ``table`` is None when no key is hot: joins then stay plain.
+    """
+
+    keys: list[str]
+    table: DataFrame | None
+
+    @property
+    def any(self) -> bool:
+        return self.table is not None
+
+    def salt(self, big: DataFrame) -> DataFrame:
+        """Add ``_salt``: a deterministic hash of the whole row modulo the key's
+        bucket count for hot keys, 0 otherwise (recomputing a lost task gives
+        the same buckets, as the hash depends only on the row)."""
+        if not self.any:
+            return big
+        h = F.broadcast(self.table)
+        salted = big.join(h, self.keys, "left")
+        b = F.coalesce(F.col(BUCKETS), F.lit(1))
+        s = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), b.cast("long")).cast("int")
+        return salted.select(*big.columns, s.alias(SALT))
+
+    def spread(self, small: DataFrame) -> DataFrame:
+        """Copy each small-side row of a hot key into all of its buckets."""
+        if not self.any:
+            return small
+        h = F.broadcast(self.table)
+        spread = small.join(h, self.keys, "left")
+        b = F.coalesce(F.col(BUCKETS), F.lit(1))
+        return spread.select(*small.columns, F.explode(F.sequence(F.lit(0), b - 1)).alias(SALT))
+
+    def join(self, salted_big: DataFrame, small: DataFrame, how: str = "inner") -> DataFrame:
+        """Join a ``salt``-ed big side to a small side; keeps ``_salt`` for
+        further joins on the same keys (drop it with ``unsalt``)."""
+        if how not in ("inner", "left", "left_outer", "left_anti", "left_semi"):
+            raise ValueError(f"salted join supports inner/left/semi/anti, not {how}")
+        if not self.any:
+            return salted_big.join(small, self.keys, how)
+        return salted_big.join(self.spread(small), [*self.keys, SALT], how)
+
+    @staticmethod
+    def unsalt(df: DataFrame) -> DataFrame:
+        return df.drop(SALT) if SALT in df.columns else df
+
+
+def detect_hot_keys(df: DataFrame, keys: list[str], known_rows: int | None = None,
+                    partitions: int | None = None) -> HotKeys:
+    """Keys whose share of ``df`` exceeds one shuffle partition's share.
+
+    A seeded Bernoulli sample of about ``HOT_SAMPLE_ROWS`` rows is counted
+    per key (partial aggregate), and only the top ``MAX_HOT_KEYS`` keys reach
+    the driver. Which keys are salted never changes a join's result, only how
+    its rows are spread over tasks, so a sample is enough. Pass
+    ``known_rows`` for derived frames (a plain Parquet scan counts cheaply).
+    """
+    spark = df.sparkSession
+    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = known_rows if known_rows is not None else df.count()
+    if total == 0 or p <= 1:
+        return HotKeys(keys, None)
+    frac = min(1.0, HOT_SAMPLE_ROWS / total)
+    sample = df.select(*keys)
+    if frac < 1.0:
+        sample = sample.sample(False, frac, seed=HOT_SEED)
+    sampled_total = total * frac
+    min_hits = max(MIN_SAMPLE_HITS, sampled_total / p)
+    top = (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hits"))
+           .filter(F.col("_hits") > min_hits)
+           .orderBy(F.col("_hits").desc()).limit(MAX_HOT_KEYS).collect())
+    rows = []
+    for r in top:
+        share = r["_hits"] / sampled_total
+        buckets = max(2, min(MAX_SALT_BUCKETS, math.ceil(2 * share * p)))
+        rows.append((*[r[k] for k in keys], buckets))
+    if not rows:
+        return HotKeys(keys, None)
+    fields = [df.schema[k] for k in keys]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", {BUCKETS} int"
+    return HotKeys(keys, spark.createDataFrame(rows, schema))
+
+
+def skew_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
+              hot: HotKeys | None = None, big_rows: int | None = None) -> DataFrame:
+    """Shuffle join of ``big`` to ``small`` with hot keys of ``big`` salted."""
+    hot = hot or detect_hot_keys(big, keys, big_rows)
+    return HotKeys.unsalt(hot.join(hot.salt(big), small, how))
+
+
+def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
+                small_rows: int | None = None,
+                hot: Callable[[], HotKeys] | None = None) -> DataFrame:
+    """Broadcast join when ``small`` is within the size bound; else a shuffle
+    join with hot keys salted. ``hot`` (a thunk, so it only runs on the
+    shuffle path) detects hot keys on a cheap source with the same key
+    distribution as ``big``; by default ``big`` itself is sampled."""
+    if fits_broadcast(small, known_rows=small_rows):
+        return big.join(F.broadcast(small), keys, how)
+    return skew_join(big, small, keys, how, hot=hot() if hot else None)

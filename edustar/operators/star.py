@@ -12,15 +12,23 @@ The per-assessment average is an aggregate (map-side partial, so a hot
 assessment is reduced before the shuffle) joined back by broadcast when the
 assessment count is within the size bound, instead of a window that would
 buffer a whole assessment in one task.
+
+Hot keys: the two enrolment left joins are shuffle joins on (student,
+module, presentation); enrolments holding more than one partition's share
+of submissions are salted (``joins.HotKeys``), found from a sample of the
+submissions. Dimension lookups broadcast within the size bound and fall
+back to the same salted shuffle join above it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edustar.functions.expr import risk_band
-from edustar.operators.joins import sized_broadcast
+from edustar.operators.joins import HotKeys, detect_hot_keys, lookup_join
 from edustar.operators.keys import dense_key, first_per_key, partitions_for
 
 ENROLMENT = ["id_student", "code_module", "code_presentation"]
@@ -76,22 +84,30 @@ def submissions_with_course(sa: DataFrame, assessments: DataFrame,
                             n_assessments: int | None = None) -> DataFrame:
     """Submissions ⋈ assessment metadata (module, presentation)."""
     meta = assessments.select("id_assessment", "code_module", "code_presentation")
-    return (sa.select("id_student", "id_assessment", F.col("score").cast("double").alias("score"))
-            .join(sized_broadcast(meta, known_rows=n_assessments), "id_assessment"))
+    subs = sa.select("id_student", "id_assessment", F.col("score").cast("double").alias("score"))
+    return lookup_join(subs, meta, ["id_assessment"], small_rows=n_assessments,
+                       hot=lambda: detect_hot_keys(sa, ["id_assessment"]))
 
 
-def fact_base(silver: dict[str, DataFrame], n_assessments: int | None = None) -> DataFrame:
+def fact_base(silver: dict[str, DataFrame], n_assessments: int | None = None,
+              n_submissions: int | None = None) -> DataFrame:
     """Submissions with enrolment result and click total (left joins, may be null)."""
     sa_meta = submissions_with_course(silver["student_assessment"], silver["assessments"], n_assessments)
     base = silver["student_info"].select(*ENROLMENT, "final_result")
     clicks = silver["vle_clicks"].select(*ENROLMENT, "total_clicks")
-    # Both left joins use the same three keys: one exchange of the big side serves both.
-    return sa_meta.join(base, ENROLMENT, "left").join(clicks, ENROLMENT, "left")
+    # Both left joins use the same three keys (plus the salt of hot enrolments):
+    # one exchange of the big side serves both.
+    hot = detect_hot_keys(sa_meta, ENROLMENT, n_submissions)
+    j = hot.join(hot.join(hot.salt(sa_meta), base, "left"), clicks, "left")
+    return HotKeys.unsalt(j)
 
 
-def with_score_vs_avg(fb: DataFrame, n_assessments: int | None = None) -> DataFrame:
+def with_score_vs_avg(fb: DataFrame, n_assessments: int | None = None,
+                      hot: Callable[[], HotKeys] | None = None) -> DataFrame:
+    """``hot`` finds hot assessments on a cheap source (used only if the
+    per-assessment averages are too many to broadcast)."""
     means = fb.groupBy("id_assessment").agg(F.avg("score").alias("_avg_score"))
-    return (fb.join(sized_broadcast(means, known_rows=n_assessments), "id_assessment")
+    return (lookup_join(fb, means, ["id_assessment"], small_rows=n_assessments, hot=hot)
             .withColumn("score_vs_avg", F.col("score") - F.col("_avg_score"))
             .drop("_avg_score"))
 
@@ -104,19 +120,24 @@ def fact_performance(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
                      sizes: dict[str, int] | None = None) -> DataFrame:
     sizes = sizes or {}
     n_asm = sizes.get("dim_assessment")
-    scored = with_score_vs_avg(fact_base(silver, n_asm), n_asm).withColumn("risk_group", risk_band())
-    dt = sized_broadcast(dims["dim_time"].select("code_presentation", "time_key"),
-                         known_rows=sizes.get("dim_time"))
-    dc = sized_broadcast(dims["dim_course"].select("code_module", "code_presentation", "course_key"),
-                         known_rows=sizes.get("dim_course"))
-    da = sized_broadcast(dims["dim_assessment"].select("id_assessment", "assessment_key"),
-                         known_rows=n_asm)
-    ds = sized_broadcast(dims["dim_student"].select("id_student", "student_key"),
-                         known_rows=sizes.get("dim_student"))
-    f = (scored.join(dt, "code_presentation")
-         .join(dc, ["code_module", "code_presentation"])
-         .join(da, "id_assessment")
-         .join(ds, "id_student"))
+    n_sub = sizes.get("silver_student_assessment")
+
+    def hot_on(*keys):
+        # Key distribution of the submissions (a scan and a broadcast join, no
+        # shuffle): sampled only if a dimension is too large to broadcast.
+        return lambda: detect_hot_keys(
+            submissions_with_course(silver["student_assessment"], silver["assessments"], n_asm),
+            list(keys), n_sub)
+
+    scored = (with_score_vs_avg(fact_base(silver, n_asm, n_sub), n_asm, hot_on("id_assessment"))
+              .withColumn("risk_group", risk_band()))
+    f = scored
+    for dim, keys, out in [("dim_time", ["code_presentation"], "time_key"),
+                           ("dim_course", ["code_module", "code_presentation"], "course_key"),
+                           ("dim_assessment", ["id_assessment"], "assessment_key"),
+                           ("dim_student", ["id_student"], "student_key")]:
+        f = lookup_join(f, dims[dim].select(*keys, out), keys, small_rows=sizes.get(dim),
+                        hot=hot_on(*keys))
     # fact_id: unique and deterministic without a global pass; (student, assessment)
     # is the grain, so packing both keys into one long identifies the row.
     fid = F.shiftleft(F.col("student_key").cast("long"), 32) + F.col("assessment_key")
@@ -126,12 +147,15 @@ def fact_performance(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
 def staging(fact: DataFrame, dims: dict[str, DataFrame], sizes: dict[str, int] | None = None) -> DataFrame:
     """Fact joined to all four dimensions on surrogate keys (29 columns)."""
     sizes = sizes or {}
-    ds = sized_broadcast(dims["dim_student"], known_rows=sizes.get("dim_student"))
-    dc = sized_broadcast(dims["dim_course"], known_rows=sizes.get("dim_course"))
-    da = sized_broadcast(dims["dim_assessment"], known_rows=sizes.get("dim_assessment"))
-    dt = sized_broadcast(dims["dim_time"], known_rows=sizes.get("dim_time"))
-    j = (fact.join(dc, "course_key").join(da.drop("code_module"), "assessment_key")
-         .join(dt.drop("code_presentation"), "time_key").join(ds, "student_key"))
+
+    def hot_on(key):
+        return lambda: detect_hot_keys(fact, [key], sizes.get("fact_performance"))
+
+    j = fact
+    for dim, key, drop in [("dim_course", "course_key", None), ("dim_assessment", "assessment_key", "code_module"),
+                           ("dim_time", "time_key", "code_presentation"), ("dim_student", "student_key", None)]:
+        d = dims[dim].drop(drop) if drop else dims[dim]
+        j = lookup_join(j, d, [key], small_rows=sizes.get(dim), hot=hot_on(key))
     return j.select(
         *FACT_COLUMNS,
         *STUDENT_ATTRS,

@@ -22,6 +22,7 @@ from edustar.operators import quality as Q
 from edustar.operators import reports as R
 from edustar.operators import silver as S
 from edustar.operators import star
+from edustar.operators.joins import skew_join
 from edustar.plans.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,25 +77,31 @@ def _dim_assessment(spark, sf_dir):
     return star.dim_assessment(w.silver()["assessments"], w.sizes.get("silver_assessments"))
 
 
+def _enrolment_join(spark, sf_dir, right: str, cols: list[str]):
+    w = W(spark, sf_dir)
+    s, z = w.silver(), w.sizes
+    sa = star.submissions_with_course(s["student_assessment"], s["assessments"], z.get("silver_assessments"))
+    return skew_join(sa, s[right].select(*star.ENROLMENT, *cols), star.ENROLMENT, "left",
+                     big_rows=z.get("silver_student_assessment"))
+
+
 @query("left_join_enrolment")
 def _left_join_enrolment(spark, sf_dir):
-    s = W(spark, sf_dir).silver()
-    sa = star.submissions_with_course(s["student_assessment"], s["assessments"])
-    return sa.join(s["student_info"].select(*star.ENROLMENT, "final_result"), star.ENROLMENT, "left")
+    return _enrolment_join(spark, sf_dir, "student_info", ["final_result"])
 
 
 @query("left_join_clicks")
 def _left_join_clicks(spark, sf_dir):
-    s = W(spark, sf_dir).silver()
-    sa = star.submissions_with_course(s["student_assessment"], s["assessments"])
-    return sa.join(s["vle_clicks"], star.ENROLMENT, "left")
+    return _enrolment_join(spark, sf_dir, "vle_clicks", ["total_clicks"])
 
 
 @query("score_vs_avg")
 def _score_vs_avg(spark, sf_dir):
-    s = W(spark, sf_dir).silver()
-    return (star.with_score_vs_avg(star.fact_base(s))
-            .select("id_student", "id_assessment", "score", "score_vs_avg"))
+    w = W(spark, sf_dir)
+    s, z = w.silver(), w.sizes
+    n_asm = z.get("silver_assessments")
+    fb = star.fact_base(s, n_asm, z.get("silver_student_assessment"))
+    return star.with_score_vs_avg(fb, n_asm).select("id_student", "id_assessment", "score", "score_vs_avg")
 
 
 @query("fact_performance")

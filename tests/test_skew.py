@@ -4,6 +4,7 @@ funnels the hot group through a single window partition."""
 import random
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from edustar.operators import reports as R
 from edustar.operators import silver as S
@@ -71,3 +72,73 @@ def test_hot_student_counts_are_exact(spark):
     assert funnel["Submitted >= 1"] == len(scored)
     plan = star.with_score_vs_avg(star.fact_base(silver))._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "partial_avg" in plan
+
+
+def _hot_tables(spark, n=6000):
+    rnd = random.Random(11)
+    big = [(0 if i % 3 == 0 else rnd.randrange(1, 300), i, float(i % 17)) for i in range(n)]
+    small = [(k, f"v{k}") for k in range(0, 250)] + [(0, "v0b"), (5, "v5b"), (5, "v5c"), (None, "vn")]
+    b = spark.createDataFrame(big + [(None, -1, 0.0)], "k int, id int, x double").repartition(8)
+    s = spark.createDataFrame(small, "k int, v string")
+    return b, s
+
+
+def _sorted(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_salted_join_equals_plain_join(spark):
+    from edustar.operators.joins import detect_hot_keys, skew_join
+
+    big, small = _hot_tables(spark)
+    hot = detect_hot_keys(big, ["k"])
+    assert hot.any
+    hot_rows = {r["k"]: r["_buckets"] for r in hot.table.collect()}
+    assert list(hot_rows) == [0] and hot_rows[0] >= 2
+    for how in ("inner", "left", "left_anti", "left_semi"):
+        got = skew_join(big, small, ["k"], how, hot=hot)
+        assert got.columns == big.join(small, ["k"], how).columns
+        assert _sorted(got) == _sorted(big.join(small, ["k"], how)), how
+
+
+def test_salted_join_spreads_hot_key(spark):
+    from edustar.operators.joins import skew_join
+
+    big, small = _hot_tables(spark)
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        j = skew_join(big, small, ["k"], "inner").filter("k = 0")
+        per_task = [r["n"] for r in j.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+    hot_out = 2 * 2000  # 2000 hot rows, each meets the two small rows of key 0
+    assert sum(per_task) == hot_out
+    assert len(per_task) >= 2 and max(per_task) < hot_out
+
+
+def test_no_hot_key_keeps_plain_join(spark):
+    from edustar.operators.joins import detect_hot_keys
+
+    df = spark.range(5000).select((F.col("id") % 1000).alias("k"))
+    assert not detect_hot_keys(df, ["k"]).any
+
+
+def test_fact_build_shuffle_path_equals_broadcast_path(spark, monkeypatch):
+    from edustar.operators import joins
+
+    silver, _ = _silver(spark)
+
+    def build():
+        dims = {"dim_time": star.dim_time(spark), "dim_course": star.dim_course(silver["courses"]),
+                "dim_student": star.dim_student(silver["student_info"]),
+                "dim_assessment": star.dim_assessment(silver["assessments"])}
+        return star.fact_performance(silver, dims)
+
+    want = _sorted(build())
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    fact = build()
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    # Dimensions go through shuffle joins; the hot student and assessment are salted.
+    assert "SortMergeJoin [id_student" in plan and "_salt" in plan
+    assert _sorted(fact) == want

@@ -28,7 +28,14 @@ def main() -> None:
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="edustar-bench")
     t0 = time.time()
-    sizes = Warehouse.of(spark, sf_dir).build_all()
+    w = Warehouse.of(spark, sf_dir)
+    layers: dict[str, float] = {}
+    for layer, step in [("landing", w.bronze), ("silver", w.silver), ("dims", w.dims),
+                        ("fact", w.fact), ("staging", w.staging), ("marts", w.build_all)]:
+        t = time.time()
+        step()
+        layers[layer] = round(time.time() - t, 3)
+    sizes = dict(w.sizes)
     build = time.time() - t0
 
     times: dict[str, float] = {}
@@ -45,6 +52,7 @@ def main() -> None:
         "value": round(build + sum(times.values()), 3),
         "unit": "sec",
         "build_sec": round(build, 3),
+        "build_layers_sec": layers,
         "queries": times,
         "sf": sf,
         "cpus": int(cpus),

@@ -32,7 +32,7 @@ BROADCAST_MAX_ROWS = 250_000
 
 # Hot-key detection: rows sampled from the big side, most keys ever salted,
 # fewest sampled hits that count as evidence, and the bucket cap per key.
-HOT_SAMPLE_ROWS = 1_000_000
+HOT_SAMPLE_ROWS = 200_000
 MAX_HOT_KEYS = 256
 MIN_SAMPLE_HITS = 20
 MAX_SALT_BUCKETS = 1024

@@ -117,19 +117,27 @@ FACT_COLUMNS = ["fact_id", "student_key", "course_key", "assessment_key", "time_
 
 
 def fact_performance(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
-                     sizes: dict[str, int] | None = None) -> DataFrame:
+                     sizes: dict[str, int] | None = None, fb: DataFrame | None = None) -> DataFrame:
+    """The fact. ``fb`` is ``fact_base`` already written (the warehouse writes
+    it once): the per-assessment average and the join back then both read it,
+    instead of running the enrolment joins, the largest shuffle of the build,
+    once for each branch."""
     sizes = sizes or {}
     n_asm = sizes.get("dim_assessment")
     n_sub = sizes.get("silver_student_assessment")
-
-    def hot_on(*keys):
+    if fb is None:
+        fb = fact_base(silver, n_asm, n_sub)
         # Key distribution of the submissions (a scan and a broadcast join, no
         # shuffle): sampled only if a dimension is too large to broadcast.
-        return lambda: detect_hot_keys(
-            submissions_with_course(silver["student_assessment"], silver["assessments"], n_asm),
-            list(keys), n_sub)
+        src, n_src = (lambda: submissions_with_course(silver["student_assessment"], silver["assessments"],
+                                                      n_asm)), n_sub
+    else:
+        src, n_src = (lambda: fb), sizes.get("fact_base")
+
+    def hot_on(*keys):
+        return lambda: detect_hot_keys(src(), list(keys), n_src)
 
-    scored = (with_score_vs_avg(fact_base(silver, n_asm, n_sub), n_asm, hot_on("id_assessment"))
+    scored = (with_score_vs_avg(fb, n_asm, hot_on("id_assessment"))
               .withColumn("risk_group", risk_band()))
     f = scored
     for dim, keys, out in [("dim_time", ["code_presentation"], "time_key"),

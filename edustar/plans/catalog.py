@@ -22,7 +22,7 @@ from edustar.operators import quality as Q
 from edustar.operators import reports as R
 from edustar.operators import silver as S
 from edustar.operators import star
-from edustar.operators.joins import skew_join
+from edustar.operators.joins import detect_hot_keys, skew_join
 from edustar.plans.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,17 +97,19 @@ def _left_join_clicks(spark, sf_dir):
 
 @query("score_vs_avg")
 def _score_vs_avg(spark, sf_dir):
+    # Over the written fact base (the enrolment joins are the left_join_* keys).
     w = W(spark, sf_dir)
-    s, z = w.silver(), w.sizes
-    n_asm = z.get("silver_assessments")
-    fb = star.fact_base(s, n_asm, z.get("silver_student_assessment"))
-    return star.with_score_vs_avg(fb, n_asm).select("id_student", "id_assessment", "score", "score_vs_avg")
+    fb = w.fact_base()
+    n = w.sizes.get("fact_base")
+    return (star.with_score_vs_avg(fb, w.sizes.get("silver_assessments"),
+                                   hot=lambda: detect_hot_keys(fb, ["id_assessment"], n))
+            .select("id_student", "id_assessment", "score", "score_vs_avg"))
 
 
 @query("fact_performance")
 def _fact(spark, sf_dir):
     w = W(spark, sf_dir)
-    return star.fact_performance(w.silver(), w.dims(), w.sizes)
+    return star.fact_performance(w.silver(), w.dims(), w.sizes, fb=w.fact_base())
 
 
 @query("risk_group_distribution")

@@ -47,6 +47,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+# Target bytes per shuffle partition after compression, and per scan split.
+SHUFFLE_PARTITION_BYTES = 200 * 1024 ** 2
+SCAN_SPLIT_BYTES = 256 * 1024 ** 2
+
+
+def cluster_conf(input_bytes: int, shuffle_ratio: float = 0.5, max_partitions: int = 100_000) -> dict[str, str]:
+    """Session settings sized for ``input_bytes`` of Parquet input on a cluster.
+
+    Shuffle partitions are sized so the largest stage (about ``shuffle_ratio``
+    of the input crosses the network: the fact build's enrolment join) gets
+    ~200 MB partitions; AQE then coalesces the small stages and splits skewed
+    partitions, including behind chained joins (``forceOptimizeSkewedJoin``),
+    on top of the explicit hot-key salting. Automatic broadcasts are capped at
+    64 MB; the library's own broadcasts are bounded by row counts. The
+    checkpoint folder is not set here: it comes from the cluster
+    (``spark.checkpoint.dir`` on shared storage).
+    """
+    parts = max(200, min(max_partitions, -(-int(input_bytes * shuffle_ratio) // SHUFFLE_PARTITION_BYTES)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(SCAN_SPLIT_BYTES),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * SHUFFLE_PARTITION_BYTES),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.session.timeZone": "UTC",
+        # Lost executors: retry tasks, and re-launch stragglers elsewhere.
+        "spark.task.maxFailures": "8",
+        "spark.speculation": "true",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    }
+
+
 def object_store_conf(endpoint: str, access_key: str, secret_key: str, path_style: bool = True,
                       ssl: bool = True) -> dict[str, str]:
     """Session settings for an S3-compatible store (pass to ``local_session(extra=...)``

@@ -96,3 +96,14 @@ def test_log_partitions_and_pruning(spark, tmp_dir):
 
 def test_raw_table_inventory_has_seven_files():
     assert len(RAW_TABLES) == 7 and len(set(EXPECTED_FILES)) == 7
+
+
+def test_cluster_conf_scales_shuffle_partitions():
+    from edustar.session import cluster_conf
+
+    small, big = cluster_conf(10 * 1024 ** 3), cluster_conf(100 * 1024 ** 4)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    # 100 TB, half of it shuffled at ~200 MB per partition, capped at 100k partitions.
+    assert 100_000 >= int(big["spark.sql.shuffle.partitions"]) > 50_000
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert "spark.checkpoint.dir" not in big

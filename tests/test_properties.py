@@ -80,3 +80,24 @@ def test_expected_check_outcomes_on_fixture(spark):
     n = {k: len(QUERIES[k](spark, SF_SMALL).collect())
          for k in ("dq_declared_not_null", "dq_declared_unique", "dq_declared_accepted_values")}
     assert n == {"dq_declared_not_null": 41, "dq_declared_unique": 8, "dq_declared_accepted_values": 23}
+
+
+@settings(max_examples=8, deadline=None)
+@given(n=st.integers(200, 600), hot_share=st.floats(0.2, 0.6), dup=st.integers(1, 3),
+       how=st.sampled_from(["inner", "left", "left_anti", "left_semi"]), seed=st.integers(0, 10 ** 6))
+def test_salted_join_is_the_plain_join(spark, n, hot_share, dup, how, seed):
+    """Whatever the hot share, duplicate small rows or join type, salting only moves rows."""
+    import random
+
+    from edustar.operators.joins import detect_hot_keys, skew_join
+
+    rnd = random.Random(seed)
+    big = [(7 if rnd.random() < hot_share else rnd.choice([None, *range(40)]), i) for i in range(n)]
+    small = [(k, f"{k}-{j}") for k in range(0, 30) for j in range(dup if k in (7, 3) else 1)]
+    b = spark.createDataFrame(big, "k int, i int")
+    s = spark.createDataFrame(small, "k int, v string")
+    hot = detect_hot_keys(b, ["k"], partitions=8)
+    assert hot.any  # key 7 holds well over 1/8 of the rows
+    got = sorted(map(tuple, skew_join(b, s, ["k"], how, hot=hot).collect()), key=repr)
+    want = sorted(map(tuple, b.join(s, ["k"], how).collect()), key=repr)
+    assert got == want

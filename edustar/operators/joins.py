@@ -164,3 +164,24 @@ def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "i
     if fits_broadcast(small, known_rows=small_rows):
         return big.join(F.broadcast(small), keys, how)
     return skew_join(big, small, keys, how, hot=hot() if hot else None)
+
+
+COPIES = "_copies"
+
+
+def collapse_copies(df: DataFrame) -> DataFrame:
+    """Identical rows → one row with their count in ``_copies``.
+
+    A partial aggregate: a group of copies (even a third of the table) is
+    reduced map-side before the shuffle, so it never reaches one task whole.
+    Join the collapsed side, then ``expand_copies`` restores the fan-out.
+    """
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
+
+
+def expand_copies(df: DataFrame) -> DataFrame:
+    """Repeat each row ``_copies`` times (once where the join found no match)
+    and drop the count: the rows a join to the uncollapsed side would give."""
+    n = F.coalesce(F.col(COPIES), F.lit(1))
+    return (df.withColumn("_copy", F.explode(F.sequence(F.lit(1), n.cast("int"))))
+            .drop("_copy", COPIES))

@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edustar.functions.expr import risk_band
-from edustar.operators.joins import HotKeys, detect_hot_keys, lookup_join
+from edustar.operators.joins import (HotKeys, collapse_copies, detect_hot_keys, expand_copies,
+                                     lookup_join)
 from edustar.operators.keys import dense_key, first_per_key, partitions_for
 
 ENROLMENT = ["id_student", "code_module", "code_presentation"]
@@ -93,13 +94,16 @@ def fact_base(silver: dict[str, DataFrame], n_assessments: int | None = None,
               n_submissions: int | None = None) -> DataFrame:
     """Submissions with enrolment result and click total (left joins, may be null)."""
     sa_meta = submissions_with_course(silver["student_assessment"], silver["assessments"], n_assessments)
-    base = silver["student_info"].select(*ENROLMENT, "final_result")
+    # Enrolment rows are not deduplicated (a repeated enrolment fans out, as in
+    # the source); identical copies are collapsed before the shuffle and
+    # expanded after the join.
+    base = collapse_copies(silver["student_info"].select(*ENROLMENT, "final_result"))
     clicks = silver["vle_clicks"].select(*ENROLMENT, "total_clicks")
     # Both left joins use the same three keys (plus the salt of hot enrolments):
     # one exchange of the big side serves both.
     hot = detect_hot_keys(sa_meta, ENROLMENT, n_submissions)
     j = hot.join(hot.join(hot.salt(sa_meta), base, "left"), clicks, "left")
-    return HotKeys.unsalt(j)
+    return expand_copies(HotKeys.unsalt(j))
 
 
 def with_score_vs_avg(fb: DataFrame, n_assessments: int | None = None,

@@ -22,7 +22,7 @@ from edustar.operators import quality as Q
 from edustar.operators import reports as R
 from edustar.operators import silver as S
 from edustar.operators import star
-from edustar.operators.joins import detect_hot_keys, skew_join
+from edustar.operators.joins import collapse_copies, detect_hot_keys, expand_copies, skew_join
 from edustar.plans.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,8 +81,9 @@ def _enrolment_join(spark, sf_dir, right: str, cols: list[str]):
     w = W(spark, sf_dir)
     s, z = w.silver(), w.sizes
     sa = star.submissions_with_course(s["student_assessment"], s["assessments"], z.get("silver_assessments"))
-    return skew_join(sa, s[right].select(*star.ENROLMENT, *cols), star.ENROLMENT, "left",
-                     big_rows=z.get("silver_student_assessment"))
+    right_side = collapse_copies(s[right].select(*star.ENROLMENT, *cols))
+    return expand_copies(skew_join(sa, right_side, star.ENROLMENT, "left",
+                                   big_rows=z.get("silver_student_assessment")))
 
 
 @query("left_join_enrolment")

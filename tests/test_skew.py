@@ -142,3 +142,22 @@ def test_fact_build_shuffle_path_equals_broadcast_path(spark, monkeypatch):
     # Dimensions go through shuffle joins; the hot student and assessment are salted.
     assert "SortMergeJoin [id_student" in plan and "_salt" in plan
     assert _sorted(fact) == want
+
+
+def test_copied_enrolments_fan_out_exactly(spark):
+    """One enrolment copied 300 times (a copy group holding most of the table),
+    another with two different rows: the fact base equals the plain left joins."""
+    silver, rows = _silver(spark, n=900)
+    info = silver["student_info"]
+    one = info.orderBy("id_student").limit(1)
+    copies = one.select("*", F.explode(F.sequence(F.lit(1), F.lit(300))).alias("_c")).drop("_c")
+    variant = info.orderBy(F.col("id_student").desc()).limit(1).withColumn("final_result", F.lit("Withdrawn"))
+    silver = {**silver, "student_info": info.unionByName(copies).unionByName(variant)}
+    got = star.fact_base(silver)
+    sa = star.submissions_with_course(silver["student_assessment"], silver["assessments"])
+    want = (sa.join(silver["student_info"].select(*star.ENROLMENT, "final_result"), star.ENROLMENT, "left")
+            .join(silver["vle_clicks"], star.ENROLMENT, "left"))
+    assert got.columns == want.columns
+    g, w = _sorted(got), _sorted(want)
+    assert len(g) == len(w) > len(rows)
+    assert g == w

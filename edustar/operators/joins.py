@@ -35,7 +35,12 @@ BROADCAST_MAX_ROWS = 250_000
 HOT_SAMPLE_ROWS = 200_000
 MAX_HOT_KEYS = 256
 MIN_SAMPLE_HITS = 20
-MAX_SALT_BUCKETS = 1024
+MAX_SALT_BUCKETS = 65_536
+# Buckets per partition-share of a hot key: a bucket is about 1/8 of an average
+# partition, so buckets landing on the same task (hash collisions) average out.
+# Hot shares sum to at most 1, so all hot keys together get at most 8 x partitions
+# buckets, which bounds the copies of small-side rows.
+BUCKETS_PER_PARTITION_SHARE = 8
 HOT_SEED = 17
 
 SALT = "_salt"
@@ -77,15 +82,22 @@ class HotKeys:
         return self.table is not None
 
     def salt(self, big: DataFrame) -> DataFrame:
-        """Add ``_salt``: a deterministic hash of the whole row modulo the key's
-        bucket count for hot keys, 0 otherwise (recomputing a lost task gives
-        the same buckets, as the hash depends only on the row)."""
+        """Add ``_salt``: for hot keys a hash of the whole row and of the task's
+        partition index modulo the key's bucket count, 0 otherwise.
+
+        The partition index splits a group of identical rows (copies) by the
+        input split they come from, where a hash of the row alone would send
+        them all to one bucket. Both parts survive recomputation: a lost task
+        is re-run on the same partition, whose set of rows is fixed (only
+        their order may change), so every row gets the same bucket again.
+        """
         if not self.any:
             return big
         h = F.broadcast(self.table)
         salted = big.join(h, self.keys, "left")
         b = F.coalesce(F.col(BUCKETS), F.lit(1))
-        s = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), b.cast("long")).cast("int")
+        s = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns], F.spark_partition_id()),
+                   b.cast("long")).cast("int")
         return salted.select(*big.columns, s.alias(SALT))
 
     def spread(self, small: DataFrame) -> DataFrame:
@@ -138,7 +150,7 @@ def detect_hot_keys(df: DataFrame, keys: list[str], known_rows: int | None = Non
     rows = []
     for r in top:
         share = r["_hits"] / sampled_total
-        buckets = max(2, min(MAX_SALT_BUCKETS, math.ceil(2 * share * p)))
+        buckets = max(2, min(MAX_SALT_BUCKETS, math.ceil(BUCKETS_PER_PARTITION_SHARE * share * p)))
         rows.append((*[r[k] for k in keys], buckets))
     if not rows:
         return HotKeys(keys, None)

@@ -7,6 +7,7 @@ given, so one table is not pulled through a single connection.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from edustar.sources.sinks import write_jdbc
 
@@ -14,6 +15,17 @@ from edustar.sources.sinks import write_jdbc
 def read_table(spark: SparkSession, url: str, table: str, properties: dict | None = None,
                partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
                num_partitions: int | None = None) -> DataFrame:
+    """Read ``table``; with ``partition_column`` as ``num_partitions`` parallel range
+    queries. Missing bounds are fetched first as one MIN/MAX aggregate, so the
+    ranges cover the whole table; the database computes it where the dialect
+    supports aggregate pushdown, else Spark reads that one column once."""
+    if partition_column and (lower is None or upper is None):
+        lo, hi = _bounds(spark, url, table, properties, partition_column)
+        if lo is None:  # empty table: nothing to split
+            partition_column = None
+        else:
+            lower = lo if lower is None else lower
+            upper = hi if upper is None else upper
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (properties or {}).items():
         r = r.option(k, v)
@@ -23,6 +35,16 @@ def read_table(spark: SparkSession, url: str, table: str, properties: dict | Non
     return r.load()
 
 
+def _bounds(spark: SparkSession, url: str, table: str, properties: dict | None, column: str):
+    """MIN and MAX of ``column`` (one row; pushed to the database where supported)."""
+    r = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
+         .option("pushDownAggregate", "true"))
+    for k, v in (properties or {}).items():
+        r = r.option(k, v)
+    row = r.load().agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
+    return (None, None) if row is None or row["lo"] is None else (int(row["lo"]), int(row["hi"]))
+
+
 def full_refresh(tables: dict[str, DataFrame], url: str, properties: dict | None = None,
                  batchsize: int = 5000) -> None:
     """Replace the rows of each warehouse table, keeping its definition

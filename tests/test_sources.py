@@ -75,6 +75,10 @@ def test_jdbc_full_refresh_and_partitioned_read(spark, tmp_dir):
     assert back.count() == 40
     J.append(dim.filter("course_key > 90"), url, "dim_course", props)
     assert J.read_table(spark, url, "dim_course", props).count() == 50
+    # Bounds fetched from the table itself: 1..40 and 91..100, all rows read in 5 ranges.
+    auto = J.read_table(spark, url, "dim_course", props, partition_column="course_key", num_partitions=5)
+    assert auto.rdd.getNumPartitions() == 5
+    assert sorted(r[0] for r in auto.select("course_key").collect()) == list(range(1, 41)) + list(range(91, 101))
 
 
 def test_log_partitions_and_pruning(spark, tmp_dir):

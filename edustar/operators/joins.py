@@ -191,9 +191,21 @@ def collapse_copies(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
 
 
+# Copies generated per array when a collapsed row is expanded: two levels of
+# explode (chunks, then rows in a chunk) keep every array this size or less.
+COPY_CHUNK = 1024
+
+
 def expand_copies(df: DataFrame) -> DataFrame:
     """Repeat each row ``_copies`` times (once where the join found no match)
-    and drop the count: the rows a join to the uncollapsed side would give."""
-    n = F.coalesce(F.col(COPIES), F.lit(1))
-    return (df.withColumn("_copy", F.explode(F.sequence(F.lit(1), n.cast("int"))))
-            .drop("_copy", COPIES))
+    and drop the count: the rows a join to the uncollapsed side would give.
+
+    The rows are generated chunk by chunk, so a group of a billion copies
+    never becomes a billion-element array in one row.
+    """
+    n = F.coalesce(F.col(COPIES), F.lit(1)).cast("long")
+    chunk = F.lit(COPY_CHUNK).cast("long")
+    chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk))))
+    in_chunk = F.least(chunk, n - F.col("_chunk") * chunk)
+    return (chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), in_chunk)))
+            .drop("_copy", "_chunk", COPIES))

@@ -161,3 +161,11 @@ def test_copied_enrolments_fan_out_exactly(spark):
     g, w = _sorted(got), _sorted(want)
     assert len(g) == len(w) > len(rows)
     assert g == w
+
+
+def test_expand_copies_in_chunks(spark):
+    from edustar.operators import joins
+
+    df = spark.createDataFrame([(1, 2500), (2, 1), (3, None), (4, 1024)], "k int, _copies long")
+    got = {r["k"]: r["n"] for r in joins.expand_copies(df).groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {1: 2500, 2: 1, 3: 1, 4: 1024}

@@ -91,8 +91,12 @@ def submissions_with_course(sa: DataFrame, assessments: DataFrame,
 
 
 def fact_base(silver: dict[str, DataFrame], n_assessments: int | None = None,
-              n_submissions: int | None = None) -> DataFrame:
-    """Submissions with enrolment result and click total (left joins, may be null)."""
+              n_submissions: int | None = None, hot: HotKeys | None = None) -> DataFrame:
+    """Submissions with enrolment result and click total (left joins, may be null).
+
+    ``hot``: hot enrolments of the submissions if already known (e.g. kept by
+    the warehouse as statistics of its silver layer); detected here otherwise.
+    """
     sa_meta = submissions_with_course(silver["student_assessment"], silver["assessments"], n_assessments)
     # Enrolment rows are not deduplicated (a repeated enrolment fans out, as in
     # the source); identical copies are collapsed before the shuffle and
@@ -101,7 +105,7 @@ def fact_base(silver: dict[str, DataFrame], n_assessments: int | None = None,
     clicks = silver["vle_clicks"].select(*ENROLMENT, "total_clicks")
     # Both left joins use the same three keys (plus the salt of hot enrolments):
     # one exchange of the big side serves both.
-    hot = detect_hot_keys(sa_meta, ENROLMENT, n_submissions)
+    hot = hot or detect_hot_keys(sa_meta, ENROLMENT, n_submissions)
     j = hot.join(hot.join(hot.salt(sa_meta), base, "left"), clicks, "left")
     return expand_copies(HotKeys.unsalt(j))
 

@@ -82,8 +82,7 @@ def _enrolment_join(spark, sf_dir, right: str, cols: list[str]):
     s, z = w.silver(), w.sizes
     sa = star.submissions_with_course(s["student_assessment"], s["assessments"], z.get("silver_assessments"))
     right_side = collapse_copies(s[right].select(*star.ENROLMENT, *cols))
-    return expand_copies(skew_join(sa, right_side, star.ENROLMENT, "left",
-                                   big_rows=z.get("silver_student_assessment")))
+    return expand_copies(skew_join(sa, right_side, star.ENROLMENT, "left", hot=w.enrolment_hot_keys()))
 
 
 @query("left_join_enrolment")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from edustar.operators import marts as M
 from edustar.operators import silver as S
 from edustar.operators import star
+from edustar.operators.joins import HotKeys, detect_hot_keys
 from edustar.session import ensure_checkpoint_dir
 from edustar.sources import fixtures
 from edustar.sources.sinks import write_parquet_counted
@@ -65,6 +66,7 @@ class Warehouse:
         self._bronze = bronze
         self._tables: dict[str, DataFrame] = {}
         self.sizes: dict[str, int] = {}
+        self._hot: dict[str, HotKeys] = {}
         # One builder per layer at a time: callers on other threads wait for it.
         self._lock = threading.RLock()
 
@@ -129,6 +131,17 @@ class Warehouse:
             })
         return {d: self._tables[d] for d in DIMS}
 
+    @_locked
+    def enrolment_hot_keys(self) -> HotKeys:
+        """Hot enrolments of the submissions: statistics of the written silver
+        layer, detected once and shared by every join on the enrolment key."""
+        if "enrolment" not in self._hot:
+            s, z = self.silver(), self.sizes
+            sa = star.submissions_with_course(s["student_assessment"], s["assessments"],
+                                              z.get("silver_assessments"))
+            self._hot["enrolment"] = detect_hot_keys(sa, star.ENROLMENT, z.get("silver_student_assessment"))
+        return self._hot["enrolment"]
+
     @_locked
     def fact_base(self) -> DataFrame:
         """Submissions ⋈ assessments ⟕ enrolments ⟕ clicks, written once: the
@@ -136,7 +149,8 @@ class Warehouse:
         if "fact_base" not in self._tables:
             s, z = self.silver(), self.sizes
             self._put("fact_base", star.fact_base(s, z.get("silver_assessments"),
-                                                  z.get("silver_student_assessment")))
+                                                  z.get("silver_student_assessment"),
+                                                  hot=self.enrolment_hot_keys()))
         return self._tables["fact_base"]
 
     @_locked

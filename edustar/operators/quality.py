@@ -234,19 +234,24 @@ def declared(kind: str) -> list[tuple[str, str, tuple]]:
     return out
 
 
-def _test_rows(table: str, kind: str, pairs: list[tuple[str, F.Column]]) -> list[F.Column]:
-    return [F.struct(F.lit(f"{kind}_{table}_{c}").alias("test_name"), F.lit(table).alias("model"),
-                     F.lit(c).alias("column_name"), v.cast("long").alias("failures")) for c, v in pairs]
+def _unpivot(agg_row: DataFrame, table: str, kind: str, cols: list[str]) -> DataFrame:
+    """One row per test from a one-row aggregate with a column per test.
 
-
-def _explode(agg_row: DataFrame, structs: list[F.Column]) -> DataFrame:
-    return agg_row.select(F.explode(F.array(*structs)).alias("t")).select("t.*")
+    A single ``stack`` expression (parsed once by Spark) rather than a struct
+    of literals per test, so building the plan is one call per table.
+    """
+    items = ", ".join(f"'{kind}_{table}_{c}', '{table}', '{c}', CAST(`{c}` AS BIGINT)" for c in cols)
+    return agg_row.selectExpr(f"stack({len(cols)}, {items}) AS (test_name, model, column_name, failures)")
 
 
 def _with_status(df: DataFrame) -> DataFrame:
     return df.withColumn("status", F.when(col("failures") == 0, "PASS").otherwise("FAIL"))
 
 
+def _sql_in(values) -> str:
+    return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
+
+
 def declared_not_null(tables: dict[str, DataFrame]) -> DataFrame:
     """All not_null tests: one count_if aggregate per table."""
     parts = []
@@ -254,8 +259,8 @@ def declared_not_null(tables: dict[str, DataFrame]) -> DataFrame:
     for t, c, _ in declared("not_null"):
         by_table.setdefault(t, []).append(c)
     for t, cols in by_table.items():
-        agg = tables[t].agg(*[F.count_if(col(c).isNull()).alias(c) for c in cols])
-        parts.append(_explode(agg, _test_rows(t, "not_null", [(c, col(c)) for c in cols])))
+        agg = tables[t].agg(*[F.expr(f"count_if(`{c}` IS NULL) AS `{c}`") for c in cols])
+        parts.append(_unpivot(agg, t, "not_null", cols))
     return _with_status(reduce(DataFrame.unionByName, parts))
 
 
@@ -270,10 +275,11 @@ def declared_accepted_values(tables: dict[str, DataFrame]) -> DataFrame:
     for t, c, dom in declared("accepted_values"):
         by_table.setdefault(t, []).append((c, dom))
     for t, tests in by_table.items():
-        bads = {c: col(c).isNotNull() & ~col(c).isin(*dom) for c, dom in tests}
-        off = tables[t].filter(reduce(lambda a, b: a | b, bads.values()))
-        agg = off.agg(*[F.count_distinct(F.when(bads[c], col(c))).alias(c) for c, _ in tests])
-        parts.append(_explode(agg, _test_rows(t, "accepted_values", [(c, col(c)) for c, _ in tests])))
+        bads = {c: f"(`{c}` IS NOT NULL AND `{c}` NOT IN ({_sql_in(dom)}))" for c, dom in tests}
+        off = tables[t].filter(" OR ".join(bads.values()))
+        agg = off.agg(*[F.expr(f"count(DISTINCT CASE WHEN {bads[c]} THEN `{c}` END) AS `{c}`")
+                        for c, _ in tests])
+        parts.append(_unpivot(agg, t, "accepted_values", [c for c, _ in tests]))
     return _with_status(reduce(DataFrame.unionByName, parts))
 
 

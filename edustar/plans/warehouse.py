@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from edustar.operators import marts as M
 from edustar.operators import silver as S
 from edustar.operators import star
-from edustar.operators.joins import HotKeys, detect_hot_keys
+from edustar.operators.joins import HotKeys, detect_hot_keys, fits_broadcast
 from edustar.session import ensure_checkpoint_dir
 from edustar.sources import fixtures
 from edustar.sources.sinks import write_parquet_counted
@@ -36,7 +36,7 @@ CONCURRENT_WRITES = 4
 # Tables written sorted within each partition, for data skipping on common filters.
 SORTED_WITHIN = {
     "fact_performance": ["risk_group", "final_result"],
-    "stg_fact_performance": ["risk_group", "final_result"],
+    "stg_fact_performance": ["risk_group", "final_result"],  # when written
 }
 
 # SQL names of the warehouse tables, as the report SQL refers to them.
@@ -163,9 +163,18 @@ class Warehouse:
 
     @_locked
     def staging(self) -> DataFrame:
+        """Fact ⋈ the four dimensions. Written only when a dimension is above the
+        broadcast bound, i.e. when the join would shuffle the fact: with all four
+        broadcast it is a map-side join, and each reader (a mart, a check)
+        redoes it over just the fact columns it needs, far cheaper than
+        writing a copy of the fact three times as wide."""
         if "stg_fact_performance" not in self._tables:
-            f = self.fact()
-            self._put("stg_fact_performance", star.staging(f, self.dims(), self.sizes))
+            f, dims, z = self.fact(), self.dims(), self.sizes
+            stg = star.staging(f, dims, z)
+            if all(fits_broadcast(dims[d], known_rows=z.get(d)) for d in DIMS):
+                self._tables["stg_fact_performance"] = stg
+            else:
+                self._put("stg_fact_performance", stg)
         return self._tables["stg_fact_performance"]
 
     @_locked

@@ -41,3 +41,18 @@ def test_plan_invariants_for_every_query(spark):
         a = audit(fn(spark, SF_SMALL))
         assert a["python"] == 0 and a["nested_loop_or_cartesian"] == 0, name
         assert a["windows"] == 0 or name in window_ok, name
+
+
+def test_staging_written_only_when_a_dimension_is_too_big(spark, monkeypatch):
+    from edustar.operators import joins
+    from edustar.plans.warehouse import Warehouse
+
+    small = Warehouse(spark, SF_SMALL)
+    lazy = small.staging()
+    assert "stg_fact_performance" not in small.sizes  # map-side joins, left lazy
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 100)  # Dim_Student (146 rows) no longer fits
+    big = Warehouse(spark, SF_SMALL)
+    written = big.staging()
+    assert big.sizes["stg_fact_performance"] == lazy.count()
+    cols = sorted(lazy.columns)
+    assert sorted(map(tuple, written.select(*cols).collect())) == sorted(map(tuple, lazy.select(*cols).collect()))

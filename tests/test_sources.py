@@ -111,3 +111,21 @@ def test_cluster_conf_scales_shuffle_partitions():
     assert 100_000 >= int(big["spark.sql.shuffle.partitions"]) > 50_000
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert "spark.checkpoint.dir" not in big
+
+
+def test_cluster_conf_sql_settings_are_known_to_spark(spark):
+    from edustar.session import cluster_conf
+
+    conf = {k: v for k, v in cluster_conf(100 * 1024 ** 4).items() if k.startswith("spark.sql.")}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+            assert spark.conf.get(k) == v
+            assert spark.conf.isModifiable(k), k  # a runtime SQL setting Spark knows
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

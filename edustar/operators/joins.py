@@ -123,8 +123,9 @@ class HotKeys:
         return df.drop(SALT) if SALT in df.columns else df
 
 
-def detect_hot_keys(df: DataFrame, keys: list[str], known_rows: int | None = None,
-                    partitions: int | None = None) -> HotKeys:
+def detect_hot_keys(df: DataFrame | None, keys: list[str], known_rows: int | None = None,
+                    partitions: int | None = None,
+                    sampler: Callable[[float], DataFrame] | None = None) -> HotKeys:
     """Keys whose share of ``df`` exceeds one shuffle partition's share and
     that have at least ``MIN_SAMPLE_HITS`` sampled rows (with 200k sampled
     rows that is a share of 0.01 %; AQE skew splitting covers milder skew).
@@ -134,16 +135,23 @@ def detect_hot_keys(df: DataFrame, keys: list[str], known_rows: int | None = Non
     the driver. Which keys are salted never changes a join's result, only how
     its rows are spread over tasks, so a sample is enough. Pass
     ``known_rows`` for derived frames (a plain Parquet scan counts cheaply).
+    ``sampler(fraction)`` builds the key columns from a sample taken before
+    any join (Spark does not push a sample below a join), instead of
+    sampling ``df`` itself.
     """
-    spark = df.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = known_rows if known_rows is not None else df.count()
-    if total == 0 or p <= 1:
+    if sampler is None:
+        def sampler(frac: float) -> DataFrame:
+            k = df.select(*keys)
+            return k.sample(False, frac, seed=HOT_SEED) if frac < 1.0 else k
+    total = known_rows if known_rows is not None else (df if df is not None else sampler(1.0)).count()
+    if total == 0:
         return HotKeys(keys, None)
     frac = min(1.0, HOT_SAMPLE_ROWS / total)
-    sample = df.select(*keys)
-    if frac < 1.0:
-        sample = sample.sample(False, frac, seed=HOT_SEED)
+    sample = sampler(frac).select(*keys)
+    spark = sample.sparkSession
+    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if p <= 1:
+        return HotKeys(keys, None)
     sampled_total = total * frac
     min_hits = max(MIN_SAMPLE_HITS, sampled_total / p)
     top = (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hits"))
@@ -156,7 +164,7 @@ def detect_hot_keys(df: DataFrame, keys: list[str], known_rows: int | None = Non
         rows.append((*[r[k] for k in keys], buckets))
     if not rows:
         return HotKeys(keys, None)
-    fields = [df.schema[k] for k in keys]
+    fields = [sample.schema[k] for k in keys]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", {BUCKETS} int"
     return HotKeys(keys, spark.createDataFrame(rows, schema))
 

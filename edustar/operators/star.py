@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edustar.functions.expr import risk_band
-from edustar.operators.joins import (HotKeys, collapse_copies, detect_hot_keys, expand_copies,
+from edustar.operators.joins import (HOT_SEED, HotKeys, collapse_copies, detect_hot_keys, expand_copies,
                                      lookup_join)
 from edustar.operators.keys import dense_key, first_per_key, partitions_for
 
@@ -90,6 +90,20 @@ def submissions_with_course(sa: DataFrame, assessments: DataFrame,
                        hot=lambda: detect_hot_keys(sa, ["id_assessment"]))
 
 
+def submission_sampler(silver: dict[str, DataFrame]) -> Callable[[float], DataFrame]:
+    """Submission keys with their course from a sample of the submissions,
+    taken before the join to the assessments: hot-key detection then joins
+    about 200k sampled rows, not every submission."""
+    meta = silver["assessments"].select("id_assessment", "code_module", "code_presentation")
+
+    def sample(frac: float) -> DataFrame:
+        s = silver["student_assessment"].select("id_student", "id_assessment")
+        if frac < 1.0:
+            s = s.sample(False, frac, seed=HOT_SEED)
+        return s.join(meta, "id_assessment")
+    return sample
+
+
 def fact_base(silver: dict[str, DataFrame], n_assessments: int | None = None,
               n_submissions: int | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Submissions with enrolment result and click total (left joins, may be null).
@@ -105,7 +119,7 @@ def fact_base(silver: dict[str, DataFrame], n_assessments: int | None = None,
     clicks = silver["vle_clicks"].select(*ENROLMENT, "total_clicks")
     # Both left joins use the same three keys (plus the salt of hot enrolments):
     # one exchange of the big side serves both.
-    hot = hot or detect_hot_keys(sa_meta, ENROLMENT, n_submissions)
+    hot = hot or detect_hot_keys(sa_meta, ENROLMENT, n_submissions, sampler=submission_sampler(silver))
     j = hot.join(hot.join(hot.salt(sa_meta), base, "left"), clicks, "left")
     return expand_copies(HotKeys.unsalt(j))
 
@@ -135,15 +149,14 @@ def fact_performance(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
     n_sub = sizes.get("silver_student_assessment")
     if fb is None:
         fb = fact_base(silver, n_asm, n_sub)
-        # Key distribution of the submissions (a scan and a broadcast join, no
-        # shuffle): sampled only if a dimension is too large to broadcast.
-        src, n_src = (lambda: submissions_with_course(silver["student_assessment"], silver["assessments"],
-                                                      n_asm)), n_sub
-    else:
-        src, n_src = (lambda: fb), sizes.get("fact_base")
 
-    def hot_on(*keys):
-        return lambda: detect_hot_keys(src(), list(keys), n_src)
+        def hot_on(*keys):
+            # Key distribution of the submissions, from a sample joined to the
+            # assessments; only used if a dimension is too large to broadcast.
+            return lambda: detect_hot_keys(None, list(keys), n_sub, sampler=submission_sampler(silver))
+    else:
+        def hot_on(*keys):
+            return lambda: detect_hot_keys(fb, list(keys), sizes.get("fact_base"))
 
     scored = (with_score_vs_avg(fb, n_asm, hot_on("id_assessment"))
               .withColumn("risk_group", risk_band()))

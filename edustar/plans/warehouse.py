@@ -137,9 +137,8 @@ class Warehouse:
         layer, detected once and shared by every join on the enrolment key."""
         if "enrolment" not in self._hot:
             s, z = self.silver(), self.sizes
-            sa = star.submissions_with_course(s["student_assessment"], s["assessments"],
-                                              z.get("silver_assessments"))
-            self._hot["enrolment"] = detect_hot_keys(sa, star.ENROLMENT, z.get("silver_student_assessment"))
+            self._hot["enrolment"] = detect_hot_keys(None, star.ENROLMENT, z.get("silver_student_assessment"),
+                                                     sampler=star.submission_sampler(s))
         return self._hot["enrolment"]
 
     @_locked

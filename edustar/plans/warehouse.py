@@ -72,7 +72,9 @@ class Warehouse:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
-        key = (id(spark._jsparkSession), sf_dir)
+        # The application id changes when a stopped session is replaced (a
+        # Python id alone may be reused by the new session's object).
+        key = (spark.sparkContext.applicationId, id(spark._jsparkSession), sf_dir)
         with _LOCK:
             if key not in _CACHE:
                 _CACHE[key] = cls(spark, sf_dir)

@@ -40,11 +40,12 @@ def main():
     from edustar.session import local_session
     spark = local_session(8)
     cols = ["shuffles", "single_partition", "broadcast_joins", "sort_merge_joins", "windows",
-            "nested_loop_or_cartesian", "python", "pushed_filters"]
+            "nested_loop_or_cartesian", "python", "pushed_filters", "codegen_stages"]
     print(f"# Plan audit\n\nExecuted (final adaptive) plans of every registered query at `{sf_dir}`, "
           "produced by `tools/plan_audit.py`. Scans of written layers are columnar and pruned; "
           "`single_partition` counts exchanges into one task, which here only carry already-aggregated "
-          "rows (global totals, top-k merges, or one row per partition for dense-key offsets).\n")
+          "rows (global totals, top-k merges, or one row per partition for dense-key offsets). "
+          "`codegen_stages` counts operators running inside whole-stage codegen (marked `*(n)`) in the executed plan.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("|---|" + "---:|" * len(cols))
     for name, fn in QUERIES.items():

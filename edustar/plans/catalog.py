@@ -77,22 +77,29 @@ def _dim_assessment(spark, sf_dir):
     return star.dim_assessment(w.silver()["assessments"], w.sizes.get("silver_assessments"))
 
 
-def _enrolment_join(spark, sf_dir, right: str, cols: list[str]):
+def _enrolment_join(spark, sf_dir, right: str, cols: list[str], may_repeat: bool):
+    """Submissions ⟕ one enrolment-keyed table. ``may_repeat``: the table can hold
+    repeated rows per enrolment (collapsed before the shuffle, expanded after)."""
     w = W(spark, sf_dir)
     s, z = w.silver(), w.sizes
     sa = star.submissions_with_course(s["student_assessment"], s["assessments"], z.get("silver_assessments"))
-    right_side = collapse_copies(s[right].select(*star.ENROLMENT, *cols))
-    return expand_copies(skew_join(sa, right_side, star.ENROLMENT, "left", hot=w.enrolment_hot_keys()))
+    right_side = s[right].select(*star.ENROLMENT, *cols)
+    if may_repeat:
+        return expand_copies(skew_join(sa, collapse_copies(right_side), star.ENROLMENT, "left",
+                                       hot=w.enrolment_hot_keys()))
+    return skew_join(sa, right_side, star.ENROLMENT, "left", hot=w.enrolment_hot_keys())
 
 
 @query("left_join_enrolment")
 def _left_join_enrolment(spark, sf_dir):
-    return _enrolment_join(spark, sf_dir, "student_info", ["final_result"])
+    # Enrolment rows are not deduplicated upstream: copies fan out, as in the source.
+    return _enrolment_join(spark, sf_dir, "student_info", ["final_result"], may_repeat=True)
 
 
 @query("left_join_clicks")
 def _left_join_clicks(spark, sf_dir):
-    return _enrolment_join(spark, sf_dir, "vle_clicks", ["total_clicks"])
+    # Click totals are an aggregate by enrolment: one row per key by construction.
+    return _enrolment_join(spark, sf_dir, "vle_clicks", ["total_clicks"], may_repeat=False)
 
 
 @query("score_vs_avg")

@@ -76,6 +76,9 @@ def cluster_conf(input_bytes: int, shuffle_ratio: float = 0.5, max_partitions: i
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * SHUFFLE_PARTITION_BYTES),
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
         "spark.sql.session.timeZone": "UTC",
+        # Tables of one layer are written by concurrent jobs: share the slots
+        # between them instead of queueing each behind the first (FIFO).
+        "spark.scheduler.mode": "FAIR",
         # Lost executors: retry tasks, and re-launch stragglers elsewhere.
         "spark.task.maxFailures": "8",
         "spark.speculation": "true",

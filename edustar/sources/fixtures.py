@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edustar import schemas
-from edustar.operators.joins import sized_broadcast, skew_join
+from edustar.operators.joins import detect_hot_keys, lookup_join, sized_broadcast
 
 # Fixed values of the mapping: module letters and event-type -> check status.
 MODULE_LETTERS = "ABCDEFG"
@@ -42,9 +42,10 @@ def base_lines(t: dict[str, DataFrame]) -> DataFrame:
     l = t["lineitem"].select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
                              "l_discount", "l_tax", "l_shipdate")
     o = t["orders"].select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
-    # Orders are unique per key; an order holding a large share of the line
-    # items is salted rather than joined in one task.
-    j = skew_join(l, o, ["l_orderkey"])
+    # Orders are unique per key: broadcast while within the row bound, else a
+    # shuffle join where an order holding a large share of the line items is
+    # salted rather than joined in one task.
+    j = lookup_join(l, o, ["l_orderkey"], hot=lambda: detect_hot_keys(l, ["l_orderkey"]))
     y, mo = F.year("o_orderdate"), F.month("o_orderdate")
     return j.select(
         "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate",

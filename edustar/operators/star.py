@@ -81,13 +81,13 @@ def dim_assessment(silver_assessments: DataFrame, rows_hint: int | None = None)
     return dense_key(d, ["id_assessment"], "assessment_key", partitions_for(rows_hint))
 
 
-def submissions_with_course(sa: DataFrame, assessments: DataFrame,
-                            n_assessments: int | None = None) -> DataFrame:
+def submissions_with_course(sa: DataFrame, assessments: DataFrame, n_assessments: int | None = None,
+                            n_submissions: int | None = None) -> DataFrame:
     """Submissions ⋈ assessment metadata (module, presentation)."""
     meta = assessments.select("id_assessment", "code_module", "code_presentation")
     subs = sa.select("id_student", "id_assessment", F.col("score").cast("double").alias("score"))
     return lookup_join(subs, meta, ["id_assessment"], small_rows=n_assessments,
-                       hot=lambda: detect_hot_keys(sa, ["id_assessment"]))
+                       hot=lambda: detect_hot_keys(sa, ["id_assessment"], n_submissions))
 
 
 def submission_sampler(silver: dict[str, DataFrame]) -> Callable[[float], DataFrame]:
@@ -111,7 +111,8 @@ def fact_base(silver: dict[str, DataFrame], n_assessments: int | None = None,
     ``hot``: hot enrolments of the submissions if already known (e.g. kept by
     the warehouse as statistics of its silver layer); detected here otherwise.
     """
-    sa_meta = submissions_with_course(silver["student_assessment"], silver["assessments"], n_assessments)
+    sa_meta = submissions_with_course(silver["student_assessment"], silver["assessments"], n_assessments,
+                                      n_submissions)
     # Enrolment rows are not deduplicated (a repeated enrolment fans out, as in
     # the source); identical copies are collapsed before the shuffle and
     # expanded after the join.

@@ -82,7 +82,8 @@ def _enrolment_join(spark, sf_dir, right: str, cols: list[str], may_repeat: bool
     repeated rows per enrolment (collapsed before the shuffle, expanded after)."""
     w = W(spark, sf_dir)
     s, z = w.silver(), w.sizes
-    sa = star.submissions_with_course(s["student_assessment"], s["assessments"], z.get("silver_assessments"))
+    sa = star.submissions_with_course(s["student_assessment"], s["assessments"], z.get("silver_assessments"),
+                                      z.get("silver_student_assessment"))
     right_side = s[right].select(*star.ENROLMENT, *cols)
     if may_repeat:
         return expand_copies(skew_join(sa, collapse_copies(right_side), star.ENROLMENT, "left",

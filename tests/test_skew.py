@@ -189,3 +189,26 @@ def test_salt_does_not_depend_on_row_order(spark):
     b = salts(parted.sortWithinPartitions(F.col("id").desc()))
     assert a == b
     assert len({r[3] for r in a if r[0] == 0}) > 1  # the hot key really is spread
+
+
+def test_landing_join_shuffle_path_equals_broadcast_path(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from edustar.operators import joins
+    from edustar.sources import fixtures
+
+    t = fixtures.read_tables(spark, SF_SMALL, ["lineitem", "orders"])
+    want = _sorted(fixtures.line_grain(fixtures.base_lines(t)))
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)  # orders above the bound, as at scale
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")  # and Spark's own size-based broadcast off
+        got_df = fixtures.line_grain(fixtures.base_lines(t))
+        got = _sorted(got_df)
+        plan = got_df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert got == want and len(want) > 1000

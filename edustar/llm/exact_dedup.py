@@ -18,13 +18,33 @@ columns of any name have no effect; ``keep_rows`` returns them untouched.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shared_dir, table, written
 
 BROADCAST_ROWS = 250_000  # hit digests are broadcast up to this many rows of about 70 bytes, joined by shuffle beyond
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = "spark.sql.streaming.stateStore."
+STATE_CONF = {
+    STATE + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE + "rocksdb.allowFAllocate": "false",  # no preallocated files: many partitions have little state each
+    STATE + "rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def state_conf(spark: SparkSession):
+    """Session settings of the state, while a stream starts or its state is read."""
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def normalised(text: Column) -> Column:
@@ -49,15 +69,10 @@ def dedup_stream(rows: DataFrame, checkpoint: str):
     spark = rows.sparkSession
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     state = rows.groupBy("digest").agg(F.min(first).alias("keep"), F.count("*").alias("group_size"))
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, ROCKSDB)
-    try:
+    with state_conf(spark):
         query = (state.writeStream.format("noop").outputMode("update")
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(name, before)
-    query.awaitTermination()
+        query.awaitTermination()
     return query
 
 
@@ -92,7 +107,8 @@ def exact_groups(docs: DataFrame, digest=sha256) -> DataFrame:
     stream = spark.readStream.schema(rows.schema).parquet(path[0].rsplit("/", 1)[0])
     state = shared_dir(spark, "exact-state")
     dedup_stream(stream, state)
-    hits = written(read_state(spark, state).where("group_size > 1"), "exact-hits")
+    with state_conf(spark):
+        hits = written(read_state(spark, state).where("group_size > 1"), "exact-hits")
     n = hits.count()
     bad = written(_collided(docs, hits, n, digest), "exact-collided")
     groups = hits.select("digest", F.col("keep.doc_id").alias("keep_id"), F.col("keep.row").alias("keep_row"), "group_size")

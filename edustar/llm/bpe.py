@@ -20,6 +20,7 @@ import codecs
 import hashlib
 import heapq
 import json
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,10 @@ from pyspark.sql import functions as F
 from .common import table
 
 CHUNK = 1 << 16       # characters read at once
-REMEMBERED = 150_000  # words in each of the two generations of the memory
+REMEMBERED = 250_000  # words in each of the two generations of the memory
 PIECES = regex.compile(r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _RUNS = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"\s+", r"[^\s\p{L}\p{N}]+")]
+_NEVER = 1 << 40
 _ODD = regex.compile(r" (?:\s|\Z)")
 
 
@@ -54,8 +56,11 @@ class ByteBPE:
         model = j["model"]
         self.ids = {to_bytes(t): i for t, i in model["vocab"].items()}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.merges = [(to_bytes(a), to_bytes(b)) for a, b in pairs]
-        self.rank = {p: i for i, p in enumerate(self.merges)}
+        merges = [(to_bytes(a), to_bytes(b)) for a, b in pairs]
+        # a pair of ids as one number -> its place in the merge list -> the id it becomes
+        self.rank = {self.ids[a] << 20 | self.ids[b]: i for i, (a, b) in enumerate(merges)}
+        self.made = [self.ids[a + b] for a, b in merges]
+        self.single = [self.ids[bytes([b])] for b in range(256)]
         self.special = {t["content"]: t["id"] for t in j["added_tokens"]}
         size = max([*self.ids.values(), *self.special.values()]) + 1
         self.bytes = [b""] * size
@@ -63,50 +68,49 @@ class ByteBPE:
             self.bytes[i] = b
         for s, i in self.special.items():
             self.bytes[i] = s.encode()
-        self.lookahead = sufficient_lookahead(self.merges)
+        self.lookahead = sufficient_lookahead(merges)
 
-    def merge(self, piece: bytes) -> list[bytes]:
-        """Tokens of one closed piece."""
+    def merge(self, piece: bytes) -> list[int]:
+        """Ids of one closed piece: the pair that comes first in the merge list is joined until none is left."""
         if len(piece) > 48:
             return self._merge_long(piece)
-        rank = self.rank
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            best, at = None, 0
-            for i, p in enumerate(zip(parts, parts[1:])):
-                r = rank.get(p)
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
+        single, made, get = self.single, self.made, self.rank.get
+        p = [single[b] for b in piece]
+        r = [get(a << 20 | b, _NEVER) for a, b in zip(p, p[1:])]
+        while r:
+            m = min(r)
+            if m == _NEVER:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def _merge_long(self, piece: bytes) -> list[bytes]:
-        rank, n = self.rank, len(piece)
-        part: list = [piece[i:i + 1] for i in range(n)]
+            i = r.index(m)
+            p[i] = made[m]
+            del p[i + 1], r[i]
+            if i:
+                r[i - 1] = get(p[i - 1] << 20 | p[i], _NEVER)
+            if i < len(r):
+                r[i] = get(p[i] << 20 | p[i + 1], _NEVER)
+        return p
+
+    def _merge_long(self, piece: bytes) -> list[int]:
+        """The same with a heap of pairs over a linked list."""
+        n, get = len(piece), self.rank.get
+        part = [self.single[b] for b in piece]
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(rank[p], i, *p) for i, p in enumerate(zip(part, part[1:])) if p in rank]
+        heap = [(r, i) for i, (a, b) in enumerate(zip(part, part[1:])) if (r := get(a << 20 | b)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            r, i = heapq.heappop(heap)
             j = nxt[i]
-            if part[i] != a or j >= n or part[j] != b:
+            if part[i] < 0 or j >= n or get(part[i] << 20 | part[j]) != r:
                 continue
-            part[i], part[j], nxt[i] = a + b, None, nxt[j]
-            if nxt[i] < n:
-                prv[nxt[i]] = i
-                p = (part[i], part[nxt[i]])
-                if p in rank:
-                    heapq.heappush(heap, (rank[p], i, *p))
-            if prv[i] >= 0:
-                p = (part[prv[i]], part[i])
-                if p in rank:
-                    heapq.heappush(heap, (rank[p], prv[i], *p))
-        return [p for p in part if p is not None]
-
-    def piece_ids(self, piece: str) -> bytes:
-        return np.array([self.ids[t] for t in self.merge(piece.encode())], "<u4").tobytes()
+            part[i], part[j], nxt[i] = self.made[r], -1, nxt[j]
+            j, h = nxt[i], prv[i]
+            if j < n:
+                prv[j] = i
+                if (r := get(part[i] << 20 | part[j])) is not None:
+                    heapq.heappush(heap, (r, i))
+            if h >= 0 and (r := get(part[h] << 20 | part[i])) is not None:
+                heapq.heappush(heap, (r, h))
+        return [p for p in part if p >= 0]
 
 
 def sufficient_lookahead(merges: list[tuple[bytes, bytes]]) -> int:
@@ -145,31 +149,48 @@ class OpenRun:
             last = end and not rest
             at, stable = 0, len(part) if last else len(part) - self.model.lookahead
             for t in self.model.merge(part):
-                if at + len(t) > stable:
+                if at + len(self.model.bytes[t]) > stable:
                     break
-                out.append(self.model.ids[t])
-                at += len(t)
+                out.append(t)
+                at += len(self.model.bytes[t])
             self.held = part[at:] + rest
             if not last and len(self.held) < 2 * self.window and not end:
                 break
-        return np.array(out, "<u4").tobytes()
+        return array("I", out).tobytes()
+
+
+def _key(piece: str) -> str:
+    """A piece that begins with a space is known by the rest of it, another one by itself behind a NUL."""
+    return piece[1:] if piece[0] == " " and piece[1:2] != "\0" else "\0" + piece
 
 
 class _Memory(dict):
-    """Ids of words met lately: two generations, the older one goes when the newer one is full."""
+    """Ids of closed strings met lately, in two generations: the older one goes when the newer one is full."""
+
+    def __init__(self, model: ByteBPE, whole, size: int = REMEMBERED):
+        self.model, self.whole, self.size, self.old = model, whole, size, {}
 
-    def __init__(self, work, size: int = REMEMBERED):
-        self.work, self.size, self.old = work, size, {}
+    def text(self, s: str) -> bytes:
+        """Ids of a closed text without special tokens."""
+        if self.whole:
+            return self.whole(s)
+        return b"".join([self[_key(p)] for p in PIECES.findall(s)])
 
-    def __missing__(self, word):
-        v = self.old.get(word)
+    def __missing__(self, key: str) -> bytes:
+        v = self.old.get(key)
         if v is None:
-            v = self.work(word)
+            s = key[1:] if key[:1] == "\0" else " " + key
+            if self.whole:
+                v = self.whole(s)
+            else:
+                pieces = PIECES.findall(s)
+                v = array("I", self.model.merge(s.encode())).tobytes() if len(pieces) == 1 else \
+                    b"".join([self[_key(p)] for p in pieces])
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
-        if len(word) <= 64:
-            self[word] = v
+        if len(key) <= 64:
+            self[key] = v
         return v
 
 
@@ -179,12 +200,8 @@ class Encoder:
     def __init__(self, model: ByteBPE, whole=None):
         """whole: another function from a closed text without special tokens to ids, in place of the merges."""
         self.model = model
-        self.pieces = _Memory(model.piece_ids)
-        if whole is None:
-            self.plain = lambda s: b"".join(map(self.pieces.__getitem__, PIECES.findall(s)))
-        else:
-            self.plain = whole
-        self.spaced = _Memory(lambda w: self.plain(" " + w))
+        self.known = _Memory(model, whole)
+        self.plain = self.known.text
         self.special = sorted(model.special, key=len, reverse=True)
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.buf, self.run = "", None
@@ -193,15 +210,15 @@ class Encoder:
         """Ids of text between two borders, without special tokens."""
         if not s:
             return b""
-        if _ODD.search(s):
+        if _ODD.search(s) or "\0" in s:
             return self.plain(s)
         first, *rest = s.split(" ")
-        return (self.plain(first) if first else b"") + b"".join(map(self.spaced.__getitem__, rest))
+        return (self.plain(first) if first else b"") + b"".join(map(self.known.__getitem__, rest))
 
     def _closed_all(self, s: str) -> bytes:
         if not any(x in s for x in self.special):
             return self._closed(s)
-        return b"".join(np.array([self.model.special[p]], "<u4").tobytes() if p in self.model.special else self._closed(p)
+        return b"".join(array("I", [self.model.special[p]]).tobytes() if p in self.model.special else self._closed(p)
                         for p in self.splitter.split(s))
 
     def feed(self, chunk: str) -> bytes:
@@ -257,7 +274,7 @@ class Encoder:
             found = PIECES.findall(self.buf[:keep])
             hold = min(2, len(found)) if len(found) > 1 and found[-2] == "'" else min(1, len(found))
             done = found[:len(found) - hold]
-            out.append(b"".join(map(self.pieces.__getitem__, done)))
+            out.append(b"".join([self.known[_key(p)] for p in done]))
             self.buf = self.buf[sum(map(len, done)):]
             last = found[-1] if found else ""
             if hold == 1 and len(last) > 4096:

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -114,7 +115,7 @@ def token_source(path: str, ranks: str | None):
         known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
     enc = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=known, special_tokens={})
-    return Encoder(model, lambda s: np.array(enc.encode_ordinary(s), "<u4").tobytes())
+    return Encoder(model, lambda s: array("I", enc.encode_ordinary(s)).tobytes())
 
 
 def _pack(path: str, ranks: str | None, length: int, end_id: int):

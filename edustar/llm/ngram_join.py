@@ -1,20 +1,24 @@
 """N-gram Jaccard join: blocked sparse product of the document by n-gram incidence matrix.
 
 Documents are rows, distinct 4-word shingles are columns. Two rows link when their overlap is at least
-85/100 of their union. The product is never formed as a whole:
-
-1. Column frequencies: each task sorts its shingles and sends packed counts to column blocks; columns in
-   at least ``HEAVY`` rows come back as a list of bounded size that only orders the columns.
-2. Column blocks: a row of n columns can only link over its n - ceil(0.85 n) + 1 first columns in one global
-   order (rare first). These go to column blocks, packed. A block connects the rows of a column along
-   their sizes wherever the sizes allow a link; what a task can connect itself it connects before the
-   shuffle, and sends on only the smallest and largest row per column and size band.
-3. Row blocks: the rows that 2 connects are multiplied, a set of connected rows at a time, cut into tiles of
-   bounded rows and columns. A tile accumulates overlap counts column block by column block and discards
-   a pair as soon as its count plus what is left falls below the bound from its sizes.
-4. Links of all tiles are contracted to components; equal sets are one row of the matrix from the start.
-
-No pair is lost: 2 keeps every linked pair connected and 3 multiplies all rows that 2 connects.
+85/100 of their union, so a row of n columns has at most p - 1 columns that a linked row lacks, with
+p = n - ceil(0.85 n) + 1. Equal sets are one row. The product is never formed as a whole:
+
+1. Column frequencies, in column blocks. Tasks send packed (column, row) entries; a block counts its columns
+   and replies, per row, how many of its columns have which frequency class. A row with p columns of its own
+   links nothing and leaves. Counting is repeated over the rows that stay.
+2. Overlap counts, in column blocks. Every row takes its rarest classes until they hold p columns (m in all); a
+   block counts for each pair of rows the taken columns they share. Counts are added over the blocks, and
+   a pair below the bound from its sizes, m - p + 1, is discarded. Columns in more than ``POPULAR`` rows form no
+   pairs: their rows are connected along their sizes wherever the sizes allow a link, first within each
+   task, which sends on only the smallest and largest row per size band, so no column is ever gathered whole.
+3. Row blocks. The rows that 2 connects are multiplied, cut into tiles of bounded rows and cells. A tile
+   adds up overlaps column block by column block and discards a pair as soon as its count plus what is left
+   falls below the bound from its sizes.
+4. The links of all tiles are contracted to components.
+
+Long rows take part in 1 and 2 with the columns of a fixed part of the fingerprint range (``PART``), as long as that
+holds 2 p - 1 of them, short rows with all. No linked pair is lost: see ``needed``.
 
 Defined results: null or empty text has n_shingles 0 and is its own component. Fewer than four words: the
 whole sequence is the one shingle. Rows with the same doc_id belong to one component; a row with a null
@@ -26,6 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyspark
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,176 +39,306 @@ from .components import components
 
 K = 4
 NUM, DEN = 85, 100
-HEAVY = 24                 # documents from which on a column counts as frequent
-HEAVY_MAX = 1 << 20        # longest list of frequent columns (16 bytes each); with more, HEAVY rises
-FLUSH = 4_000_000          # shingles that a task holds before it sends them on
+PART = np.uint64(2 * (1 << 64) // 5)  # columns below it stand for a long row
+POPULAR = 16                          # a column in more rows forms no pairs
+TOP = 6                               # class of popular columns; 0: in one row
+CLASS = np.array([0, 0, 1, 2, 3, 4, 4, 4, 4, 5, 5, 5, 5, 5, 5, 5, 5, TOP])
+FLUSH = 1_000_000                     # entries that a task holds before it sends them on
+BLOCK_ENTRIES = 2_000_000             # entries of a column block
 TILE_ROWS, TILE_CELLS = 1024, 1_500_000  # rows and filled cells of a row block
-BROADCAST_ROWS = 500_000   # candidate rows (about 50 bytes) are broadcast up to here, joined by shuffle beyond
+BROADCAST_ROWS = 500_000   # lists of rows (at most 60 bytes each) are broadcast up to here, joined by shuffle beyond
 COLUMN_BLOCK = 2048
 _BANDS = np.log(1 / 0.86)  # sizes of one band differ by less than a link allows
+PACKED = "block int, chunk long, payload binary"
 
 
-def _blocks(h: np.ndarray, bits: int) -> np.ndarray:
-    """Borders of the column blocks (the first ``bits`` bits) in sorted fingerprints."""
-    return np.searchsorted(h >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, len(h)])
+def own_columns(n: int) -> int:
+    """p: with so many columns that no other row has, a row of n columns links nothing."""
+    return n - (NUM * n + DEN - 1) // DEN + 1
+
+
+def taken_part(s: np.ndarray) -> tuple[np.ndarray, bool]:
+    """The columns with which a row takes part in the column blocks, and whether these are all."""
+    part = s[: np.searchsorted(s, PART)]
+    return (part, False) if len(part) >= 2 * own_columns(len(s)) - 1 else (s, True)
 
 
-def _key(h: np.ndarray, bits: int) -> np.ndarray:
-    return h >> np.uint64(32 - bits)  # block and the 32 bits after it
+def needed(level: np.ndarray, need: np.ndarray, whole: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Shared taken columns without which rows i and j can't link.
+
+    A row x that took m columns (all classes up to its level) shares at least m - p + 1 of them with a linked row y. If y's
+    level is no lower and y takes part with the same part of the range at least, y has taken them too.
+    """
+    one = (level[i] <= level[j]) & (~whole[i] | whole[j])
+    two = (level[j] <= level[i]) & (~whole[j] | whole[i])
+    return np.maximum(np.where(one, need[i], 1), np.where(two, need[j], 1))
+
+
+def _bits(entries: int) -> int:
+    return min(20, max(1, int(np.ceil(np.log2(max(1, entries) / BLOCK_ENTRIES))))) if entries > BLOCK_ENTRIES else 1
+
+
+def _blocks(h: np.ndarray, bits: int) -> np.ndarray:
+    """Borders of the column blocks (the first ``bits`` bits) in sorted fingerprints."""
+    return np.searchsorted(h >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
 
 
 def _payload(*arrays: np.ndarray) -> bytes:
-    return np.array([len(a) for a in arrays], np.uint32).tobytes() + b"".join(a.tobytes() for a in arrays)
+    return np.array([len(a) for a in arrays], np.uint32).tobytes() + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
 
 
 def _arrays(payload: bytes, *kinds) -> list[np.ndarray]:
     n = np.frombuffer(payload, np.uint32, len(kinds))
     out, at = [], 4 * len(kinds)
     for m, k in zip(n.tolist(), kinds):
-        out.append(np.frombuffer(payload, k, m, at))
+        out.append(np.frombuffer(payload[at: at + m * np.dtype(k).itemsize], k))
         at += m * np.dtype(k).itemsize
     return out
 
 
-def _count_columns(bits: int):
-    def send(held):
-        h, n = np.unique(np.concatenate(held), return_counts=True)
-        cut = _blocks(h, bits)
-        low = _key(h, bits).astype(np.uint32)
-        for k in np.flatnonzero(np.diff(cut)).tolist():
-            x, c = low[cut[k]: cut[k + 1]], n[cut[k]: cut[k + 1]]
-            yield k, _payload(x[c == 1], x[c > 1], c[c > 1].astype(np.uint32))
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of each run of equal values."""
+    first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, np.int64)
+    return first, np.diff(np.append(first, len(x)))
+
+
+def set_id(s: np.ndarray) -> int:
+    """Fingerprint of a set of shingles."""
+    return int(mix(mix(s).sum(dtype=np.uint64, keepdims=True) ^ (np.full(1, len(s), np.uint64) * _M1)).view(np.int64)[0])
+
+
+def _meta(batches):
+    """doc_id, n and set fingerprint of every row."""
+    for b, texts in chunks(batches):
+        sets = shingles(texts, K)
+        yield pa.RecordBatch.from_arrays(
+            [b.column(b.schema.get_field_index("doc_id")), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else 0 for s in sets], pa.int64())],
+            names=["doc_id", "n", "node"])
+
+
+def _taken(batches):
+    """(doc_id, other columns of the row, all its shingles, taken columns, whole) of rows whose set is the listed one."""
+    for b, texts in chunks(batches):
+        cols = {f: b.column(k).to_pylist() for k, f in enumerate(b.schema.names) if f != "text"}
+        for k, s in enumerate(shingles(texts, K)):
+            if len(s) and set_id(s) == cols["node"][k]:
+                yield {f: v[k] for f, v in cols.items()}, s, *taken_part(s)
+
 
+def _chunks_of(batches, size: int):
+    """Rows of a task in chunks of about ``size`` entries: chunk number, rows, sorted columns and each one's row."""
+    task = pyspark.TaskContext.get().partitionId() << 24
+    held, n, turn = [], 0, 0
+
+    def out():
+        x = np.concatenate([h[2] for h in held])
+        row = np.repeat(np.arange(len(held), dtype=np.uint32), [len(h[2]) for h in held])
+        order = np.argsort(x, kind="stable")
+        return task + turn, held, x[order], row[order]
+
+    for one in _taken(batches):
+        held.append(one)
+        n += len(one[2])
+        if n >= size:
+            yield out()
+            held, n, turn = [], 0, turn + 1
+    if held:
+        yield out()
+
+
+def _packed(rows):
+    b, c, p = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(c, pa.int64()), pa.array(p, pa.binary())], names=["block", "chunk", "payload"])
+
+
+def _send_counts(bits: int, size: int):
+    """Entries for the column blocks; per chunk, under a negative block, its rows."""
     def run(batches):
-        held, size = [], 0
-        for _, texts in chunks(batches):
-            for s in shingles(texts, K):
-                held.append(s)
-                size += len(s)
-            if size >= FLUSH:
-                yield _batch(send(held))
-                held, size = [], 0
-        if size:
-            yield _batch(send(held))
-
-    def _batch(rows):
-        k, p = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(p, pa.binary())], names=["block", "payload"])
+        for chunk, held, x, row in _chunks_of(batches, size):
+            first, times = _runs(x)
+            often = np.repeat(times > POPULAR, times)  # popular already here: one entry stands for all
+            popular = np.bincount(row[often], minlength=len(held)).astype(np.uint32)
+            lone, low = x[first[times > POPULAR]], x[~often]
+            own, cut, cut_lone = row[~often], _blocks(x[~often], bits), _blocks(lone, bits)
+            rows = [(-1 - chunk % (1 << bits), chunk, _payload(
+                np.array([h[0]["doc_id"] for h in held], np.int64), np.array([len(h[1]) for h in held], np.uint32),
+                np.array([h[3] for h in held], np.uint8), popular))]
+            for k in np.flatnonzero(np.diff(cut) + np.diff(cut_lone)).tolist():
+                w = slice(cut[k], cut[k + 1])
+                rows.append((k, chunk, _payload(_low(low[w], bits), own[w], _low(lone[cut_lone[k]: cut_lone[k + 1]], bits), np.ones(1, np.uint8),
+                                                np.array([len(held)], np.uint32))))
+            yield _packed(rows)
     return run
 
 
-def _heavy(block: pa.Table) -> pa.Table:
-    """Columns of a block in at least HEAVY rows."""
-    key = block.column("block")[0].as_py() if block.num_rows else 0
-    one, more, n = zip(*(_arrays(p, np.uint32, np.uint32, np.uint32) for p in block.column("payload").to_pylist()))
-    x = np.concatenate(one + more)
-    c = np.concatenate([np.ones(sum(map(len, one)), np.uint32), *n])
-    order = np.argsort(x, kind="stable")
-    x, c = x[order], c[order]
-    first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
-    total = np.add.reduceat(c.astype(np.int64), first)
-    often = total >= HEAVY
-    keys = (np.int64(key) << 32) + x[first][often].astype(np.int64)
-    return pa.table({"key": pa.array(keys, pa.int64()), "n": pa.array(total[often], pa.int64())})
-
-
-def _heavy_list(spark: SparkSession, docs: DataFrame, bits: int):
-    """Sorted keys of frequent columns and their frequencies, at most HEAVY_MAX of them."""
-    counts = docs.select("text").mapInArrow(_count_columns(bits), "block int, payload binary")
-    heavy = written(counts.groupBy("block").applyInArrow(_heavy, "key long, n long"), "ngram-heavy")
-    least = HEAVY
-    while heavy.where(F.col("n") >= least).count() > HEAVY_MAX:
-        least *= 2
-    t = heavy.where(F.col("n") >= least).toArrow()
-    key, n = t.column("key").to_numpy(), t.column("n").to_numpy()
-    order = np.argsort(key)
-    return spark.sparkContext.broadcast((key[order].astype(np.uint64), n[order]))
-
-
-def prefix(s: np.ndarray, heavy: np.ndarray, freq: np.ndarray, bits: int) -> np.ndarray:
-    """The columns of a row over which it can link: n - ceil(0.85 n) + 1, rare ones first, then by fingerprint."""
-    p = len(s) - (NUM * len(s) + DEN - 1) // DEN + 1
-    if not len(heavy):
-        return s[:p]
-    key = _key(s, bits)
-    at = np.searchsorted(heavy, key)
-    at[at == len(heavy)] = 0
-    often = heavy[at] == key
-    light = s[~often]
-    if len(light) >= p:
-        return light[:p]
-    h, f = s[often], freq[at[often]]
-    return np.concatenate((light, h[np.lexsort((h, f))][: p - len(light)]))
+def _low(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> np.uint64(32 - bits)).astype(np.uint32)  # the 32 bits after the block's
 
 
-def set_id(s: np.ndarray) -> int:
-    """Fingerprint of a set of shingles."""
-    return int(mix(mix(s).sum(dtype=np.uint64, keepdims=True) ^ (np.full(1, len(s), np.uint64) * _M1)).view(np.int64)[0])
+def _classes(x: np.ndarray, popular: np.ndarray, block: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the entries by column, and the class of each in that order."""
+    order = np.argsort(x, kind="stable")
+    y = x[order]
+    first, times = _runs(y)
+    kind = CLASS[np.minimum(times, POPULAR + 1)]
+    kind[np.isin(y[first], popular)] = TOP
+    outside = ((np.uint64(block) << np.uint64(32)) | y[first].astype(np.uint64)) >= (PART >> np.uint64(32 - bits))
+    kind[outside & (kind == 0)] = 1  # long rows don't show these columns, so none is known to be a row's own
+    return order, np.repeat(kind, times)
+
+
+def _reply(bits: int):
+    """Column block: per chunk and row, the number of its columns of each class (at most 255, a lower number does no harm)."""
+    def run(block: pa.Table) -> pa.Table:
+        k = block.column("block")[0].as_py()
+        chunk, pay = block.column("chunk").to_numpy(), block.column("payload").to_pylist()
+        if k < 0:
+            return pa.table({"chunk": chunk, "kind": np.zeros(len(chunk), np.int32), "payload": pa.array(pay, pa.binary())})
+        parts = [_arrays(p, np.uint32, np.uint32, np.uint32, np.uint8, np.uint32) for p in pay]
+        order, kind = _classes(np.concatenate([p[0] for p in parts]), np.unique(np.concatenate([p[2] for p in parts])), k, bits)
+        back = np.empty(len(order), np.int64)
+        back[order] = kind
+        out, at = [], 0
+        for p in parts:
+            n = len(p[0])
+            h = np.bincount(p[1] * np.int64(TOP + 1) + back[at: at + n], minlength=int(p[4][0]) * (TOP + 1))
+            out.append(np.minimum(h, 255).astype(np.uint8).tobytes())
+            at += n
+        return pa.table({"chunk": chunk, "kind": np.ones(len(chunk), np.int32), "payload": pa.array(out, pa.binary())})
+    return run
 
 
-def _send_rows(bits: int, heavy_list, blocks: int):
-    """Rows for the column blocks (block >= 0), and as block < 0 what only has to be passed on."""
+def _histograms(chunk: pa.Table) -> pa.Table:
+    """A chunk's replies added up: doc_id, level, need and whole of its rows; level -1: links nothing."""
+    kind = np.array(chunk.column("kind").to_numpy())
+    pay = chunk.column("payload").to_pylist()
+    ids, n, whole, popular = _arrays(pay[int(np.flatnonzero(kind == 0)[0])], np.int64, np.uint32, np.uint8, np.uint32)
+    h = np.zeros((len(ids), TOP + 1), np.int64)
+    for k in np.flatnonzero(kind == 1):
+        h += np.frombuffer(pay[k], np.uint8).reshape(h.shape)
+    h[:, TOP] += popular
+    p = n.astype(np.int64) - (NUM * n.astype(np.int64) + DEN - 1) // DEN + 1
+    sums = np.cumsum(h, 1)
+    level = np.where(sums[:, -1] >= p, (sums >= p[:, None]).argmax(1), TOP)
+    m = sums[np.arange(len(ids)), level]
+    own = sums[:, 0] >= p
+    level[whole == 1] = TOP
+    m = np.where(whole == 1, n, m)
+    level[own] = -1
+    return pa.table({"doc_id": ids, "level": level.astype(np.int32), "need": np.maximum(m - p + 1, 1), "whole": whole == 1})
+
+
+def _send_taken(bits: int, size: int):
+    """Entries with their rows' levels and bounds; edges inside the task under a negative block."""
     def run(batches):
-        heavy, freq = heavy_list.value
-        col, node, size, meta, held, seen, turn = [], [], [], [], 0, set(), 0
-        for b, texts in chunks(batches):
-            ids = b.column(b.schema.get_field_index("doc_id")).to_pylist()
-            for i, s in zip(ids, shingles(texts, K)):
-                n = len(s)
-                me = set_id(s) if n else 0
-                meta.append((2 if i is None else 1, i or 0, n, me))
-                if n and i is not None and me not in seen:
-                    seen.add(me)
-                    x = prefix(s, heavy, freq, bits)
-                    col.append(x)
-                    node.append(np.full(len(x), me, np.int64))
-                    size.append(np.full(len(x), n, np.uint32))
-                    held += len(x)
-            if held >= FLUSH // 4 or len(meta) >= 200_000:
-                yield send(col, node, size, meta, turn)
-                col, node, size, meta, held, seen, turn = [], [], [], [], 0, set(), turn + 1
-        if meta:
-            yield send(col, node, size, meta, turn)
-
-    def send(col, node, size, meta, turn):
-        rows = [(-1 - turn % blocks, _payload(np.array(meta, np.int64).ravel(), np.zeros(0, np.int64)))]
-        if col:
-            x, me, n = np.concatenate(col), np.concatenate(node), np.concatenate(size)
-            order = np.lexsort((me, n, x))
-            x, me, n = x[order], me[order], n[order]
-            band = (np.log(n) / _BANDS).astype(np.int32)
-            same = (x[1:] == x[:-1]) & (band[1:] == band[:-1])
-            pairs = np.unique(np.stack((np.minimum(me[1:], me[:-1])[same], np.maximum(me[1:], me[:-1])[same]), 1), axis=0)
-            if len(pairs):
-                rows.append((-1 - (turn + 1) % blocks, _payload(np.zeros(0, np.int64), pairs.ravel())))
-            inner = np.zeros(len(x), bool)  # neither the smallest nor the largest of its column and band
+        for chunk, held, x, row in _chunks_of(batches, size):
+            ids = np.array([h[0]["doc_id"] for h in held], np.int64)
+            n = np.array([len(h[1]) for h in held], np.uint32)
+            level = np.array([h[0]["level"] for h in held], np.int8)
+            rows_of = [ids, n, level, np.array([h[0]["need"] for h in held], np.uint32), np.array([h[0]["whole"] for h in held], np.uint8)]
+            first, times = _runs(x)
+            often = np.repeat(times > POPULAR, times)
+            # rows of popular columns: per size band the smallest and largest, the others connected here
+            px, pr = x[often], row[often]
+            keep = level[pr] == TOP
+            px, pr = px[keep], pr[keep]
+            order = np.lexsort((pr, n[pr], px))
+            px, pr = px[order], pr[order]
+            band = (np.log(n[pr]) / _BANDS).astype(np.int32)
+            same = (px[1:] == px[:-1]) & (band[1:] == band[:-1])
+            inner = np.zeros(len(px), bool)
             inner[1:-1] = same[1:] & same[:-1]
-            x, me, n = x[~inner], me[~inner], n[~inner]
-            cut, low = _blocks(x, bits), _key(x, bits).astype(np.uint32)
-            for k in np.flatnonzero(np.diff(cut)).tolist():
-                w = slice(cut[k], cut[k + 1])
-                rows.append((k, _payload(low[w], me[w], n[w])))
-        k, p = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(p, pa.binary())], names=["block", "payload"])
+            e = np.unique(np.stack((ids[pr[1:]][same], ids[pr[:-1]][same]), 1), axis=0)
+            rows = [(-1 - chunk % (1 << bits), chunk, _payload(e.ravel()))] if len(e) else []
+            px, pr = px[~inner], pr[~inner]
+            lone, low, own = x[first[times > POPULAR]], x[~often], row[~often]
+            cut, cut_lone, cut_p = _blocks(low, bits), _blocks(lone, bits), _blocks(px, bits)
+            for k in np.flatnonzero(np.diff(cut) + np.diff(cut_lone)).tolist():
+                w, v = slice(cut[k], cut[k + 1]), slice(cut_p[k], cut_p[k + 1])
+                rows.append((k, chunk, _payload(_low(low[w], bits), own[w], _low(lone[cut_lone[k]: cut_lone[k + 1]], bits), _low(px[v], bits), pr[v], *rows_of)))
+            if rows:
+                yield _packed(rows)
+    return run
+
+
+def _share(bits: int):
+    """Column block: pairs of rows with the taken columns they share (need 0: connected over a popular column)."""
+    def run(block: pa.Table) -> pa.Table:
+        k = block.column("block")[0].as_py()
+        pay = block.column("payload").to_pylist()
+        if k < 0:
+            e = np.unique(np.concatenate([_arrays(p, np.int64)[0] for p in pay]).reshape(-1, 2), axis=0)
+            return _pairs(e[:, 0], e[:, 1], np.ones(len(e), np.int64), np.zeros(len(e), np.int64))
+        parts = [_arrays(p, np.uint32, np.uint32, np.uint32, np.uint32, np.uint32, np.int64, np.uint32, np.int8, np.uint32, np.uint8) for p in pay]
+        base = np.cumsum([0] + [len(p[5]) for p in parts])
+        ids, n, level, need, whole = (np.concatenate([p[c] for p in parts]) for c in (5, 6, 7, 8, 9))
+        n, need, whole = n.astype(np.int64), need.astype(np.int64), whole == 1
+        x = np.concatenate([p[0] for p in parts])
+        row = np.concatenate([p[1].astype(np.int64) + b for p, b in zip(parts, base)])
+        order, kind = _classes(x, np.unique(np.concatenate([p[2] for p in parts])), k, bits)
+        x, row = x[order], row[order]
+        # popular columns: rows along their sizes
+        top = (kind == TOP) & (level[row] == TOP)
+        px = np.concatenate([x[top], *(p[3] for p in parts)])
+        pr = np.concatenate([row[top], *(p[4].astype(np.int64) + b for p, b in zip(parts, base))])
+        order = np.lexsort((pr, n[pr], px))
+        px, pr = px[order], pr[order]
+        ok = (px[1:] == px[:-1]) & (n[pr[:-1]] * DEN >= n[pr[1:]] * NUM)
+        strong = np.unique(np.stack((pr[:-1][ok], pr[1:][ok]), 1), axis=0)
+        # other columns: all pairs
+        some = (kind > 0) & (kind < TOP) & (kind <= level[row])
+        x, row = x[some], row[some]
+        first, times = _runs(x)
+        a, b = [strong[:0, 0]], [strong[:0, 1]]
+        for size in range(2, POPULAR + 1):
+            at = first[times == size]
+            if len(at):
+                r = np.sort(row[at[:, None] + np.arange(size)], axis=1)
+                i, j = np.triu_indices(size, 1)
+                a.append(r[:, i].ravel())
+                b.append(r[:, j].ravel())
+        a, b = np.concatenate(a), np.concatenate(b)
+        fit = np.minimum(n[a], n[b]) * DEN >= np.maximum(n[a], n[b]) * NUM
+        pair, times = np.unique(a[fit] * np.int64(len(ids)) + b[fit], return_counts=True)
+        a, b = pair // max(1, len(ids)), pair % max(1, len(ids))
+        least = needed(level, need, whole, a, b)
+        return _pairs(ids[np.concatenate((a, strong[:, 0]))], ids[np.concatenate((b, strong[:, 1]))],
+                      np.concatenate((times, np.ones(len(strong), np.int64))), np.concatenate((least, np.zeros(len(strong), np.int64))))
     return run
 
 
-def _connect(block: pa.Table) -> pa.Table:
-    """Column block: edges along each column's rows by size; block < 0: rows and edges passed on."""
-    pay = block.column("payload").to_pylist()
-    if block.column("block")[0].as_py() < 0:
-        meta, pairs = zip(*(_arrays(p, np.int64, np.int64) for p in pay))
-        m, e = np.concatenate(meta).reshape(-1, 4), np.unique(np.concatenate(pairs).reshape(-1, 2), axis=0)
-    else:
-        x, me, n = (np.concatenate(v) for v in zip(*(_arrays(p, np.uint32, np.int64, np.uint32) for p in pay)))
-        order = np.lexsort((me, n, x))
-        x, me, n = x[order], me[order], n[order].astype(np.int64)
-        ok = (x[1:] == x[:-1]) & (me[1:] != me[:-1]) & (n[:-1] * DEN >= n[1:] * NUM)
-        m = np.zeros((0, 4), np.int64)
-        e = np.unique(np.stack((np.minimum(me[1:], me[:-1])[ok], np.maximum(me[1:], me[:-1])[ok]), 1), axis=0)
-    z = np.zeros(len(e), np.int64)
-    return pa.table({"kind": np.concatenate((m[:, 0], z)), "a": np.concatenate((m[:, 1], e[:, 0])),
-                     "b": np.concatenate((m[:, 2], e[:, 1])), "c": np.concatenate((m[:, 3], z))})
+def _pairs(a, b, times, need) -> pa.Table:
+    other = a != b
+    a, b, times, need = a[other], b[other], times[other], need[other]
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "times": times.astype(np.int64), "need": need.astype(np.int64)})
+
+
+def _listed(docs: DataFrame, rows: DataFrame, n: int) -> DataFrame:
+    """The listed rows with their texts."""
+    return docs.join(F.broadcast(rows) if n <= BROADCAST_ROWS else rows, "doc_id")
+
+
+def _levels(docs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+    """Listed rows with level, need and whole, from the column frequencies among them."""
+    n = rows.agg(F.count("*"), F.sum("n")).first()
+    bits = _bits((n[1] or 0) // 2)
+    sent = _listed(docs, rows.select("doc_id", "node"), n[0]).mapInArrow(_send_counts(bits, FLUSH), PACKED)
+    replies = sent.groupBy("block").applyInArrow(_reply(bits), "chunk long, kind int, payload binary")
+    found = replies.groupBy("chunk").applyInArrow(_histograms, "doc_id long, level int, need long, whole boolean")
+    found = found.groupBy("doc_id").agg(F.max(F.struct("level", "need", "whole")).alias("x"))  # one of a repeated row
+    return written(rows.select("doc_id", "node", "n").join(found, "doc_id").select("doc_id", "node", "n", "x.*"), name)
+
+
+def _candidates(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b) of rows to multiply, as doc_ids: pairs that reach their bound, and edges over popular columns."""
+    rows = _levels(docs, nodes, "ngram-rows").where("level >= 0")
+    rows = _levels(docs, rows, "ngram-levels")
+    n = rows.agg(F.count("*"), F.sum("n")).first()
+    bits = _bits((n[1] or 0) // 2)
+    sent = _listed(docs, rows.select("doc_id", "node", "level", "need", "whole"), n[0]).mapInArrow(_send_taken(bits, FLUSH), PACKED)
+    shared = sent.groupBy("block").applyInArrow(_share(bits), "a long, b long, times long, need long")
+    return shared.groupBy("a", "b").agg(F.sum("times").alias("times"), F.max("need").alias("need"), F.min("need").alias("least")) \
+        .where("least = 0 OR times >= need").select("a", "b")
 
 
 def link_roots(sets: list[np.ndarray]) -> np.ndarray:
@@ -287,9 +422,9 @@ def _multiply(tile: pa.Table) -> pa.Table:
 
 def _tiles(docs: DataFrame, nodes: DataFrame, candidates: DataFrame) -> DataFrame:
     """Candidate rows with their texts and tile (g, i, j): small sets of rows share a tile, large ones have many."""
-    comp = candidates.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(
-        candidates.select(F.col("b").alias("node"), F.col("b").alias("comp"))).distinct()
-    rows = written(nodes.join(comp, "node").select("node", "n", "doc_id", "comp"), "ngram-candidates")
+    comp = candidates.select(F.col("a").alias("doc_id"), F.col("b").alias("comp")).unionByName(
+        candidates.select(F.col("b").alias("doc_id"), F.col("b").alias("comp"))).distinct()
+    rows = written(nodes.join(comp, "doc_id").select("node", "n", "doc_id", "comp"), "ngram-candidates")
     total = rows.agg(F.count("*"), F.sum("n")).first()
     bundles = max(1, -(-(total[1] or 0) // (TILE_CELLS // 2)), -(-total[0] // (2 * TILE_ROWS)))
     parts = F.greatest(F.ceil(F.count("*") / TILE_ROWS), F.ceil(F.sum("n") / TILE_CELLS)).cast("int").alias("parts")
@@ -302,23 +437,16 @@ def _tiles(docs: DataFrame, nodes: DataFrame, candidates: DataFrame) -> DataFram
         "doc_id", "node", "comp",
         F.when(alone, F.pmod(F.xxhash64("comp"), F.lit(bundles))).otherwise(F.col("comp")).alias("g"),
         F.when(alone, -1).otherwise(F.least("i", "o")).alias("i"), F.when(alone, -1).otherwise(F.greatest("i", "o")).alias("j"))
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return text.join(F.broadcast(rows) if total[0] <= BROADCAST_ROWS else rows, "doc_id")
+    return _listed(docs, rows, total[0])
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
-    bits = min(20, max(1, int(np.ceil(np.log2(blocks)))))
-    heavy = _heavy_list(spark, docs, bits)
-    sent = docs.mapInArrow(_send_rows(bits, heavy, 1 << bits), "block int, payload binary")
-    stage = written(sent.groupBy("block").applyInArrow(_connect, "kind long, a long, b long, c long"), "ngram-rows")
-    meta = stage.where("kind > 0").select(F.when(F.col("kind") == 1, F.col("a")).alias("doc_id"), F.col("b").alias("n"), F.col("c").alias("node"))
+    meta = written(docs.mapInArrow(_meta, "doc_id long, n long, node long"), "ngram-meta")
     real = meta.where("n > 0 AND doc_id IS NOT NULL")
     nodes = real.groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"))
-    candidates = components(stage.where("kind = 0").select("a", "b"))
+    candidates = components(_candidates(docs, nodes))
     links = _tiles(docs, nodes, candidates).groupBy("g", "i", "j").applyInArrow(_multiply, "a long, b long")
     same_id = real.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b != top")
     repeated = real.join(same_id, "doc_id").where("node != b").select(F.col("node").alias("a"), "b")

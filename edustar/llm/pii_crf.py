@@ -42,7 +42,6 @@ CONTEXTS = 128
 HELD = 12.0  # log potential that holds a base span's label
 
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -279,15 +278,6 @@ def joined(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for k in KINDS for a, b in spans[k])
 
 
-def _train_rows(batches):
-    for b, texts in batches_of_text(batches):
-        ids = b.column(b.schema.get_field_index("doc_id")).to_pylist()
-        keep = [(i, t) for i, t in zip(ids, texts) if _NODE.search(t)]
-        if keep:
-            i, t = zip(*keep)
-            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(t, pa.string())], names=["doc_id", "text"])
-
-
 def learn(docs: DataFrame, limit: int = TRAIN_DOCS) -> SkipChainCRF | None:
     """Learn from the base spans of at most ``limit`` documents with a node; their nodes come to the driver, not their texts."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -305,7 +295,7 @@ def _examples(batches):
     for b, texts in batches_of_text(batches):
         out = []
         for t in texts:
-            nodes = nodes_of(t)[:4096] if len(t) < 1 << 20 else nodes_of(t[:1 << 20])[:4096]  # of a training example only
+            nodes = nodes_of(t)
             chain, skip = edges_of(t, nodes)
             out.append(pickle.dumps(([features(t, a, e) for a, e in nodes], labels_of(nodes, base_spans(t)), chain, skip)) if nodes else None)
         yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("doc_id")), pa.array(out, pa.binary())], names=["doc_id", "example"]) \

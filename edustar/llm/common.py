@@ -40,6 +40,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have (names differ in more than case)."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def ship(spark: SparkSession) -> None:
     """Give executors this package where their Python path lacks it (``addPyFile`` of a zip of the package)."""
     here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

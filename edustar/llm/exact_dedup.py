@@ -23,7 +23,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table, written
+from .common import free_name, shared_dir, table, written
 
 BROADCAST_ROWS = 250_000  # hit digests are broadcast up to this many rows of about 70 bytes, joined by shuffle beyond
 STATE = "spark.sql.streaming.stateStore."
@@ -134,19 +134,20 @@ def exact_groups(docs: DataFrame, digest=sha256) -> DataFrame:
 def keep_rows(docs: DataFrame) -> DataFrame:
     """The documents without the copies, all columns as they came."""
     groups = written(exact_groups(docs), "exact-groups")
-    key = [F.col("doc_id").alias("_drop_id"), F.col("digest").alias("_drop_digest")]
-    drop = groups.where("not kept").select(*key).distinct()
-    drop = written(drop.join(groups.where("kept").select(*[c.alias(a) for c, a in zip(key, ("k_id", "k_digest"))]),
-                             F.col("_drop_id").eqNullSafe(F.col("k_id")) & (F.col("_drop_digest") == F.col("k_digest")), "left")
-                   .select("_drop_id", "_drop_digest", F.col("k_digest").isNotNull().alias("_repeated")), "exact-drop")
+    by_id, by_text, mine = (free_name(docs, n) for n in ("_drop_id", "_drop_digest", "_text_digest"))
+    key = [F.col("doc_id").alias(by_id), F.col("digest").alias(by_text)]
+    kept_keys = groups.where("kept").select(F.col("doc_id").alias("_k_id"), F.col("digest").alias("_k_digest"))
+    drop = written(groups.where("not kept").select(*key).distinct().join(
+        kept_keys, F.col(by_id).eqNullSafe(F.col("_k_id")) & (F.col(by_text) == F.col("_k_digest")), "left")
+        .select(by_id, by_text, F.col("_k_digest").isNotNull().alias("_repeated")), "exact-drop")
     n = drop.count()
-    keyed = docs.withColumn("_text_digest", sha256(normalised(F.col("text"))))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_drop_id")) & (F.col("_text_digest") == F.col("_drop_digest"))
-    kept = keyed.join(_fits(drop, n), on, "left_anti").drop("_text_digest")
-    repeated = drop.where("_repeated")
+    keyed = docs.withColumn(mine, sha256(normalised(F.col("text"))))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col(by_id)) & (F.col(mine) == F.col(by_text))
+    kept = keyed.join(_fits(drop.select(by_id, by_text), n), on, "left_anti").drop(mine)
+    repeated = drop.where("_repeated").select(by_id, by_text)
     if not repeated.isEmpty():  # rows repeated as a whole: one of each stays
-        again = keyed.join(_fits(repeated, n), on, "left_semi").dropDuplicates(["doc_id", "_text_digest"])
-        kept = kept.unionByName(again.drop("_text_digest"))
+        again = keyed.join(_fits(repeated, n), on, "left_semi").dropDuplicates(["doc_id", mine])
+        kept = kept.unionByName(again.drop(mine))
     return kept
 
 

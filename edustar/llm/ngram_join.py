@@ -34,7 +34,7 @@ import pyspark
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _M1, chunks, mix, shingles, table, written
+from .common import _M1, chunks, free_name, mix, shingles, table, written
 from .components import components
 
 K = 4
@@ -466,9 +466,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
 def keep_rows(docs: DataFrame) -> DataFrame:
     """The documents without near copies: of each component the row with the smallest doc_id stays."""
     groups = written(near_groups(docs), "ngram-groups")
-    drop = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_drop_id")).distinct()
+    other = free_name(docs, "_drop_id")
+    drop = groups.where("doc_id != component_id").select(F.col("doc_id").alias(other)).distinct()
     n = drop.count()
-    return docs.join(F.broadcast(drop) if n <= BROADCAST_ROWS else drop, F.col("doc_id").cast("long") == F.col("_drop_id"), "left_anti")
+    return docs.join(F.broadcast(drop) if n <= BROADCAST_ROWS else drop, F.col("doc_id").cast("long") == F.col(other), "left_anti")
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ from .common import _SPACE, chunks, table, words
 WORD_BITS, FACTORS = 13, 8
 WORD_DIMS = 1 << WORD_BITS
 TRAIN_ROWS, EPOCHS, BATCH = 6000, 12, 64
+LEAST_STEPS = 1100  # few rows are gone through more often
 THRESHOLD = 0.7
 SEED = 7
 
@@ -124,7 +125,7 @@ class FactorisationMachine:
             acc[name][at] += g * g
             par[name][at] -= rate * g / np.sqrt(acc[name][at])
 
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, LEAST_STEPS * BATCH // len(y))):
             order = r.permutation(len(y))
             for k in range(0, len(y), BATCH):
                 d = order[k:k + BATCH]

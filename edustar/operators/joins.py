@@ -3,11 +3,12 @@
 Two ways a shuffle join goes wrong at scale, and what is done about each:
 
 * **Broadcasting something that grows.** ``sized_broadcast`` ships a side to
-  every task only when its row count is within ``BROADCAST_MAX_ROWS``.
+  every task only when its rows times their width are within ``BROADCAST_MAX_BYTES``.
 * **A hot key.** In a shuffle join every row of one key lands in one task;
   a key holding a third of the rows makes that task a third of the job.
-  ``detect_hot_keys`` finds such keys from a sample of the big side (a
-  bounded top-k), and ``HotKeys.join`` spreads each hot key's big-side rows
+  ``detect_hot_keys`` finds the keys that hold more than one partition's share
+  of a sample of the big side; since shares sum to one, there are at most as many
+  as partitions. ``HotKeys.join`` spreads each hot key's big-side rows
   over several salt buckets while the small side's rows for that key are
   copied into every bucket. Every big row still meets exactly the small
   rows of its key, so inner, left and left-anti results are unchanged;
@@ -19,27 +20,27 @@ otherwise a (salted where needed) shuffle join.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows below which a dimension is shipped to every task. A dimension row is
-# a few hundred bytes, so this keeps a broadcast under ~100 MB.
-BROADCAST_MAX_ROWS = 250_000
+from edustar.session import ensure_checkpoint_dir
 
-# Hot-key detection: rows sampled from the big side, most keys ever salted,
-# fewest sampled hits that count as evidence, and the bucket cap per key.
-HOT_SAMPLE_ROWS = 200_000
-MAX_HOT_KEYS = 256
-MIN_SAMPLE_HITS = 20
-MAX_SALT_BUCKETS = 65_536
+# Bytes up to which a dimension is shipped to every task.
+BROADCAST_MAX_BYTES = 64 * 1024 ** 2
+STRING_BYTES = 48  # a string column's assumed width; other types have their own
+
+# Hot-key detection: rows sampled per shuffle partition (so a key of one partition's share
+# is met about this often), and the smallest sample.
+SAMPLE_PER_PARTITION = 200
+LEAST_SAMPLE_ROWS = 200_000
 # Buckets per partition-share of a hot key: a bucket is about 1/8 of an average
 # partition, so buckets landing on the same task (hash collisions) average out.
 # Hot shares sum to at most 1, so all hot keys together get at most 8 x partitions
-# buckets, which bounds the copies of small-side rows.
+# buckets (and one more each), which bounds the copies of small-side rows.
 BUCKETS_PER_PARTITION_SHARE = 8
 HOT_SEED = 17
 
@@ -47,22 +48,28 @@ SALT = "_salt"
 BUCKETS = "_buckets"
 
 
-def sized_broadcast(df: DataFrame, max_rows: int | None = None,
+def row_bytes(schema: T.StructType) -> int:
+    """A row's assumed width in a broadcast table."""
+    width = {T.StringType: STRING_BYTES, T.BinaryType: STRING_BYTES, T.IntegerType: 4, T.FloatType: 4, T.BooleanType: 1}
+    return 16 + sum(width.get(type(f.dataType), 8) for f in schema.fields)
+
+
+def sized_broadcast(df: DataFrame, max_bytes: int | None = None,
                     known_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+    """``broadcast(df)`` if its rows take at most ``max_bytes``, else ``df`` unchanged.
 
     ``known_rows`` skips the count when the caller already knows the size
     (e.g. from a materialised table's write metrics). Above the bound the
     join stays a shuffle join, which AQE may still turn into a broadcast or
     split for skew at run time.
     """
-    return F.broadcast(df) if fits_broadcast(df, max_rows, known_rows) else df
+    return F.broadcast(df) if fits_broadcast(df, max_bytes, known_rows) else df
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None, known_rows: int | None = None) -> bool:
-    limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    n = known_rows if known_rows is not None else df.limit(limit + 1).count()
-    return n <= limit
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None, known_rows: int | None = None) -> bool:
+    limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    n = known_rows if known_rows is not None else df.count()
+    return n * row_bytes(df.schema) <= limit
 
 
 @dataclass
@@ -70,8 +77,9 @@ class HotKeys:
     """Keys of a join that hold more than one shuffle partition's share of rows.
 
     ``table`` has the key columns plus ``_buckets`` (salt buckets for that
-    key) and at most ``MAX_HOT_KEYS`` rows, so broadcasting it is bounded.
-    ``table`` is None when no key is hot: joins then stay plain.
+    key); shares above 1/p sum to at most one, so it has fewer rows than the join has
+    partitions and broadcasting it is bounded. ``table`` is None when no key is hot:
+    joins then stay plain.
     """
 
     keys: list[str]
@@ -126,13 +134,11 @@ class HotKeys:
 def detect_hot_keys(df: DataFrame | None, keys: list[str], known_rows: int | None = None,
                     partitions: int | None = None,
                     sampler: Callable[[float], DataFrame] | None = None) -> HotKeys:
-    """Keys whose share of ``df`` exceeds one shuffle partition's share and
-    that have at least ``MIN_SAMPLE_HITS`` sampled rows (with 200k sampled
-    rows that is a share of 0.01 %; AQE skew splitting covers milder skew).
+    """Keys whose share of ``df`` exceeds one shuffle partition's share.
 
-    A seeded Bernoulli sample of about ``HOT_SAMPLE_ROWS`` rows is counted
-    per key (partial aggregate), and only the top ``MAX_HOT_KEYS`` keys reach
-    the driver. Which keys are salted never changes a join's result, only how
+    A seeded Bernoulli sample, larger the more partitions there are, is counted per key
+    (partial aggregate). The keys stay a DataFrame, checkpointed so that both sides of a join
+    see the same ones. Which keys are salted never changes a join's result, only how
     its rows are spread over tasks, so a sample is enough. Pass
     ``known_rows`` for derived frames (a plain Parquet scan counts cheaply).
     ``sampler(fraction)`` builds the key columns from a sample taken before
@@ -146,27 +152,21 @@ def detect_hot_keys(df: DataFrame | None, keys: list[str], known_rows: int | Non
     total = known_rows if known_rows is not None else (df if df is not None else sampler(1.0)).count()
     if total == 0:
         return HotKeys(keys, None)
-    frac = min(1.0, HOT_SAMPLE_ROWS / total)
-    sample = sampler(frac).select(*keys)
-    spark = sample.sparkSession
+    whole = sampler(1.0).select(*keys)
+    spark = whole.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if p <= 1:
         return HotKeys(keys, None)
-    sampled_total = total * frac
-    min_hits = max(MIN_SAMPLE_HITS, sampled_total / p)
-    top = (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hits"))
-           .filter(F.col("_hits") > min_hits)
-           .orderBy(F.col("_hits").desc()).limit(MAX_HOT_KEYS).collect())
-    rows = []
-    for r in top:
-        share = r["_hits"] / sampled_total
-        buckets = max(2, min(MAX_SALT_BUCKETS, math.ceil(BUCKETS_PER_PARTITION_SHARE * share * p)))
-        rows.append((*[r[k] for k in keys], buckets))
-    if not rows:
-        return HotKeys(keys, None)
-    fields = [sample.schema[k] for k in keys]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", {BUCKETS} int"
-    return HotKeys(keys, spark.createDataFrame(rows, schema))
+    frac = min(1.0, max(LEAST_SAMPLE_ROWS, SAMPLE_PER_PARTITION * p) / total)
+    sample = sampler(frac).select(*keys) if frac < 1.0 else whole
+    sampled = total * frac
+    share = F.col("_hits") / F.lit(float(sampled))
+    ensure_checkpoint_dir(spark)
+    hot = (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hits"))
+           .filter((F.col("_hits") > 1) & (share > 1.0 / p))
+           .select(*keys, F.greatest(F.lit(2), F.ceil(share * (BUCKETS_PER_PARTITION_SHARE * p)).cast("int")).alias(BUCKETS))
+           .checkpoint(eager=True))
+    return HotKeys(keys, None if hot.isEmpty() else hot)
 
 
 def skew_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
@@ -206,16 +206,26 @@ def collapse_copies(df: DataFrame) -> DataFrame:
 COPY_CHUNK = 1024
 
 
-def expand_copies(df: DataFrame) -> DataFrame:
+def most_copies(collapsed: DataFrame) -> int:
+    """The largest copy count of a collapsed (and best written) table."""
+    return collapsed.agg(F.max(COPIES)).first()[0] or 1
+
+
+def expand_copies(df: DataFrame, most: int) -> DataFrame:
     """Repeat each row ``_copies`` times (once where the join found no match)
     and drop the count: the rows a join to the uncollapsed side would give.
 
-    The rows are generated chunk by chunk, so a group of a billion copies
-    never becomes a billion-element array in one row.
+    ``most`` is the largest count there is. Rows are generated chunk by chunk, and
+    where a row has several chunks these are dealt over all tasks before the rows are
+    made, so a group of a billion copies is no single array and no single task's work.
     """
+    if most <= 1:
+        return df.drop(COPIES)
     n = F.coalesce(F.col(COPIES), F.lit(1)).cast("long")
     chunk = F.lit(COPY_CHUNK).cast("long")
-    chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk))))
-    in_chunk = F.least(chunk, n - F.col("_chunk") * chunk)
-    return (chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), in_chunk)))
+    if most > COPY_CHUNK:
+        p = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk)))).repartition(p)
+        n = F.least(chunk, n - F.col("_chunk") * chunk)
+    return (df.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), n)))
             .drop("_copy", "_chunk", COPIES))

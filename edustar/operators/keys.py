@@ -21,7 +21,7 @@ from edustar.session import ensure_checkpoint_dir
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per ``keys``: the smallest by ``order``, remaining columns break ties.
+    """One row per ``keys``: the smallest by ``order``, remaining columns break ties; nulls come last.
 
     ``min(struct(...))`` is an aggregate with a map-side partial step, so a
     key holding a large share of the rows is reduced before the shuffle
@@ -29,7 +29,8 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     ordered = order + rest
-    best = F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(ordered)])).alias("_best")
+    ranked = [x for i, c in enumerate(ordered) for x in (F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_o{i}"))]
+    best = F.min(F.struct(*ranked)).alias("_best")
     agg = df.groupBy(*keys).agg(best)
     return agg.select(*keys, *[F.col(f"_best._o{i}").alias(c) for i, c in enumerate(ordered)]) \
               .select(*df.columns)

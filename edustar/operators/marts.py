@@ -87,16 +87,16 @@ MARTS = {
     "mart_at_risk_students": at_risk_students,
 }
 
-# Presentation order of each mart (applied when a mart is read for display or
-# written sorted; the aggregate itself carries no order).
+# The order each mart is built in, then its remaining key columns.
 MART_ORDER = {
     "mart_result_by_module": ["code_module", "code_presentation", "final_result"],
     "mart_score_by_gender": ["code_presentation", "gender", "assessment_type"],
     "mart_education_impact": ["code_presentation", "highest_education", "assessment_type"],
-    "mart_vle_engagement": ["code_presentation", risk_order],
-    "mart_at_risk_students": ["id_student", "code_presentation"],
+    "mart_vle_engagement": ["code_presentation", risk_order, "risk_group"],
+    "mart_at_risk_students": ["id_student", "code_presentation", "code_module"],
 }
 
 
 def ordered(name: str, df: DataFrame) -> DataFrame:
+    """The mart in its order: a range shuffle, so also the one that grows is sorted by many tasks."""
     return df.orderBy(*[c() if callable(c) else c for c in MART_ORDER[name]])

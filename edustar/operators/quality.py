@@ -1,26 +1,25 @@
 """Data-quality checks.
 
-Two families, both declared as data and compiled to one aggregate per table:
-
-* health checks (row count, null rate, accepted values) → (check_name,
-  status, detail) rows for the check log; a table whose scan fails turns
-  all of its checks into ERROR while the other tables' checks still run;
-* declared tests (not_null, unique, accepted_values) on the warehouse and
-  mart tables → failure counts per test, with the usual semantics: unique
-  and accepted_values ignore nulls; failures of unique are duplicated
+Two families, both declared as data and compiled to lazy plans:
+
+* health checks (row count, null rate, accepted values) -> (check_name, status, detail) rows for
+  the check log: all checks of a table that can be resolved are one aggregate and one ``stack``; a check
+  whose table or column is missing is an ERROR row of its own, the others still run. ``collect_health_checks``
+  is the job's side: where running a table fails, its checks are run one by one, so one broken
+  check is one ERROR;
+* declared tests (not_null, unique, accepted_values) on the warehouse and mart tables -> failure counts per
+  test, with the usual semantics: unique and accepted_values ignore nulls; failures of unique are duplicated
   values, of accepted_values the distinct unexpected values.
 
-Only per-table aggregates (a handful of numbers, at most 20 offending values)
-reach the driver.
+Building a query runs nothing. Only the check results (a row per check) reach the driver, and only in the job.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -30,14 +29,35 @@ from edustar.schemas import (ASSESSMENT_TYPES, DISABILITY, FINAL_RESULTS, GENDER
 
 col = F.col
 
-# Thresholds of the score null-rate check and the log's databases.
+# Database names in the log, thresholds of the score null rate, and the 18 checks.
+DWH, MART = "dwh", "mart"
 SCORE_NULL_WARN_PCT = 25.0
 SCORE_NULL_FAIL_PCT = 60.0
-DWH, MART = "dwh", "mart"
 MAX_OFFENDING = 20
-CONCURRENT_TABLES = 4
 ERROR_DETAIL_CHARS = 500
 
+# (database, table, column, kind, settings)
+SUITE = [
+    ("dwh", "Dim_Time", None, "row_count", {"exact": 4}),
+    ("dwh", "Dim_Student", None, "row_count", {}),
+    ("dwh", "Dim_Course", None, "row_count", {}),
+    ("dwh", "Dim_Assessment", None, "row_count", {}),
+    ("dwh", "Fact_Performance", None, "row_count", {}),
+    ("dwh", "Fact_Performance", "student_key", "null_rate", {}),
+    ("dwh", "Fact_Performance", "course_key", "null_rate", {}),
+    ("dwh", "Fact_Performance", "assessment_key", "null_rate", {}),
+    ("dwh", "Fact_Performance", "time_key", "null_rate", {}),
+    ("dwh", "Fact_Performance", "score", "null_rate", {"warn_pct": SCORE_NULL_WARN_PCT, "fail_pct": SCORE_NULL_FAIL_PCT}),
+    ("dwh", "Fact_Performance", "final_result", "accepted_values", {"accepted": FINAL_RESULTS}),
+    ("dwh", "Fact_Performance", "risk_group", "accepted_values", {"accepted": RISK_GROUPS}),
+    ("mart", "stg_fact_performance", None, "row_count", {}),
+    ("mart", "mart_result_by_module", None, "row_count", {}),
+    ("mart", "mart_score_by_gender", None, "row_count", {}),
+    ("mart", "mart_education_impact", None, "row_count", {}),
+    ("mart", "mart_vle_engagement", None, "row_count", {}),
+    ("mart", "mart_at_risk_students", None, "row_count", {}),
+]
+
 RESULT_SCHEMA = StructType([StructField("check_name", StringType(), False),
                             StructField("status", StringType(), False),
                             StructField("detail", StringType(), True)])
@@ -57,115 +77,110 @@ class Check:
 
     @property
     def name(self) -> str:
-        mid = f".{self.column}" if self.column else ""
-        return f"{self.database}.{self.table}{mid}.{self.kind}"
-
-
-def health_suite() -> list[Check]:
-    """The 18 runtime checks: DWH row counts, fact null rates and domains, mart row counts."""
-    fact = "Fact_Performance"
-    checks = [Check("row_count", DWH, "Dim_Time", exact=4)]
-    checks += [Check("row_count", DWH, t) for t in ("Dim_Student", "Dim_Course", "Dim_Assessment", fact)]
-    checks += [Check("null_rate", DWH, fact, c) for c in ("student_key", "course_key", "assessment_key",
-                                                          "time_key")]
-    checks.append(Check("null_rate", DWH, fact, "score", warn_pct=SCORE_NULL_WARN_PCT,
-                        fail_pct=SCORE_NULL_FAIL_PCT))
-    checks.append(Check("accepted_values", DWH, fact, "final_result", accepted=FINAL_RESULTS))
-    checks.append(Check("accepted_values", DWH, fact, "risk_group", accepted=RISK_GROUPS))
-    checks += [Check("row_count", MART, m) for m in (
-        "stg_fact_performance", "mart_result_by_module", "mart_score_by_gender",
-        "mart_education_impact", "mart_vle_engagement", "mart_at_risk_students")]
-    return checks
-
-
-def _status_row_count(c: Check, n: int):
-    if c.exact is not None:
-        return ("PASS" if n == c.exact else "FAIL", f"rows={n} expected={c.exact}")
-    return ("PASS" if n >= c.min_rows else "FAIL", f"rows={n} min={c.min_rows}")
-
-
-def _status_null_rate(c: Check, total: int, nulls: int):
-    if total == 0:
-        return ("WARN", "table empty")
-    pct = nulls * 100.0 / total
-    status = "FAIL" if pct > c.fail_pct else "WARN" if pct > c.warn_pct else "PASS"
-    return (status, f"null={nulls}/{total} ({pct:.2f}%)")
-
-
-def _table_checks(df: DataFrame, checks: list[Check]) -> list[tuple]:
-    """All checks of one table from a single aggregate (plus a filtered scan
-    for accepted-values checks that found offending rows)."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(checks):
-        if c.kind == "null_rate":
-            aggs.append(F.count_if(col(c.column).isNull()).alias(f"_c{i}"))
-        elif c.kind == "accepted_values":
-            bad = col(c.column).isNotNull() & ~col(c.column).isin(*c.accepted)
-            aggs.append(F.count_if(bad).alias(f"_c{i}"))
-    row = df.agg(*aggs).first()
-    out = []
-    for i, c in enumerate(checks):
-        if c.kind == "row_count":
-            status, detail = _status_row_count(c, row["_rows"])
-        elif c.kind == "null_rate":
-            status, detail = _status_null_rate(c, row["_rows"], row[f"_c{i}"])
-        else:
-            if row[f"_c{i}"] == 0:
-                status, detail = "PASS", f"all values in {sorted(c.accepted)}"
-            else:
-                # The 20 smallest distinct offending values (top-k, bounded per task).
-                v = col(c.column)
-                bad = (df.select(v).filter(v.isNotNull() & ~v.isin(*c.accepted)).distinct()
-                       .orderBy(v).limit(MAX_OFFENDING).collect())
-                status, detail = "FAIL", f"unexpected={sorted(r[0] for r in bad)}"
-        out.append((c.name, status, detail))
-    return out
+        return ".".join(filter(None, (self.database, self.table, self.column, self.kind)))
+
+    def verdict(self) -> tuple[Column, Column]:
+        """Status and detail over the columns of the table's rows (an aggregate)."""
+        rows = F.count(F.lit(1))
+        if self.kind == "row_count":
+            goal, word, want = ((rows == self.exact, "expected", self.exact) if self.exact is not None
+                                else (rows >= self.min_rows, "min", self.min_rows))
+            return F.when(goal, "PASS").otherwise("FAIL"), F.format_string(f"rows=%d {word}={want}", rows)
+        nulls = F.count_if(col(self.column).isNull())
+        pct = nulls * F.lit(100.0) / rows
+        status = (F.when(rows == 0, "WARN").when(pct > self.fail_pct, "FAIL").when(pct > self.warn_pct, "WARN")
+                  .otherwise("PASS"))
+        return status, F.when(rows == 0, "table empty").otherwise(F.format_string("null=%d/%d (%.2f%%)", nulls, rows, pct))
+
+
+def health_suite(dwh: str = DWH, mart: str = MART) -> list[Check]:
+    """The 18 runtime checks, under the given database names."""
+    return [Check(kind, {"dwh": dwh, "mart": mart}[db], table, column, **settings)
+            for db, table, column, kind, settings in SUITE]
+
+
+def _aggregated(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Row counts and null rates of one table from one aggregate."""
+    parts = [v for c in checks for v in c.verdict()]
+    row = df.agg(*[v.alias(f"v{i}") for i, v in enumerate(parts)])
+    items = ", ".join(f"'{c.name}', v{2 * i}, v{2 * i + 1}" for i, c in enumerate(checks))
+    return row.selectExpr(f"stack({len(checks)}, {items}) AS (check_name, status, detail)")
+
+
+def _accepted(df: DataFrame, c: Check) -> DataFrame:
+    """Accepted values: the 20 smallest distinct offending values (a top-k, bounded per task) in one row."""
+    v = col(c.column).cast("string")
+    bad = (df.select(v.alias("v")).where(col("v").isNotNull() & ~col("v").isin(*c.accepted)).distinct()
+           .orderBy("v").limit(MAX_OFFENDING).agg(F.array_sort(F.collect_list("v")).alias("bad")))
+    listed = F.concat(F.lit("unexpected=["), F.array_join(F.transform("bad", lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "), F.lit("]"))
+    none = F.size("bad") == 0
+    return bad.select(F.lit(c.name).alias("check_name"), F.when(none, "PASS").otherwise("FAIL").alias("status"),
+                      F.when(none, f"all values in {sorted(c.accepted)}").otherwise(listed).alias("detail"))
+
+
+def _errors(spark: SparkSession, rows: list[tuple[Check, str]]) -> DataFrame:
+    return spark.createDataFrame([(c.name, "ERROR", msg[:ERROR_DETAIL_CHARS]) for c, msg in rows], RESULT_SCHEMA)
 
 
 def run_health_checks(spark: SparkSession, tables: dict[str, DataFrame],
                       checks: list[Check] | None = None) -> DataFrame:
-    """Run ``checks`` (default: the 18-check suite) over ``tables`` keyed by table name.
+    """The results of ``checks`` (default: the suite) over ``tables`` keyed by lower-case name, as one lazy DataFrame."""
+    parts, broken = [], []
+    by_table: dict[str, list[Check]] = {}
+    for c in health_suite() if checks is None else checks:
+        df = tables.get(c.table.lower())
+        if df is None:
+            broken.append((c, f"table not found: {c.table}"))
+        elif c.column is not None and c.column not in df.columns:
+            broken.append((c, f"column not found: {c.table}.{c.column}; there are {', '.join(df.columns)}"))
+        elif c.kind == "accepted_values":
+            parts.append(_accepted(df, c))
+        else:
+            by_table.setdefault(c.table.lower(), []).append(c)
+    parts = [_aggregated(tables[t], cs) for t, cs in by_table.items()] + parts
+    if broken:
+        parts.append(_errors(spark, broken))
+    return reduce(DataFrame.unionByName, parts)
 
-    Checks are grouped by table; one aggregate per table. Any failure while
-    resolving or scanning a table marks all of that table's checks ERROR
-    with the first 500 characters of the message.
-    """
-    checks = checks or health_suite()
-    by_table: dict[tuple, list[Check]] = {}
-    for c in checks:
-        by_table.setdefault((c.database, c.table), []).append(c)
 
-    def one(item):
-        (_, table), cs = item
+def collect_health_checks(spark: SparkSession, tables: dict[str, DataFrame],
+                          checks: list[Check] | None = None) -> list[tuple[str, str, str]]:
+    """Run the checks, in their order. Where a table's checks fail to run, each is run alone and what
+    fails is its own ERROR."""
+    checks = health_suite() if checks is None else checks
+
+    def rows(some: list[Check]) -> list[tuple]:
         try:
-            return _table_checks(tables[table.lower()], cs)
-        except Exception as e:  # noqa: BLE001 - any failure is reported as ERROR
-            msg = str(e)[:ERROR_DETAIL_CHARS]
-            return [(c.name, "ERROR", msg) for c in cs]
+            return [tuple(r) for r in run_health_checks(spark, tables, some).collect()]
+        except Exception as e:  # noqa: BLE001 - whatever a check runs into is its result
+            if len(some) == 1:
+                return [(some[0].name, "ERROR", str(e)[:ERROR_DETAIL_CHARS])]
+            return [r for c in some for r in rows([c])]
 
-    # Tables are independent: their aggregates run as concurrent jobs.
-    with ThreadPoolExecutor(max_workers=CONCURRENT_TABLES) as pool:
-        results = {r[0]: r for rows in pool.map(one, by_table.items()) for r in rows}
-    return spark.createDataFrame([results[c.name] for c in checks], RESULT_SCHEMA)
+    found = {}
+    for t in dict.fromkeys(c.table for c in checks):
+        found.update({r[0]: r for r in rows([c for c in checks if c.table == t])})
+    return [found[c.name] for c in checks]
 
 
 def summary(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def raise_on_failure(results: DataFrame) -> dict[str, int]:
-    """Job exit rule: FAIL or ERROR fails the run, WARN passes."""
-    counts = {r["status"]: r["n"] for r in summary(results).collect()}
-    bad = counts.get("FAIL", 0) + counts.get("ERROR", 0)
-    if bad:
-        raise RuntimeError(f"checks failed: {counts.get('FAIL', 0)} FAIL + {counts.get('ERROR', 0)} ERROR")
+def raise_on_failure(results: list[tuple[str, str, str]]) -> dict[str, int]:
+    """Job exit rule over check results: FAIL or ERROR fails the run, WARN passes."""
+    counts: dict[str, int] = {}
+    for _, status, _ in results:
+        counts[status] = counts.get(status, 0) + 1
+    if counts.get("FAIL", 0) + counts.get("ERROR", 0):
+        raise RuntimeError(f"checks failed: {counts}")
     return counts
 
 
 # --- declared tests ----------------------------------------------------------
 P, FR, RG, AT = VALID_PRESENTATIONS, FINAL_RESULTS, RISK_GROUPS, ASSESSMENT_TYPES
 
-# (table, column, tests); an accepted_values test carries its domain.
+# Fixed values: (table, column, tests); an accepted_values test carries its domain.
 DECLARED = [
     ("fact_performance", "fact_id", ["not_null", "unique"]),
     ("fact_performance", "student_key", ["not_null"]),
@@ -283,20 +298,20 @@ def declared_accepted_values(tables: dict[str, DataFrame]) -> DataFrame:
     return _with_status(reduce(DataFrame.unionByName, parts))
 
 
-def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Number of key values (nulls skipped) occurring more than once; one row."""
-    nn = reduce(lambda a, b: a & b, [col(k).isNotNull() for k in keys])
-    return (df.filter(nn).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .agg(F.count_if(col("_n") > 1).alias("failures")))
+def _duplicated(parts: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Per part (numbered by ``_i``) how many key values occur more than once: one exchange for all parts."""
+    per_key = reduce(DataFrame.unionByName, parts).groupBy("_i", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(*[F.count_if((col("_i") == i) & (col("_n") > 1)).alias(f"f{i}") for i in range(len(parts))])
 
 
 def declared_unique(tables: dict[str, DataFrame]) -> DataFrame:
-    parts = []
-    for t, c, _ in declared("unique"):
-        d = duplicate_count(tables[t], [c])
-        parts.append(d.select(F.lit(f"unique_{t}_{c}").alias("test_name"), F.lit(t).alias("model"),
-                              F.lit(c).alias("column_name"), col("failures").cast("long")))
-    return _with_status(reduce(DataFrame.unionByName, parts))
+    """All unique tests. Every tested column is a number, so all of them go through one exchange."""
+    tests = [(t, c) for t, c, _ in declared("unique")]
+    parts = [tables[t].where(col(c).isNotNull()).select(F.lit(i).alias("_i"), col(c).cast("long").alias("_k"))
+             for i, (t, c) in enumerate(tests)]
+    items = ", ".join(f"'unique_{t}_{c}', '{t}', '{c}', f{i}" for i, (t, c) in enumerate(tests))
+    return _with_status(_duplicated(parts, ["_k"]).selectExpr(
+        f"stack({len(tests)}, {items}) AS (test_name, model, column_name, failures)"))
 
 
 # Business keys that must be unique (the warehouse's unique constraints and the fact grain).
@@ -310,11 +325,18 @@ UNIQUE_KEYS = [
 
 
 def unique_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    parts = [duplicate_count(tables[t], ks).select(F.lit(t).alias("table_name"),
-                                                   F.lit(",".join(ks)).alias("key_columns"),
-                                                   col("failures").cast("long").alias("duplicates"))
-             for t, ks in UNIQUE_KEYS]
-    return reduce(DataFrame.unionByName, parts)
+    """Duplicated business keys per table: text keys and number keys side by side, so one exchange serves all tables."""
+    parts = []
+    for i, (t, ks) in enumerate(UNIQUE_KEYS):
+        kind = {c: k for c, k in tables[t].dtypes}
+        slots = {s: F.lit(None).cast(k) for s, k in (("_n0", "long"), ("_n1", "long"), ("_s0", "string"), ("_s1", "string"))}
+        for j, c in enumerate(ks):
+            slots[f"_s{j}" if kind[c] == "string" else f"_n{j}"] = col(c)
+        df = tables[t].where(reduce(Column.__and__, [col(c).isNotNull() for c in ks]))
+        parts.append(df.select(F.lit(i).alias("_i"), *[v.cast("string" if s[1] == "s" else "long").alias(s) for s, v in slots.items()]))
+    items = ", ".join(f"'{t}', '{','.join(ks)}', f{i}" for i, (t, ks) in enumerate(UNIQUE_KEYS))
+    return _duplicated(parts, ["_n0", "_n1", "_s0", "_s1"]).selectExpr(
+        f"stack({len(UNIQUE_KEYS)}, {items}) AS (table_name, key_columns, duplicates)")
 
 
 FOREIGN_KEYS = [("student_key", "dim_student"), ("course_key", "dim_course"),

@@ -18,6 +18,36 @@ from edustar.operators.joins import sized_broadcast
 col = F.col
 
 
+# The order in which each card shows its rows ("-" descending), then the business
+# key, so that ties can't reorder it. Nulls come first ascending and last descending.
+CARD_ORDER = {
+    "pass_rate_by_imd": ["imd_band"],
+    "pass_rate_by_module": ["-pass_rate_pct", "code_module"],
+    "pass_rate_by_education": ["-pass_rate_pct", "highest_education"],
+    "pass_rate_by_region": ["-pass_rate_pct", "region"],
+    "result_by_module_rollup": ["code_module", "final_result"],
+    "avg_score_gender_rollup": ["gender", "assessment_type"],
+    "pass_rate_education_rollup": ["-avg_pass_rate_pct", "highest_education"],
+    "log_hourly_status": ["hour_bucket", "status"],
+    "log_failure_leaderboard": ["-fail_count", "-total_runs", "check_name"],
+    "student_funnel": ["sort_order"],
+    "disability_by_result": ["disability", "final_result"],
+    "pass_rate_age_education": ["age_band", "highest_education"],
+    "pass_rate_prior_attempts": ["num_of_prev_attempts"],
+    "credits_by_result": ["credit_band", "final_result"],
+    "pass_rate_module_presentation": ["code_module", "code_presentation"],
+    "score_by_assessment_type_module": ["code_module", "assessment_type"],
+    "module_length_vs_pass": ["avg_length_days", "code_module"],
+    "clicks_per_module": ["-avg_clicks_per_record", "code_module"],
+}
+
+
+def ordered(name: str, card: DataFrame) -> DataFrame:
+    """The card in its display order (a sort of its few rows)."""
+    keys = CARD_ORDER.get(name, ())
+    return card.orderBy(*[col(k[1:]).desc() if k[0] == "-" else col(k).asc() for k in keys]) if keys else card
+
+
 # --- helpers -------------------------------------------------------------------
 def by_key_and_result(fact: DataFrame, key: str, with_clicks: bool = False) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("n")]
@@ -235,13 +265,12 @@ def log_totals(log: DataFrame) -> DataFrame:
 
 
 def log_recent_failures(log: DataFrame, as_of: Column | str | None = None, days: int = 7) -> DataFrame:
-    """Failures within ``days`` before ``as_of`` (default: the newest log entry).
+    """Failures within ``days`` before ``as_of`` (default: now, by the wall clock in UTC).
 
-    The dashboard uses NOW(); a fixed reference point keeps the card
-    reproducible. Pass ``F.current_timestamp()`` for wall-clock behaviour.
+    A fixed time, or a column such as the newest entry's time, makes the card reproducible.
     """
     if as_of is None:
-        as_of = log.select(F.max("checked_at")).scalar()
+        as_of = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
     elif isinstance(as_of, str):
         as_of = F.lit(as_of).cast("timestamp_ntz")
     since = as_of - F.make_dt_interval(F.lit(days))

@@ -1,75 +1,64 @@
-"""Silver layer: per-table cleaning rules and the click pre-aggregate.
+"""Silver layer: cleaning rules declared per table and compiled to one filter, and the click totals.
 
-Filters sit directly on the scan so Catalyst pushes them into the Parquet
-reader (or evaluates them while parsing CSV). NaN compares above every
-number in Spark, so a NaN score fails ``<= 100`` and is dropped while a NaN
-weight passes ``>= 0`` and is kept.
+A rule set says which columns must be present, which must lie in a fixed domain,
+and which numbers, where present, must lie in a range. The compiled filter is one
+predicate on the scan, which Catalyst pushes into the Parquet reader (or evaluates
+while parsing CSV). NaN compares above every number in Spark, so a NaN score fails
+its upper bound and is dropped while a NaN weight passes its lower bound and is kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass, field
+from functools import partial, reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edustar.schemas import VALID_PRESENTATIONS
 
-col = F.col
-
-
-def courses(raw: DataFrame) -> DataFrame:
-    return raw.filter(col("code_module").isNotNull())
-
-
-def student_info(raw: DataFrame) -> DataFrame:
-    return raw.filter(col("id_student").isNotNull()
-                      & col("code_presentation").isin(*VALID_PRESENTATIONS))
 
-
-def assessments(raw: DataFrame) -> DataFrame:
-    return raw.filter(col("id_assessment").isNotNull()
-                      & (col("weight").isNull() | (col("weight") >= 0)))
-
-
-def vle(raw: DataFrame) -> DataFrame:
-    return raw.filter(col("id_site").isNotNull())
+@dataclass(frozen=True)
+class Rules:
+    required: tuple[str, ...] = ()
+    domains: dict[str, tuple] = field(default_factory=dict)
+    ranges: dict[str, tuple] = field(default_factory=dict)  # column -> (lowest, highest or None); null passes
+
+    def predicate(self) -> Column:
+        parts = [F.col(c).isNotNull() for c in self.required]
+        parts += [F.col(c).isin(*values) for c, values in self.domains.items()]
+        for c, (low, high) in self.ranges.items():
+            inside = F.col(c) >= low if high is None else F.col(c).between(low, high)
+            parts.append(F.col(c).isNull() | inside)
+        return reduce(Column.__and__, parts)
+
+
+# The cleaning rules of the six filtered tables.
+_PRESENTATIONS = {"code_presentation": VALID_PRESENTATIONS}
+RULES = {
+    "courses": Rules(required=("code_module",)),
+    "student_info": Rules(required=("id_student",), domains=_PRESENTATIONS),
+    "assessments": Rules(required=("id_assessment",), ranges={"weight": (0, None)}),
+    "vle": Rules(required=("id_site",)),
+    "student_registration": Rules(required=("id_student",), domains=_PRESENTATIONS),
+    "student_assessment": Rules(required=("id_assessment", "id_student"), ranges={"score": (0, 100)}),
+}
 
 
-def student_registration(raw: DataFrame) -> DataFrame:
-    return raw.filter(col("id_student").isNotNull()
-                      & col("code_presentation").isin(*VALID_PRESENTATIONS))
+def clean(table: str, raw: DataFrame) -> DataFrame:
+    return raw.where(RULES[table].predicate())
 
 
-def student_assessment(raw: DataFrame) -> DataFrame:
-    s = col("score")
-    return raw.filter(col("id_assessment").isNotNull() & col("id_student").isNotNull()
-                      & (s.isNull() | ((s >= 0) & (s <= 100))))
+CLEANERS = {table: partial(clean, table) for table in RULES}
 
 
 def vle_clicks(raw_student_vle: DataFrame) -> DataFrame:
-    """Total positive clicks per enrolment.
-
-    The group key is the enrolment (student, module, presentation); the
-    partial aggregate runs map-side before the shuffle, so the exchange
-    carries at most one row per enrolment per input partition.
-    """
-    return (raw_student_vle
-            .filter(col("sum_click").isNotNull() & (col("sum_click") > 0))
-            .groupBy("id_student", "code_module", "code_presentation")
-            .agg(F.sum("sum_click").cast("long").alias("total_clicks")))
-
-
-CLEANERS = {
-    "courses": courses,
-    "student_info": student_info,
-    "assessments": assessments,
-    "vle": vle,
-    "student_registration": student_registration,
-    "student_assessment": student_assessment,
-}
+    """Positive clicks summed per enrolment; the partial sums run before the shuffle."""
+    positive = raw_student_vle.where("sum_click > 0")  # a null click count isn't positive either
+    return positive.groupBy("id_student", "code_module", "code_presentation").agg(
+        F.sum("sum_click").cast("long").alias("total_clicks"))
 
 
 def build(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All seven silver tables from the raw ones."""
-    out = {name: fn(bronze[name]) for name, fn in CLEANERS.items()}
-    out["vle_clicks"] = vle_clicks(bronze["student_vle"])
-    return out
+    return {**{t: fn(bronze[t]) for t, fn in CLEANERS.items()}, "vle_clicks": vle_clicks(bronze["student_vle"])}

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from edustar.functions.expr import risk_band
 from edustar.operators.joins import (HOT_SEED, HotKeys, collapse_copies, detect_hot_keys, expand_copies,
-                                     lookup_join)
+                                     lookup_join, most_copies)
 from edustar.operators.keys import dense_key, first_per_key, partitions_for
 
 ENROLMENT = ["id_student", "code_module", "code_presentation"]
@@ -104,25 +104,32 @@ def submission_sampler(silver: dict[str, DataFrame]) -> Callable[[float], DataFr
     return sample
 
 
+def enrolments(silver: dict[str, DataFrame]) -> DataFrame:
+    """Enrolments with their result, identical ones collapsed to one row and a copy count."""
+    return collapse_copies(silver["student_info"].select(*ENROLMENT, "final_result"))
+
+
 def fact_base(silver: dict[str, DataFrame], n_assessments: int | None = None,
-              n_submissions: int | None = None, hot: HotKeys | None = None) -> DataFrame:
+              n_submissions: int | None = None, hot: HotKeys | None = None,
+              enrolled: DataFrame | None = None) -> DataFrame:
     """Submissions with enrolment result and click total (left joins, may be null).
 
     ``hot``: hot enrolments of the submissions if already known (e.g. kept by
     the warehouse as statistics of its silver layer); detected here otherwise.
+    ``enrolled``: ``enrolments`` already written.
     """
     sa_meta = submissions_with_course(silver["student_assessment"], silver["assessments"], n_assessments,
                                       n_submissions)
     # Enrolment rows are not deduplicated (a repeated enrolment fans out, as in
     # the source); identical copies are collapsed before the shuffle and
     # expanded after the join.
-    base = collapse_copies(silver["student_info"].select(*ENROLMENT, "final_result"))
+    base = enrolments(silver) if enrolled is None else enrolled
     clicks = silver["vle_clicks"].select(*ENROLMENT, "total_clicks")
     # Both left joins use the same three keys (plus the salt of hot enrolments):
     # one exchange of the big side serves both.
     hot = hot or detect_hot_keys(sa_meta, ENROLMENT, n_submissions, sampler=submission_sampler(silver))
     j = hot.join(hot.join(hot.salt(sa_meta), base, "left"), clicks, "left")
-    return expand_copies(HotKeys.unsalt(j))
+    return expand_copies(HotKeys.unsalt(j), most_copies(base))
 
 
 def with_score_vs_avg(fb: DataFrame, n_assessments: int | None = None,
@@ -139,6 +146,9 @@ FACT_COLUMNS = ["fact_id", "student_key", "course_key", "assessment_key", "time_
                 "total_clicks", "final_result", "score_vs_avg", "risk_group"]
 
 
+FACT_ORDER = ["student_key", "assessment_key", "score", "total_clicks", "final_result"]
+
+
 def fact_performance(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
                      sizes: dict[str, int] | None = None, fb: DataFrame | None = None) -> DataFrame:
     """The fact. ``fb`` is ``fact_base`` already written (the warehouse writes
@@ -168,10 +178,10 @@ def fact_performance(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
                            ("dim_student", ["id_student"], "student_key")]:
         f = lookup_join(f, dims[dim].select(*keys, out), keys, small_rows=sizes.get(dim),
                         hot=hot_on(*keys))
-    # fact_id: unique and deterministic without a global pass; (student, assessment)
-    # is the grain, so packing both keys into one long identifies the row.
-    fid = F.shiftleft(F.col("student_key").cast("long"), 32) + F.col("assessment_key")
-    return f.select(fid.alias("fact_id"), *FACT_COLUMNS[1:])
+    # fact_id: a dense key over the grain. A repeated enrolment or submission fans out to rows
+    # that agree in both keys, so the measures and at last the row's place break ties.
+    f = f.select(*FACT_COLUMNS[1:]).withColumn("_place", F.monotonically_increasing_id())
+    return dense_key(f, [*FACT_ORDER, "_place"], "fact_id").select(*FACT_COLUMNS)
 
 
 def staging(fact: DataFrame, dims: dict[str, DataFrame], sizes: dict[str, int] | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ from edustar.operators import quality as Q
 from edustar.operators import reports as R
 from edustar.operators import silver as S
 from edustar.operators import star
-from edustar.operators.joins import collapse_copies, detect_hot_keys, expand_copies, skew_join
+from edustar.operators.joins import detect_hot_keys, expand_copies, most_copies, skew_join
 from edustar.plans.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,8 +55,11 @@ QUERIES["silver_vle_clicks"] = _silver_key("student_vle", S.vle_clicks)
 # --- star ---------------------------------------------------------------------
 @query("dim_time")
 def _dim_time(spark, sf_dir):
-    # Seeding is idempotent: re-seeding over an existing table adds nothing.
-    return star.dim_time(spark, existing=W(spark, sf_dir).dims()["dim_time"])
+    # Seeding is idempotent: over the rows of the presentations that the courses use, it adds the others.
+    w = W(spark, sf_dir)
+    used = w.silver()["courses"].select("code_presentation").distinct()
+    return star.dim_time(spark, existing=w.dims()["dim_time"].join(used, "code_presentation", "left_semi")
+                         .select(*w.dims()["dim_time"].columns))
 
 
 @query("dim_course")
@@ -77,30 +80,27 @@ def _dim_assessment(spark, sf_dir):
     return star.dim_assessment(w.silver()["assessments"], w.sizes.get("silver_assessments"))
 
 
-def _enrolment_join(spark, sf_dir, right: str, cols: list[str], may_repeat: bool):
-    """Submissions ⟕ one enrolment-keyed table. ``may_repeat``: the table can hold
-    repeated rows per enrolment (collapsed before the shuffle, expanded after)."""
-    w = W(spark, sf_dir)
+def _submissions(w: Warehouse):
     s, z = w.silver(), w.sizes
-    sa = star.submissions_with_course(s["student_assessment"], s["assessments"], z.get("silver_assessments"),
-                                      z.get("silver_student_assessment"))
-    right_side = s[right].select(*star.ENROLMENT, *cols)
-    if may_repeat:
-        return expand_copies(skew_join(sa, collapse_copies(right_side), star.ENROLMENT, "left",
-                                       hot=w.enrolment_hot_keys()))
-    return skew_join(sa, right_side, star.ENROLMENT, "left", hot=w.enrolment_hot_keys())
+    return star.submissions_with_course(s["student_assessment"], s["assessments"], z.get("silver_assessments"),
+                                        z.get("silver_student_assessment"))
 
 
 @query("left_join_enrolment")
 def _left_join_enrolment(spark, sf_dir):
-    # Enrolment rows are not deduplicated upstream: copies fan out, as in the source.
-    return _enrolment_join(spark, sf_dir, "student_info", ["final_result"], may_repeat=True)
+    # Enrolment rows are not deduplicated upstream: copies fan out, as in the source. They are
+    # joined collapsed (a written layer) and expanded after the join.
+    w = W(spark, sf_dir)
+    e = w.enrolments()
+    return expand_copies(skew_join(_submissions(w), e, star.ENROLMENT, "left", hot=w.enrolment_hot_keys()), most_copies(e))
 
 
 @query("left_join_clicks")
 def _left_join_clicks(spark, sf_dir):
     # Click totals are an aggregate by enrolment: one row per key by construction.
-    return _enrolment_join(spark, sf_dir, "vle_clicks", ["total_clicks"], may_repeat=False)
+    w = W(spark, sf_dir)
+    clicks = w.silver()["vle_clicks"].select(*star.ENROLMENT, "total_clicks")
+    return skew_join(_submissions(w), clicks, star.ENROLMENT, "left", hot=w.enrolment_hot_keys())
 
 
 @query("score_vs_avg")
@@ -138,7 +138,7 @@ def _stg(spark, sf_dir):
 # --- marts ------------------------------------------------------------------------
 def _mart_key(name: str):
     def run(spark, sf_dir):
-        return M.MARTS[name](W(spark, sf_dir).staging())
+        return M.ordered(name, M.MARTS[name](W(spark, sf_dir).staging()))
     return run
 
 
@@ -214,11 +214,18 @@ def _log_report(fn):
     return run
 
 
-for _n in ("log_totals", "log_recent_failures", "log_status_distribution", "log_latest20",
+for _n in ("log_totals", "log_status_distribution", "log_latest20",
            "log_hourly_status", "log_failure_leaderboard"):
     QUERIES[_n] = _log_report(getattr(R, _n))
 
 
+@query("log_recent_failures")
+def _log_recent(spark, sf_dir):
+    # The registered key counts back from the newest entry, so its result is reproducible.
+    log = W(spark, sf_dir).log()
+    return R.log_recent_failures(log, as_of=log.select(F.max("checked_at")).scalar())
+
+
 @query("log_by_quarter")
 def _log_by_quarter(spark, sf_dir):
     from edustar.sources.log import partition_label
@@ -228,6 +235,17 @@ def _log_by_quarter(spark, sf_dir):
                  F.max("checked_at").alias("last_checked_at")))
 
 
+# Every card in its display order.
+def _in_order(name: str, fn):
+    def run(spark, sf_dir):
+        return R.ordered(name, fn(spark, sf_dir))
+    return run
+
+
+for _n in R.CARD_ORDER:
+    QUERIES[_n] = _in_order(_n, QUERIES[_n])
+
+
 # --- quality ----------------------------------------------------------------------
 def _all_tables(w: Warehouse) -> dict[str, DataFrame]:
     t = dict(w.dims())

@@ -7,6 +7,7 @@ run fails when any check is FAIL or ERROR (WARN passes).
 
 from __future__ import annotations
 
+from collections import Counter
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,11 @@ from pyspark.sql import functions as F
 from edustar.operators import marts as M
 from edustar.operators import quality as Q
 from edustar.plans.warehouse import Warehouse
+from edustar import schemas
 from edustar.sources import csv as csv_source
-from edustar.sources import fixtures
+from edustar.sources import jdbc
 from edustar.sources.inventory import require_sources
-from edustar.sources.log import append_log
+from edustar.sources.log import append_log, next_id
 
 
 def raw_from_csv(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -28,41 +30,31 @@ def raw_from_csv(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 def run(spark: SparkSession, out_root: str, raw: dict[str, DataFrame] | None = None,
         sf_dir: str | None = None, fail_on_error: bool = True,
-        checked_at: datetime | None = None) -> dict:
-    """Build every layer under ``out_root`` and run the health checks.
+        checked_at: datetime | None = None, jdbc_url: str | None = None, jdbc_properties: dict | None = None) -> dict:
+    """Build every layer under ``out_root``, run the health checks and append them to the log.
 
     Input is either ``raw`` (the seven raw tables, e.g. from ``raw_from_csv``)
-    or ``sf_dir`` (raw tables derived from the test tables).
+    or ``sf_dir`` (raw tables derived from the test tables). With ``jdbc_url`` the warehouse tables are
+    loaded there as well (full refresh) and the check results appended to its ``monitoring_log``.
     """
-    if raw is None:
-        raw = fixtures.bronze(spark, sf_dir)
-    w = Warehouse(spark, sf_dir or "", root=out_root.rstrip("/") + "/tables", bronze=raw)
+    tables_root = out_root.rstrip("/") + "/tables"
+    w = Warehouse(spark, sf_dir or "", root=tables_root, bronze=raw)
     sizes = w.build_all()
     tables = dict(w.dims())
     tables["fact_performance"] = w.fact()
     tables["stg_fact_performance"] = w.staging()
     tables.update({m: w.mart(m) for m in M.MARTS})
-    results = Q.run_health_checks(spark, tables)
-    rows = results.collect()  # the check results: 18 rows
+    if jdbc_url:
+        jdbc.full_refresh({t: tables[t] for t in (*jdbc.DIMENSIONS, jdbc.FACT)}, jdbc_url, jdbc_properties)
+    rows = Q.collect_health_checks(spark, tables)  # a row per check: 18
     log_path = out_root.rstrip("/") + "/monitoring_log"
     now = checked_at or datetime.now(timezone.utc).replace(tzinfo=None)
-    first = _next_log_id(spark, log_path)
-    log_rows = spark.createDataFrame(
-        [(first + i, r.check_name, r.status, r.detail, now) for i, r in enumerate(rows)],
-        "id long, check_name string, status string, detail string, checked_at timestamp_ntz")
+    first = next_id(spark, log_path)
+    log_rows = spark.createDataFrame([(first + i, *r, now) for i, r in enumerate(rows)], schemas.MONITORING_LOG)
     # One row per check (18): one file per run instead of one per default partition.
     append_log(log_rows.coalesce(1), log_path)
-    counts: dict[str, int] = {}
-    for r in rows:
-        counts[r.status] = counts.get(r.status, 0) + 1
-    if fail_on_error and (counts.get("FAIL", 0) or counts.get("ERROR", 0)):
-        raise RuntimeError(f"checks failed: {counts}")
+    if jdbc_url:
+        jdbc.append(log_rows.drop("id").withColumn("checked_at", F.col("checked_at").cast("timestamp")).coalesce(1),
+                    jdbc_url, "monitoring_log", jdbc_properties)
+    counts = Q.raise_on_failure(rows) if fail_on_error else dict(Counter(r[1] for r in rows))
     return {"sizes": sizes, "checks": counts, "log": log_path}
-
-
-def _next_log_id(spark: SparkSession, log_path: str) -> int:
-    try:
-        m = spark.read.parquet(log_path).agg(F.max("id")).first()[0]
-    except Exception:  # noqa: BLE001 - no log yet
-        m = None
-    return (m or 0) + 1

@@ -22,6 +22,7 @@ from edustar.operators import star
 from edustar.operators.joins import HotKeys, detect_hot_keys, fits_broadcast
 from edustar.session import ensure_checkpoint_dir
 from edustar.sources import fixtures
+from edustar.sources.log import append_log, read_log
 from edustar.sources.sinks import write_parquet_counted
 
 _LOCK = threading.Lock()
@@ -107,8 +108,11 @@ class Warehouse:
             t = fixtures.read_tables(self.spark, self.sf_dir, ["lineitem", "orders"])
             grain = self._put("bronze_line_grain", fixtures.line_grain(fixtures.base_lines(t)))
             lazy = fixtures.bronze(self.spark, self.sf_dir, grain=grain)
+            log = lazy.pop("monitoring_log")
             self._put_many({f"bronze_{n}": df for n, df in lazy.items()})
             self._bronze = {n: self._tables[f"bronze_{n}"] for n in lazy}
+            append_log(log, f"{self.root}/monitoring_log")
+            self._bronze["monitoring_log"] = read_log(self.spark, f"{self.root}/monitoring_log")
         return self._bronze
 
     # -- layers ------------------------------------------------------------
@@ -143,6 +147,13 @@ class Warehouse:
                                                      sampler=star.submission_sampler(s))
         return self._hot["enrolment"]
 
+    @_locked
+    def enrolments(self) -> DataFrame:
+        """Collapsed enrolments, written once: the join reads them and their largest copy count."""
+        if "enrolments" not in self._tables:
+            self._put("enrolments", star.enrolments(self.silver()))
+        return self._tables["enrolments"]
+
     @_locked
     def fact_base(self) -> DataFrame:
         """Submissions ⋈ assessments ⟕ enrolments ⟕ clicks, written once: the
@@ -151,7 +162,7 @@ class Warehouse:
             s, z = self.silver(), self.sizes
             self._put("fact_base", star.fact_base(s, z.get("silver_assessments"),
                                                   z.get("silver_student_assessment"),
-                                                  hot=self.enrolment_hot_keys()))
+                                                  hot=self.enrolment_hot_keys(), enrolled=self.enrolments()))
         return self._tables["fact_base"]
 
     @_locked
@@ -181,10 +192,11 @@ class Warehouse:
     @_locked
     def mart(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._put(name, M.MARTS[name](self.staging()))
+            self._put(name, M.ordered(name, M.MARTS[name](self.staging())))
         return self._tables[name]
 
     def log(self) -> DataFrame:
+        """The check log, written by the append sink in year/quarter folders."""
         return self.bronze()["monitoring_log"]
 
     def table(self, name: str) -> DataFrame:
@@ -225,7 +237,7 @@ class Warehouse:
     @_locked
     def build_all(self) -> dict[str, int]:
         stg = self.staging()
-        self._put_many({n: fn(stg) for n, fn in M.MARTS.items() if n not in self._tables})
+        self._put_many({n: M.ordered(n, fn(stg)) for n, fn in M.MARTS.items() if n not in self._tables})
         if "monitoring_log" in self.bronze():
             self.log()
         return dict(self.sizes)

@@ -29,22 +29,22 @@ def _s(*fields):
     return StructType([StructField(n, t, True) for n, t in fields])
 
 
-S, I, F = StringType(), IntegerType(), FloatType()
+S, I, L, F = StringType(), IntegerType(), LongType(), FloatType()  # ids are long: they grow with the data
 
 COURSES = _s(("code_module", S), ("code_presentation", S), ("module_presentation_length", I))
-ASSESSMENTS = _s(("code_module", S), ("code_presentation", S), ("id_assessment", I),
+ASSESSMENTS = _s(("code_module", S), ("code_presentation", S), ("id_assessment", L),
                  ("assessment_type", S), ("date", I), ("weight", F))
-VLE = _s(("id_site", I), ("code_module", S), ("code_presentation", S), ("activity_type", S),
+VLE = _s(("id_site", L), ("code_module", S), ("code_presentation", S), ("activity_type", S),
          ("week_from", I), ("week_to", I))
-STUDENT_INFO = _s(("code_module", S), ("code_presentation", S), ("id_student", I), ("gender", S),
+STUDENT_INFO = _s(("code_module", S), ("code_presentation", S), ("id_student", L), ("gender", S),
                   ("region", S), ("highest_education", S), ("imd_band", S), ("age_band", S),
                   ("num_of_prev_attempts", I), ("studied_credits", I), ("disability", S),
                   ("final_result", S))
-STUDENT_REGISTRATION = _s(("code_module", S), ("code_presentation", S), ("id_student", I),
+STUDENT_REGISTRATION = _s(("code_module", S), ("code_presentation", S), ("id_student", L),
                           ("date_registration", I), ("date_unregistration", I))
-STUDENT_ASSESSMENT = _s(("id_assessment", I), ("id_student", I), ("date_submitted", I),
+STUDENT_ASSESSMENT = _s(("id_assessment", L), ("id_student", L), ("date_submitted", I),
                         ("is_banked", I), ("score", F))
-STUDENT_VLE = _s(("code_module", S), ("code_presentation", S), ("id_student", I), ("id_site", I),
+STUDENT_VLE = _s(("code_module", S), ("code_presentation", S), ("id_student", L), ("id_site", L),
                  ("date", I), ("sum_click", I))
 
 MONITORING_LOG = StructType([

@@ -52,7 +52,7 @@ SHUFFLE_PARTITION_BYTES = 200 * 1024 ** 2
 SCAN_SPLIT_BYTES = 256 * 1024 ** 2
 
 
-def cluster_conf(input_bytes: int, shuffle_ratio: float = 0.5, max_partitions: int = 100_000) -> dict[str, str]:
+def cluster_conf(input_bytes: int, shuffle_ratio: float = 0.5) -> dict[str, str]:
     """Session settings sized for ``input_bytes`` of Parquet input on a cluster.
 
     Shuffle partitions are sized so the largest stage (about ``shuffle_ratio``
@@ -60,11 +60,11 @@ def cluster_conf(input_bytes: int, shuffle_ratio: float = 0.5, max_partitions: i
     ~200 MB partitions; AQE then coalesces the small stages and splits skewed
     partitions, including behind chained joins (``forceOptimizeSkewedJoin``),
     on top of the explicit hot-key salting. Automatic broadcasts are capped at
-    64 MB; the library's own broadcasts are bounded by row counts. The
+    64 MB; the library's own broadcasts are bounded by rows times width. The
     checkpoint folder is not set here: it comes from the cluster
     (``spark.checkpoint.dir`` on shared storage).
     """
-    parts = max(200, min(max_partitions, -(-int(input_bytes * shuffle_ratio) // SHUFFLE_PARTITION_BYTES)))
+    parts = max(200, -(-int(input_bytes * shuffle_ratio) // SHUFFLE_PARTITION_BYTES))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

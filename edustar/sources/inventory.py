@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edustar.schemas import RAW_TABLES
+from edustar.sources.log import log_exists
 
 EXPECTED_FILES = [fname for fname, _ in RAW_TABLES.values()]
 
@@ -18,11 +19,9 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
 
 def missing_sources(spark: SparkSession, folder: str, expected: list[str] | None = None) -> DataFrame:
     want = spark.createDataFrame([(n,) for n in (expected or EXPECTED_FILES)], "file_name string")
-    try:
-        have = listing(spark, folder)
-        return want.join(have, "file_name", "left_anti")
-    except Exception:  # noqa: BLE001 - an absent folder means every file is missing
+    if not log_exists(spark, folder):  # an absent folder: every file is missing
         return want
+    return want.join(listing(spark, folder), "file_name", "left_anti")
 
 
 def require_sources(spark: SparkSession, folder: str, expected: list[str] | None = None) -> None:

@@ -45,14 +45,43 @@ def _bounds(spark: SparkSession, url: str, table: str, properties: dict | None,
     return (None, None) if row is None or row["lo"] is None else (int(row["lo"]), int(row["hi"]))
 
 
+FACT = "fact_performance"
+DIMENSIONS = ("dim_course", "dim_student", "dim_assessment")
+
+
+def refresh_steps(names) -> list[tuple[str, str]]:
+    """(action, table) of a full refresh under foreign keys: the fact is emptied before the dimensions it points
+    at, and loaded after them."""
+    dims = [d for d in DIMENSIONS if d in names]
+    fact = [FACT] if FACT in names else []
+    return [("empty", t) for t in fact + dims[::-1]] + [("load", t) for t in dims + fact]
+
+
+def empty(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> None:
+    """DELETE all rows (a referenced table can't be truncated), through the driver that Spark itself uses."""
+    props = spark._jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(k, v)
+    if (properties or {}).get("driver"):
+        spark._jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(properties["driver"])
+    conn = spark._jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        if conn.getMetaData().getTables(None, None, table.upper(), None).next() or conn.getMetaData().getTables(None, None, table, None).next():
+            s = conn.createStatement()
+            s.executeUpdate(f"DELETE FROM {table}")
+            s.close()
+    finally:
+        conn.close()
+
+
 def full_refresh(tables: dict[str, DataFrame], url: str, properties: dict | None = None,
                  batchsize: int = 5000) -> None:
-    """Replace the rows of each warehouse table, keeping its definition
-    (overwrite with truncate), dimensions before the fact."""
-    order = [n for n in ("dim_course", "dim_student", "dim_assessment", "fact_performance") if n in tables]
-    for name in order:
-        write_jdbc(tables[name], url, name, mode="overwrite", properties=properties,
-                   batchsize=batchsize, truncate=True)
+    """Replace the rows of each warehouse table, keeping its definition (see ``refresh_steps``)."""
+    for action, name in refresh_steps(tables):
+        if action == "empty":
+            empty(tables[name].sparkSession, url, name, properties)
+        else:
+            append(tables[name], url, name, properties, batchsize)
 
 
 def append(df: DataFrame, url: str, table: str, properties: dict | None = None, batchsize: int = 5000) -> None:

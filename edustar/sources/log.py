@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,25 +33,29 @@ def with_partition_columns(log: DataFrame) -> DataFrame:
     return log.withColumn("year", F.year("checked_at")).withColumn("quarter", F.quarter("checked_at"))
 
 
-def results_to_log(results: DataFrame, checked_at: datetime | None = None,
-                   first_id: Column | None = None) -> DataFrame:
-    """Check results (check_name, status, detail) stamped with one time, as log rows."""
-    now = checked_at or datetime.now(timezone.utc).replace(tzinfo=None)
-    ids = first_id if first_id is not None else F.monotonically_increasing_id()
-    df = results.select(ids.cast("long").alias("id"), "check_name", "status", "detail",
-                        F.lit(now).cast("timestamp_ntz").alias("checked_at"))
-    return df
-
-
 def append_log(log_rows: DataFrame, path: str) -> None:
     """Append to the log table, partitioned by year and quarter so time filters prune folders."""
     with_partition_columns(log_rows).write.mode("append").partitionBy("year", "quarter").parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log with its folder columns year and quarter, on which time filters prune."""
     return spark.read.parquet(path)
 
 
+def log_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a log folder; asks the path's own file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def next_id(spark: SparkSession, path: str) -> int:
+    """One above the largest id; 1 for a new log. A log that can't be read is an error, not a new log."""
+    if not log_exists(spark, path):
+        return 1
+    return (read_log(spark, path).agg(F.max("id")).first()[0] or 0) + 1
+
+
 def recent(log: DataFrame, since: datetime) -> DataFrame:
     """Rows after ``since``; the year predicate lets Spark skip older partitions."""
     return log.filter((F.col("year") >= since.year) & (F.col("checked_at") > F.lit(since).cast("timestamp_ntz")))

@@ -22,20 +22,20 @@ def test_risk_band_edges(spark):
 def test_score_and_weight_filters_with_nan(spark):
     sa = spark.createDataFrame(
         [(1, 1, 0, 0, s) for s in [-1.0, 100.01, float("nan"), 0.0, 100.0, None]], STUDENT_ASSESSMENT)
-    kept = sorted((r.score for r in S.student_assessment(sa).collect()), key=lambda x: (x is None, x))
+    kept = sorted((r.score for r in S.clean("student_assessment", sa).collect()), key=lambda x: (x is None, x))
     assert kept == [0.0, 100.0, None]
     a = spark.createDataFrame([("AAA", "2013J", i, "TMA", 1, w) for i, w in
                                enumerate([-1.0, float("nan"), None, 0.0])], ASSESSMENTS)
-    ws = [r.weight for r in S.assessments(a).collect()]
+    ws = [r.weight for r in S.clean("assessments", a).collect()]
     assert len(ws) == 3 and any(w is not None and math.isnan(w) for w in ws)
 
 
 def test_unknown_presentation_kept_in_silver_dropped_from_fact(spark):
     info = spark.createDataFrame([("AAA", "2012J", 1, "M", "r", "e", None, "0-35", 0, 60, "N", "Pass")],
                                  STUDENT_INFO)
-    assert S.student_info(info).count() == 0
+    assert S.clean("student_info", info).count() == 0
     a = spark.createDataFrame([("AAA", "2012J", 7, "TMA", 1, 1.0)], ASSESSMENTS)
-    assert S.assessments(a).count() == 1
+    assert S.clean("assessments", a).count() == 1
 
 
 def test_first_enrolment_wins_at_any_partitioning(spark):
@@ -155,17 +155,116 @@ def test_missing_column_is_error_other_tables_still_run(spark):
               Q.Check("row_count", "dwh", "Dim_Time", exact=4)]
     got = {r.check_name: r.status for r in Q.run_health_checks(spark, t, checks).collect()}
     assert got["dwh.Fact_Performance.no_such_column.null_rate"] == "ERROR"
-    assert got["dwh.Fact_Performance.row_count"] == "ERROR"
+    assert got["dwh.Fact_Performance.row_count"] == "PASS"
     assert got["dwh.Dim_Time.row_count"] == "PASS"
 
 
+def test_a_missing_column_is_exactly_one_error_of_the_suite(spark):
+    t = _tables(spark, [(1, 1, 1, 1, 50.0, "Pass", "Low")])
+    t["fact_performance"] = t["fact_performance"].drop("score")
+    checks = [c for c in Q.health_suite() if c.table == "Fact_Performance"]
+    for got in (Q.run_health_checks(spark, t, checks).collect(), Q.collect_health_checks(spark, t, checks)):
+        status = {r[0]: r[1] for r in got}
+        assert len(status) == 8
+        assert [k for k, v in status.items() if v == "ERROR"] == ["dwh.Fact_Performance.score.null_rate"]
+    missing = Q.run_health_checks(spark, {}, [Q.Check("row_count", "dwh", "Dim_Time")]).first()
+    assert missing.status == "ERROR" and "Dim_Time" in missing.detail
+
+
+def test_a_check_that_fails_to_run_is_its_own_error(spark):
+    broken = F.when(F.lit(True), F.raise_error(F.lit("x" * 900)).cast("double"))
+    t = _tables(spark, [(1, 1, 1, 1, 50.0, "Pass", "Low")])
+    t["fact_performance"] = t["fact_performance"].withColumn("score", broken)
+    checks = [Q.Check("row_count", "dwh", "Fact_Performance"), Q.Check("null_rate", "dwh", "Fact_Performance", "score"),
+              Q.Check("null_rate", "dwh", "Fact_Performance", "time_key")]
+    got = Q.collect_health_checks(spark, t, checks)
+    assert [r[0] for r in got] == [c.name for c in checks]
+    assert [r[1] for r in got] == ["PASS", "ERROR", "PASS"] and len(got[1][2]) == Q.ERROR_DETAIL_CHARS
+
+
+def test_building_the_checks_runs_nothing(spark):
+    bomb = spark.range(1).select(F.raise_error(F.lit("ran")).cast("long").alias("time_key"))
+    Q.run_health_checks(spark, {"dim_time": bomb, "fact_performance": _tables(spark, [])["fact_performance"]})
+    names = [c.name for c in Q.health_suite("warehouse", "marts")]
+    assert names[0] == "warehouse.Dim_Time.row_count" and names[-1].startswith("marts.")
+
+
+def test_offending_values_are_the_twenty_smallest(spark):
+    rows = [(1, 1, 1, 1, 50.0, f"v{i:03d}", "Low") for i in range(60)]
+    c = Q.Check("accepted_values", "dwh", "Fact_Performance", "final_result", accepted=("Pass",))
+    r = Q.run_health_checks(spark, _tables(spark, rows), [c]).first()
+    assert r.detail == "unexpected=[" + ", ".join(f"'v{i:03d}'" for i in range(20)) + "]"
+
+
+def _star_tables(spark):
+    """Every table of the declared tests, empty, with the columns they need."""
+    kinds = {"string": "code_presentation code_module gender disability assessment_type final_result risk_group highest_education".split()}
+    out = {}
+    for t, c, _ in [x for k in ("not_null", "unique", "accepted_values") for x in Q.declared(k)]:
+        out.setdefault(t, {})[c] = "string" if c in kinds["string"] else "long"
+    return {t: spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in cols.items())) for t, cols in out.items()}
+
+
+def test_declared_tests_that_fail(spark):
+    t = _star_tables(spark)
+    fact = t["fact_performance"]
+    t["fact_performance"] = spark.createDataFrame(
+        [{"fact_id": i, "student_key": s, "course_key": 1, "assessment_key": 1, "time_key": 1, "final_result": r, "risk_group": "Low"}
+         for i, s, r in ((1, 1, "Pass"), (1, None, "Lost"), (2, 3, "Gone"), (2, 3, "Lost"), (2, 3, None), (None, 3, "Pass"))], fact.schema)
+    uq = {r.test_name: (r.failures, r.status) for r in Q.declared_unique(t).collect()}
+    assert len(uq) == 8 and uq["unique_fact_performance_fact_id"] == (2, "FAIL") and uq["unique_dim_student_id_student"] == (0, "PASS")
+    nn = {r.test_name: r.failures for r in Q.declared_not_null(t).collect()}
+    assert len(nn) == 41 and nn["not_null_fact_performance_fact_id"] == 1 and nn["not_null_fact_performance_student_key"] == 1
+    av = {r.test_name: r.failures for r in Q.declared_accepted_values(t).collect()}
+    assert len(av) == 23 and av["accepted_values_fact_performance_final_result"] == 2 and sum(av.values()) == 2
+
+
+def test_duplicated_business_keys_and_orphans(spark):
+    dims = {"dim_time": star.dim_time(spark),
+            "dim_course": spark.createDataFrame([(1, "AAA", "2013J"), (2, "AAA", "2013J"), (3, "AAA", None)],
+                                                "course_key long, code_module string, code_presentation string"),
+            "dim_student": spark.createDataFrame([(1, 7), (2, 7), (3, 8), (4, 8), (5, None), (6, None)], "student_key long, id_student long"),
+            "dim_assessment": spark.createDataFrame([(1, 70)], "assessment_key long, id_assessment long")}
+    fact = spark.createDataFrame([(1, 1, 1, 1), (1, 1, 1, 1), (9, 1, 1, 1), (9, 4, 2, 9)], "student_key long, course_key long, assessment_key long, time_key long")
+    got = {r.table_name: r.duplicates for r in Q.unique_keys({**dims, "fact_performance": fact}).collect()}
+    assert got == {"dim_time": 0, "dim_course": 1, "dim_student": 2, "dim_assessment": 0, "fact_performance": 1}
+    fk = {r.constraint_name: r.orphans for r in Q.fk_orphans(fact, dims).collect()}
+    assert fk == {"fk_fact_student_key": 2, "fk_fact_course_key": 1, "fk_fact_assessment_key": 1, "fk_fact_time_key": 1}
+
+
+def test_unique_checks_shuffle_the_fact_once(spark):
+    from conftest import SF_SMALL
+    from edustar.plans.catalog import QUERIES
+    for name in ("dq_declared_unique", "dq_unique"):
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(_i") == 1 and plan.count("Exchange hashpartitioning") <= 1, name
+
+
+def test_ties_keep_values_before_nulls(spark):
+    df = spark.createDataFrame([("AAA", "2013J", None), ("AAA", "2013J", 200), ("BBB", "2013J", None)],
+                               "code_module string, code_presentation string, module_presentation_length int")
+    got = {r.code_module: r.module_presentation_length for r in star.dim_course(df).collect()}
+    assert got == {"AAA": 200, "BBB": None}
+
+
+def test_repeated_enrolments_get_their_own_fact_ids(spark):
+    sa = spark.createDataFrame([(7, 1, 1, 0, 80.0), (7, 1, 1, 0, 80.0), (8, 1, 1, 0, None)], STUDENT_ASSESSMENT)
+    a = spark.createDataFrame([("AAA", "2013J", i, "TMA", 1, 1.0) for i in (7, 8)], ASSESSMENTS)
+    info = spark.createDataFrame([("AAA", "2013J", 1, "M", "r", "e", None, "0-35", 0, 60, "N", r) for r in ("Pass", "Pass", "Fail")], STUDENT_INFO)
+    courses = spark.createDataFrame([("AAA", "2013J", 200)], "code_module string, code_presentation string, module_presentation_length int")
+    silver = {"student_assessment": sa, "assessments": a, "student_info": info, "vle_clicks": S.vle_clicks(spark.createDataFrame([], STUDENT_VLE))}
+    dims = {"dim_time": star.dim_time(spark), "dim_course": star.dim_course(courses), "dim_student": star.dim_student(info),
+            "dim_assessment": star.dim_assessment(a)}
+    f = star.fact_performance(silver, dims).collect()
+    assert len(f) == 9 and sorted(r.fact_id for r in f) == list(range(1, 10))
+    assert [r.final_result for r in sorted(f, key=lambda r: r.fact_id)] == ["Fail"] * 2 + ["Pass"] * 4 + ["Fail"] + ["Pass"] * 2
+
+
 def test_summary_raises_on_fail(spark):
     import pytest
-    res = spark.createDataFrame([("a", "PASS", ""), ("b", "WARN", "")], Q.RESULT_SCHEMA)
-    assert Q.raise_on_failure(res) == {"PASS": 1, "WARN": 1}
-    bad = spark.createDataFrame([("a", "FAIL", "")], Q.RESULT_SCHEMA)
+    assert Q.raise_on_failure([("a", "PASS", ""), ("b", "WARN", "")]) == {"PASS": 1, "WARN": 1}
     with pytest.raises(RuntimeError):
-        Q.raise_on_failure(bad)
+        Q.raise_on_failure([("a", "FAIL", "")])
 
 
 def test_dim_time_seed_is_idempotent(spark):

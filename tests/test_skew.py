@@ -136,9 +136,11 @@ def test_fact_build_shuffle_path_equals_broadcast_path(spark, monkeypatch):
         return star.fact_performance(silver, dims)
 
     want = _sorted(build())
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 0)
     fact = build()
-    plan = fact._jdf.queryExecution().executedPlan().toString()
+    with monkeypatch.context() as m:  # the joins are behind the key's checkpoint: look at them without it
+        m.setattr(star, "dense_key", lambda df, order, key, n=None: df.withColumn(key, F.lit(0)))
+        plan = build()._jdf.queryExecution().executedPlan().toString()
     # Dimensions go through shuffle joins; the hot student and assessment are salted.
     assert "SortMergeJoin [id_student" in plan and "_salt" in plan
     assert _sorted(fact) == want
@@ -167,10 +169,39 @@ def test_expand_copies_in_chunks(spark):
     from edustar.operators import joins
 
     df = spark.createDataFrame([(1, 2500), (2, 1), (3, None), (4, 1024)], "k int, _copies long")
-    got = {r["k"]: r["n"] for r in joins.expand_copies(df).groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    got = {r["k"]: r["n"] for r in joins.expand_copies(df, joins.most_copies(df)).groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == {1: 2500, 2: 1, 3: 1, 4: 1024}
 
 
+def test_a_repeated_enrolment_fans_out_over_all_tasks(spark):
+    """The right side's key holds a third of its rows: the rows it makes are spread evenly."""
+    from edustar.operators import joins
+
+    keys = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set(keys[0], "false")
+    spark.conf.set(keys[1], "-1")
+    try:
+        left = spark.range(3000).select((F.col("id") % 300).alias("k"))
+        right = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 300).alias("k"), F.lit("Pass").alias("r"))
+        c = joins.collapse_copies(right)
+        j = joins.expand_copies(left.join(c, "k", "left"), joins.most_copies(c))
+        per_task = [r["n"] for r in j.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(per_task) == left.join(right, "k", "left").count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(per_task) == 8 and max(per_task) <= 2 * sum(per_task) / 8
+
+
+def test_every_hot_key_is_split_however_many_there_are(spark):
+    from edustar.operators.joins import detect_hot_keys
+
+    df = spark.range(80_000).select(F.when(F.col("id") % 2 == 0, (F.col("id") / 2).cast("long") % 400).otherwise(F.col("id") + 1000).alias("k"))
+    hot = detect_hot_keys(df, ["k"], partitions=2000)  # 400 keys of 0.125 % each, above a share of 0.05 %
+    assert sorted(r["k"] for r in hot.table.collect()) == list(range(400))
+
+
 def test_salt_does_not_depend_on_row_order(spark):
     """A recomputed task sees the same rows of its partition, maybe in another
     order: every row must get the same bucket again (copies included)."""
@@ -198,7 +229,7 @@ def test_landing_join_shuffle_path_equals_broadcast_path(spark, monkeypatch):
 
     t = fixtures.read_tables(spark, SF_SMALL, ["lineitem", "orders"])
     want = _sorted(fixtures.line_grain(fixtures.base_lines(t)))
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)  # orders above the bound, as at scale
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 0)  # orders above the bound, as at scale
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k, None) for k in keys}
     try:

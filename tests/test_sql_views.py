@@ -1,6 +1,8 @@
 """Report SQL runs unchanged in spirit through ``spark.sql`` on the registered views
 and agrees with the DataFrame implementation of the same card."""
 
+from pyspark.sql import functions as F
+
 from edustar.operators import reports as R
 from edustar.plans.warehouse import Warehouse
 from conftest import SF_SMALL
@@ -27,7 +29,10 @@ def test_dashboard_sql_on_views(spark):
     recent = spark.sql("""SELECT COUNT(*) AS recent_failures FROM monitoring_log
         WHERE status IN ('FAIL','ERROR')
           AND checked_at > (SELECT MAX(checked_at) FROM monitoring_log) - INTERVAL 7 DAY""")
-    assert _rows(recent) == _rows(R.log_recent_failures(w.log()))
+    newest = w.log().select(F.max("checked_at")).scalar()
+    assert _rows(recent) == _rows(R.log_recent_failures(w.log(), as_of=newest))
+    now = R.log_recent_failures(w.log())  # by the wall clock
+    assert "current_timestamp" in now._jdf.queryExecution().analyzed().toString()
 
 
 def test_fact_written_sorted_for_data_skipping(spark):

@@ -101,7 +101,7 @@ def main():
         F.when(moved, F.lit(first.id_student)).otherwise(F.col("id_student")).alias("id_student"),
         "date_submitted", "is_banked", "score")
     n = silver["student_assessment"].count()
-    joins.BROADCAST_MAX_ROWS = 0  # every lookup a shuffle join, as above the bound at scale
+    joins.BROADCAST_MAX_BYTES = 0  # every lookup a shuffle join, as above the bound at scale
 
     real_detect = star.detect_hot_keys
     runs = {}

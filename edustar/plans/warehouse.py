@@ -111,7 +111,7 @@ class Warehouse:
             log = lazy.pop("monitoring_log")
             self._put_many({f"bronze_{n}": df for n, df in lazy.items()})
             self._bronze = {n: self._tables[f"bronze_{n}"] for n in lazy}
-            append_log(log, f"{self.root}/monitoring_log")
+            append_log(log, f"{self.root}/monitoring_log", mode="overwrite")  # a layer: a rerun replaces it
             self._bronze["monitoring_log"] = read_log(self.spark, f"{self.root}/monitoring_log")
         return self._bronze
 

@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", os.environ.get("EDUSTAR_DRIVER_MEMORY", "8g")))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
@@ -76,6 +77,8 @@ def cluster_conf(input_bytes: int, shuffle_ratio: float = 0.5) -> dict[str, str]
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * SHUFFLE_PARTITION_BYTES),
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
         "spark.sql.session.timeZone": "UTC",
+        # Checkpoints that nothing refers to any more (dense keys, hot-key lists) are removed.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Tables of one layer are written by concurrent jobs: share the slots
         # between them instead of queueing each behind the first (FIFO).
         "spark.scheduler.mode": "FAIR",

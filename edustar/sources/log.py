@@ -33,9 +33,9 @@ def with_partition_columns(log: DataFrame) -> DataFrame:
     return log.withColumn("year", F.year("checked_at")).withColumn("quarter", F.quarter("checked_at"))
 
 
-def append_log(log_rows: DataFrame, path: str) -> None:
+def append_log(log_rows: DataFrame, path: str, mode: str = "append") -> None:
     """Append to the log table, partitioned by year and quarter so time filters prune folders."""
-    with_partition_columns(log_rows).write.mode("append").partitionBy("year", "quarter").parquet(path)
+    with_partition_columns(log_rows).write.mode(mode).partitionBy("year", "quarter").parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,7 @@ executed (adaptive, final) plan after running the query once.
 
 from __future__ import annotations
 
+import os
 import re
 import sys
 
@@ -41,7 +42,7 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from edustar.plans.catalog import QUERIES
     from edustar.session import local_session
-    spark = local_session(8)
+    spark = local_session(os.environ.get("BENCH_CPUS", "8"))
     cols = ["shuffles", "single_partition", "broadcast_joins", "sort_merge_joins", "windows",
             "nested_loop_or_cartesian", "python", "pushed_filters", "codegen_stages"]
     print(f"# Plan audit\n\nExecuted (final adaptive) plans of every registered query at `{sf_dir}`, "

@@ -1,7 +1,7 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick on folded text, normalised by length.
 
-Folding lower-cases, drops accents from Latin letters, turns homoglyphs of other alphabets and digits used as
-letters into the Latin letter, and every other character that is no letter into a space. The lexicon is
+Folding lower-cases, turns homoglyphs of other alphabets, compatibility forms and digits used as letters into the
+Latin letter, and every other character that is no letter into a space; accents stay, they tell words apart. The lexicon is
 learnt from labelled rows: whole words and word beginnings that occur in many toxic texts, in many different
 contexts, and hardly in clean ones, each with its log odds as weight. Exception phrases are longer
 words or word pairs around a lexicon entry that clean texts use; a match inside one doesn't count. A text's
@@ -20,6 +20,7 @@ scores below 0.5. Repeated rows are scored each; extra columns have no effect.
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
 
 import ahocorasick
 import numpy as np
@@ -34,7 +35,7 @@ from .quality_fm import held_out
 TRAIN_ROWS = 8000
 CANDIDATES = 60_000        # most promising patterns whose use in clean texts is counted
 PREFIXES = (3, 4, 5, 6, 7)
-LEAST_SUPPORT, LEAST_SHARE, LEAST_G = 4, 0.8, 22.0
+LEAST_SUPPORT, LEAST_SHARE, LEAST_G = 4, 0.8, 16.0
 THRESHOLD = 0.5
 
 # Letters of other alphabets, and digits, that stand for a Latin letter.
@@ -42,7 +43,7 @@ HOMOGLYPHS = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "ё": "e", "һ": "h", "і": "i", "ї": "i", "ј": "j", "к": "k", "ӏ": "l",
     "м": "m", "н": "h", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "т": "t", "у": "y", "х": "x", "ѡ": "w",
     "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
-    "ı": "i", "ł": "l", "ø": "o", "đ": "d", "ß": "ss",
+    "ı": "i",
 }
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b"}
 SIGNS = {"@": "a", "$": "s"}  # stand for a letter only between letters
@@ -56,10 +57,9 @@ class _Fold(dict):
         if c in DIGITS:
             out = DIGITS[c]
         else:
-            c = unicodedata.normalize("NFKD", c)
+            c = unicodedata.normalize("NFKC", c).lower()
             c = "".join(HOMOGLYPHS.get(x, x) for x in c if not unicodedata.combining(x))
-            c = c.lower()
-            out = c if c.isalpha() else " "
+            out = c if c.isalpha() or not c else " "
         self[code] = out
         return out
 
@@ -80,6 +80,8 @@ def fold(text: str) -> str:
                     last = at + 1
                 at = text.find(sign, at + 1)
             text = "".join([*parts, text[last:]])
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text)  # one letter per accented letter; other combining marks go
     return " " + text.translate(_FOLD) + " "
 
 
@@ -166,7 +168,9 @@ class Lexicon:
             if hits and len(allowed):
                 free = [(e - len(exceptions[i]) + 1, e) for e, i in allowed.iter(s)]
                 hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b in free)]
-            return sum(weight[i] for _, _, i in hits) / (1 + np.log1p(len(s.split()))) if hits else 0.0
+            uses = Counter(i for _, _, i in hits)
+            # an entry that is repeated counts half as much again, however often: repetition alone isn't toxic
+            return sum(weight[i] * (1.5 if n > 1 else 1.0) for i, n in uses.items()) / (1 + np.log1p(len(s.split()))) if hits else 0.0
         return value
 
     def scores(self):

@@ -67,7 +67,7 @@ def test_a_model_is_the_same_for_another_row_order(spark):
 
 def test_folding():
     assert X.fold("Ѕtup1d iԁiot! tra$h m0r0n").split() == ["stupid", "idiot", "trash", "moron"]
-    assert X.fold("É-ß\na@b") == " e ss aab "
+    assert X.fold("É-ß\na@b") == " é ß aab " and X.fold("e\u0301 ｉｄｉｏｔ a\u0334b") == " é idiot ab "
     assert X.fold("") == "  "
 
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-TEXT_BYTES = 2 << 20  # text handled at once inside a task: bounds the arrays built from it
+TEXT_BYTES = 1 << 20  # text handled at once inside a task: bounds the arrays built from it
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 
+EDGES_PER_TASK = 250_000
+
+
 def local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Nodes and the smallest node that each reaches, of the given edges; roots themselves are left out."""
     nodes, code = np.unique(np.concatenate((a, b)), return_inverse=True)
@@ -55,15 +58,18 @@ def _contract(batches, limit: int = 1 << 20):
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(a, b): every node that isn't the smallest of its component, and that smallest node."""
     e = written(edges.select("a", "b").mapInArrow(_contract, "a long, b long"), "components")
+    parts = max(4, -(-e.count() // EDGES_PER_TASK))  # few edges take few tasks, whatever the shuffles are set to
     mark = None
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # the minima are written: both sides of the join are then plain shuffles, so that Spark can split
+        # the many edges of a hub over tasks (or ship the minima while they are few)
+        low = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).coalesce(parts), "components-low")
+        large = e.join(low.withColumnRenamed("a", "b"), "b").select("a", F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = written(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
-                    .mapInArrow(_contract, "a long, b long").distinct(), "components")
+        e = written(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct().coalesce(parts)
+                    .mapInArrow(_contract, "a long, b long"), "components")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:
             return e

@@ -26,8 +26,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
-    return ngram_join.keep_rows(docs)
+    """Of each group of near copies (0.8 of the shingles of five words) the document with the smallest doc_id stays."""
+    return ngram_join.keep_rows(docs, ngram_join.WORDS5)
 
 
 def pii_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

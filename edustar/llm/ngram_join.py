@@ -1,8 +1,8 @@
 """N-gram Jaccard join: blocked sparse product of the document by n-gram incidence matrix.
 
-Documents are rows, distinct 4-word shingles are columns. Two rows link when their overlap is at least
-85/100 of their union, so a row of n columns has at most p - 1 columns that a linked row lacks, with
-p = n - ceil(0.85 n) + 1. Equal sets are one row. The product is never formed as a whole:
+Documents are rows, distinct shingles of k words are columns. Two rows link when their overlap is at least
+t = num/den of their union, so a row of n columns has at most p - 1 columns that a linked row lacks, with
+p = n - ceil(t n) + 1. ``Rule`` holds k and t. Equal sets are one row. The product is never formed as a whole:
 
 1. Column frequencies, in column blocks. Tasks send packed (column, row) entries; a block counts its columns
    and replies, per row, how many of its columns have which frequency class. A row with p columns of its own
@@ -17,10 +17,10 @@ p = n - ceil(0.85 n) + 1. Equal sets are one row. The product is never formed as
    falls below the bound from its sizes.
 4. The links of all tiles are contracted to components.
 
-Long rows take part in 1 and 2 with the columns of a fixed part of the fingerprint range (``PART``), as long as that
+Long rows take part in 1 and 2 with the columns of a fixed part of the fingerprint range (``Rule.part``), as long as that
 holds 2 p - 1 of them, short rows with all. No linked pair is lost: see ``needed``.
 
-Defined results: null or empty text has n_shingles 0 and is its own component. Fewer than four words: the
+Defined results: null or empty text has n_shingles 0 and is its own component. Fewer than k words: the
 whole sequence is the one shingle. Rows with the same doc_id belong to one component; a row with a null
 doc_id gets its n_shingles and a null component_id, and links nothing. An empty table gives an empty
 result. Only doc_id and text are read. Shingles and sets are compared by 64-bit fingerprints.
@@ -28,6 +28,8 @@ result. Only doc_id and text are read. Shingles and sets are compared by 64-bit
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 import pyspark
@@ -37,9 +39,6 @@ from pyspark.sql import functions as F
 from .common import _M1, chunks, free_name, mix, shingles, table, written
 from .components import components
 
-K = 4
-NUM, DEN = 85, 100
-PART = np.uint64(2 * (1 << 64) // 5)  # columns below it stand for a long row
 POPULAR = 16                          # a column in more rows forms no pairs
 TOP = 6                               # class of popular columns; 0: in one row
 CLASS = np.array([0, 0, 1, 2, 3, 4, 4, 4, 4, 5, 5, 5, 5, 5, 5, 5, 5, TOP])
@@ -48,19 +47,40 @@ BLOCK_ENTRIES = 2_000_000             # entries of a column block
 TILE_ROWS, TILE_CELLS = 1024, 1_500_000  # rows and filled cells of a row block
 BROADCAST_ROWS = 500_000   # lists of rows (at most 60 bytes each) are broadcast up to here, joined by shuffle beyond
 COLUMN_BLOCK = 2048
-_BANDS = np.log(1 / 0.86)  # sizes of one band differ by less than a link allows
 PACKED = "block int, chunk long, payload binary"
 
 
-def own_columns(n: int) -> int:
+class Rule(NamedTuple):
+    """Rows link when their sets of ``k``-word shingles are similar by ``num`` / ``den`` (between 0 and 1) at least."""
+
+    k: int
+    num: int
+    den: int
+
+    @property
+    def part(self) -> np.uint64:
+        """Columns below it stand for a long row: a third more of the range than the 2 p - 1 columns need."""
+        return np.uint64(min((1 << 64) - 1, 8 * (self.den - self.num) * (1 << 64) // (3 * self.den)))
+
+    @property
+    def band(self) -> float:
+        """Sizes of one band differ by less than a link allows."""
+        return 0.92 * np.log(self.den / self.num)
+
+
+OP10 = Rule(4, 85, 100)    # op10's contract
+WORDS5 = Rule(5, 80, 100)  # near copies of a corpus
+
+
+def own_columns(n, rule: Rule = OP10):
     """p: with so many columns that no other row has, a row of n columns links nothing."""
-    return n - (NUM * n + DEN - 1) // DEN + 1
+    return n - (rule.num * n + rule.den - 1) // rule.den + 1
 
 
-def taken_part(s: np.ndarray) -> tuple[np.ndarray, bool]:
+def taken_part(s: np.ndarray, rule: Rule = OP10) -> tuple[np.ndarray, bool]:
     """The columns with which a row takes part in the column blocks, and whether these are all."""
-    part = s[: np.searchsorted(s, PART)]
-    return (part, False) if len(part) >= 2 * own_columns(len(s)) - 1 else (s, True)
+    part = s[: np.searchsorted(s, rule.part)]
+    return (part, False) if len(part) >= 2 * own_columns(len(s), rule) - 1 else (s, True)
 
 
 def needed(level: np.ndarray, need: np.ndarray, whole: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -107,25 +127,27 @@ def set_id(s: np.ndarray) -> int:
     return int(mix(mix(s).sum(dtype=np.uint64, keepdims=True) ^ (np.full(1, len(s), np.uint64) * _M1)).view(np.int64)[0])
 
 
-def _meta(batches):
+def _meta(rule: Rule):
     """doc_id, n and set fingerprint of every row."""
-    for b, texts in chunks(batches):
-        sets = shingles(texts, K)
-        yield pa.RecordBatch.from_arrays(
-            [b.column(b.schema.get_field_index("doc_id")), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else 0 for s in sets], pa.int64())],
-            names=["doc_id", "n", "node"])
+    def run(batches):
+        for b, texts in chunks(batches):
+            sets = shingles(texts, rule.k)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(b.schema.get_field_index("doc_id")), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else 0 for s in sets], pa.int64())],
+                names=["doc_id", "n", "node"])
+    return run
 
 
-def _taken(batches):
+def _taken(batches, rule: Rule):
     """(doc_id, other columns of the row, all its shingles, taken columns, whole) of rows whose set is the listed one."""
     for b, texts in chunks(batches):
         cols = {f: b.column(k).to_pylist() for k, f in enumerate(b.schema.names) if f != "text"}
-        for k, s in enumerate(shingles(texts, K)):
+        for k, s in enumerate(shingles(texts, rule.k)):
             if len(s) and set_id(s) == cols["node"][k]:
-                yield {f: v[k] for f, v in cols.items()}, s, *taken_part(s)
+                yield {f: v[k] for f, v in cols.items()}, s, *taken_part(s, rule)
 
 
-def _chunks_of(batches, size: int):
+def _chunks_of(batches, size: int, rule: Rule):
     """Rows of a task in chunks of about ``size`` entries: chunk number, rows, sorted columns and each one's row."""
     task = pyspark.TaskContext.get().partitionId() << 24
     held, n, turn = [], 0, 0
@@ -136,7 +158,7 @@ def _chunks_of(batches, size: int):
         order = np.argsort(x, kind="stable")
         return task + turn, held, x[order], row[order]
 
-    for one in _taken(batches):
+    for one in _taken(batches, rule):
         held.append(one)
         n += len(one[2])
         if n >= size:
@@ -151,10 +173,10 @@ def _packed(rows):
     return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(c, pa.int64()), pa.array(p, pa.binary())], names=["block", "chunk", "payload"])
 
 
-def _send_counts(bits: int, size: int):
+def _send_counts(bits: int, size: int, rule: Rule):
     """Entries for the column blocks; per chunk, under a negative block, its rows."""
     def run(batches):
-        for chunk, held, x, row in _chunks_of(batches, size):
+        for chunk, held, x, row in _chunks_of(batches, size, rule):
             first, times = _runs(x)
             often = np.repeat(times > POPULAR, times)  # popular already here: one entry stands for all
             popular = np.bincount(row[often], minlength=len(held)).astype(np.uint32)
@@ -175,19 +197,19 @@ def _low(h: np.ndarray, bits: int) -> np.ndarray:
     return (h >> np.uint64(32 - bits)).astype(np.uint32)  # the 32 bits after the block's
 
 
-def _classes(x: np.ndarray, popular: np.ndarray, block: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _classes(x: np.ndarray, popular: np.ndarray, block: int, bits: int, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Order of the entries by column, and the class of each in that order."""
     order = np.argsort(x, kind="stable")
     y = x[order]
     first, times = _runs(y)
     kind = CLASS[np.minimum(times, POPULAR + 1)]
     kind[np.isin(y[first], popular)] = TOP
-    outside = ((np.uint64(block) << np.uint64(32)) | y[first].astype(np.uint64)) >= (PART >> np.uint64(32 - bits))
+    outside = ((np.uint64(block) << np.uint64(32)) | y[first].astype(np.uint64)) >= (rule.part >> np.uint64(32 - bits))
     kind[outside & (kind == 0)] = 1  # long rows don't show these columns, so none is known to be a row's own
     return order, np.repeat(kind, times)
 
 
-def _reply(bits: int):
+def _reply(bits: int, rule: Rule):
     """Column block: per chunk and row, the number of its columns of each class (at most 255, a lower number does no harm)."""
     def run(block: pa.Table) -> pa.Table:
         k = block.column("block")[0].as_py()
@@ -195,7 +217,7 @@ def _reply(bits: int):
         if k < 0:
             return pa.table({"chunk": chunk, "kind": np.zeros(len(chunk), np.int32), "payload": pa.array(pay, pa.binary())})
         parts = [_arrays(p, np.uint32, np.uint32, np.uint32, np.uint8, np.uint32) for p in pay]
-        order, kind = _classes(np.concatenate([p[0] for p in parts]), np.unique(np.concatenate([p[2] for p in parts])), k, bits)
+        order, kind = _classes(np.concatenate([p[0] for p in parts]), np.unique(np.concatenate([p[2] for p in parts])), k, bits, rule)
         back = np.empty(len(order), np.int64)
         back[order] = kind
         out, at = [], 0
@@ -208,30 +230,32 @@ def _reply(bits: int):
     return run
 
 
-def _histograms(chunk: pa.Table) -> pa.Table:
+def _histograms(rule: Rule):
     """A chunk's replies added up: doc_id, level, need and whole of its rows; level -1: links nothing."""
-    kind = np.array(chunk.column("kind").to_numpy())
-    pay = chunk.column("payload").to_pylist()
-    ids, n, whole, popular = _arrays(pay[int(np.flatnonzero(kind == 0)[0])], np.int64, np.uint32, np.uint8, np.uint32)
-    h = np.zeros((len(ids), TOP + 1), np.int64)
-    for k in np.flatnonzero(kind == 1):
-        h += np.frombuffer(pay[k], np.uint8).reshape(h.shape)
-    h[:, TOP] += popular
-    p = n.astype(np.int64) - (NUM * n.astype(np.int64) + DEN - 1) // DEN + 1
-    sums = np.cumsum(h, 1)
-    level = np.where(sums[:, -1] >= p, (sums >= p[:, None]).argmax(1), TOP)
-    m = sums[np.arange(len(ids)), level]
-    own = sums[:, 0] >= p
-    level[whole == 1] = TOP
-    m = np.where(whole == 1, n, m)
-    level[own] = -1
-    return pa.table({"doc_id": ids, "level": level.astype(np.int32), "need": np.maximum(m - p + 1, 1), "whole": whole == 1})
-
-
-def _send_taken(bits: int, size: int):
+    def run(chunk: pa.Table) -> pa.Table:
+        kind = np.array(chunk.column("kind").to_numpy())
+        pay = chunk.column("payload").to_pylist()
+        ids, n, whole, popular = _arrays(pay[int(np.flatnonzero(kind == 0)[0])], np.int64, np.uint32, np.uint8, np.uint32)
+        h = np.zeros((len(ids), TOP + 1), np.int64)
+        for k in np.flatnonzero(kind == 1):
+            h += np.frombuffer(pay[k], np.uint8).reshape(h.shape)
+        h[:, TOP] += popular
+        p = own_columns(n.astype(np.int64), rule)
+        sums = np.cumsum(h, 1)
+        level = np.where(sums[:, -1] >= p, (sums >= p[:, None]).argmax(1), TOP)
+        m = sums[np.arange(len(ids)), level]
+        own = sums[:, 0] >= p
+        level[whole == 1] = TOP
+        m = np.where(whole == 1, n, m)
+        level[own] = -1
+        return pa.table({"doc_id": ids, "level": level.astype(np.int32), "need": np.maximum(m - p + 1, 1), "whole": whole == 1})
+    return run
+
+
+def _send_taken(bits: int, size: int, rule: Rule):
     """Entries with their rows' levels and bounds; edges inside the task under a negative block."""
     def run(batches):
-        for chunk, held, x, row in _chunks_of(batches, size):
+        for chunk, held, x, row in _chunks_of(batches, size, rule):
             ids = np.array([h[0]["doc_id"] for h in held], np.int64)
             n = np.array([len(h[1]) for h in held], np.uint32)
             level = np.array([h[0]["level"] for h in held], np.int8)
@@ -244,7 +268,7 @@ def _send_taken(bits: int, size: int):
             px, pr = px[keep], pr[keep]
             order = np.lexsort((pr, n[pr], px))
             px, pr = px[order], pr[order]
-            band = (np.log(n[pr]) / _BANDS).astype(np.int32)
+            band = (np.log(n[pr]) / rule.band).astype(np.int32)
             same = (px[1:] == px[:-1]) & (band[1:] == band[:-1])
             inner = np.zeros(len(px), bool)
             inner[1:-1] = same[1:] & same[:-1]
@@ -261,7 +285,7 @@ def _send_taken(bits: int, size: int):
     return run
 
 
-def _share(bits: int):
+def _share(bits: int, rule: Rule):
     """Column block: pairs of rows with the taken columns they share (need 0: connected over a popular column)."""
     def run(block: pa.Table) -> pa.Table:
         k = block.column("block")[0].as_py()
@@ -275,7 +299,7 @@ def _share(bits: int):
         n, need, whole = n.astype(np.int64), need.astype(np.int64), whole == 1
         x = np.concatenate([p[0] for p in parts])
         row = np.concatenate([p[1].astype(np.int64) + b for p, b in zip(parts, base)])
-        order, kind = _classes(x, np.unique(np.concatenate([p[2] for p in parts])), k, bits)
+        order, kind = _classes(x, np.unique(np.concatenate([p[2] for p in parts])), k, bits, rule)
         x, row = x[order], row[order]
         # popular columns: rows along their sizes
         top = (kind == TOP) & (level[row] == TOP)
@@ -283,7 +307,7 @@ def _share(bits: int):
         pr = np.concatenate([row[top], *(p[4].astype(np.int64) + b for p, b in zip(parts, base))])
         order = np.lexsort((pr, n[pr], px))
         px, pr = px[order], pr[order]
-        ok = (px[1:] == px[:-1]) & (n[pr[:-1]] * DEN >= n[pr[1:]] * NUM)
+        ok = (px[1:] == px[:-1]) & (n[pr[:-1]] * rule.den >= n[pr[1:]] * rule.num)
         strong = np.unique(np.stack((pr[:-1][ok], pr[1:][ok]), 1), axis=0)
         # other columns: all pairs
         some = (kind > 0) & (kind < TOP) & (kind <= level[row])
@@ -298,7 +322,7 @@ def _share(bits: int):
                 a.append(r[:, i].ravel())
                 b.append(r[:, j].ravel())
         a, b = np.concatenate(a), np.concatenate(b)
-        fit = np.minimum(n[a], n[b]) * DEN >= np.maximum(n[a], n[b]) * NUM
+        fit = np.minimum(n[a], n[b]) * rule.den >= np.maximum(n[a], n[b]) * rule.num
         pair, times = np.unique(a[fit] * np.int64(len(ids)) + b[fit], return_counts=True)
         a, b = pair // max(1, len(ids)), pair % max(1, len(ids))
         least = needed(level, need, whole, a, b)
@@ -318,39 +342,39 @@ def _listed(docs: DataFrame, rows: DataFrame, n: int) -> DataFrame:
     return docs.join(F.broadcast(rows) if n <= BROADCAST_ROWS else rows, "doc_id")
 
 
-def _levels(docs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+def _levels(docs: DataFrame, rows: DataFrame, name: str, rule: Rule) -> DataFrame:
     """Listed rows with level, need and whole, from the column frequencies among them."""
     n = rows.agg(F.count("*"), F.sum("n")).first()
     bits = _bits((n[1] or 0) // 2)
-    sent = _listed(docs, rows.select("doc_id", "node"), n[0]).mapInArrow(_send_counts(bits, FLUSH), PACKED)
-    replies = sent.groupBy("block").applyInArrow(_reply(bits), "chunk long, kind int, payload binary")
-    found = replies.groupBy("chunk").applyInArrow(_histograms, "doc_id long, level int, need long, whole boolean")
+    sent = _listed(docs, rows.select("doc_id", "node"), n[0]).mapInArrow(_send_counts(bits, FLUSH, rule), PACKED)
+    replies = sent.groupBy("block").applyInArrow(_reply(bits, rule), "chunk long, kind int, payload binary")
+    found = replies.groupBy("chunk").applyInArrow(_histograms(rule), "doc_id long, level int, need long, whole boolean")
     found = found.groupBy("doc_id").agg(F.max(F.struct("level", "need", "whole")).alias("x"))  # one of a repeated row
     return written(rows.select("doc_id", "node", "n").join(found, "doc_id").select("doc_id", "node", "n", "x.*"), name)
 
 
-def _candidates(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _candidates(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """(a, b) of rows to multiply, as doc_ids: pairs that reach their bound, and edges over popular columns."""
-    rows = _levels(docs, nodes, "ngram-rows").where("level >= 0")
-    rows = _levels(docs, rows, "ngram-levels")
+    rows = _levels(docs, nodes, "ngram-rows", rule).where("level >= 0")
+    rows = _levels(docs, rows, "ngram-levels", rule)
     n = rows.agg(F.count("*"), F.sum("n")).first()
     bits = _bits((n[1] or 0) // 2)
-    sent = _listed(docs, rows.select("doc_id", "node", "level", "need", "whole"), n[0]).mapInArrow(_send_taken(bits, FLUSH), PACKED)
-    shared = sent.groupBy("block").applyInArrow(_share(bits), "a long, b long, times long, need long")
+    sent = _listed(docs, rows.select("doc_id", "node", "level", "need", "whole"), n[0]).mapInArrow(_send_taken(bits, FLUSH, rule), PACKED)
+    shared = sent.groupBy("block").applyInArrow(_share(bits, rule), "a long, b long, times long, need long")
     return shared.groupBy("a", "b").agg(F.sum("times").alias("times"), F.max("need").alias("need"), F.min("need").alias("least")) \
         .where("least = 0 OR times >= need").select("a", "b")
 
 
-def link_roots(sets: list[np.ndarray]) -> np.ndarray:
+def link_roots(sets: list[np.ndarray], rule: Rule = OP10) -> np.ndarray:
     """Of each row, the first row that it reaches by links, from the blocked product of the rows with themselves."""
-    m = len(sets)
+    m, num, den = len(sets), rule.num, rule.den
     n = np.array([len(s) for s in sets], np.int64)
     root = np.arange(m)
     if m < 2:
         return root
     if m == 2:
         o = len(np.intersect1d(*sets, assume_unique=True))
-        root[1] = 0 if o * DEN >= NUM * (n.sum() - o) else 1
+        root[1] = 0 if o * den >= num * (n.sum() - o) else 1
         return root
     doc = np.repeat(np.arange(m), n)
     col, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -358,8 +382,8 @@ def link_roots(sets: list[np.ndarray]) -> np.ndarray:
     order = np.argsort(code[shared], kind="stable")
     doc, code = doc[shared][order], code[shared][order]
     left = np.bincount(doc, minlength=m)
-    need = NUM * (n[:, None] + n[None, :])
-    live = np.triu(np.minimum(n[:, None], n[None, :]) * DEN >= np.maximum(n[:, None], n[None, :]) * NUM, 1)
+    need = num * (n[:, None] + n[None, :])
+    live = np.triu(np.minimum(n[:, None], n[None, :]) * den >= np.maximum(n[:, None], n[None, :]) * num, 1)
     over = np.zeros((m, m), np.float32)
     rows = np.arange(m)
     link_a, link_b = [], []
@@ -375,7 +399,7 @@ def link_roots(sets: list[np.ndarray]) -> np.ndarray:
         a[d[d >= 0], c[d >= 0]] = 1
         over += a @ a.T
         bound = over + np.minimum(left[rows][:, None], left[rows][None, :])
-        live &= bound * (DEN + NUM) >= need
+        live &= bound * (den + num) >= need
         keep = np.flatnonzero(live.any(0) | live.any(1))
         if not len(keep):
             rows = rows[:0]
@@ -384,7 +408,7 @@ def link_roots(sets: list[np.ndarray]) -> np.ndarray:
             grid = np.ix_(keep, keep)
             rows, over, live, need = rows[keep], over[grid], live[grid], need[grid]
     if len(rows):
-        i, j = np.nonzero(live & (over * (DEN + NUM) >= need))
+        i, j = np.nonzero(live & (over * (den + num) >= need))
         link_a, link_b = rows[i], rows[j]
     while len(link_a):
         low = np.minimum(root[link_a], root[link_b])
@@ -398,26 +422,28 @@ def link_roots(sets: list[np.ndarray]) -> np.ndarray:
     return root
 
 
-def _multiply(tile: pa.Table) -> pa.Table:
+def _multiply(rule: Rule):
     """Links inside one tile, as (row, first row that it reaches)."""
-    ids = tile.column("node").to_numpy()
-    comp = tile.column("comp").to_numpy()
-    out_a, out_b, sets = [], [], []
-    for b, texts in chunks(tile.select(["text"]).to_batches()):
-        sets += shingles(texts, K)
-    ok = np.array([len(s) > 0 and set_id(s) == i for s, i in zip(sets, ids)], bool)  # not another row of that doc_id
-    order = np.flatnonzero(ok)
-    order = order[np.lexsort((ids[order], comp[order]))]
-    if len(order):
-        first = np.concatenate(([True], ids[order][1:] != ids[order][:-1]))
-        order = order[first]
-        for group in np.split(order, np.flatnonzero(np.diff(comp[order])) + 1):
-            root = link_roots([sets[i] for i in group])
-            linked = root != np.arange(len(group))
-            out_a.append(ids[group[linked]])
-            out_b.append(ids[group[root[linked]]])
-    z = [np.zeros(0, np.int64)]
-    return pa.table({"a": np.concatenate(out_a + z), "b": np.concatenate(out_b + z)})
+    def run(tile: pa.Table) -> pa.Table:
+        ids = tile.column("node").to_numpy()
+        comp = tile.column("comp").to_numpy()
+        out_a, out_b, sets = [], [], []
+        for b, texts in chunks(tile.select(["text"]).to_batches()):
+            sets += shingles(texts, rule.k)
+        ok = np.array([len(s) > 0 and set_id(s) == i for s, i in zip(sets, ids)], bool)  # not another row of that doc_id
+        order = np.flatnonzero(ok)
+        order = order[np.lexsort((ids[order], comp[order]))]
+        if len(order):
+            first = np.concatenate(([True], ids[order][1:] != ids[order][:-1]))
+            order = order[first]
+            for group in np.split(order, np.flatnonzero(np.diff(comp[order])) + 1):
+                root = link_roots([sets[i] for i in group], rule)
+                linked = root != np.arange(len(group))
+                out_a.append(ids[group[linked]])
+                out_b.append(ids[group[root[linked]]])
+        z = [np.zeros(0, np.int64)]
+        return pa.table({"a": np.concatenate(out_a + z), "b": np.concatenate(out_b + z)})
+    return run
 
 
 def _tiles(docs: DataFrame, nodes: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -440,14 +466,14 @@ def _tiles(docs: DataFrame, nodes: DataFrame, candidates: DataFrame) -> DataFram
     return _listed(docs, rows, total[0])
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
+def near_groups(docs: DataFrame, rule: Rule = OP10) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    meta = written(docs.mapInArrow(_meta, "doc_id long, n long, node long"), "ngram-meta")
+    meta = written(docs.mapInArrow(_meta(rule), "doc_id long, n long, node long"), "ngram-meta")
     real = meta.where("n > 0 AND doc_id IS NOT NULL")
     nodes = real.groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"))
-    candidates = components(_candidates(docs, nodes))
-    links = _tiles(docs, nodes, candidates).groupBy("g", "i", "j").applyInArrow(_multiply, "a long, b long")
+    candidates = components(_candidates(docs, nodes, rule))
+    links = _tiles(docs, nodes, candidates).groupBy("g", "i", "j").applyInArrow(_multiply(rule), "a long, b long")
     same_id = real.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b != top")
     repeated = real.join(same_id, "doc_id").where("node != b").select(F.col("node").alias("a"), "b")
     found = components(written(links.unionByName(repeated), "ngram-links"))
@@ -463,9 +489,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     return out.unionByName(rest)
 
 
-def keep_rows(docs: DataFrame) -> DataFrame:
+def keep_rows(docs: DataFrame, rule: Rule = OP10) -> DataFrame:
     """The documents without near copies: of each component the row with the smallest doc_id stays."""
-    groups = written(near_groups(docs), "ngram-groups")
+    groups = written(near_groups(docs, rule), "ngram-groups")
     other = free_name(docs, "_drop_id")
     drop = groups.where("doc_id != component_id").select(F.col("doc_id").alias(other)).distinct()
     n = drop.count()
@@ -473,4 +499,4 @@ def keep_rows(docs: DataFrame) -> DataFrame:
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(table(spark, sf_dir, "documents"))
+    return near_groups(table(spark, sf_dir, "documents"), OP10)

@@ -162,6 +162,35 @@ def test_candidates_of_many_chunks_and_popular_columns(spark, monkeypatch, flush
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in N.near_groups(d).collect()) == near_brute(rows)
 
 
+def shared_brute(rows, k, num, den):
+    sets = {i: shingle_set(t, k) for i, t in rows}
+    ids = sorted(sets)
+    links = [(i, j) for i in ids for j in ids if i < j and sets[i] and sets[j]
+             and den * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j])]
+    return least_reachable(ids, links)
+
+
+@pytest.mark.parametrize("rule", [(5, 80, 100), (3, 6, 10)])
+@pytest.mark.parametrize("seed", [1, 7])
+def test_components_of_other_rules_equal_brute_force(spark, monkeypatch, seed, rule):
+    monkeypatch.setattr(N, "BLOCK_ENTRIES", 2000)
+    rows = near_rows(seed, 120)
+    low = shared_brute(rows, *rule)
+    assert low != shared_brute(rows, 4, 85, 100)
+    got = N.near_groups(docs_of(spark, rows), N.Rule(*rule)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted((i, len(shingle_set(t, rule[0])), low[i]) for i, t in rows)
+
+
+def test_the_pipeline_stage_links_five_words_at_four_fifths(spark):
+    import corpus_pipeline
+    rows = near_rows(3, 150)
+    low = shared_brute(rows, 5, 80, 100)
+    kept = sorted(i for i in low if low[i] == i)
+    assert kept != sorted(i for i, k in shared_brute(rows, 4, 85, 100).items() if i == k)
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"]
+    assert sorted(r.doc_id for r in stage(spark, docs_of(spark, rows, clash=True), "").collect()) == kept
+
+
 def test_components_of_random_graphs(spark):
     r = random.Random(4)
     for n, m in ((1, 0), (60, 30), (200, 180)):

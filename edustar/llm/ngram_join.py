@@ -455,15 +455,15 @@ def _tiles(docs: DataFrame, nodes: DataFrame, candidates: DataFrame) -> DataFram
     bundles = max(1, -(-(total[1] or 0) // (TILE_CELLS // 2)), -(-total[0] // (2 * TILE_ROWS)))
     parts = F.greatest(F.ceil(F.count("*") / TILE_ROWS), F.ceil(F.sum("n") / TILE_CELLS)).cast("int").alias("parts")
     size = rows.groupBy("comp").agg(parts)
-    rows = rows.join(size, "comp")
+    rows = _listed(docs, rows.join(size, "comp").select("doc_id", "node", "comp", "parts"), total[0])
+    # copies for the tiles are made after the join: the list has one entry per row, however large its group
     i = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     rows = rows.withColumn("i", i).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     alone = F.col("parts") == 1
-    rows = rows.select(
-        "doc_id", "node", "comp",
+    return rows.select(
+        "doc_id", "text", "node", "comp",
         F.when(alone, F.pmod(F.xxhash64("comp"), F.lit(bundles))).otherwise(F.col("comp")).alias("g"),
         F.when(alone, -1).otherwise(F.least("i", "o")).alias("i"), F.when(alone, -1).otherwise(F.greatest("i", "o")).alias("j"))
-    return _listed(docs, rows, total[0])
 
 
 def near_groups(docs: DataFrame, rule: Rule = OP10) -> DataFrame:

@@ -191,6 +191,17 @@ def test_the_pipeline_stage_links_five_words_at_four_fifths(spark):
     assert sorted(r.doc_id for r in stage(spark, docs_of(spark, rows, clash=True), "").collect()) == kept
 
 
+def test_lists_joined_with_texts_have_no_more_rows_than_counted(spark, monkeypatch):
+    monkeypatch.setattr(N, "TILE_ROWS", 4)
+    seen, listed = [], N._listed
+    monkeypatch.setattr(N, "_listed", lambda docs, rows, n: seen.append((rows.count(), n)) or listed(docs, rows, n))
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join([*base, f"end{i}"])) for i in range(40)]  # one group, ten tiles wide
+    got = N.near_groups(docs_of(spark, rows)).collect()
+    assert len(got) == 40 and {r.component_id for r in got} == {0}
+    assert seen and all(have <= n for have, n in seen)
+
+
 def test_components_of_random_graphs(spark):
     r = random.Random(4)
     for n, m in ((1, 0), (60, 30), (200, 180)):

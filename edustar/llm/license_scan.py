@@ -5,6 +5,12 @@ everything but letters and numbers becomes one space, and the set of neighbourin
 dice = 2 * shared / (pairs of the passage + pairs of the template). A dice of t needs the passage to have
 between t / (2 - t) and (2 - t) / t times the template's pairs; other templates are never compared.
 
+Notices inside longer lines or wrapped over several are found as spans: runs of 4/5, 1 or 5/4 times a template's
+pairs that begin at one of them, over line ends. Of spans that begin within a template's length of each other the best
+one is a row, its passage the negated number of its first word. Lines that are reported are left out of spans, and so
+is a template that the whole text reports. ``BODIES`` are compared with spans only. A text is cut into words for this
+when it has one of ``_keys`` (without them no span reaches the threshold) and two thirds of some template's pairs.
+
 Only DataFrame functions, no join and no shuffle: the templates are literals. One row per passage and template
 of at least the threshold.
 
@@ -56,6 +62,37 @@ TEMPLATES = [
 ]
 
 
+_MIT = (TEMPLATES[2][1] + " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+        "Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+        "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE "
+        "OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_BSD = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED "
+        "TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+        "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+        "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+        "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_BSD_TERMS = (TEMPLATES[15][1] + " 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+              "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+              "disclaimer in the documentation and/or other materials provided with the distribution. ")
+# Whole texts and file headers (numbered after TEMPLATES). The long licences (GPL, LGPL, MPL, Apache, CC) have their notices only.
+BODIES = [
+    ("MIT", _MIT),
+    ("BSD-2-Clause", _BSD_TERMS + _BSD),
+    ("BSD-3-Clause", _BSD_TERMS + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+                     "derived from this software without specific prior written permission. " + _BSD),
+    ("GPL-3.0", TEMPLATES[6][1] + " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+                "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("Apache-2.0", TEMPLATES[4][1] + " Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+                   "\"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+                   "governing permissions and limitations under the License."),
+]
+# Words taken first as keys; then the longest ones.
+_RARE = ["mit", "apache", "gnu", "cc", "mozilla", "attribution", "noncommercial", "sharealike", "sublicense", "noninfringement", "merchantability",
+         "unencumbered", "redistribute", "redistribution", "redistributions", "licensed", "license", "licenses", "lesser", "copyright", "software"]
+
+
 def template_pairs(text: str) -> list[str]:
     w = re.sub(r"[\W_]+", " ", text.lower()).split()
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:])))
@@ -70,6 +107,76 @@ def bounds(pairs: int, t: float) -> tuple[int, int]:
     return math.ceil(pairs * t / (2 - t) - 1e-9), math.floor(pairs * (2 - t) / t + 1e-9)
 
 
+def _keys(templates, t: float) -> list[str]:
+    """Words of which every span of dice t has one: without them more pairs of the template are missing than may be."""
+    out = []
+    for _, text in templates:
+        pairs = [p.split() for p in template_pairs(text)]
+        free = len(pairs) - bounds(len(pairs), t)[0]  # pairs that may be missing
+        for word in sorted({w for p in pairs for w in p}, key=lambda w: (w not in out, _RARE.index(w) if w in _RARE else len(_RARE), -len(w), w)):
+            if sum(1 for p in pairs if set(p) & set(out)) > free:
+                break
+            if word not in out:
+                out.append(word)
+    return out
+
+
+def _pairs_of(w: Column) -> Column:
+    n = F.greatest(F.size(w) - 1, F.lit(0))
+    return F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+def _dice(a: Column, b: Column) -> Column:
+    """Dice of two arrays of distinct pairs."""
+    return F.size(F.array_intersect(a, b)) * 2.0 / (F.size(a) + F.size(b))
+
+
+def spans(docs: DataFrame, templates=TEMPLATES, bodies=BODIES, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of notices that are neither a line nor the whole text: passage is the negated number of the first word."""
+    every = [(i, name, text, p) for i, (name, text) in enumerate([*templates, *bodies]) if (p := template_pairs(text))]
+    lits = lambda p: F.array(*map(F.lit, p))
+    if not every:
+        return docs.limit(0).select("doc_id", F.lit(0).alias("passage"), F.lit(0).alias("template"), F.lit("").alias("license"), F.lit(0.0).alias("dice"))
+    keys = "|".join(_keys([(n, x) for _, n, x, _ in every], threshold))
+    some = docs.where(F.col("text").isNotNull() & F.lower("text").rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{keys})(?![\p{{L}}\p{{N}}])"))
+    some = some.select("doc_id", F.transform(F.split("text", "\n"), normalised).alias("lines"))
+    cut = lambda lines: F.filter(F.split(F.array_join(lines, " "), " "), lambda x: x != "")
+    some = some.withColumn("whole", F.array_distinct(_pairs_of(cut(F.col("lines"))))) \
+        .withColumn("hits", F.array_intersect("whole", lits(dict.fromkeys(x for *_, p in every for x in p))))
+    met = []
+    for i, name, text, p in every:
+        enough = F.size(F.array_intersect("hits", lits(p))) >= bounds(len(p), threshold)[0]
+        if i < len(templates):  # not what the whole text reports
+            enough &= (F.size("lines") == 1) | (_dice(F.col("whole"), lits(p)) < threshold)
+        words = len(re.sub(r"[\W_]+", " ", text).split()) - 1
+        met.append(F.when(enough, F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), lits(p).alias("p"), F.lit(words).alias("len"))))
+    some = some.select("doc_id", "lines", F.filter(F.array(*met), lambda m: m.isNotNull()).alias("met")).where(F.size("met") > 0)
+    short = [lits(p) for i, _, _, p in every if i < len(templates)]
+
+    def rest(line: Column) -> Column:
+        own = F.array_distinct(_pairs_of(F.split(line, " ")))
+        said = F.exists(F.array(*short), lambda p: _dice(own, p) >= threshold) if short else F.lit(False)
+        return F.when(said, F.regexp_replace(line, "[^ ]+", "|")).otherwise(line)
+
+    some = some.select("doc_id", "met", _pairs_of(cut(F.transform("lines", rest))).alias("all"))
+    some = some.select("doc_id", "all", F.explode("met").alias("m")).select("doc_id", "all", "m.*")
+    at = F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda k: F.array_contains(F.col("p"), F.get(F.col("all"), k)))
+    some = some.withColumn("at", at)
+
+    def best(k: Column) -> Column:
+        runs = [F.array_distinct(F.slice("all", k + 1, n.cast("int"))) for n in (F.ceil(F.col("len") * 0.8), F.col("len"), F.floor(F.col("len") * 1.25))]
+        return F.struct(k.alias("s"), F.greatest(*(_dice(x, F.col("p")) for x in runs)).alias("dice"))
+
+    some = some.withColumn("found", F.filter(F.transform("at", best), lambda x: x["dice"] >= threshold)).where(F.size("found") > 0)
+
+    def top(x: Column, i: Column) -> Column:
+        near = F.slice("found", F.greatest(i + 1 - F.col("len"), F.lit(1)), F.col("len") * 2)
+        return ~F.exists(near, lambda y: (F.abs(y["s"] - x["s"]) < F.col("len")) & ((y["dice"] > x["dice"]) | ((y["dice"] == x["dice"]) & (y["s"] < x["s"]))))
+
+    return some.select("doc_id", "template", "license", F.explode(F.filter("found", top)).alias("x")) \
+        .select("doc_id", (-1 - F.col("x.s")).alias("passage"), "template", "license", "x.dice")
+
+
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, passage (line number from 1, 0: the whole text), template (its number), license, dice."""
     known = [(i, name, p) for i, (name, text) in enumerate(templates) if (p := template_pairs(text))]
@@ -96,6 +203,12 @@ def op5_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op5_license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5_license_dice and the span rows, which its SQL doesn't define."""
+    docs = table(spark, sf_dir, "documents")
+    return scan(docs).unionByName(spans(docs))
+
+
 def _sql() -> str:
     quoted = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(TEMPLATES))
     words = r"string_split(trim(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ')"

@@ -1,6 +1,7 @@
 import gzip
 import math
 import random
+import textwrap
 
 import duckdb
 import numpy as np
@@ -130,6 +131,32 @@ def test_size_bounds_lose_nothing():
             assert low <= a <= high
 
 
+def test_wrapped_and_embedded_notices_are_spans(spark):
+    def wrap(text, width):
+        return "\n".join(textwrap.wrap(text, width))
+    code = "\n".join(f"value_{i} = compute(x{i}, y{i})" for i in range(40))
+    mit, gpl = L.BODIES[0][1], L.TEMPLATES[6][1]
+    rows = [(1, "Copyright (c) 2020 Some Body\n\n" + wrap(mit, 79) + "\n" + code), (2, wrap(gpl, 60) + "\n" + code),
+            (3, code + "\nThe code is released under the MIT License and may be read by all who like it.\n" + code),
+            (4, "words before\n" + "Released under the MIT License.\n" + code), (5, code + "\nThe software is copyright of its maker, a license is not given."),
+            (6, code + "\n" + wrap(gpl, 50) + "\n" + code + "\n" + wrap(gpl, 70)), (None, None), (7, ""), (8, wrap(gpl, 60))]
+    found = [(r.doc_id, r.template, r.license, round(r.dice, 6)) for r in L.spans(docs_of(spark, rows)).collect()]
+    assert {(1, 19, "MIT", 1.0), (2, 6, "GPL-3.0", 1.0), (3, 0, "MIT", 1.0)} <= set(found)
+    assert found.count((6, 6, "GPL-3.0", 1.0)) == 2
+    assert not {i for i, *_ in found} & {4, 5, 7, 8}  # 4 and 8 are reported as line and whole text
+    assert not {r.doc_id for r in L.scan(docs_of(spark, rows)).collect()} & {1, 2, 3, 6}
+
+
+def test_spans_query_has_the_lines_and_a_native_plan(spark, tmp_path):
+    rows = [*LICENSED, (11, "Some maker's words\nare released under\nthe MIT License and go on\nfor a while.")]
+    docs_of(spark, rows).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    d = L.op5_license_spans(spark, str(tmp_path))
+    got = set(map(tuple, d.collect()))
+    assert got - set(map(tuple, L.op5_license_dice(spark, str(tmp_path)).collect())) == {(11, -6, 0, "MIT", 1.0)}
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
 def test_license_plan_is_native(spark):
     from conftest import SF_SMALL
     plan = L.op5_license_dice(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()

@@ -71,20 +71,19 @@ def ship(spark: SparkSession) -> None:
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = TEXT_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut Arrow batches into slices of about ``limit`` bytes of text; null text becomes empty.
 
-    A text longer than ``limit`` makes a slice of its own and is never cut.
+    The slices are found in the offsets, so only one slice's texts are Python objects at a time. A text longer
+    than ``limit`` makes a slice of its own and is never cut.
     """
     for b in batches:
-        raw = b.column(b.schema.get_field_index(text))
-        raw = raw.cast(pa.large_binary()) if not pa.types.is_large_binary(raw.type) else raw
-        vals = [v or b"" for v in raw.to_pylist()]
-        start = size = 0
-        for i, v in enumerate(vals):
-            if i > start and size + len(v) > limit:
-                yield b.slice(start, i - start), vals[start:i]
-                start, size = i, 0
-            size += len(v)
-        if start < len(vals):
-            yield b.slice(start, len(vals) - start), vals[start:]
+        raw = b.column(b.schema.get_field_index(text)).cast(pa.large_binary())
+        if not len(raw):
+            continue
+        at = np.frombuffer(raw.buffers()[1], np.int64, len(raw) + 1, raw.offset * 8)
+        start = 0
+        while start < len(raw):
+            end = max(start + 1, int(np.searchsorted(at, at[start] + limit, "right")) - 1)
+            yield b.slice(start, end - start), [v or b"" for v in raw.slice(start, end - start).to_pylist()]
+            start = end
 
 
 # --- word fingerprints ---------------------------------------------------------------------------

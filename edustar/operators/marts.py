@@ -4,6 +4,8 @@ Rules kept from the report definitions: STDDEV is the population one; the
 clicks/score correlation is the moment formula (``moment_corr``); rounded
 values go through ``round_dec``; the result-share window runs over the
 already-aggregated groups (a handful of rows per course), not the fact.
+Distinct students are counted as sets of dense student keys (``keysets``),
+so no student ids are shuffled.
 """
 
 from __future__ import annotations
@@ -12,53 +14,57 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edustar.functions.expr import moment_corr, round_dec
+from edustar.operators.keysets import with_distinct_count
 
 col = F.col
 
 
+def _with_students(grouped: DataFrame, stg: DataFrame, by: list[str]) -> DataFrame:
+    return with_distinct_count(grouped, stg, by, "student_key", "num_students")
+
+
 def _rate(value: str):
     return round_dec(F.avg(F.when(col("final_result") == value, 1.0).otherwise(0.0)) * 100, 2)
 
 
 def result_by_module(stg: DataFrame) -> DataFrame:
-    g = (stg.groupBy("code_module", "code_presentation", "presentation_label", "final_result")
-         .agg(F.count_distinct("id_student").alias("num_students"),
-              F.count(F.lit(1)).alias("num_submissions")))
+    by = ["code_module", "code_presentation", "presentation_label", "final_result"]
+    g = _with_students(stg.groupBy(*by).agg(F.count(F.lit(1)).alias("num_submissions")), stg, by)
     course = Window.partitionBy("code_module", "code_presentation")
     share = col("num_submissions").cast("double") * 100.0 / F.sum("num_submissions").over(course)
     return g.withColumn("pct_submissions", round_dec(share, 2))
 
 
 def score_by_gender(stg: DataFrame) -> DataFrame:
-    return (stg.filter(col("score").isNotNull())
-            .groupBy("gender", "assessment_type", "code_presentation", "presentation_label")
-            .agg(F.count_distinct("id_student").alias("num_students"),
-                 F.count(F.lit(1)).alias("num_submissions"),
-                 round_dec(F.avg("score"), 2).alias("avg_score"),
-                 round_dec(F.min("score"), 2).alias("min_score"),
-                 round_dec(F.max("score"), 2).alias("max_score"),
-                 round_dec(F.stddev_pop("score"), 2).alias("stddev_score")))
+    by = ["gender", "assessment_type", "code_presentation", "presentation_label"]
+    scored = stg.filter(col("score").isNotNull())
+    return _with_students(scored.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("num_submissions"),
+        round_dec(F.avg("score"), 2).alias("avg_score"),
+        round_dec(F.min("score"), 2).alias("min_score"),
+        round_dec(F.max("score"), 2).alias("max_score"),
+        round_dec(F.stddev_pop("score"), 2).alias("stddev_score")), scored, by)
 
 
 def education_impact(stg: DataFrame) -> DataFrame:
-    return (stg.groupBy("highest_education", "assessment_type", "code_presentation", "presentation_label")
-            .agg(F.count_distinct("id_student").alias("num_students"),
-                 F.count(F.lit(1)).alias("num_submissions"),
-                 round_dec(F.avg("score"), 2).alias("avg_score"),
-                 _rate("Pass").alias("pass_rate_pct"),
-                 _rate("Distinction").alias("distinction_rate_pct"),
-                 _rate("Withdrawn").alias("withdrawn_rate_pct")))
+    by = ["highest_education", "assessment_type", "code_presentation", "presentation_label"]
+    return _with_students(stg.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("num_submissions"),
+        round_dec(F.avg("score"), 2).alias("avg_score"),
+        _rate("Pass").alias("pass_rate_pct"),
+        _rate("Distinction").alias("distinction_rate_pct"),
+        _rate("Withdrawn").alias("withdrawn_rate_pct")), stg, by)
 
 
 def vle_engagement(stg: DataFrame) -> DataFrame:
-    return (stg.filter(col("score").isNotNull())
-            .groupBy("risk_group", "code_presentation", "presentation_label")
-            .agg(F.count_distinct("id_student").alias("num_students"),
-                 F.count(F.lit(1)).alias("num_submissions"),
-                 round_dec(F.avg("total_clicks"), 2).alias("avg_total_clicks"),
-                 round_dec(F.avg("score"), 2).alias("avg_score"),
-                 round_dec(F.stddev_pop("total_clicks"), 2).alias("stddev_clicks"),
-                 round_dec(moment_corr("total_clicks", "score"), 3).alias("corr_clicks_score")))
+    by = ["risk_group", "code_presentation", "presentation_label"]
+    scored = stg.filter(col("score").isNotNull())
+    return _with_students(scored.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("num_submissions"),
+        round_dec(F.avg("total_clicks"), 2).alias("avg_total_clicks"),
+        round_dec(F.avg("score"), 2).alias("avg_score"),
+        round_dec(F.stddev_pop("total_clicks"), 2).alias("stddev_clicks"),
+        round_dec(moment_corr("total_clicks", "score"), 3).alias("corr_clicks_score")), scored, by)
 
 
 def risk_order():

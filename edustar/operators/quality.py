@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from edustar.operators.joins import sized_broadcast
+from edustar.operators.keysets import duplicated, missing
 from edustar.schemas import (ASSESSMENT_TYPES, DISABILITY, FINAL_RESULTS, GENDERS, RISK_GROUPS,
                              VALID_PRESENTATIONS)
 
@@ -298,19 +298,18 @@ def declared_accepted_values(tables: dict[str, DataFrame]) -> DataFrame:
     return _with_status(reduce(DataFrame.unionByName, parts))
 
 
-def _duplicated(parts: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Per part (numbered by ``_i``) how many key values occur more than once: one exchange for all parts."""
-    per_key = reduce(DataFrame.unionByName, parts).groupBy("_i", *keys).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(*[F.count_if((col("_i") == i) & (col("_n") > 1)).alias(f"f{i}") for i in range(len(parts))])
+def _numbered(found: DataFrame, n: int) -> DataFrame:
+    """One row with the failures of part 0..n-1 as f0..; parts without a row have none."""
+    return found.agg(*[F.coalesce(F.max(F.when(col("_i") == i, col("failures"))), F.lit(0)).cast("long").alias(f"f{i}") for i in range(n)])
 
 
 def declared_unique(tables: dict[str, DataFrame]) -> DataFrame:
-    """All unique tests. Every tested column is a number, so all of them go through one exchange."""
+    """All unique tests. Every tested column is a number: sets of keys against row counts (``keysets.duplicated``)."""
     tests = [(t, c) for t, c, _ in declared("unique")]
-    parts = [tables[t].where(col(c).isNotNull()).select(F.lit(i).alias("_i"), col(c).cast("long").alias("_k"))
-             for i, (t, c) in enumerate(tests)]
+    parts = [tables[t].select(F.lit(i).alias("_i"), col(c).cast("long").alias("_k")) for i, (t, c) in enumerate(tests)]
     items = ", ".join(f"'unique_{t}_{c}', '{t}', '{c}', f{i}" for i, (t, c) in enumerate(tests))
-    return _with_status(_duplicated(parts, ["_k"]).selectExpr(
+    found = duplicated(reduce(DataFrame.unionByName, parts), "_i", "_k")
+    return _with_status(_numbered(found, len(tests)).selectExpr(
         f"stack({len(tests)}, {items}) AS (test_name, model, column_name, failures)"))
 
 
@@ -324,18 +323,29 @@ UNIQUE_KEYS = [
 ]
 
 
+def _pair_number(df: DataFrame, a: str, b: str) -> Column:
+    """Two whole-number keys as one: neighbouring values of ``b`` stay neighbours."""
+    ends = df.select(F.min(b).alias("low"), F.max(b).alias("high"))
+    low, high = ends.select("low").scalar(), ends.select("high").scalar()
+    return col(a) * (high - low + 1) + col(b) - low
+
+
 def unique_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    """Duplicated business keys per table: text keys and number keys side by side, so one exchange serves all tables."""
-    parts = []
+    """Duplicated business keys per table: number keys as sets, text keys (few rows) counted by value."""
+    numbers, texts = [], []
     for i, (t, ks) in enumerate(UNIQUE_KEYS):
         kind = {c: k for c, k in tables[t].dtypes}
-        slots = {s: F.lit(None).cast(k) for s, k in (("_n0", "long"), ("_n1", "long"), ("_s0", "string"), ("_s1", "string"))}
-        for j, c in enumerate(ks):
-            slots[f"_s{j}" if kind[c] == "string" else f"_n{j}"] = col(c)
         df = tables[t].where(reduce(Column.__and__, [col(c).isNotNull() for c in ks]))
-        parts.append(df.select(F.lit(i).alias("_i"), *[v.cast("string" if s[1] == "s" else "long").alias(s) for s, v in slots.items()]))
+        if any(kind[c] == "string" for c in ks):
+            texts.append(df.select(F.lit(i).alias("_i"), F.to_json(F.array(*[col(c).cast("string") for c in ks])).alias("_k")))
+        else:
+            key = col(ks[0]) if len(ks) == 1 else _pair_number(tables[t], *ks)
+            numbers.append(df.select(F.lit(i).alias("_i"), key.cast("long").alias("_k")))
+    found = duplicated(reduce(DataFrame.unionByName, numbers), "_i", "_k")
+    by_value = reduce(DataFrame.unionByName, texts).groupBy("_i", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    found = found.unionByName(by_value.groupBy("_i").agg(F.count_if(col("_n") > 1).alias("failures")))
     items = ", ".join(f"'{t}', '{','.join(ks)}', f{i}" for i, (t, ks) in enumerate(UNIQUE_KEYS))
-    return _duplicated(parts, ["_n0", "_n1", "_s0", "_s1"]).selectExpr(
+    return _numbered(found, len(UNIQUE_KEYS)).selectExpr(
         f"stack({len(UNIQUE_KEYS)}, {items}) AS (table_name, key_columns, duplicates)")
 
 
@@ -344,19 +354,15 @@ FOREIGN_KEYS = [("student_key", "dim_student"), ("course_key", "dim_course"),
 
 
 def fk_orphans(fact: DataFrame, dims: dict[str, DataFrame], sizes: dict | None = None) -> DataFrame:
-    """Fact rows whose surrogate key has no dimension row, per foreign key (anti joins).
+    """Fact rows whose surrogate key has no dimension row, per foreign key.
 
-    The fact is first reduced to one row per key value with its row count
-    (map-side partial aggregate), so the anti join sees each key once: a key
-    holding a third of the fact is one row, not a third of the join input.
+    One scan of the fact makes the sets of its keys (``keysets``), which must lie within the dimensions' sets;
+    only keys of words with a gap are counted and looked up.
     """
-    sizes = sizes or {}
-    parts = []
-    for key, dim in FOREIGN_KEYS:
-        d = sized_broadcast(dims[dim].select(key), known_rows=sizes.get(dim))
-        per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        n = (per_key.join(d, key, "left_anti")
-             .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("orphans")))
-        parts.append(n.select(F.lit(f"fk_fact_{key}").alias("constraint_name"),
-                              F.lit(dim).alias("ref_table"), col("orphans")))
-    return reduce(DataFrame.unionByName, parts)
+    each = lambda df, keys: df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_i"), col(k).cast("long").alias("_k")) for i, k in keys])).alias("x")).select("x.*")
+    keys = each(fact, [(i, k) for i, (k, _) in enumerate(FOREIGN_KEYS)])
+    known = reduce(DataFrame.unionByName, [each(dims[d], [(i, k)]) for i, (k, d) in enumerate(FOREIGN_KEYS)])
+    items = ", ".join(f"'fk_fact_{k}', '{d}', f{i}" for i, (k, d) in enumerate(FOREIGN_KEYS))
+    return _numbered(missing(keys, known, "_i", "_k"), len(FOREIGN_KEYS)).selectExpr(
+        f"stack({len(FOREIGN_KEYS)}, {items}) AS (constraint_name, ref_table, orphans)")

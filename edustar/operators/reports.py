@@ -1,10 +1,10 @@
 """Report cards over the fact, the dimensions, the marts and the check log.
 
-Cards that group the fact by a dimension attribute first reduce the fact to
-one row per (dimension key, final_result) with a map-side partial
-aggregate, then join that (at most a few rows per student or course) to the
-dimension. The join input no longer grows with submissions, and the rates
-come out exactly as avg(CASE ... 100.0 ELSE 0.0) would: 100·k / n.
+The cards that group the fact by attributes of the student or the course read one cube (``report_cube``): the fact is
+scanned once and reduced to one row per (student, course, final result) by a map-side partial aggregate, joined to both
+dimensions, and rolled up to every card's grouping in one grouping-sets pass. Distinct students are
+sets of dense student keys (``keysets``), which add up. The rates come out exactly as avg(CASE ... 100.0 ELSE 0.0)
+would: 100 * k / n.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from edustar.functions.expr import PASSED, credit_band, pass_rate_pct, rate_pct, round_dec
 from edustar.operators.joins import sized_broadcast
+from edustar.operators.keysets import bit_of, key_sets, size, word_of
 
 col = F.col
 
@@ -48,43 +49,79 @@ def ordered(name: str, card: DataFrame) -> DataFrame:
     return card.orderBy(*[col(k[1:]).desc() if k[0] == "-" else col(k).asc() for k in keys]) if keys else card
 
 
-# --- helpers -------------------------------------------------------------------
-def by_key_and_result(fact: DataFrame, key: str, with_clicks: bool = False) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if with_clicks:
-        aggs += [F.sum("total_clicks").alias("clicks_sum"), F.count("total_clicks").alias("clicks_n")]
-    return fact.groupBy(key, "final_result").agg(*aggs)
-
-
-def _rate_from_counts(cond: Column) -> Column:
-    """100 · (rows meeting cond) / rows, from pre-aggregated counts; null cond counts as 0."""
-    hit = F.sum(F.when(cond, col("n")).otherwise(F.lit(0)))
-    return hit.cast("double") * 100.0 / F.sum("n").cast("double")
-
+# --- the cube ------------------------------------------------------------------
+# Groupings of the cards over the fact.
+CUBE_SETS = {
+    "imd": ["imd_band"],
+    "education": ["highest_education"],
+    "region": ["region"],
+    "disability_result": ["disability", "final_result"],
+    "age_education": ["age_band", "highest_education"],
+    "attempts": ["num_of_prev_attempts"],
+    "credits_result": ["credit_band", "final_result"],
+    "module": ["code_module"],
+    "module_presentation": ["code_module", "code_presentation"],
+}
+CUBE_COLUMNS = list(dict.fromkeys(c for s in CUBE_SETS.values() for c in s))
 
-def _pass_rate_counts() -> Column:
-    return _rate_from_counts(col("final_result").isin(*PASSED))
 
+def _grouping_ids(columns: list[str], extra: list[str]) -> dict[str, int]:
+    """grouping_id() of each set: a bit per column that is rolled up, the first column's highest."""
+    return {name: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in [*s, *extra]) for name, s in CUBE_SETS.items()}
 
-def _student_counts(fact: DataFrame, dim_student: DataFrame, sizes: dict | None) -> DataFrame:
-    rolled = by_key_and_result(fact, "student_key")
-    ds = sized_broadcast(dim_student, known_rows=(sizes or {}).get("dim_student"))
-    return rolled.join(ds, "student_key")
 
+def report_cube(fact: DataFrame, dim_student: DataFrame, dim_course: DataFrame, sizes: dict | None = None) -> DataFrame:
+    """A row per grouping (``grouping``, a name in CUBE_SETS) and group.
 
-def _course_counts(fact: DataFrame, dim_course: DataFrame, sizes: dict | None) -> DataFrame:
-    rolled = by_key_and_result(fact, "course_key", with_clicks=True)
-    dc = sized_broadcast(dim_course, known_rows=(sizes or {}).get("dim_course"))
-    return rolled.join(dc, "course_key")
+    n, passed: fact rows with a student, and those that passed; students: different students; course_n, course_passed: the
+    same over rows with a course; clicks_sum, clicks_n: clicks of those; days: course length summed over them.
+    """
+    sizes = sizes or {}
+    reduced = fact.groupBy("student_key", "course_key", "final_result").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total_clicks").alias("clicks_sum"), F.count("total_clicks").alias("clicks_n"))
+    ds = dim_student.select("student_key", F.lit(True).alias("_s"), "imd_band", "highest_education", "region", "disability", "age_band",
+                            "num_of_prev_attempts", credit_band().alias("credit_band"))
+    dc = dim_course.select("course_key", F.lit(True).alias("_c"), "code_module", "code_presentation", "module_presentation_length")
+    j = reduced.join(sized_broadcast(dc, known_rows=sizes.get("dim_course")), "course_key", "left") \
+        .join(sized_broadcast(ds, known_rows=sizes.get("dim_student")), "student_key", "left")
+    word, passed = "_word", col("final_result").isin(*PASSED)
+    j = j.select(*CUBE_COLUMNS, word_of("student_key").alias(word), F.when(col("_s"), bit_of("student_key")).alias("_bit"),
+                 F.when(col("_s"), col("n")).alias("n"), F.when(col("_s") & passed, col("n")).alias("passed"),
+                 F.when(col("_c"), col("n")).alias("course_n"), F.when(col("_c") & passed, col("n")).alias("course_passed"),
+                 F.when(col("_c"), col("clicks_sum")).alias("clicks_sum"), F.when(col("_c"), col("clicks_n")).alias("clicks_n"),
+                 (F.when(col("_c"), col("n")) * col("module_presentation_length")).alias("days"))
+    sums = ["n", "passed", "course_n", "course_passed", "clicks_sum", "clicks_n", "days"]
+    ids = _grouping_ids([*CUBE_COLUMNS, word], [word])
+    # first per word of 64 students, then without: the sets of students are counted in between
+    part = j.groupingSets([[*s, word] for s in CUBE_SETS.values()], *CUBE_COLUMNS, word).agg(
+        F.grouping_id().alias("_g"), F.bit_or("_bit").alias("_bits"), *[F.sum(c).alias(c) for c in sums])
+    name = F.create_map(*[F.lit(x) for k, v in ids.items() for x in (v, k)])
+    return part.groupBy(name[col("_g").cast("int")].alias("grouping"), *CUBE_COLUMNS).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums], F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0)).alias("students"))
+
+
+def _groups(cube: DataFrame, name: str) -> DataFrame:
+    """The rows of one grouping that have facts."""
+    n = "course_n" if CUBE_SETS[name][0] == "code_module" else "n"
+    return cube.where((col("grouping") == name) & (col(n) > 0))
+
+
+def _share(k: str, n: str) -> Column:
+    return col(k).cast("double") * 100.0 / col(n).cast("double")
 
 
 def _rate1(c: Column, name: str = "pass_rate_pct") -> Column:
     return round_dec(c, 1).alias(name)
 
 
+def _passing(cube: DataFrame, name: str, *more: Column | str) -> DataFrame:
+    """The pass rate of each group of a grouping by student attributes."""
+    return _groups(cube, name).select(*CUBE_SETS[name], *more, _rate1(_share("passed", "n")))
+
+
 # --- executive / demographic cards over fact and Dim_Student ---------------
 def total_students(dim_student: DataFrame) -> DataFrame:
-    return dim_student.agg(F.count_distinct("id_student").alias("total_students"))
+    return key_sets(dim_student, [], "id_student").agg(size().alias("total_students"))
 
 
 def overall_rates(fact: DataFrame) -> DataFrame:
@@ -94,74 +131,65 @@ def overall_rates(fact: DataFrame) -> DataFrame:
                     _rate1(rate_pct(fr == "Withdrawn"), "withdrawn_rate"))
 
 
-def pass_rate_by_imd(fact, dim_student, sizes=None):
-    ds = dim_student.filter(col("imd_band").isNotNull() & (col("imd_band") != ""))
-    return (_student_counts(fact, ds, sizes).groupBy("imd_band")
-            .agg(_rate1(_pass_rate_counts())))
+def pass_rate_by_imd(cube):
+    return _passing(cube.where(col("imd_band").isNotNull() & (col("imd_band") != "")), "imd")
 
 
-def pass_rate_by_education(fact, dim_student, sizes=None):
-    return (_student_counts(fact, dim_student, sizes).groupBy("highest_education")
-            .agg(_rate1(_pass_rate_counts()), F.count_distinct("student_key").alias("num_students")))
+def pass_rate_by_education(cube):
+    return _passing(cube, "education", col("students").alias("num_students"))
 
 
-def pass_rate_by_region(fact, dim_student, sizes=None):
-    return (_student_counts(fact, dim_student, sizes).groupBy("region")
-            .agg(_rate1(_pass_rate_counts())))
+def pass_rate_by_region(cube):
+    return _passing(cube, "region")
 
 
-def disability_by_result(fact, dim_student, sizes=None):
-    return (_student_counts(fact, dim_student, sizes).groupBy("disability", "final_result")
-            .agg(F.sum("n").alias("n")))
+def disability_by_result(cube):
+    return _groups(cube, "disability_result").select("disability", "final_result", "n")
 
 
-def pass_rate_age_education(fact, dim_student, sizes=None):
-    return (_student_counts(fact, dim_student, sizes).groupBy("age_band", "highest_education")
-            .agg(_rate1(_pass_rate_counts())))
+def pass_rate_age_education(cube):
+    return _passing(cube, "age_education")
 
 
-def pass_rate_prior_attempts(fact, dim_student, sizes=None):
-    return (_student_counts(fact, dim_student, sizes).groupBy("num_of_prev_attempts")
-            .agg(F.count_distinct("student_key").alias("num_students"), _rate1(_pass_rate_counts())))
+def pass_rate_prior_attempts(cube):
+    return _passing(cube, "attempts", col("students").alias("num_students"))
 
 
-def credits_by_result(fact, dim_student, sizes=None):
-    return (_student_counts(fact, dim_student, sizes)
-            .groupBy(credit_band().alias("credit_band"), "final_result")
-            .agg(F.sum("n").alias("n")))
+def credits_by_result(cube):
+    return _groups(cube, "credits_result").select("credit_band", "final_result", "n")
 
 
 def student_funnel(fact: DataFrame, dim_student: DataFrame) -> DataFrame:
     """Registered → submitted ≥ 1 → passed → distinction, one row per step.
 
-    One pass over the fact: a flag row per student (partial aggregate), then
-    the flags are summed; the registered count is a scalar subquery on the
-    dimension. ``stack`` unpivots the single row into the four steps.
+    One pass over the fact: three sets of student keys (words of 64 keys, a map-side aggregate), whose sizes
+    are added up; the registered count is a scalar subquery on the dimension. ``stack`` unpivots the single row
+    into the four steps.
     """
-    fr = col("final_result")
-    flags = (fact.groupBy("student_key")
-             .agg(F.max(col("score").isNotNull().cast("int")).alias("s"),
-                  F.max(fr.isin(*PASSED).cast("int")).alias("p"),
-                  F.max((fr == "Distinction").cast("int")).alias("d")))
+    fr, bit = col("final_result"), bit_of("student_key")
+    sets = (fact.groupBy(word_of("student_key"))
+            .agg(F.bit_or(F.when(col("score").isNotNull(), bit)).alias("s"),
+                 F.bit_or(F.when(fr.isin(*PASSED), bit)).alias("p"),
+                 F.bit_or(F.when(fr == "Distinction", bit)).alias("d")))
     registered = dim_student.select(F.count(F.lit(1))).scalar()
-    totals = flags.agg(F.coalesce(F.sum("s"), F.lit(0)).cast("long").alias("s"),
-                       F.coalesce(F.sum("p"), F.lit(0)).cast("long").alias("p"),
-                       F.coalesce(F.sum("d"), F.lit(0)).cast("long").alias("d"))
+    totals = sets.agg(*[F.coalesce(F.sum(F.bit_count(c)), F.lit(0)).cast("long").alias(c) for c in "spd"])
     totals = totals.withColumn("r", registered)
     return totals.select(F.expr(
         "stack(4, 'Registered', 1, r, 'Submitted >= 1', 2, s, 'Passed', 3, p, 'Distinction', 4, d)"
         " AS (step, sort_order, students)"))
 
 
-# --- module cards over fact and Dim_Course ---------------------------------
-def pass_rate_by_module(fact, dim_course, sizes=None):
-    return (_course_counts(fact, dim_course, sizes).groupBy("code_module")
-            .agg(_rate1(_pass_rate_counts())))
+# --- module cards ------------------------------------------------------------
+def _module_rate() -> Column:
+    return _share("course_passed", "course_n")
+
+
+def pass_rate_by_module(cube):
+    return _groups(cube, "module").select("code_module", _rate1(_module_rate()))
 
 
-def _module_label(fact, dim_course, sizes, ascending: bool, name: str) -> DataFrame:
-    g = (_course_counts(fact, dim_course, sizes).groupBy("code_module")
-         .agg(_pass_rate_counts().alias("_rate")))
+def _module_label(cube, ascending: bool, name: str) -> DataFrame:
+    g = _groups(cube, "module").select("code_module", _module_rate().alias("_rate"))
     label = F.concat(col("code_module"), F.lit(" ("),
                      round_dec(col("_rate"), 1).cast("decimal(5,1)").cast("string"),
                      F.lit("% pass)"))
@@ -170,30 +198,27 @@ def _module_label(fact, dim_course, sizes, ascending: bool, name: str) -> DataFr
     return g.orderBy(order, col("code_module").asc()).limit(1).select(label.alias(name))
 
 
-def best_module(fact, dim_course, sizes=None):
-    return _module_label(fact, dim_course, sizes, False, "best_module")
+def best_module(cube):
+    return _module_label(cube, False, "best_module")
 
 
-def worst_module(fact, dim_course, sizes=None):
-    return _module_label(fact, dim_course, sizes, True, "worst_module")
+def worst_module(cube):
+    return _module_label(cube, True, "worst_module")
 
 
-def pass_rate_module_presentation(fact, dim_course, sizes=None):
-    return (_course_counts(fact, dim_course, sizes).groupBy("code_module", "code_presentation")
-            .agg(_rate1(_pass_rate_counts())))
+def pass_rate_module_presentation(cube):
+    return _groups(cube, "module_presentation").select("code_module", "code_presentation", _rate1(_module_rate()))
 
 
-def module_length_vs_pass(fact, dim_course, sizes=None):
-    # Length averaged per fact row: weight each course by its row count.
-    w_len = F.sum(col("module_presentation_length") * col("n")).cast("double") / F.sum("n").cast("double")
-    return (_course_counts(fact, dim_course, sizes).groupBy("code_module")
-            .agg(round_dec(w_len, 0).alias("avg_length_days"), _rate1(_pass_rate_counts())))
+def module_length_vs_pass(cube):
+    # Length averaged per fact row: each course is weighted by its row count.
+    length = col("days").cast("double") / col("course_n").cast("double")
+    return _groups(cube, "module").select("code_module", round_dec(length, 0).alias("avg_length_days"), _rate1(_module_rate()))
 
 
-def clicks_per_module(fact, dim_course, sizes=None):
-    avg_clicks = F.sum("clicks_sum").cast("double") / F.sum("clicks_n").cast("double")
-    return (_course_counts(fact, dim_course, sizes).groupBy("code_module")
-            .agg(round_dec(avg_clicks, 0).alias("avg_clicks_per_record")))
+def clicks_per_module(cube):
+    clicks = col("clicks_sum").cast("double") / F.nullif(col("clicks_n"), F.lit(0)).cast("double")
+    return _groups(cube, "module").select("code_module", round_dec(clicks, 0).alias("avg_clicks_per_record"))
 
 
 def score_by_assessment_type_module(fact, dim_course, dim_assessment, sizes=None):
@@ -211,7 +236,7 @@ def score_by_assessment_type_module(fact, dim_course, dim_assessment, sizes=None
 
 # --- cards over the marts ----------------------------------------------------
 def at_risk_count(mart_at_risk: DataFrame) -> DataFrame:
-    return mart_at_risk.agg(F.count_distinct("id_student").alias("at_risk_count"))
+    return key_sets(mart_at_risk, [], "id_student").agg(size().alias("at_risk_count"))
 
 
 def _top_at_risk(mart_at_risk: DataFrame, n: int, with_education: bool) -> DataFrame:

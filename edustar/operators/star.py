@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from edustar.functions.expr import risk_band
 from edustar.operators.joins import (HOT_SEED, HotKeys, collapse_copies, detect_hot_keys, expand_copies,
                                      lookup_join, most_copies)
-from edustar.operators.keys import dense_key, first_per_key, partitions_for
+from edustar.operators.keys import dense_key, first_per_key, histogram_key, partitions_for
 
 ENROLMENT = ["id_student", "code_module", "code_presentation"]
 
@@ -169,19 +169,22 @@ def fact_performance(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
         def hot_on(*keys):
             return lambda: detect_hot_keys(fb, list(keys), sizes.get("fact_base"))
 
+    def with_keys(f: DataFrame) -> DataFrame:
+        for dim, keys, out in [("dim_time", ["code_presentation"], "time_key"),
+                               ("dim_course", ["code_module", "code_presentation"], "course_key"),
+                               ("dim_assessment", ["id_assessment"], "assessment_key"),
+                               ("dim_student", ["id_student"], "student_key")]:
+            f = lookup_join(f, dims[dim].select(*keys, out), keys, small_rows=sizes.get(dim),
+                            hot=hot_on(*keys))
+        return f
+
     scored = (with_score_vs_avg(fb, n_asm, hot_on("id_assessment"))
               .withColumn("risk_group", risk_band()))
-    f = scored
-    for dim, keys, out in [("dim_time", ["code_presentation"], "time_key"),
-                           ("dim_course", ["code_module", "code_presentation"], "course_key"),
-                           ("dim_assessment", ["id_assessment"], "assessment_key"),
-                           ("dim_student", ["id_student"], "student_key")]:
-        f = lookup_join(f, dims[dim].select(*keys, out), keys, small_rows=sizes.get(dim),
-                        hot=hot_on(*keys))
     # fact_id: a dense key over the grain. A repeated enrolment or submission fans out to rows
-    # that agree in both keys, so the measures and at last the row's place break ties.
-    f = f.select(*FACT_COLUMNS[1:]).withColumn("_place", F.monotonically_increasing_id())
-    return dense_key(f, [*FACT_ORDER, "_place"], "fact_id").select(*FACT_COLUMNS)
+    # that agree in both keys, so the measures decide among them. The counting pass reads the business keys only.
+    keyed = with_keys(fb.select("id_student", "id_assessment", "code_module", "code_presentation"))
+    return histogram_key(with_keys(scored).select(*FACT_COLUMNS[1:]), *FACT_ORDER[:2], FACT_ORDER[2:], "fact_id",
+                         keys=keyed).select(*FACT_COLUMNS)
 
 
 def staging(fact: DataFrame, dims: dict[str, DataFrame], sizes: dict[str, int] | None = None) -> DataFrame:

@@ -23,6 +23,7 @@ from edustar.operators import reports as R
 from edustar.operators import silver as S
 from edustar.operators import star
 from edustar.operators.joins import detect_hot_keys, expand_copies, most_copies, skew_join
+from edustar.operators.keysets import with_distinct_count
 from edustar.plans.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,10 +124,10 @@ def _fact(spark, sf_dir):
 @query("risk_group_distribution")
 def _risk(spark, sf_dir):
     f = W(spark, sf_dir).fact()
-    return (f.groupBy("risk_group")
-            .agg(F.count(F.lit(1)).alias("num_submissions"),
-                 F.count_distinct("student_key").alias("num_students"),
-                 round_dec(F.avg("score"), 2).alias("avg_score")))
+    g = (f.groupBy("risk_group")
+         .agg(F.count(F.lit(1)).alias("num_submissions"),
+              round_dec(F.avg("score"), 2).alias("avg_score")))
+    return with_distinct_count(g, f, ["risk_group"], "student_key", "num_students")
 
 
 @query("stg_fact_performance")
@@ -155,19 +156,17 @@ def _corr(spark, sf_dir):
 
 
 # --- reports ----------------------------------------------------------------------
-def _fact_dim(fn, dim: str):
+def _cube_card(fn):
     def run(spark, sf_dir):
-        w = W(spark, sf_dir)
-        return fn(w.fact(), w.dims()[dim], w.sizes)
+        return fn(W(spark, sf_dir).cube())
     return run
 
 
 for _n in ("pass_rate_by_imd", "pass_rate_by_education", "pass_rate_by_region", "disability_by_result",
-           "pass_rate_age_education", "pass_rate_prior_attempts", "credits_by_result"):
-    QUERIES[_n] = _fact_dim(getattr(R, _n), "dim_student")
-for _n in ("pass_rate_by_module", "best_module", "worst_module", "pass_rate_module_presentation",
+           "pass_rate_age_education", "pass_rate_prior_attempts", "credits_by_result",
+           "pass_rate_by_module", "best_module", "worst_module", "pass_rate_module_presentation",
            "module_length_vs_pass", "clicks_per_module"):
-    QUERIES[_n] = _fact_dim(getattr(R, _n), "dim_course")
+    QUERIES[_n] = _cube_card(getattr(R, _n))
 
 
 @query("score_by_assessment_type_module")

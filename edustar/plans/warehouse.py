@@ -17,6 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from edustar.operators import marts as M
+from edustar.operators import reports as R
 from edustar.operators import silver as S
 from edustar.operators import star
 from edustar.operators.joins import HotKeys, detect_hot_keys, fits_broadcast
@@ -195,6 +196,14 @@ class Warehouse:
             self._put(name, M.ordered(name, M.MARTS[name](self.staging())))
         return self._tables[name]
 
+    @_locked
+    def cube(self) -> DataFrame:
+        """The report cards' groupings of the fact, rolled up in one pass and written once (a few hundred rows)."""
+        if "report_cube" not in self._tables:
+            d = self.dims()
+            self._put("report_cube", R.report_cube(self.fact(), d["dim_student"], d["dim_course"], self.sizes).coalesce(1))
+        return self._tables["report_cube"]
+
     def log(self) -> DataFrame:
         """The check log, written by the append sink in year/quarter folders."""
         return self.bronze()["monitoring_log"]

@@ -23,7 +23,7 @@ def test_dashboard_sql_on_views(spark):
         FROM Fact_Performance fp JOIN Dim_Student ds ON fp.student_key = ds.student_key
         GROUP BY ds.region ORDER BY pass_rate_pct DESC""")
     d = w.dims()
-    assert _rows(region) == _rows(R.pass_rate_by_region(w.fact(), d["dim_student"]))
+    assert _rows(region) == _rows(R.pass_rate_by_region(w.cube()))
     at_risk = spark.sql("SELECT COUNT(DISTINCT id_student) AS at_risk_count FROM mart_at_risk_students")
     assert _rows(at_risk) == _rows(R.at_risk_count(w.mart("mart_at_risk_students")))
     recent = spark.sql("""SELECT COUNT(*) AS recent_failures FROM monitoring_log

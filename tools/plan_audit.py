@@ -31,8 +31,8 @@ def audit(df) -> dict:
     qe = df._jdf.queryExecution()
     qe.toRdd().count()  # run this very execution, so that its adaptive plan is the final one
     plan = qe.executedPlan().toString()
-    assert "isFinalPlan=false" not in plan
-    plan = plan.split("== Initial Plan ==")[0]
+    assert "isFinalPlan=false" not in plan.split("\n", 1)[0]
+    plan = re.split(r"(?m)^\+- == Initial Plan ==", plan)[0]  # subqueries keep theirs, further in
     out = {k: len(re.findall(p, plan)) for k, p in PATTERNS.items()}
     out["pushed_filters"] = len(re.findall(r"PushedFilters: \[\w", plan))
     return out

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from edustar.functions.expr import PASSED, credit_band, pass_rate_pct, rate_pct, round_dec
 from edustar.operators.joins import sized_broadcast
 from edustar.operators.keysets import bit_of, key_sets, size, word_of
+from edustar.sources.log import recent
 
 col = F.col
 
@@ -292,14 +293,16 @@ def log_totals(log: DataFrame) -> DataFrame:
 def log_recent_failures(log: DataFrame, as_of: Column | str | None = None, days: int = 7) -> DataFrame:
     """Failures within ``days`` before ``as_of`` (default: now, by the wall clock in UTC).
 
-    A fixed time, or a column such as the newest entry's time, makes the card reproducible.
+    A fixed time, or a column such as the newest entry's time, makes the card reproducible. Folders of
+    earlier quarters are left out where the log has its folder columns.
     """
     if as_of is None:
         as_of = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
     elif isinstance(as_of, str):
         as_of = F.lit(as_of).cast("timestamp_ntz")
     since = as_of - F.make_dt_interval(F.lit(days))
-    return (log.filter(col("status").isin(*FAILED) & (col("checked_at") > since))
+    late = recent(log, since) if {"year", "quarter"} <= set(log.columns) else log.where(col("checked_at") > since)
+    return (late.where(col("status").isin(*FAILED))
             .agg(F.count(F.lit(1)).alias("recent_failures")))
 
 

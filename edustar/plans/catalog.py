@@ -25,6 +25,7 @@ from edustar.operators import star
 from edustar.operators.joins import detect_hot_keys, expand_copies, most_copies, skew_join
 from edustar.operators.keysets import with_distinct_count
 from edustar.plans.warehouse import Warehouse
+from edustar.sources.log import newest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,6 +105,18 @@ def _left_join_clicks(spark, sf_dir):
     return skew_join(_submissions(w), clicks, star.ENROLMENT, "left", hot=w.enrolment_hot_keys())
 
 
+@query("left_join_enrolment_bucketed")
+def _left_join_enrolment_bucketed(spark, sf_dir):
+    # The same join over catalog tables bucketed by enrolment: no shuffle of either side.
+    w = W(spark, sf_dir)
+    return expand_copies(w.enrolment_tables().left_join("enrolments"), most_copies(w.enrolments()))
+
+
+@query("left_join_clicks_bucketed")
+def _left_join_clicks_bucketed(spark, sf_dir):
+    return W(spark, sf_dir).enrolment_tables().left_join("clicks")
+
+
 @query("score_vs_avg")
 def _score_vs_avg(spark, sf_dir):
     # Over the written fact base (the enrolment joins are the left_join_* keys).
@@ -222,7 +235,7 @@ for _n in ("log_totals", "log_status_distribution", "log_latest20",
 def _log_recent(spark, sf_dir):
     # The registered key counts back from the newest entry, so its result is reproducible.
     log = W(spark, sf_dir).log()
-    return R.log_recent_failures(log, as_of=log.select(F.max("checked_at")).scalar())
+    return R.log_recent_failures(log, as_of=newest(log))
 
 
 @query("log_by_quarter")

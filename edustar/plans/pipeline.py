@@ -1,12 +1,14 @@
 """End-to-end run: raw tables → silver → star → staging + marts → checks → log.
 
 Layers are full-refresh (overwritten), so a rerun on the same input gives the
-same tables; check results are appended to the time-partitioned log, and the
-run fails when any check is FAIL or ERROR (WARN passes).
+same tables; check results are appended to the time-partitioned log (a run's rows once, however often
+the run is repeated), and the run fails when any check is FAIL or ERROR (WARN passes).
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections import Counter
 from datetime import datetime, timezone
 
@@ -20,7 +22,7 @@ from edustar import schemas
 from edustar.sources import csv as csv_source
 from edustar.sources import jdbc
 from edustar.sources.inventory import require_sources
-from edustar.sources.log import append_log, next_id
+from edustar.sources.log import append_log, run_id
 
 
 def raw_from_csv(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -49,12 +51,12 @@ def run(spark: SparkSession, out_root: str, raw: dict[str, DataFrame] | None = N
     rows = Q.collect_health_checks(spark, tables)  # a row per check: 18
     log_path = out_root.rstrip("/") + "/monitoring_log"
     now = checked_at or datetime.now(timezone.utc).replace(tzinfo=None)
-    first = next_id(spark, log_path)
-    log_rows = spark.createDataFrame([(first + i, *r, now) for i, r in enumerate(rows)], schemas.MONITORING_LOG)
+    run_name = f"{now.isoformat()}-{tables_root}" if checked_at else uuid.uuid4().hex  # the same time again is the same run
+    log_rows = spark.createDataFrame([(run_id(run_name, i), *r, now) for i, r in enumerate(rows)], schemas.MONITORING_LOG)
     # One row per check (18): one file per run instead of one per default partition.
-    append_log(log_rows.coalesce(1), log_path)
+    append_log(log_rows.coalesce(1), log_path, hashlib.sha256(run_name.encode()).hexdigest()[:16])
     if jdbc_url:
         jdbc.append(log_rows.drop("id").withColumn("checked_at", F.col("checked_at").cast("timestamp")).coalesce(1),
-                    jdbc_url, "monitoring_log", jdbc_properties)
+                    jdbc_url, "monitoring_log", jdbc_properties, instead_of=("checked_at", f"TIMESTAMP('{now:%Y-%m-%d %H:%M:%S.%f}')"))
     counts = Q.raise_on_failure(rows) if fail_on_error else dict(Counter(r[1] for r in rows))
     return {"sizes": sizes, "checks": counts, "log": log_path}

@@ -21,6 +21,7 @@ from edustar.operators import reports as R
 from edustar.operators import silver as S
 from edustar.operators import star
 from edustar.operators.joins import HotKeys, detect_hot_keys, fits_broadcast
+from edustar.plans.tables import Buckets, EnrolmentTables, bucket_count, save
 from edustar.session import ensure_checkpoint_dir
 from edustar.sources import fixtures
 from edustar.sources.log import append_log, read_log
@@ -69,6 +70,7 @@ class Warehouse:
         self._tables: dict[str, DataFrame] = {}
         self.sizes: dict[str, int] = {}
         self._hot: dict[str, HotKeys] = {}
+        self._enrolment_tables: EnrolmentTables | None = None
         # One builder per layer at a time: callers on other threads wait for it.
         self._lock = threading.RLock()
 
@@ -112,7 +114,7 @@ class Warehouse:
             log = lazy.pop("monitoring_log")
             self._put_many({f"bronze_{n}": df for n, df in lazy.items()})
             self._bronze = {n: self._tables[f"bronze_{n}"] for n in lazy}
-            append_log(log, f"{self.root}/monitoring_log", mode="overwrite")  # a layer: a rerun replaces it
+            append_log(log, f"{self.root}/monitoring_log", run="bronze")  # a layer: a rerun replaces it
             self._bronze["monitoring_log"] = read_log(self.spark, f"{self.root}/monitoring_log")
         return self._bronze
 
@@ -204,6 +206,27 @@ class Warehouse:
             self._put("report_cube", R.report_cube(self.fact(), d["dim_student"], d["dim_course"], self.sizes).coalesce(1))
         return self._tables["report_cube"]
 
+    @_locked
+    def enrolment_tables(self) -> "EnrolmentTables":
+        """Submissions, enrolments and clicks as catalog tables bucketed by enrolment, for joins without a shuffle."""
+        if self._enrolment_tables is None:
+            s, z = self.silver(), self.sizes
+            subs = star.submissions_with_course(s["student_assessment"], s["assessments"], z.get("silver_assessments"), z.get("silver_student_assessment"))
+            clicks = s["vle_clicks"].select(*star.ENROLMENT, "total_clicks")
+            n = bucket_count(self.spark, z.get("silver_student_assessment", 0))
+            self._enrolment_tables = EnrolmentTables.save(self.spark, f"{self.root}/tables", f"edustar_{uuid.uuid4().hex[:12]}",
+                                                          subs, self.enrolments(), clicks, star.ENROLMENT, self.enrolment_hot_keys(), n)
+        return self._enrolment_tables
+
+    def save_tables(self, database: str, location: str | None = None) -> list[str]:
+        """All warehouse tables and marts as named catalog tables (see ``tables.save``); they outlive the session."""
+        frames = {**self.dims(), "fact_performance": self.fact(), "stg_fact_performance": self.staging(), **{m: self.mart(m) for m in M.MARTS}}
+        if "monitoring_log" in self.bronze():
+            frames["monitoring_log"] = self.log()
+        return save(self.spark, database, location or f"{self.root}/{database}", frames,
+                    {"fact_performance": Buckets(["student_key"], bucket_count(self.spark, self.sizes.get("fact_performance", 0))),
+                     "dim_student": Buckets(["student_key"], bucket_count(self.spark, self.sizes.get("fact_performance", 0)))})
+
     def log(self) -> DataFrame:
         """The check log, written by the append sink in year/quarter folders."""
         return self.bronze()["monitoring_log"]

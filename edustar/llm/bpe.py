@@ -21,6 +21,7 @@ import hashlib
 import heapq
 import json
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -197,10 +198,13 @@ class _Memory(dict):
 class Encoder:
     """``feed`` text in chunks, then ``finish``; both return ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, model: ByteBPE, whole=None):
-        """whole: another function from a closed text without special tokens to ids, in place of the merges."""
+    def __init__(self, model: ByteBPE, whole=None, known: _Memory | None = None):
+        """whole: another function from a closed text without special tokens to ids, in place of the merges.
+
+        known: a memory of words to go on with, of the same model and function.
+        """
         self.model = model
-        self.known = _Memory(model, whole)
+        self.known = _Memory(model, whole) if known is None else known
         self.plain = self.known.text
         self.special = sorted(model.special, key=len, reverse=True)
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
@@ -326,6 +330,18 @@ class Encoder:
             yield np.frombuffer(ids, "<u4")
 
 
+@lru_cache(maxsize=2)
+def worker_model(path: str) -> tuple[ByteBPE, _Memory]:
+    """The tokenizer and a memory of words, read once by each Python worker and used by all its tasks."""
+    model = ByteBPE(path)
+    return model, _Memory(model, None)
+
+
+def worker_encoder(path: str) -> Encoder:
+    model, known = worker_model(path)
+    return Encoder(model, known=known)
+
+
 class Decoder:
     """Ids to text: vocabulary bytes through an incremental UTF-8 state machine."""
 
@@ -349,8 +365,8 @@ def batches_of_text(batches, rows: int = 64):
 
 def _round_trip(path: str):
     def run(batches):
-        model = ByteBPE(path)
-        enc = Encoder(model)
+        enc = worker_encoder(path)
+        model = enc.model
         decimal = [str(i) for i in range(len(model.bytes))].__getitem__
         for b, texts in batches_of_text(batches):
             rows = []
@@ -371,7 +387,7 @@ def _round_trip(path: str):
 
 def _ids(path: str):
     def run(batches):
-        enc = Encoder(ByteBPE(path))
+        enc = worker_encoder(path)
         for b, texts in batches_of_text(batches):
             rows = [np.concatenate([*enc.encode(t), np.zeros(0, "<u4")]).astype(np.int32) for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("doc_id")), pa.array(rows, pa.list_(pa.int32()))], names=["doc_id", "ids"])
@@ -380,7 +396,7 @@ def _ids(path: str):
 
 def _texts(path: str):
     def run(batches):
-        model = ByteBPE(path)
+        model, _ = worker_model(path)
         for b in batches:
             out = []
             for ids in b.column(b.schema.get_field_index("ids")).to_pylist():

@@ -18,6 +18,7 @@ from __future__ import annotations
 import heapq
 import zlib
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ import pyspark
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import ByteBPE, Encoder, batches_of_text
+from .bpe import ByteBPE, Encoder, _Memory, batches_of_text, worker_model
 from .common import table
 
 LENGTH, END_ID = 2048, 1
@@ -103,19 +104,27 @@ class Packer:
         self.rest = []
 
 
-def token_source(path: str, ranks: str | None):
-    """Encoder of the tokenizer file; words that are new to it go to the compiled library, if its ranks file is given."""
-    model = ByteBPE(path)
+@lru_cache(maxsize=2)
+def _source(path: str, ranks: str | None):
+    """Tokenizer, compiled encoder and memory of words: made once by each Python worker, used by all its tasks."""
     if ranks is None:
-        return Encoder(model)
+        model, known = worker_model(path)
+        return model, None, known
     import base64
 
     import tiktoken
+    model = ByteBPE(path)
     with open(ranks, "rb") as f:
-        known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        ids = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-    enc = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=known, special_tokens={})
-    return Encoder(model, lambda s: array("I", enc.encode_ordinary(s)).tobytes())
+    enc = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ids, special_tokens={})
+    whole = lambda s: array("I", enc.encode_ordinary(s)).tobytes()
+    return model, whole, _Memory(model, whole)
+
+
+def token_source(path: str, ranks: str | None) -> Encoder:
+    """Encoder of the tokenizer file; words that are new to it go to the compiled library, if its ranks file is given."""
+    return Encoder(*_source(path, ranks))
 
 
 def _pack(path: str, ranks: str | None, length: int, end_id: int):

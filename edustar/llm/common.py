@@ -12,8 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TEXT_BYTES = 1 << 20  # text handled at once inside a task: bounds the arrays built from it
+ARROW_BYTES = 4 << 20  # of an Arrow batch between Spark and Python (one row at least)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +51,12 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package where their Python path lacks it (``addPyFile`` of a zip of the package)."""
+    """Give executors this package where their Python path lacks it (``addPyFile`` of a zip of the package).
+
+    Arrow batches are bounded by bytes as well, since ten thousand rows of text may be anything.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("bB")) > ARROW_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     sc = spark.sparkContext
@@ -75,15 +82,30 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = T
     than ``limit`` makes a slice of its own and is never cut.
     """
     for b in batches:
-        raw = b.column(b.schema.get_field_index(text)).cast(pa.large_binary())
-        if not len(raw):
-            continue
-        at = np.frombuffer(raw.buffers()[1], np.int64, len(raw) + 1, raw.offset * 8)
-        start = 0
-        while start < len(raw):
-            end = max(start + 1, int(np.searchsorted(at, at[start] + limit, "right")) - 1)
-            yield b.slice(start, end - start), [v or b"" for v in raw.slice(start, end - start).to_pylist()]
-            start = end
+        for start, end, texts in slices(b.column(b.schema.get_field_index(text)), limit):
+            yield b.slice(start, end - start), texts
+
+
+def slices(column: pa.Array, limit: int = TEXT_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Start, end and texts of the slices of a text column (see ``chunks``)."""
+    raw = column.cast(pa.large_binary())
+    at = np.frombuffer(raw.buffers()[1], np.int64, len(raw) + 1, raw.offset * 8) if len(raw) else ()
+    start = 0
+    while start < len(raw):
+        end = max(start + 1, int(np.searchsorted(at, at[start] + limit, "right")) - 1)
+        yield start, end, [v or b"" for v in raw.slice(start, end - start).to_pylist()]
+        start = end
+
+
+def one_row_each(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``ids`` (few rows, a doc_id once), with ids' columns.
+
+    Of repeated doc_ids the row with the least text fingerprint stays, found map-side, so no more rows come than ``ids`` has.
+    """
+    more = [c for c in ids.columns if c != "doc_id"]
+    rest = [c for c in docs.columns if c != "doc_id"]
+    one = F.min(F.struct(F.xxhash64("text").alias("_h"), *rest)).alias("_r")
+    return docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id", *more).agg(one).select("doc_id", *more, *[F.col(f"_r.{c}") for c in rest])
 
 
 # --- word fingerprints ---------------------------------------------------------------------------

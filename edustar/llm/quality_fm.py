@@ -17,12 +17,14 @@ effect; the result holds only the columns named here.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _SPACE, chunks, table, words
+from .common import _SPACE, chunks, one_row_each, table, words
 
 WORD_BITS, FACTORS = 13, 8
 WORD_DIMS = 1 << WORD_BITS
@@ -166,8 +168,11 @@ def _train_features(batches):
 
 
 def with_metadata(docs: DataFrame) -> DataFrame:
-    n = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(0.0)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", n.alias("n_chars"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _length(docs).alias("n_chars"))
+
+
+def _length(docs: DataFrame) -> Column:
+    return F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(0.0)
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> FactorisationMachine | float:
@@ -175,7 +180,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_R
     y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")) \
         .where(F.col("y").isNotNull() & F.col("doc_id").isNotNull()).where(learn) \
         .groupBy("doc_id").agg(F.min("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    got = with_metadata(docs).join(F.broadcast(y), "doc_id").mapInArrow(_train_features, "stats array<double>, ids binary, y int").toArrow()
+    got = one_row_each(with_metadata(docs), y).mapInArrow(_train_features, "stats array<double>, ids binary, y int").toArrow()
     y = got.column("y").to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
         return float(y.mean()) if len(y) else 0.5
@@ -206,18 +211,20 @@ def score(docs: DataFrame, model) -> DataFrame:
 
 
 def _accept(model, threshold):
-    def run(batches):
-        for batch in batches:
-            for b, texts in chunks([batch]):
-                s, ids, off = features(texts, _n_chars(b))
-                p = np.full(len(texts), model) if isinstance(model, float) else 1 / (1 + np.exp(-np.clip(model.logit(s, ids, off), -30, 30)))
-                yield b.filter(pa.array(p >= threshold))
-    return run
+    score = _score(model)
+
+    @F.arrow_udf("boolean")
+    def keep(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for text, n_chars in columns:
+            b = pa.RecordBatch.from_arrays([pa.nulls(len(text), pa.int64()), text, n_chars], names=["doc_id", "text", "n_chars"])
+            kept = [x.column(1).to_numpy() >= threshold for x in score([b])]
+            yield pa.array(np.concatenate(kept) if kept else [], pa.bool_())
+    return keep
 
 
 def accepted(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that the classifier doesn't reject, all columns as they came."""
-    return docs.mapInArrow(_accept(model, threshold), docs.schema)
+    """The documents that the classifier doesn't reject, all columns as they came; only text and n_chars go to Python."""
+    return docs.where(_accept(model, threshold)(F.col("text").cast("string"), _length(docs)))
 
 
 def learning_fold() -> Column:

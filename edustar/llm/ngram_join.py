@@ -128,13 +128,13 @@ def set_id(s: np.ndarray) -> int:
 
 
 def _meta(rule: Rule):
-    """doc_id, n and set fingerprint of every row."""
+    """doc_id, text hash, n and set fingerprint of every row."""
     def run(batches):
         for b, texts in chunks(batches):
             sets = shingles(texts, rule.k)
             yield pa.RecordBatch.from_arrays(
-                [b.column(b.schema.get_field_index("doc_id")), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else 0 for s in sets], pa.int64())],
-                names=["doc_id", "n", "node"])
+                [b.column(b.schema.get_field_index("doc_id")), b.column(b.schema.get_field_index("text_hash")), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([set_id(s) if len(s) else 0 for s in sets], pa.int64())], names=["doc_id", "text_hash", "n", "node"])
     return run
 
 
@@ -183,7 +183,7 @@ def _send_counts(bits: int, size: int, rule: Rule):
             lone, low = x[first[times > POPULAR]], x[~often]
             own, cut, cut_lone = row[~often], _blocks(x[~often], bits), _blocks(lone, bits)
             rows = [(-1 - chunk % (1 << bits), chunk, _payload(
-                np.array([h[0]["doc_id"] for h in held], np.int64), np.array([len(h[1]) for h in held], np.uint32),
+                np.array([h[0]["node"] for h in held], np.int64), np.array([len(h[1]) for h in held], np.uint32),
                 np.array([h[3] for h in held], np.uint8), popular))]
             for k in np.flatnonzero(np.diff(cut) + np.diff(cut_lone)).tolist():
                 w = slice(cut[k], cut[k + 1])
@@ -231,7 +231,7 @@ def _reply(bits: int, rule: Rule):
 
 
 def _histograms(rule: Rule):
-    """A chunk's replies added up: doc_id, level, need and whole of its rows; level -1: links nothing."""
+    """A chunk's replies added up: node, level, need and whole of its rows; level -1: links nothing."""
     def run(chunk: pa.Table) -> pa.Table:
         kind = np.array(chunk.column("kind").to_numpy())
         pay = chunk.column("payload").to_pylist()
@@ -248,7 +248,7 @@ def _histograms(rule: Rule):
         level[whole == 1] = TOP
         m = np.where(whole == 1, n, m)
         level[own] = -1
-        return pa.table({"doc_id": ids, "level": level.astype(np.int32), "need": np.maximum(m - p + 1, 1), "whole": whole == 1})
+        return pa.table({"node": ids, "level": level.astype(np.int32), "need": np.maximum(m - p + 1, 1), "whole": whole == 1})
     return run
 
 
@@ -256,7 +256,7 @@ def _send_taken(bits: int, size: int, rule: Rule):
     """Entries with their rows' levels and bounds; edges inside the task under a negative block."""
     def run(batches):
         for chunk, held, x, row in _chunks_of(batches, size, rule):
-            ids = np.array([h[0]["doc_id"] for h in held], np.int64)
+            ids = np.array([h[0]["node"] for h in held], np.int64)
             n = np.array([len(h[1]) for h in held], np.uint32)
             level = np.array([h[0]["level"] for h in held], np.int8)
             rows_of = [ids, n, level, np.array([h[0]["need"] for h in held], np.uint32), np.array([h[0]["whole"] for h in held], np.uint8)]
@@ -348,13 +348,13 @@ def _levels(docs: DataFrame, rows: DataFrame, name: str, rule: Rule) -> DataFram
     bits = _bits((n[1] or 0) // 2)
     sent = _listed(docs, rows.select("doc_id", "node"), n[0]).mapInArrow(_send_counts(bits, FLUSH, rule), PACKED)
     replies = sent.groupBy("block").applyInArrow(_reply(bits, rule), "chunk long, kind int, payload binary")
-    found = replies.groupBy("chunk").applyInArrow(_histograms(rule), "doc_id long, level int, need long, whole boolean")
-    found = found.groupBy("doc_id").agg(F.max(F.struct("level", "need", "whole")).alias("x"))  # one of a repeated row
-    return written(rows.select("doc_id", "node", "n").join(found, "doc_id").select("doc_id", "node", "n", "x.*"), name)
+    found = replies.groupBy("chunk").applyInArrow(_histograms(rule), "node long, level int, need long, whole boolean")
+    found = found.groupBy("node").agg(F.max(F.struct("level", "need", "whole")).alias("x"))  # one of a repeated row
+    return written(rows.select("doc_id", "node", "n").join(found, "node").select("doc_id", "node", "n", "x.*"), name)
 
 
 def _candidates(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """(a, b) of rows to multiply, as doc_ids: pairs that reach their bound, and edges over popular columns."""
+    """(a, b) of rows to multiply, as nodes: pairs that reach their bound, and edges over popular columns."""
     rows = _levels(docs, nodes, "ngram-rows", rule).where("level >= 0")
     rows = _levels(docs, rows, "ngram-levels", rule)
     n = rows.agg(F.count("*"), F.sum("n")).first()
@@ -448,9 +448,9 @@ def _multiply(rule: Rule):
 
 def _tiles(docs: DataFrame, nodes: DataFrame, candidates: DataFrame) -> DataFrame:
     """Candidate rows with their texts and tile (g, i, j): small sets of rows share a tile, large ones have many."""
-    comp = candidates.select(F.col("a").alias("doc_id"), F.col("b").alias("comp")).unionByName(
-        candidates.select(F.col("b").alias("doc_id"), F.col("b").alias("comp"))).distinct()
-    rows = written(nodes.join(comp, "doc_id").select("node", "n", "doc_id", "comp"), "ngram-candidates")
+    comp = candidates.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(
+        candidates.select(F.col("b").alias("node"), F.col("b").alias("comp"))).distinct()
+    rows = written(nodes.join(comp, "node").select("node", "n", "doc_id", "comp"), "ngram-candidates")
     total = rows.agg(F.count("*"), F.sum("n")).first()
     bundles = max(1, -(-(total[1] or 0) // (TILE_CELLS // 2)), -(-total[0] // (2 * TILE_ROWS)))
     parts = F.greatest(F.ceil(F.count("*") / TILE_ROWS), F.ceil(F.sum("n") / TILE_CELLS)).cast("int").alias("parts")
@@ -466,19 +466,36 @@ def _tiles(docs: DataFrame, nodes: DataFrame, candidates: DataFrame) -> DataFram
         F.when(alone, -1).otherwise(F.least("i", "o")).alias("i"), F.when(alone, -1).otherwise(F.greatest("i", "o")).alias("j"))
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
+def _text_hash(docs: DataFrame):
+    return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+
+
+def _rows_and_links(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every row (doc_id, text_hash, n, node); the sets (node, n, least doc_id); links between nodes."""
+    meta = written(docs.withColumn("text_hash", _text_hash(docs)).mapInArrow(_meta(rule), "doc_id long, text_hash long, n long, node long"), "ngram-meta")
+    nodes = meta.where("n > 0 AND doc_id IS NOT NULL").groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"))
+    candidates = components(_candidates(docs, nodes, rule))
+    return meta, nodes, _tiles(docs, nodes, candidates).groupBy("g", "i", "j").applyInArrow(_multiply(rule), "a long, b long")
+
+
+def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, least, root): the least doc_id of each set, and the node that stands for its component."""
+    found = components(written(links, "ngram-links"))
+    return nodes.select("node", F.col("doc_id").alias("least")).join(found.withColumnsRenamed({"a": "node", "b": "root"}), "node", "left") \
+        .withColumn("root", F.coalesce("root", "node"))
+
+
 def near_groups(docs: DataFrame, rule: Rule = OP10) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    meta = written(docs.mapInArrow(_meta(rule), "doc_id long, n long, node long"), "ngram-meta")
+    meta, nodes, links = _rows_and_links(_whole(docs), rule)
     real = meta.where("n > 0 AND doc_id IS NOT NULL")
-    nodes = real.groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"))
-    candidates = components(_candidates(docs, nodes, rule))
-    links = _tiles(docs, nodes, candidates).groupBy("g", "i", "j").applyInArrow(_multiply(rule), "a long, b long")
     same_id = real.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b != top")
     repeated = real.join(same_id, "doc_id").where("node != b").select(F.col("node").alias("a"), "b")
-    found = components(written(links.unionByName(repeated), "ngram-links"))
-    own = nodes.select("node", F.col("doc_id").alias("least")).join(found.withColumnsRenamed({"a": "node", "b": "root"}), "node", "left") \
-        .withColumn("root", F.coalesce("root", "node"))
+    own = _rooted(nodes, links.unionByName(repeated))
     lowest = own.groupBy("root").agg(F.min("least").alias("component_id"))
     own = own.join(lowest, "root").select("node", "component_id")
     out = real.join(own, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
@@ -490,12 +507,22 @@ def near_groups(docs: DataFrame, rule: Rule = OP10) -> DataFrame:
 
 
 def keep_rows(docs: DataFrame, rule: Rule = OP10) -> DataFrame:
-    """The documents without near copies: of each component the row with the smallest doc_id stays."""
-    groups = written(near_groups(docs, rule), "ngram-groups")
-    other = free_name(docs, "_drop_id")
-    drop = groups.where("doc_id != component_id").select(F.col("doc_id").alias(other)).distinct()
+    """The documents without near copies: of each component of texts the one with the smallest doc_id stays.
+
+    Components are of texts: two texts under one doc_id that aren't near copies are not one. Texts without words and
+    rows without a doc_id stay.
+    """
+    meta, nodes, links = _rows_and_links(_whole(docs), rule)
+    own = _rooted(nodes, links)
+    first = own.groupBy("root").agg(F.min(F.struct(F.col("least").alias("keep_id"), F.col("node").alias("keep_node"))).alias("k"))
+    own = own.join(first, "root").select("node", "k.keep_id", "k.keep_node")
+    by_id, by_text = free_name(docs, "_drop_id"), free_name(docs, "_drop_text")
+    drop = meta.where("n > 0").join(own, "node").where("doc_id != keep_id OR node != keep_node") \
+        .select(F.col("doc_id").alias(by_id), F.col("text_hash").alias(by_text)).distinct()
+    drop = written(drop, "ngram-drop")
     n = drop.count()
-    return docs.join(F.broadcast(drop) if n <= BROADCAST_ROWS else drop, F.col("doc_id").cast("long") == F.col(other), "left_anti")
+    on = (docs["doc_id"].cast("long") == F.col(by_id)) & (_text_hash(docs) == F.col(by_text))
+    return docs.join(F.broadcast(drop) if n <= BROADCAST_ROWS else drop, on, "left_anti")
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

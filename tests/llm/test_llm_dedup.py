@@ -181,6 +181,51 @@ def test_components_of_other_rules_equal_brute_force(spark, monkeypatch, seed, r
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted((i, len(shingle_set(t, rule[0])), low[i]) for i, t in rows)
 
 
+def repeated_rows():
+    """One doc_id on a short and a long text, a third document near the short one; and random repetitions."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(5, " ".join(words[:40])), (5, " ".join(f"v{i}" for i in range(400))), (7, " ".join([*words[:38], "x", "y"])), (7, "alone " * 30)]
+    r = random.Random(12)
+    base = [" ".join(r.choices(words, k=r.choice((20, 60, 200)))) for _ in range(12)]
+    for _ in range(60):
+        w = r.choice(base).split()
+        for _ in range(r.randrange(3)):
+            w[r.randrange(len(w))] = r.choice(words)
+        rows.append((r.randrange(10, 40), " ".join(w)))
+    return rows
+
+
+def test_one_doc_id_on_several_texts_loses_no_link(spark):
+    rows = repeated_rows()
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in N.near_groups(docs_of(spark, rows)).collect())
+    assert got == sorted(near_brute(rows))
+    assert {c for i, _, c in got if i in (5, 7)} == {5}
+
+
+def test_rows_are_dropped_by_text_not_by_doc_id(spark):
+    rows = repeated_rows()
+    kept = sorted((r.doc_id, r.text) for r in N.keep_rows(docs_of(spark, rows, clash=True)).collect())
+    # components of texts alone: the same rows under numbers of their own
+    own = [(k, t) for k, (_, t) in enumerate(sorted(rows, key=lambda x: x[0]))]
+    comp = {i: c for i, _, c in near_brute(own)}
+    ids = [i for i, _ in sorted(rows, key=lambda x: x[0])]
+    least = {}
+    for k, i in enumerate(ids):
+        least[comp[k]] = min(least.get(comp[k], i), i)
+    groups = {comp[k] for k in comp}
+    assert len({(comp[k]) for k, (_, t) in enumerate(own) if (ids[k], t) in kept}) == len(groups)  # one of each group stays
+    assert all(any(i == least[comp[k]] and t == own[k][1] for k, j in enumerate(ids) if j == i and own[k][1] == t) for i, t in kept)
+    assert (7, "alone " * 30) in kept and (5, rows[1][1]) in kept and (7, rows[2][1]) not in kept
+
+
+def test_hot_digests_are_split_off(spark, monkeypatch):
+    monkeypatch.setattr(X, "BROADCAST_ROWS", 3)
+    rows = [(i, "hot text") for i in range(300)] + [(1000 + i, f"text {i % 40}") for i in range(200)] + [(2000 + i, f"own {i}") for i in range(50)]
+    g = X.exact_groups(docs_of(spark, rows).repartition(6)).collect()
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.digest.hex().upper()) for r in g) == exact_brute(rows)
+    assert len(X.keep_rows(docs_of(spark, rows)).collect()) == 91
+
+
 def test_the_pipeline_stage_links_five_words_at_four_fifths(spark):
     import corpus_pipeline
     rows = near_rows(3, 150)

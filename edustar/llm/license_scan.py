@@ -121,6 +121,10 @@ def _keys(templates, t: float) -> list[str]:
     return out
 
 
+def _has(text: Column, keys: list[str]) -> Column:
+    return F.lower(text).rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(keys)})(?![\p{{L}}\p{{N}}])") if keys else F.lit(False)
+
+
 def _pairs_of(w: Column) -> Column:
     n = F.greatest(F.size(w) - 1, F.lit(0))
     return F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
@@ -137,8 +141,7 @@ def spans(docs: DataFrame, templates=TEMPLATES, bodies=BODIES, threshold: float
     lits = lambda p: F.array(*map(F.lit, p))
     if not every:
         return docs.limit(0).select("doc_id", F.lit(0).alias("passage"), F.lit(0).alias("template"), F.lit("").alias("license"), F.lit(0.0).alias("dice"))
-    keys = "|".join(_keys([(n, x) for _, n, x, _ in every], threshold))
-    some = docs.where(F.col("text").isNotNull() & F.lower("text").rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{keys})(?![\p{{L}}\p{{N}}])"))
+    some = docs.where(F.col("text").isNotNull() & _has(F.col("text"), _keys([(n, x) for _, n, x, _ in every], threshold)))
     some = some.select("doc_id", F.transform(F.split("text", "\n"), normalised).alias("lines"))
     cut = lambda lines: F.filter(F.split(F.array_join(lines, " "), " "), lambda x: x != "")
     some = some.withColumn("whole", F.array_distinct(_pairs_of(cut(F.col("lines"))))) \
@@ -184,8 +187,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     low, high = min((a for a, _ in reach), default=1), max((b for _, b in reach), default=0)
     lines = F.split("text", "\n")
     passages = F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(F.concat(F.array(F.lit("").cast("string")), lines))
-    words = docs.where(F.col("text").isNotNull()).select("doc_id", F.posexplode(passages).alias("passage", "p")) \
-        .select("doc_id", "passage", F.split(normalised(F.col("p")), " ").alias("w")).where(F.size("w") > low)
+    # without one of these words no passage reaches the threshold: asked of the text first, then of each passage
+    keys = _keys([(name, text) for name, text in templates if template_pairs(text)], threshold)
+    words = docs.where(F.col("text").isNotNull() & _has(F.col("text"), keys)).select("doc_id", F.posexplode(passages).alias("passage", "p")) \
+        .where(_has(F.col("p"), keys)).select("doc_id", "passage", F.split(normalised(F.col("p")), " ").alias("w")).where(F.size("w") > low)
     pairs = F.array_distinct(F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat(a, F.lit(" "), b)))
     sized = words.select("doc_id", "passage", pairs.alias("pairs")).where(F.size("pairs").between(low, high))
     n = F.size("pairs")

@@ -49,14 +49,31 @@ def distinct_count(df: DataFrame, by: list[str], key: str, name: str) -> DataFra
     return key_sets(df, by, key).groupBy(*by).agg(size().alias(name))
 
 
-def with_distinct_count(grouped: DataFrame, df: DataFrame, by: list[str], key: str, name: str) -> DataFrame:
-    """``grouped`` (a row per group of ``df``) with the number of different keys of the group, nulls in ``by`` being groups too."""
-    n = distinct_count(df, by, key, name)
-    n = n.withColumnsRenamed({c: f"_by_{c}" for c in by})
-    on = F.lit(True)
-    for c in by:
-        on = on & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    return grouped.join(n, on, "left").select(*by, F.coalesce(name, F.lit(0).cast("long")).alias(name), *[c for c in grouped.columns if c not in by])
+def with_totals(df: DataFrame, by: list[str], key: str, name: str, totals: dict[str, Column]) -> DataFrame:
+    """(by..., name, totals...): different non-null keys and aggregates of each group, in one pass over ``df``.
+
+    ``totals``: aggregates that add up, by name; a name that begins with ``min_`` or ``max_`` goes on as such, others are summed.
+    Rows are first reduced per group and word, then per group, so neither keys nor rows are shuffled.
+    """
+    words = df.groupBy(*by, word_of(key).alias(WORD)).agg(F.bit_or(bit_of(key)).alias(BITS), *[c.alias(k) for k, c in totals.items()])
+    merged = [{"min_": F.min, "max_": F.max}.get(k[:4], F.sum)(k).alias(k) for k in totals]
+    return words.groupBy(*by).agg(size().alias(name), *merged)
+
+
+def moments(x: str, like: Column | None = None) -> dict[str, Column]:
+    """Totals of a column from which ``mean`` and ``deviation`` are worked out."""
+    v = (F.col(x) if like is None else like).cast("double")
+    return {f"n_{x}": F.count(v), f"s_{x}": F.sum(v), f"q_{x}": F.sum(v * v), f"min_{x}": F.min(v), f"max_{x}": F.max(v)}
+
+
+def mean(x: str) -> Column:
+    return F.col(f"s_{x}") / F.nullif(F.col(f"n_{x}"), F.lit(0)).cast("double")
+
+
+def deviation(x: str) -> Column:
+    """Population standard deviation; exactly 0 where all values are one."""
+    var = F.col(f"q_{x}") / F.nullif(F.col(f"n_{x}"), F.lit(0)).cast("double") - mean(x) * mean(x)
+    return F.when(F.col(f"min_{x}") == F.col(f"max_{x}"), F.lit(0.0)).otherwise(F.sqrt(F.greatest(var, F.lit(0.0))))
 
 
 def _where_any(rows: DataFrame, bad: DataFrame) -> DataFrame:

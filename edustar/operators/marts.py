@@ -13,23 +13,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from edustar.functions.expr import moment_corr, round_dec
-from edustar.operators.keysets import with_distinct_count
+from edustar.functions.expr import round_dec
+from edustar.operators.keysets import deviation, mean, moments, with_totals
 
 col = F.col
 
 
-def _with_students(grouped: DataFrame, stg: DataFrame, by: list[str]) -> DataFrame:
-    return with_distinct_count(grouped, stg, by, "student_key", "num_students")
+N = {"num_submissions": F.count(F.lit(1))}
+
+
+def _grouped(stg: DataFrame, by: list[str], totals: dict) -> DataFrame:
+    return with_totals(stg, by, "student_key", "num_students", {**N, **totals})
+
+
+def _hits(*values: str) -> dict:
+    """Rows with each final result."""
+    return {f"hit_{v}": F.count_if(col("final_result") == v) for v in values}
 
 
 def _rate(value: str):
-    return round_dec(F.avg(F.when(col("final_result") == value, 1.0).otherwise(0.0)) * 100, 2)
+    return round_dec(col(f"hit_{value}").cast("double") / col("num_submissions").cast("double") * 100, 2)
 
 
 def result_by_module(stg: DataFrame) -> DataFrame:
-    by = ["code_module", "code_presentation", "presentation_label", "final_result"]
-    g = _with_students(stg.groupBy(*by).agg(F.count(F.lit(1)).alias("num_submissions")), stg, by)
+    g = _grouped(stg, ["code_module", "code_presentation", "presentation_label", "final_result"], {})
     course = Window.partitionBy("code_module", "code_presentation")
     share = col("num_submissions").cast("double") * 100.0 / F.sum("num_submissions").over(course)
     return g.withColumn("pct_submissions", round_dec(share, 2))
@@ -37,34 +44,35 @@ def result_by_module(stg: DataFrame) -> DataFrame:
 
 def score_by_gender(stg: DataFrame) -> DataFrame:
     by = ["gender", "assessment_type", "code_presentation", "presentation_label"]
-    scored = stg.filter(col("score").isNotNull())
-    return _with_students(scored.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("num_submissions"),
-        round_dec(F.avg("score"), 2).alias("avg_score"),
-        round_dec(F.min("score"), 2).alias("min_score"),
-        round_dec(F.max("score"), 2).alias("max_score"),
-        round_dec(F.stddev_pop("score"), 2).alias("stddev_score")), scored, by)
+    return _grouped(stg.filter(col("score").isNotNull()), by, moments("score")).select(
+        *by, "num_students", "num_submissions",
+        round_dec(mean("score"), 2).alias("avg_score"),
+        round_dec(col("min_score"), 2).alias("min_score"),
+        round_dec(col("max_score"), 2).alias("max_score"),
+        round_dec(deviation("score"), 2).alias("stddev_score"))
 
 
 def education_impact(stg: DataFrame) -> DataFrame:
     by = ["highest_education", "assessment_type", "code_presentation", "presentation_label"]
-    return _with_students(stg.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("num_submissions"),
-        round_dec(F.avg("score"), 2).alias("avg_score"),
+    return _grouped(stg, by, {**moments("score"), **_hits("Pass", "Distinction", "Withdrawn")}).select(
+        *by, "num_students", "num_submissions",
+        round_dec(mean("score"), 2).alias("avg_score"),
         _rate("Pass").alias("pass_rate_pct"),
         _rate("Distinction").alias("distinction_rate_pct"),
-        _rate("Withdrawn").alias("withdrawn_rate_pct")), stg, by)
+        _rate("Withdrawn").alias("withdrawn_rate_pct"))
 
 
 def vle_engagement(stg: DataFrame) -> DataFrame:
     by = ["risk_group", "code_presentation", "presentation_label"]
-    scored = stg.filter(col("score").isNotNull())
-    return _with_students(scored.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("num_submissions"),
-        round_dec(F.avg("total_clicks"), 2).alias("avg_total_clicks"),
-        round_dec(F.avg("score"), 2).alias("avg_score"),
-        round_dec(F.stddev_pop("total_clicks"), 2).alias("stddev_clicks"),
-        round_dec(moment_corr("total_clicks", "score"), 3).alias("corr_clicks_score")), scored, by)
+    both = col("total_clicks").cast("double") * col("score").cast("double")
+    g = _grouped(stg.filter(col("score").isNotNull()), by, {**moments("score"), **moments("total_clicks"), "n_both": F.count(both), "s_both": F.sum(both)})
+    corr = (mean("both") - mean("total_clicks") * mean("score")) / F.nullif(deviation("total_clicks") * deviation("score"), F.lit(0.0))
+    return g.select(
+        *by, "num_students", "num_submissions",
+        round_dec(mean("total_clicks"), 2).alias("avg_total_clicks"),
+        round_dec(mean("score"), 2).alias("avg_score"),
+        round_dec(deviation("total_clicks"), 2).alias("stddev_clicks"),
+        round_dec(corr, 3).alias("corr_clicks_score"))
 
 
 def risk_order():

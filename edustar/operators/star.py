@@ -23,8 +23,9 @@ back to the same salted shuffle join above it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edustar.functions.expr import risk_band
@@ -146,15 +147,28 @@ FACT_COLUMNS = ["fact_id", "student_key", "course_key", "assessment_key", "time_
                 "total_clicks", "final_result", "score_vs_avg", "risk_group"]
 
 
+LOOKUPS = [("dim_time", ["code_presentation"], "time_key"),
+           ("dim_course", ["code_module", "code_presentation"], "course_key"),
+           ("dim_assessment", ["id_assessment"], "assessment_key"),
+           ("dim_student", ["id_student"], "student_key")]
+
+
+def with_keys(fb: DataFrame, dims: dict[str, DataFrame], sizes: dict[str, int], hot_on: Callable) -> DataFrame:
+    """``fact_base`` with its four surrogate keys, null where a dimension has no row."""
+    for dim, keys, out in LOOKUPS:
+        fb = lookup_join(fb, dims[dim].select(*keys, out), keys, "left", small_rows=sizes.get(dim), hot=hot_on(*keys))
+    return fb
+
+
 FACT_ORDER = ["student_key", "assessment_key", "score", "total_clicks", "final_result"]
 
 
 def fact_performance(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
                      sizes: dict[str, int] | None = None, fb: DataFrame | None = None) -> DataFrame:
-    """The fact. ``fb`` is ``fact_base`` already written (the warehouse writes
-    it once): the per-assessment average and the join back then both read it,
-    instead of running the enrolment joins, the largest shuffle of the build,
-    once for each branch."""
+    """The fact. ``fb`` is ``fact_base`` already written, best with its keys (the warehouse writes
+    it once): the per-assessment average, the join back and the numbering's counts then all
+    read it, instead of running the enrolment joins, the largest shuffle of the build,
+    and the dimension lookups once for each branch."""
     sizes = sizes or {}
     n_asm = sizes.get("dim_assessment")
     n_sub = sizes.get("silver_student_assessment")
@@ -169,22 +183,16 @@ def fact_performance(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
         def hot_on(*keys):
             return lambda: detect_hot_keys(fb, list(keys), sizes.get("fact_base"))
 
-    def with_keys(f: DataFrame) -> DataFrame:
-        for dim, keys, out in [("dim_time", ["code_presentation"], "time_key"),
-                               ("dim_course", ["code_module", "code_presentation"], "course_key"),
-                               ("dim_assessment", ["id_assessment"], "assessment_key"),
-                               ("dim_student", ["id_student"], "student_key")]:
-            f = lookup_join(f, dims[dim].select(*keys, out), keys, small_rows=sizes.get(dim),
-                            hot=hot_on(*keys))
-        return f
-
-    scored = (with_score_vs_avg(fb, n_asm, hot_on("id_assessment"))
+    if "student_key" not in fb.columns:
+        fb = with_keys(fb, dims, sizes, hot_on)
+    # The average comes before the rows without a dimension row go.
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for _, _, k in LOOKUPS])
+    scored = (with_score_vs_avg(fb, n_asm, hot_on("id_assessment")).where(known)
               .withColumn("risk_group", risk_band()))
     # fact_id: a dense key over the grain. A repeated enrolment or submission fans out to rows
-    # that agree in both keys, so the measures decide among them. The counting pass reads the business keys only.
-    keyed = with_keys(fb.select("id_student", "id_assessment", "code_module", "code_presentation"))
-    return histogram_key(with_keys(scored).select(*FACT_COLUMNS[1:]), *FACT_ORDER[:2], FACT_ORDER[2:], "fact_id",
-                         keys=keyed).select(*FACT_COLUMNS)
+    # that agree in both keys, so the measures decide among them. The counting pass reads the keys only.
+    return histogram_key(scored.select(*FACT_COLUMNS[1:]), *FACT_ORDER[:2], FACT_ORDER[2:], "fact_id",
+                         keys=fb.where(known)).select(*FACT_COLUMNS)
 
 
 def staging(fact: DataFrame, dims: dict[str, DataFrame], sizes: dict[str, int] | None = None) -> DataFrame:

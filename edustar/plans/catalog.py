@@ -23,7 +23,7 @@ from edustar.operators import reports as R
 from edustar.operators import silver as S
 from edustar.operators import star
 from edustar.operators.joins import detect_hot_keys, expand_copies, most_copies, skew_join
-from edustar.operators.keysets import with_distinct_count
+from edustar.operators.keysets import mean, moments, with_totals
 from edustar.plans.warehouse import Warehouse
 from edustar.sources.log import newest
 
@@ -137,10 +137,8 @@ def _fact(spark, sf_dir):
 @query("risk_group_distribution")
 def _risk(spark, sf_dir):
     f = W(spark, sf_dir).fact()
-    g = (f.groupBy("risk_group")
-         .agg(F.count(F.lit(1)).alias("num_submissions"),
-              round_dec(F.avg("score"), 2).alias("avg_score")))
-    return with_distinct_count(g, f, ["risk_group"], "student_key", "num_students")
+    g = with_totals(f, ["risk_group"], "student_key", "num_students", {"num_submissions": F.count(F.lit(1)), **moments("score")})
+    return g.select("risk_group", "num_submissions", "num_students", round_dec(mean("score"), 2).alias("avg_score"))
 
 
 @query("stg_fact_performance")

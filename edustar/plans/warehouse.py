@@ -159,13 +159,15 @@ class Warehouse:
 
     @_locked
     def fact_base(self) -> DataFrame:
-        """Submissions ⋈ assessments ⟕ enrolments ⟕ clicks, written once: the
-        fact build reads it twice (average per assessment, join back)."""
+        """Submissions ⋈ assessments ⟕ enrolments ⟕ clicks with the dimensions' keys, written once: the
+        fact build reads it three times (average per assessment, join back, rows per student)."""
         if "fact_base" not in self._tables:
             s, z = self.silver(), self.sizes
-            self._put("fact_base", star.fact_base(s, z.get("silver_assessments"),
-                                                  z.get("silver_student_assessment"),
-                                                  hot=self.enrolment_hot_keys(), enrolled=self.enrolments()))
+            fb = star.fact_base(s, z.get("silver_assessments"), z.get("silver_student_assessment"),
+                                hot=self.enrolment_hot_keys(), enrolled=self.enrolments())
+            hot_on = lambda *keys: lambda: detect_hot_keys(
+                None, list(keys), z.get("silver_student_assessment"), sampler=star.submission_sampler(s))
+            self._put("fact_base", star.with_keys(fb, self.dims(), z, hot_on))
         return self._tables["fact_base"]
 
     @_locked

@@ -40,8 +40,13 @@ def test_distinct_counts_and_roll_up(rows):
 def test_count_joined_to_groups(rows):
     df, data = rows
     df = df.unionByName(df.limit(1).select(F.lit("only nulls").alias("g"), "h", F.lit(None).cast("long").alias("k")))
-    got = {r.g: r.n for r in K.with_distinct_count(df.groupBy("g").agg(F.count("*").alias("rows")), df, ["g"], "k", "n").collect()}
-    assert got == {g: n for (g,), n in _distinct(data, (0,)).items()} | {"only nulls": 0}
+    got = K.with_totals(df, ["g"], "k", "n", {"rows": F.count("*"), **K.moments("k")}).select("g", "n", "rows", K.mean("k").alias("m"), K.deviation("k").alias("d")).collect()
+    assert {r.g: r.n for r in got} == {g: n for (g,), n in _distinct(data, (0,)).items()} | {"only nulls": 0}
+    want = {r.g: r for r in df.groupBy("g").agg(F.count("*").alias("rows"), F.avg("k").alias("m"), F.stddev_pop("k").alias("d")).collect()}
+    for r in got:
+        assert r.rows == want[r.g].rows
+        assert (r.m is None and want[r.g].m is None) or abs(r.m - want[r.g].m) <= 1e-9 * abs(want[r.g].m) and abs(r.d - want[r.g].d) <= 1e-6 * abs(want[r.g].d) + 1e-9
+    assert {r.g: r.d for r in got}["hot"] == 0.0
 
 
 def test_no_single_key_is_shuffled(rows):

@@ -19,11 +19,8 @@ from edustar.operators.keysets import deviation, mean, moments, with_totals
 col = F.col
 
 
-N = {"num_submissions": F.count(F.lit(1))}
-
-
 def _grouped(stg: DataFrame, by: list[str], totals: dict) -> DataFrame:
-    return with_totals(stg, by, "student_key", "num_students", {**N, **totals})
+    return with_totals(stg, by, "student_key", "num_students", {"num_submissions": F.count(F.lit(1)), **totals})
 
 
 def _hits(*values: str) -> dict:

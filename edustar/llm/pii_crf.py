@@ -1,17 +1,22 @@
 r"""Personal data by patterns and a skip-chain conditional random field.
 
-The patterns give the base spans of four kinds (email, ip, card, phone). The field's nodes are a document's
-words that hold a digit or '@'; its labels are the four kinds and "other". Potentials come from
-* the word's shape and its neighbouring words,
+The patterns give the base spans of four kinds (email, ip, card, phone). The field's nodes are whole numbers as people
+write them (digits with single separators, "(415) 555-7713" is one node) and words with '@' or "(at)"; its labels are
+the four kinds and "other". Potentials come from
+* the node's shape, its check digit and its neighbouring words,
 * chain edges between nodes that follow one another,
-* skip edges between distant nodes with the same core (lower-cased letters and numbers) or the same ending of
-  at least seven numbers; each node links to the next of its group, so a group of n nodes has n - 1 edges.
-Loopy sum-product message passing over all edges of a document makes labels consistent: a word that no pattern
-takes gets the label of its repetitions where the shape allows it. Base spans hold their nodes' labels. Words
-that end with a marginal of at least ``CONFIDENT`` become added spans where they touch no span of that kind.
+* skip edges between nodes anywhere in the document that spell the same thing: one address (lower-cased, "(at)" as
+  '@'), the same last seven digits (phones with and without their country code), or the same digits if there are twelve
+  or more; each node links to the next of its group, so a group of n nodes has n - 1 edges.
+Loopy sum-product message passing over all edges of a document makes labels consistent: a spelling that no pattern takes
+gets the label of its repetitions. Base spans hold their nodes' labels. A linked node that no base span touches and
+that ends with a marginal of at least ``CONFIDENT`` is an added span, whether or not a pattern hit anything in the document.
 
 Weights are learnt by pseudo-likelihood from the base spans of at most ``TRAIN_DOCS`` documents (smallest hashes of
-doc_id among those with a node); every document is tagged where it lies.
+doc_id among those with a number of four digits or an '@'; one row of a repeated doc_id). What no pattern took is no
+proof of "other" where it repeats a base span, so such nodes are left out; instead every base span is repeated twice in another
+spelling, once with its shape hidden, so that only the skip edge can carry its label. Numbers of seven digits and more that are no base
+span are repeated likewise as "other". Every document is tagged where it lies.
 
 Defined results: null text counts as empty and has no span. Rows with a null or repeated doc_id are tagged
 like any other. Without any node in the sample no span is added. An empty table gives an empty result; only
@@ -21,8 +26,10 @@ doc_id and text are read, ``masked`` keeps the other columns.
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +37,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import batches_of_text
-from .common import table
+from .common import one_row_each, table
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
 LABELS = OTHER + 1
-TRAIN_DOCS, EPOCHS = 3000, 60
-CONFIDENT = 0.95
+TRAIN_DOCS, EPOCHS = 3000, 200
+CONFIDENT = 0.7
 ROUNDS, DAMP = 10, 0.3
 CONTEXTS = 128
 HELD = 12.0  # log potential that holds a base span's label
@@ -45,9 +52,13 @@ _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_NODE = re.compile(r"[0-9@]")
+_NODE = re.compile(r"[0-9@]|[\[(]at[\])]")
 _DIGITS = re.compile(r"[^0-9]")
-_CORE = re.compile(r"[^0-9a-z]")
+_MARK = re.compile(r"@|\x20?[\[(]at[\])]\x20?")
+_HOST = re.compile(r"[A-Za-z0-9-]+(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[A-Za-z0-9-]+)*")
+_NUMBER = re.compile(r"\+?\(?[0-9](?:(?:[-./\x20]|\)[-\x20]?|[-\x20]?\()?[0-9])*\)?")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
+LONGEST = 19  # digits of one number; a longer run is taken apart at its spaces
 _LOCAL_SET = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -88,39 +99,46 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 
 def nodes_of(text: str) -> list[tuple[int, int]]:
-    """Words with a digit or '@', without punctuation around them."""
-    out, at = [], 0
-    m = _NODE.search(text)
-    while m:
-        s = m.start()
-        while s > at and not text[s - 1].isspace():
+    """Places of the numbers and addresses of a text, in order."""
+    mails, last = [], 0
+    for m in _MARK.finditer(text):
+        s, host = m.start(), _HOST.match(text, m.end())
+        while s > last and text[s - 1] in _LOCAL_SET:
             s -= 1
-        e = m.end()
-        while e < len(text) and not text[e].isspace():
-            e += 1
-        at, a, b = e, s, e
-        while a < b and not (text[a].isalnum() or text[a] in "+("):
-            a += 1
-        while b > a and not (text[b - 1].isalnum() or text[b - 1] == ")"):
+        if host and last <= s < m.start():
+            mails.append((s, host.end()))
+            last = host.end()
+    out, k = list(mails), 0
+    for m in _NUMBER.finditer(text):
+        a, b = m.span()
+        if text[b - 1] == ")" and "(" not in m.group():
             b -= 1
-        if a < b:
-            out.append((a, b))
-        m = _NODE.search(text, e)
-    return out
+        if a and (text[a - 1].isalnum() or text[a - 1] == "_") or b < len(text) and (text[b].isalnum() or text[b] == "_"):
+            continue
+        parts = [(a, b)]
+        if sum(map(str.isdigit, text[a:b])) > LONGEST:
+            parts = [(a + w.start(), a + w.end()) for w in re.finditer(r"[^\x20]+", text[a:b])]
+        for x, y in parts:
+            while k < len(mails) and mails[k][1] <= x:
+                k += 1
+            if k == len(mails) or mails[k][0] >= y:
+                out.append((x, y))
+    return sorted(out)
 
 
-_SHAPES = 24
+_SHAPES = 40
 
 
 def features(text: str, a: int, b: int) -> list[int]:
-    """Numbers of the features that a node has."""
+    """Numbers of the features that a node has; the first one all nodes have."""
     w = text[a:b]
-    digits = sum(c.isdigit() for c in w)
+    d = _DIGITS.sub("", w)
     letters = sum(c.isalpha() for c in w)
-    f = [0, 1 + min(digits, 20) // 4, 7 + min(letters, 12) // 4]
-    f += [11 + k for k, ok in enumerate((
-        "@" in w, w.count(".") == 3, "." in w, w[0] == "+", w[0] == "(" and w[-1] == ")", "-" in w, digits == len(w), len(w) >= 16,
-        len(w) <= 4, digits and letters, "/" in w or ":" in w or "=" in w)) if ok]
+    f = [0, 1 + min(len(d), 20), 22 + min(letters, 12) // 4]
+    card = 16 <= len(d) <= 19
+    f += [26 + k for k, ok in enumerate((
+        "@" in w or "at" in w, _DOTTED.fullmatch(w), "." in w, w[0] == "+", "(" in w, "-" in w, len(d) == len(w), len(w) >= 16,
+        len(w) <= 4, len(d) and letters, "/" in w, " " in w, card and luhn(d))) if ok]
     left = text[max(0, a - 24):a].split()
     right = text[b:b + 24].split()
     for side, x in enumerate((left[-1] if left else "", right[0] if right else "")):
@@ -132,20 +150,66 @@ def features(text: str, a: int, b: int) -> list[int]:
 FEATURES = _SHAPES + 2 * CONTEXTS
 
 
+def keys_of(w: str) -> list[str]:
+    """What a node says, however it is spelt; nodes with a key in common are linked."""
+    if "@" in w or "at" in w:
+        return [re.sub(r"\x20?[\[(]dot[\])]\x20?", ".", _MARK.sub("@", w)).lower()]
+    if _DOTTED.fullmatch(w) and max(map(int, w.split("."))) <= 255:
+        return [w]
+    d = _DIGITS.sub("", w)
+    return ["#" + d[-7:]] * (7 <= len(d) <= 15) + ["=" + d] * (len(d) >= 12)
+
+
 def edges_of(text: str, nodes: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain edges (neighbouring nodes) and skip edges (same core or same ending of numbers)."""
+    """Chain edges (neighbouring nodes) and skip edges (the next node with a key in common)."""
     chain = [(i, i + 1) for i in range(len(nodes) - 1) if nodes[i + 1][0] - nodes[i][1] <= 2]
     skip, last = set(), {}
     for i, (a, b) in enumerate(nodes):
-        core = _CORE.sub("", text[a:b].lower())
-        digits = _DIGITS.sub("", core)
-        for key in [core] * (len(core) >= 4) + ["#" + digits[-7:]] * (len(digits) >= 7):
-            if key in last and last[key] != i:
+        for key in keys_of(text[a:b]):
+            if key in last:
                 skip.add((last[key], i))
             last[key] = i
     return chain, sorted(skip)
 
 
+def respelt(w: str, kind: int) -> str:
+    """Another spelling of a span of this kind, chosen by its own text."""
+    d, pick = _DIGITS.sub("", w), zlib.crc32(w.encode()) % 4
+    if KINDS[kind] == "email":
+        return w.replace("@", ("(at)", " [at] ", " (at) ", "@")[pick]) if pick < 3 else w.upper()
+    if KINDS[kind] == "phone":
+        d = d[-10:]
+        head, tail = (d[:-7], d[-7:])
+        return (f"{head}-{tail[:3]}-{tail[3:]}", f"({head}) {tail[:3]}-{tail[3:]}", f"{head}.{tail[:3]}.{tail[3:]}", d)[pick].lstrip("-.")
+    if KINDS[kind] == "card":
+        return ("", ".", "/", "-")[pick].join(d[i:i + 4] for i in range(0, len(d), 4))
+    return w
+
+
+def example(text: str) -> tuple[list[list[int]], np.ndarray, list, list, np.ndarray] | None:
+    """Features, labels, chain and skip edges of a document's nodes and their repetitions, and which labels count."""
+    nodes = nodes_of(text)
+    if not nodes:
+        return None
+    y, (chain, skip) = labels_of(nodes, base_spans(text)).tolist(), edges_of(text, nodes)
+    feats = [features(text, a, b) for a, b in nodes]
+    counts = [True] * len(nodes)
+    for i, j in skip:  # not known to be "other"
+        for x, z in ((i, j), (j, i)):
+            if y[x] == OTHER != y[z]:
+                counts[x] = False
+    chain, skip = ([e for e in edges if counts[e[0]] and counts[e[1]]] for edges in (chain, skip))
+    for i, (a, b) in enumerate(nodes):
+        if counts[i] and (y[i] != OTHER or sum(map(str.isdigit, text[a:b])) >= 7):
+            w = text[a:b] if y[i] == OTHER else respelt(text[a:b], y[i])
+            n = len(y)
+            feats += [features(text[max(0, a - 40):a] + w + text[b:b + 40], min(a, 40), min(a, 40) + len(w)), [0]]
+            y += [y[i]] * 2
+            counts += [True] * 2
+            skip += [(i, n), (n, n + 1)]
+    return feats, np.array(y), chain, skip, np.array(counts)
+
+
 def labels_of(nodes, spans) -> np.ndarray:
     """The kind of the base span that a node overlaps; OTHER without one."""
     y = np.full(len(nodes), OTHER)
@@ -175,11 +239,12 @@ class SkipChainCRF:
         self.unary, self.chain, self.skip = unary, chain, skip
 
     @classmethod
-    def learn(cls, rows: list[tuple[list[list[int]], np.ndarray, list, list]]) -> "SkipChainCRF":
+    def learn(cls, rows: list[tuple[list[list[int]], np.ndarray, list, list, np.ndarray]]) -> "SkipChainCRF":
         """Pseudo-likelihood: each label given its features and its neighbours' labels, by full-batch AdaGrad."""
-        f, own, y, c, s = [], [], [], [], []
+        f, own, y, c, s, counts = [], [], [], [], [], []
         n = 0
-        for feats, labels, chain, skip in rows:
+        for feats, labels, chain, skip, known in rows:
+            counts.append(known)
             for k, x in enumerate(feats):
                 f += x
                 own += [n + k] * len(x)
@@ -192,13 +257,14 @@ class SkipChainCRF:
         par = [np.zeros((FEATURES, LABELS)), np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS))]
         acc = [np.full(p.shape, 1e-3) for p in par]
         goal = np.eye(LABELS)[y]
+        share = np.concatenate(counts)[:, None] / n
         for _ in range(EPOCHS):
             z = np.zeros((n, LABELS))
             np.add.at(z, own, par[0][f])
             z += c @ par[1] + s @ par[2]
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
-            e = (p - goal) / n
+            e = (p - goal) * share
             g = [np.zeros_like(par[0]), c.T @ e, s.T @ e]
             np.add.at(g[0], f, e[own])
             for k in range(3):
@@ -243,30 +309,21 @@ def _log_sum(x: np.ndarray) -> np.ndarray:
 
 
 def added_spans(text: str, spans, crf: SkipChainCRF | None) -> dict[str, list[tuple[int, int]]]:
-    """Runs of nodes that the field labels with a kind and that touch no base span of any kind."""
+    """Linked nodes that the field labels with a kind and that touch no base span of any kind."""
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
-    nodes = nodes_of(text) if crf is not None and any(spans.values()) else []
+    nodes = nodes_of(text) if crf is not None else []
     if len(nodes) < 2:
         return out
-    y = labels_of(nodes, spans)
-    if not (y == OTHER).any():
-        return out
     chain, skip = edges_of(text, nodes)
-    if not skip:
-        return out  # nothing in the document is repeated: the patterns stand
+    y = labels_of(nodes, spans)
+    linked = sorted({i for e in skip for i in e})
+    if not any(y[i] == OTHER for i in linked):
+        return out  # the patterns have all that is repeated
     p = crf.marginals([features(text, a, b) for a, b in nodes], y, chain, skip)
-    linked = {i for e in skip for i in e}
-    follows = {i for i, _ in chain}
-    run: list[int] = []
-    for i in range(len(nodes) + 1):
-        k = int(p[i, :OTHER].argmax()) if i < len(nodes) and y[i] == OTHER and p[i, :OTHER].max() >= CONFIDENT else None
-        if run and (k != kind or i - 1 not in follows):
-            if linked.intersection(run):
-                out[KINDS[kind]].append((nodes[run[0]][0], nodes[run[-1]][1]))
-            run = []
-        if k is not None:
-            kind = k
-            run.append(i)
+    for i in linked:
+        k = int(p[i, :OTHER].argmax())
+        if y[i] == OTHER and p[i, k] >= CONFIDENT:
+            out[KINDS[k]].append(nodes[i])
     return out
 
 
@@ -279,25 +336,17 @@ def joined(spans) -> str:
 
 
 def learn(docs: DataFrame, limit: int = TRAIN_DOCS) -> SkipChainCRF | None:
-    """Learn from the base spans of at most ``limit`` documents with a node; their nodes come to the driver, not their texts."""
+    """Learn from the base spans of at most ``limit`` documents; their nodes come to the driver, not their texts."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ids = d.where(F.col("text").rlike("[0-9@]") & F.col("doc_id").isNotNull()).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    got = d.join(F.broadcast(ids.distinct()), "doc_id").mapInArrow(_examples, "doc_id long, example binary").toArrow()
+    ids = d.where(F.col("text").rlike("[0-9]{4}|@") & F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    got = one_row_each(d, ids).mapInArrow(_examples, "doc_id long, example binary").toArrow()
     rows = sorted(zip(got.column("doc_id").to_pylist(), got.column("example").to_pylist()))
-    if not rows:
-        return None
-    import pickle
-    return SkipChainCRF.learn([pickle.loads(x) for _, x in rows])
+    return SkipChainCRF.learn([pickle.loads(x) for _, x in rows]) if rows else None
 
 
 def _examples(batches):
-    import pickle
     for b, texts in batches_of_text(batches):
-        out = []
-        for t in texts:
-            nodes = nodes_of(t)
-            chain, skip = edges_of(t, nodes)
-            out.append(pickle.dumps(([features(t, a, e) for a, e in nodes], labels_of(nodes, base_spans(t)), chain, skip)) if nodes else None)
+        out = [pickle.dumps(x) if (x := example(t)) else None for t in texts]
         yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("doc_id")), pa.array(out, pa.binary())], names=["doc_id", "example"]) \
             .filter(pa.array([o is not None for o in out]))
 
@@ -307,8 +356,9 @@ def _tag(crf):
         for b, texts in batches_of_text(batches):
             rows = []
             for t in texts:
-                base = base_spans(t) if _NODE.search(t) else {k: [] for k in KINDS}
-                every = all_spans(base, added_spans(t, base, crf))
+                some = _NODE.search(t) is not None
+                base = base_spans(t) if some else {k: [] for k in KINDS}
+                every = all_spans(base, added_spans(t, base, crf)) if some else base
                 rows.append((*(len(base[k]) for k in KINDS), hashlib.sha256(joined(base).encode()).hexdigest(), joined(every)))
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
@@ -335,23 +385,23 @@ def mask_text(text: str, spans) -> str:
 
 
 def _mask(crf):
-    def run(batches):
-        for b, texts in batches_of_text(batches):
-            nulls = b.column(b.schema.get_field_index("text")).is_null().to_pylist()
+    @F.arrow_udf("string")
+    def mask(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for text in columns:
             new = []
-            for t, null in zip(texts, nulls):
-                if not null and _NODE.search(t):
-                    base = base_spans(t)
-                    t = mask_text(t, all_spans(base, added_spans(t, base, crf)))
-                new.append(None if null else t)
-            k = b.schema.get_field_index("text")
-            yield b.set_column(k, b.schema.field(k), pa.array(new, b.schema.field(k).type))
-    return run
+            for i in range(0, len(text), 64):
+                for t in text.slice(i, 64).to_pylist():
+                    if t and _NODE.search(t):
+                        base = base_spans(t)
+                        t = mask_text(t, all_spans(base, added_spans(t, base, crf)))
+                    new.append(t)
+            yield pa.array(new, pa.string())
+    return mask
 
 
 def masked(docs: DataFrame, crf: SkipChainCRF | None) -> DataFrame:
-    """The documents with personal data replaced; n_chars, where there is one, follows the new text."""
-    out = docs.mapInArrow(_mask(crf), docs.schema)
+    """The documents with personal data replaced, only text goes to Python; n_chars, where there is one, follows the new text."""
+    out = docs.withColumn("text", _mask(crf)(F.col("text").cast("string")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast(kind)))

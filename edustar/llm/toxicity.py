@@ -20,7 +20,9 @@ scores below 0.5. Repeated rows are scored each; extra columns have no effect.
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -29,11 +31,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import one_row_each, table, written
 from .quality_fm import held_out
 
 TRAIN_ROWS = 8000
-CANDIDATES = 60_000        # most promising patterns whose use in clean texts is counted
 PREFIXES = (3, 4, 5, 6, 7)
 LEAST_SUPPORT, LEAST_SHARE, LEAST_G = 4, 0.8, 16.0
 THRESHOLD = 0.5
@@ -92,6 +93,16 @@ def _texts(batches):
             yield b.slice(i, 64), [v or "" for v in col.slice(i, 64).to_pylist()]
 
 
+def _uses(batches):
+    """Every pattern (word or word beginning) that a text has, once per text."""
+    for _, texts in _texts(batches):
+        pat = []
+        for t in texts:
+            w = set(fold(t).split())
+            pat += {f" {x} " for x in w} | {" " + x[:k] for x in w for k in PREFIXES if k <= len(x)}
+        yield pa.RecordBatch.from_arrays([pa.array(pat, pa.string())], names=["pattern"])
+
+
 def _patterns(batches):
     """Per text its distinct words and word beginnings, each with a hash of one context."""
     for b, texts in _texts(batches):
@@ -118,18 +129,6 @@ def _automaton(entries) -> ahocorasick.Automaton:
     return a
 
 
-def _uses(patterns):
-    """(pattern number, 1) per text that has it."""
-    def run(batches):
-        a = _automaton(patterns)
-        for _, texts in _texts(batches):
-            out = []
-            for t in texts:
-                out += {i for _, i in a.iter(fold(t))}
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int32())], names=["i"])
-    return run
-
-
 def _pairs(patterns):
     """Phrases around a lexicon match: the whole word, and it with the word before or behind."""
     def run(batches):
@@ -169,8 +168,8 @@ class Lexicon:
                 free = [(e - len(exceptions[i]) + 1, e) for e, i in allowed.iter(s)]
                 hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b in free)]
             uses = Counter(i for _, _, i in hits)
-            # an entry that is repeated counts half as much again, however often: repetition alone isn't toxic
-            return sum(weight[i] * (1.5 if n > 1 else 1.0) for i, n in uses.items()) / (1 + np.log1p(len(s.split()))) if hits else 0.0
+            # repetitions count less and less, but a text of nothing else never scores below a single use
+            return sum(weight[i] * (1 + np.log(n)) for i, n in uses.items()) / (1 + np.log1p(len(s.split()))) if hits else 0.0
         return value
 
     def scores(self):
@@ -185,26 +184,24 @@ class Lexicon:
         return run
 
 
-def _learn_weights(pos, neg, n_pos: int, n_neg: int) -> dict[str, float]:
-    """Patterns with enough support, share and likelihood ratio, nested ones reduced to one each."""
-    share = n_pos / (n_pos + n_neg)
-    good = {}
-    for p, a in pos.items():
-        b = neg.get(p, 0)
-        if a < LEAST_SUPPORT or a / (a + b) < LEAST_SHARE:
-            continue
-        g = 2 * (a * np.log(a / (a + b) / share) + (b * np.log(b / (a + b) / (1 - share)) if b else 0))
-        if g >= LEAST_G:
-            good[p] = a
-    chosen = {}
-    for p in sorted(good, key=len):
+def _learn_weights(pos: dict[str, int], neg: dict[str, int], n_pos: int, n_neg: int) -> dict[str, float]:
+    """Weights of the patterns that passed, nested ones reduced to one each.
+
+    Shorter ones first; a pattern is drawn out to the longest continuation with nearly the same support. Sorted,
+    the continuations of a pattern follow it.
+    """
+    chosen: dict[str, int] = {}
+    names = sorted(pos)
+    for p in sorted(names, key=len):
         if any(p[:k] in chosen for k in range(2, len(p))):
             continue  # a shorter beginning covers it
         long = p
-        for q in (q for q in good if len(q) > len(p) and q.startswith(p)):
-            if good[q] >= 0.95 * good[p] and len(q) > len(long):
+        for q in islice(names, bisect_left(names, p) + 1, None):
+            if not q.startswith(p):
+                break
+            if pos[q] >= 0.95 * pos[p] and len(q) > len(long):
                 long = q
-        chosen[long] = good[long]
+        chosen[long] = pos[long]
     return {p: float(np.log((a + 0.5) / (n_pos + 1)) - np.log((neg.get(p, 0) + 0.5) / (n_neg + 1))) for p, a in chosen.items()}
 
 
@@ -226,8 +223,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_R
     y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")) \
         .where(F.col("y").isNotNull() & F.col("doc_id").isNotNull()).where(learn) \
         .groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    from .common import written
-    sample = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(y), "doc_id"), "toxic-sample")
+    sample = written(one_row_each(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), y), "toxic-sample")
     sizes = dict(sample.groupBy("y").count().toArrow().to_pydict().items())
     count = dict(zip(sizes["y"], sizes["count"]))
     n_pos, n_neg = count.get(1, 0), count.get(0, 0)
@@ -239,14 +235,17 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_R
     support = toxic.mapInArrow(_patterns, "pattern string, context long").groupBy("pattern") \
         .agg(F.count("*").alias("n"), F.countDistinct("context").alias("c")) \
         .select("pattern", F.least("n", "c").alias("n")).where(F.col("n") >= LEAST_SUPPORT)
-    top = support.orderBy(F.desc("n"), "pattern").limit(CANDIDATES).toArrow()
-    names, pos = top.column("pattern").to_pylist(), top.column("n").to_pylist()
-    neg = clean.mapInArrow(_uses(names), "i int").groupBy("i").count().toArrow().to_pydict() if names else {"i": [], "count": []}
-    neg = {names[i]: n for i, n in zip(neg["i"], neg["count"])}
-    weights = {**_learn_weights(dict(zip(names, pos)), neg, n_pos, n_neg), **weights}
+    # counted and judged where they lie: only patterns that pass the bounds come to the driver
+    clean_uses = clean.mapInArrow(_uses, "pattern string").groupBy("pattern").agg(F.count("*").alias("b"))
+    a, b, share = F.col("n"), F.coalesce("b", F.lit(0)), n_pos / (n_pos + n_neg)
+    g = 2 * (a * F.log(a / (a + b) / share) + F.when(b > 0, b * F.log(b / (a + b) / (1 - share))).otherwise(0.0))
+    good = support.join(clean_uses, "pattern", "left").where((a / (a + b) >= LEAST_SHARE) & (g >= LEAST_G)).select("pattern", "n", b.alias("b")).toArrow()
+    names = good.column("pattern").to_pylist()
+    pos, neg = dict(zip(names, good.column("n").to_pylist())), dict(zip(names, good.column("b").to_pylist()))
+    weights = {**_learn_weights(pos, neg, n_pos, n_neg), **weights}
     if weights:
         near = sample.select("text", "y").mapInArrow(_pairs(list(weights)), "phrase string, y int").groupBy("phrase") \
-            .agg(F.sum("y").alias("a"), F.count("*").alias("n")).where("n - a >= 3 AND a * 4 <= n").orderBy("phrase").limit(CANDIDATES)
+            .agg(F.sum("y").alias("a"), F.count("*").alias("n")).where("n - a >= 3 AND a * 4 <= n").orderBy("phrase")
         allowed += [p for p in near.toArrow().column("phrase").to_pylist() if p not in weights]
     lex = Lexicon(weights, allowed)
     got = sample.mapInArrow(_values(lex), "v double, y int").toArrow()

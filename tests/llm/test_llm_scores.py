@@ -98,6 +98,35 @@ def test_lexicon_learns_words_beginnings_and_exceptions(spark):
     assert got[1] > 0.5 > got[2] and got[3] < 0.5 < got[4]
 
 
+def naive_value(lex, text):
+    """The lexicon's value by looking for every entry at every place."""
+    s = X.fold(text)
+    at = lambda p: [(i, i + len(p) - 1) for i in range(len(s)) if s.startswith(p, i)]
+    free = [x for e in lex.exceptions for x in at(e)]
+    total = 0.0
+    for p, w in zip(lex.patterns, lex.weights):
+        n = sum(1 for a, b in at(p) if not any(c <= a and b <= d for c, d in free))
+        total += w * (1 + np.log(n)) if n else 0
+    return total / (1 + np.log1p(len(s.split())))
+
+
+def test_matches_equal_a_naive_search():
+    r = random.Random(8)
+    words = ["moron", "moronic", "mor0n", "idiot", "IDIOT", "island", "is", "id", "abc", "ídiot", "x"]
+    lex = X.Lexicon({" moron": 2.0, " idiot ": 3.0, " id": 1.0, " is ": 0.5, " moronic ": 1.5}, [" moron island ", " id is "])
+    value = lex.matcher()
+    for _ in range(3000):
+        t = r.choice([" ", ", ", "\n"]).join(r.choices(words, k=r.randrange(0, 12)))
+        assert abs(value(t) - naive_value(lex, t)) < 1e-9, t
+
+
+def test_repetition_never_lowers_a_score_below_one_use():
+    value = X.Lexicon({" idiot ": 3.0}).matcher()
+    one = value("you idiot")
+    scores = [value("you idiot " * n) for n in (1, 2, 5, 20, 200, 5000)]
+    assert scores == sorted(scores) and scores[0] >= one * 0.999 and value("you " * 500 + "idiot") < one
+
+
 def test_toxicity_edge_rows(spark):
     docs = docs_of(spark, EDGES, clash=True)
     for labels in ([(9, 1, 1)], [(1, 1, None), (None, 1, 1), (4, 1, 1), (4, 1, 0), (3, 1, 0)]):
@@ -154,19 +183,63 @@ def crf(spark):
         w[9] = f"+1 ({r.randint(100, 999)}) 555-{r.randint(1000, 9999)}"
         w[15] = f"x{r.randint(1, 99)}@mail.example.com"
         w[20] = str(r.randint(1, 3000))
+        d = [4, *(r.randrange(10) for _ in range(14))]
+        card = next(x for x in range(10) if P.luhn("".join(map(str, [*d, x]))))
+        w[12] = "".join(map(str, [*d, card]))
+        w[22] = "".join(map(str, [7, *d[1:], (card + 4) % 10]))
         w[25] = w[r.choice([3, 15, 20])]
+        w[27] = str(r.randint(1_000_000, 99_999_999))
         rows.append((i, " ".join(w)))
     return P.learn(docs_of(spark, rows))
 
 
-def test_repeated_tokens_get_one_label(crf):
-    t = "call +1 (415) 555-7713 now, or again (415) 555-7713 or year 1999 and 1999"
-    base = P.base_spans(t)
-    assert len(base["phone"]) == 1
-    added = P.added_spans(t, base, crf)
-    assert [t[a:b] for a, b in added["phone"]] == ["(415) 555-7713"] and not added["ip"] + added["email"] + added["card"]
-    alone = "or again (415) 555-7713 or year 1999"
-    assert not any(P.added_spans(alone, P.base_spans(alone), crf).values())
+SPELLINGS = [  # text, what is added
+    ("call +1 (415) 555-7713 now, or again (415) 555-7713 or year 1999 and 1999", ["(415) 555-7713"]),
+    ("Call +1 415 555 7713 now. My number 415-555-7713", ["415-555-7713"]),
+    ("ring (415) 555-7713 by day and then 415-555-7713 or else (415) 555-7713", ["(415) 555-7713", "415-555-7713", "(415) 555-7713"]),
+    ("card 4111111111111111 on file, 4111.1111.1111.1111 it was", ["4111.1111.1111.1111"]),
+    ("4111/1111/1111/1111 for the trip and 4111.1111.1111.1111 after it", ["4111/1111/1111/1111", "4111.1111.1111.1111"]),
+    ("mail joe@example.com or JOE (at) example.com", ["JOE (at) example.com"]),
+    ("joe (at) example.com and in short joe[at]example.com", ["joe (at) example.com", "joe[at]example.com"]),
+    ("joe (at) example [dot] com and joe@example.com", ["joe (at) example [dot] com"]),
+]
+CLEAN = ["or again (415) 555-7713 or year 1999", "in 1999 and 1999 and 2001, pages 100-120 and 100-120", "order 7536784127813051 and order 7536784127813051",
+         "he was at home (at last) and at home", "version 1.2 and 1.2, 30 40 50 and 30 40 50", "a token = \"9b0b3c6a43eb78aa99cbd7049c572391524f37a8\" twice 9b0b3c6a43eb78aa99cbd7049c572391524f37a8"]
+
+
+def test_repeated_spellings_get_one_label(crf):
+    for text, want in SPELLINGS:
+        base = P.base_spans(text)
+        added = P.added_spans(text, base, crf)
+        assert [text[a:b] for a, b in sorted(x for v in added.values() for x in v)] == want, text
+        assert not {x for v in added.values() for x in v} & {x for v in base.values() for x in v}
+    for text in CLEAN:
+        assert not any(P.added_spans(text, P.base_spans(text), crf).values()), text
+
+
+def test_tagged_documents_have_the_added_spans(spark, crf):
+    texts = [t for t, _ in SPELLINGS] + CLEAN
+    got = {r.doc_id: r.spans for r in P.tag(docs_of(spark, list(enumerate(texts))), crf).collect()}
+    for i, t in enumerate(texts):
+        base = P.base_spans(t)
+        assert got[i] == P.joined(P.all_spans(base, P.added_spans(t, base, crf)))
+    assert sum(got[i].count(":") // 2 for i in got) > sum(sum(map(len, P.base_spans(t).values())) for t in texts) + 10
+
+
+def test_nodes_and_their_keys():
+    t = "x1@y.zz, (415) 555-7713, 10.0.0.1; 4111-1111-1111-1111 and 7536784127813050 4845168114407329 a12 12b 7 joe [at] x [dot] org"
+    assert [t[a:b] for a, b in P.nodes_of(t)] == ["x1@y.zz", "(415) 555-7713", "10.0.0.1", "4111-1111-1111-1111", "7536784127813050", "4845168114407329", "7",
+                                                  "joe [at] x [dot] org"]
+    assert P.keys_of("Joe [at] x [dot] org") == ["joe@x.org"] and P.keys_of("10.0.0.1") == ["10.0.0.1"] and P.keys_of("1999") == []
+    assert P.keys_of("+1 (415) 555-7713") == P.keys_of("415.555.7713") == ["#5557713"]
+
+
+def test_training_rows_are_bounded_whatever_is_repeated(spark):
+    from edustar.llm.common import one_row_each
+    rows = [(i, f"text {i}") for i in range(40)] + [(7, f"copy {i % 50}") for i in range(4000)]
+    ids = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, y int")
+    got = one_row_each(docs_of(spark, rows), ids).collect()
+    assert sorted(r.doc_id for r in got) == list(range(30)) and all(r.y == r.doc_id % 2 for r in got)
 
 
 def test_messages_equal_enumeration_on_a_tree():

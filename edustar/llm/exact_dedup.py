@@ -19,6 +19,7 @@ columns of any name have no effect; ``keep_rows`` returns them untouched.
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,9 @@ STATE_CONF = {
     STATE + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     STATE + "rocksdb.allowFAllocate": "false",  # no preallocated files: many partitions have little state each
     STATE + "rocksdb.changelogCheckpointing.enabled": "true",
+    STATE + "rocksdb.boundedMemoryUsage": "true",  # all stores of an executor share one bounded memory
+    STATE + "rocksdb.maxMemoryUsageMB": "128",
+    STATE + "maintenanceInterval": "10s",  # stores of an ended stream are closed soon
 }
 
 
@@ -88,12 +92,35 @@ def _fits(hits: DataFrame, n: int) -> DataFrame:
     return F.broadcast(hits) if n <= BROADCAST_ROWS else hits
 
 
+def _split(hits: DataFrame, n: int, limit: int | None = None) -> list[DataFrame]:
+    """Hits in two: those of so many rows that there can only be ``BROADCAST_ROWS`` of them, to be broadcast, and the others.
+
+    A shuffle join by digest then never meets a digest with a large share of the rows.
+    """
+    limit = BROADCAST_ROWS if limit is None else limit
+    if n <= limit:
+        return [F.broadcast(hits)]
+    rows = hits.agg(F.sum("group_size")).first()[0]
+    large = F.col("group_size") > rows // limit
+    return [F.broadcast(hits.where(large)), hits.where(~large)]
+
+
 def _collided(docs: DataFrame, hits: DataFrame, n: int, digest) -> DataFrame:
     """Digests under which the full bytes of the rows are not all the same."""
     text = docs.select(normalised(F.col("text")).alias("content")).withColumn("digest", digest(F.col("content")))
-    same = text.join(_fits(hits.select("digest"), n), "digest", "left_semi").groupBy("digest").agg(
-        F.min("content").alias("low"), F.max("content").alias("high"))
-    return same.where("low != high").select("digest")
+    same = [text.join(h.select("digest"), "digest", "left_semi").groupBy("digest").agg(F.min("content").alias("low"), F.max("content").alias("high"))
+            for h in _split(hits, n)]
+    return reduce(DataFrame.unionByName, same).where("low != high").select("digest")
+
+
+def _grouped(rows: DataFrame, groups: DataFrame, n: int) -> DataFrame:
+    """Every row with its group, if it has one."""
+    first, *more = _split(groups, n)
+    out = rows.join(first, "digest", "left")
+    for g in more:  # rows that the first join left alone
+        alone = out.where("keep_id IS NULL AND keep_row IS NULL AND group_size IS NULL").select(*rows.columns)
+        out = out.where("group_size IS NOT NULL").unionByName(alone.join(g, "digest", "left"))
+    return out
 
 
 def exact_groups(docs: DataFrame, digest=sha256) -> DataFrame:
@@ -113,7 +140,7 @@ def exact_groups(docs: DataFrame, digest=sha256) -> DataFrame:
     bad = written(_collided(docs, hits, n, digest), "exact-collided")
     groups = hits.select("digest", F.col("keep.doc_id").alias("keep_id"), F.col("keep.row").alias("keep_row"), "group_size")
     if bad.isEmpty():
-        found = rows.join(_fits(groups, n), "digest", "left")
+        found = _grouped(rows, groups, n)
     else:
         m = bad.count()
         # the same digest under different bytes: those rows are grouped by their text as well
@@ -124,7 +151,7 @@ def exact_groups(docs: DataFrame, digest=sha256) -> DataFrame:
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("keep"), F.count("*").alias("group_size"))
         exact = text.join(exact, ["digest", "content"]).select(
             "digest", "doc_id", "row", F.col("keep.doc_id").alias("keep_id"), F.col("keep.row").alias("keep_row"), "group_size")
-        found = rows.join(_fits(bad, m), "digest", "left_anti").join(_fits(groups, n), "digest", "left").unionByName(exact)
+        found = rows.join(_fits(bad, m), "digest", "left_anti").transform(_grouped, groups, n).unionByName(exact)
     alone = F.col("keep_row").isNull()
     return found.select("doc_id", "digest", "row", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
                         F.coalesce("keep_row", "row").alias("keep_row"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),

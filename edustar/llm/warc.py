@@ -2,13 +2,16 @@ r"""WARC derivatives: a metadata and a plain-text conversion record for every re
 
 ``responses`` makes response records of pages (a WARC header and an HTTP response as one text); ``derive`` takes
 response records, splits header, HTTP header and payload, and builds two records that refer to the response
-(WARC-Refers-To) and keep its target URI, date, payload digest and HTTP header:
+(WARC-Refers-To) and keep its target URI and date. Both carry, in their own headers, every WARC header line of the
+source (its digests among them) behind ``X-Source-`` and every HTTP header line behind ``X-Source-HTTP-``:
 
 * metadata (application/warc-fields): the HTTP status and every HTTP header line of the source with the prefix
-  ``http-``, the source's digests, whether the payload digest still holds, title, and outlinks;
+  ``http-``, the source's digests, whether the payload digest still holds ("unknown" for a digest that isn't
+  ``sha256:`` and hex), title, and outlinks;
 * conversion (text/plain): the text of the page: without comments, scripts, styles and tags, block tags as line ends.
 
-Record ids are UUIDs made from the source's id, so a run again gives the same records. Digests are
+Record ids are UUIDs made from the source's id, and a response's from its page, URL and payload digest, so a run again gives the
+same records and different ones never share an id. Digests are
 ``sha256:`` and lower-case hex of the bytes. ``write_warc`` stores records as gzip members, a file per task.
 Only DataFrame functions are used.
 
@@ -52,7 +55,7 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
     url, html = F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length(html).cast("string"),
                     F.lit(f"{CRLF}X-Page-Id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(CRLF * 2))
-    key = F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(" "), url)
+    key = F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(" "), url, F.lit(" "), digest(html))
     head = F.concat_ws(CRLF, F.lit("WARC/1.1"), F.lit("WARC-Type: response"), F.concat(F.lit("WARC-Record-ID: "), uuid_of(key)),
                        F.concat(F.lit("WARC-Target-URI: "), url), F.lit(f"WARC-Date: {date}"),
                        F.concat(F.lit("WARC-Block-Digest: "), digest(F.concat(http, html))), F.concat(F.lit("WARC-Payload-Digest: "), digest(html)),
@@ -86,7 +89,7 @@ def parsed(records: DataFrame) -> DataFrame:
     d = d.select("key", "head", block.alias("block"))
     cut = F.locate(CRLF * 2, F.col("block"))
     return d.select(
-        "key", _field(F.col("head"), "WARC-Record-ID").alias("refers_to"), _field(F.col("head"), "WARC-Target-URI").alias("target_uri"),
+        "key", F.filter(F.split("head", CRLF), lambda x: x.contains(":")).alias("warc"), _field(F.col("head"), "WARC-Record-ID").alias("refers_to"), _field(F.col("head"), "WARC-Target-URI").alias("target_uri"),
         _field(F.col("head"), "WARC-Date").alias("date"), _field(F.col("head"), "WARC-Payload-Digest").alias("payload_digest"),
         _field(F.col("head"), "WARC-Block-Digest").alias("source_block_digest"),
         F.when(cut > 0, F.substr("block", F.lit(1), cut - 1)).otherwise(F.lit("")).alias("http"),
@@ -97,24 +100,27 @@ def derive(records: DataFrame) -> DataFrame:
     """Two records per response: key, warc_type, record_id, refers_to, target_uri, date, content_type, block, digests, record."""
     p = parsed(records)
     status = F.regexp_extract("http", r"^HTTP/\S+ +(\d+)", 1)
-    lines = F.transform(F.filter(F.split("http", CRLF), lambda x: x.contains(":")), lambda x: F.concat(F.lit("http-"), x))
+    http = F.filter(F.split("http", CRLF), lambda x: x.contains(":"))
+    lines = F.transform(http, lambda x: F.concat(F.lit("http-"), x))
+    source = F.concat(F.transform("warc", lambda x: F.concat(F.lit("X-Source-"), x)), F.transform(http, lambda x: F.concat(F.lit("X-Source-HTTP-"), x)))
+    holds = F.when(F.col("payload_digest").rlike("^sha256:[0-9a-f]{64}$"), (digest(F.col("payload")) == F.col("payload_digest")).cast("string")).otherwise("unknown")
     links = F.transform(F.regexp_extract_all("payload", F.lit(LINKS), 1), lambda x: F.concat(F.lit("outlink: "), x))
     title = F.trim(F.regexp_replace(F.regexp_extract("payload", TITLE, 1), r"\s+", " "))
     fields = F.concat(F.array(F.concat(F.lit("http-status: "), status)), lines, F.array(
         F.concat(F.lit("source-block-digest: "), F.col("source_block_digest")), F.concat(F.lit("source-payload-digest: "), F.col("payload_digest")),
-        F.concat(F.lit("payload-digest-holds: "), (digest(F.col("payload")) == F.col("payload_digest")).cast("string")),
+        F.concat(F.lit("payload-digest-holds: "), holds),
         F.concat(F.lit("title: "), title)), links)
     kinds = F.array(
         F.struct(F.lit("metadata").alias("warc_type"), F.lit("application/warc-fields").alias("content_type"), F.concat(F.array_join(fields, CRLF), F.lit(CRLF)).alias("block")),
         F.struct(F.lit("conversion").alias("warc_type"), F.lit("text/plain; charset=utf-8").alias("content_type"), plain_text(F.col("payload")).alias("block")))
-    d = p.select("key", "refers_to", "target_uri", "date", "payload_digest", F.explode(kinds).alias("k")).select("*", "k.*").drop("k")
+    d = p.select("key", "refers_to", "target_uri", "date", "payload_digest", F.array_join(source, CRLF).alias("source"), F.explode(kinds).alias("k")).select("*", "k.*").drop("k")
     d = d.withColumn("record_id", uuid_of(F.concat("refers_to", F.lit(" "), "warc_type"))).withColumn("block_digest", digest(F.col("block"))) \
         .withColumn("content_length", F.octet_length("block").cast("long"))
     head = F.concat_ws(CRLF, F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), "warc_type"), F.concat(F.lit("WARC-Record-ID: "), "record_id"),
                        F.concat(F.lit("WARC-Refers-To: "), "refers_to"), F.concat(F.lit("WARC-Target-URI: "), "target_uri"),
-                       F.concat(F.lit("WARC-Date: "), "date"), F.concat(F.lit("WARC-Block-Digest: "), "block_digest"),
+                       F.concat(F.lit("WARC-Date: "), "date"), F.concat(F.lit("WARC-Block-Digest: "), "block_digest"), F.nullif("source", F.lit("")),
                        F.concat(F.lit("Content-Type: "), "content_type"), F.concat(F.lit("Content-Length: "), F.col("content_length").cast("string")))
-    return d.withColumn("record", F.concat(head, F.lit(CRLF * 2), "block", F.lit(CRLF * 2)))
+    return d.withColumn("record", F.concat(head, F.lit(CRLF * 2), "block", F.lit(CRLF * 2))).drop("source")
 
 
 def _members(batches):
@@ -151,20 +157,24 @@ def _sql() -> str:
 WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
 h AS (SELECT *, 'Content-Type: text/html; charset=utf-8' AS h1, 'Content-Length: ' || strlen(html) AS h2,
              'X-Page-Id: ' || coalesce(CAST(page_id AS VARCHAR), '') AS h3, 'sha256:' || sha256(html) AS payload_digest,
-             {uid("coalesce(CAST(page_id AS VARCHAR), '') || ' ' || url")} AS refers_to FROM p),
+             {uid("coalesce(CAST(page_id AS VARCHAR), '') || ' ' || url || ' sha256:' || sha256(html)")} AS refers_to FROM p),
 s AS (SELECT *, 'sha256:' || sha256('HTTP/1.1 200 OK' || {nl} || h1 || {nl} || h2 || {nl} || h3 || {nl} || {nl} || html) AS source_digest,
              regexp_extract_all(html, {q(LINKS)}, 1) AS links,
-             trim(regexp_replace(regexp_extract(html, {q(TITLE)}, 1), '\\s+', ' ', 'g')) AS title FROM h),
-k AS (SELECT page_id, url, refers_to, payload_digest, 'metadata' AS warc_type, 'application/warc-fields' AS content_type,
+             trim(regexp_replace(regexp_extract(html, {q(TITLE)}, 1), '\\s+', ' ', 'g')) AS title,
+             strlen('HTTP/1.1 200 OK' || {nl} || h1 || {nl} || h2 || {nl} || h3 || {nl} || {nl} || html) AS source_length FROM h),
+x AS (SELECT *, array_to_string(list_concat(list_transform(['WARC-Type: response', 'WARC-Record-ID: ' || refers_to, 'WARC-Target-URI: ' || url, 'WARC-Date: {DATE}',
+                 'WARC-Block-Digest: ' || source_digest, 'WARC-Payload-Digest: ' || payload_digest, 'Content-Type: application/http; msgtype=response',
+                 'Content-Length: ' || source_length], lambda x: 'X-Source-' || x), ['X-Source-HTTP-' || h1, 'X-Source-HTTP-' || h2, 'X-Source-HTTP-' || h3]), {nl}) AS source FROM s),
+k AS (SELECT page_id, url, refers_to, payload_digest, source, 'metadata' AS warc_type, 'application/warc-fields' AS content_type,
              array_to_string(list_concat(['http-status: 200', 'http-' || h1, 'http-' || h2, 'http-' || h3,
                  'source-block-digest: ' || source_digest, 'source-payload-digest: ' || payload_digest, 'payload-digest-holds: true', 'title: ' || title],
-                 list_transform(links, lambda x: 'outlink: ' || x)), {nl}) || {nl} AS block FROM s
+                 list_transform(links, lambda x: 'outlink: ' || x)), {nl}) || {nl} AS block FROM x
       UNION ALL
-      SELECT page_id, url, refers_to, payload_digest, 'conversion', 'text/plain; charset=utf-8', {text} FROM s),
+      SELECT page_id, url, refers_to, payload_digest, source, 'conversion', 'text/plain; charset=utf-8', {text} FROM x),
 r AS (SELECT *, {uid("refers_to || ' ' || warc_type")} AS record_id, 'sha256:' || sha256(block) AS block_digest, CAST(strlen(block) AS BIGINT) AS content_length FROM k)
 SELECT page_id, warc_type, record_id, refers_to, trim(url) AS target_uri, '{DATE}' AS date, content_type, content_length, block_digest, payload_digest,
        sha256('WARC/1.1' || {nl} || 'WARC-Type: ' || warc_type || {nl} || 'WARC-Record-ID: ' || record_id || {nl} || 'WARC-Refers-To: ' || refers_to || {nl} ||
-              'WARC-Target-URI: ' || trim(url) || {nl} || 'WARC-Date: {DATE}' || {nl} || 'WARC-Block-Digest: ' || block_digest || {nl} ||
+              'WARC-Target-URI: ' || trim(url) || {nl} || 'WARC-Date: {DATE}' || {nl} || 'WARC-Block-Digest: ' || block_digest || {nl} || source || {nl} ||
               'Content-Type: ' || content_type || {nl} || 'Content-Length: ' || content_length || {nl} || {nl} || block || {nl} || {nl}) AS record_sha256
 FROM r
 """

@@ -97,6 +97,25 @@ def test_records_are_linked_and_keep_what_the_source_says(spark):
     assert W.derive(odd).count() == 4
 
 
+def test_both_records_keep_the_source_headers_and_digests(spark):
+    r = W.responses(pages(spark))
+    d = [x for x in W.derive(r).collect() if x.key == 1]
+    source = [x.record for x in r.collect() if x.key == 1][0]
+    head, http = source.split("\r\n\r\n")[:2]
+    for x in d:
+        own = x.record.split("\r\n\r\n")[0].split("\r\n")
+        assert [h for h in own if h.startswith("X-Source-") and not h.startswith("X-Source-HTTP-")] == ["X-Source-" + h for h in head.split("\r\n")[1:]]
+        assert [h for h in own if h.startswith("X-Source-HTTP-")] == ["X-Source-HTTP-" + h for h in http.split("\r\n")[1:]]
+    other = r.withColumn("record", F.regexp_replace("record", "WARC-Payload-Digest: sha256:[0-9a-f]*", "WARC-Payload-Digest: sha1:ABCDEF"))
+    assert all("payload-digest-holds: unknown" in x.block for x in W.derive(other).collect() if x.warc_type == "metadata")
+
+
+def test_different_pages_have_different_record_ids(spark):
+    rows = [(1, "http://a", "one"), (1, "http://a", "two"), (1, "http://b", "one"), (2, "http://a", "one")]
+    got = W.derive(W.responses(pages(spark, rows))).collect()
+    assert len({x.record_id for x in got}) == 8 and len({x.refers_to for x in got}) == 4
+
+
 def test_written_members_are_gzip_records(spark):
     d = W.derive(W.responses(pages(spark)))
     got = sorted(gzip.decompress(bytes(r.member)).decode() for r in spark.read.parquet(W.write_warc(d)).collect())

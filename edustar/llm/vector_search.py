@@ -28,6 +28,7 @@ from .common import table, written
 
 NEAREST = 20
 QUERY_ROWS, CANDIDATE_ROWS = 1024, 8192
+MERGE_ROWS = 500_000  # rows of tile lists that one merge group holds on average, however many tiles there are
 TILE_SCHEMA = "query_id long, vec_id long, score double"
 DIMS_AT_ONCE = 1024  # 1024 * 127 * 127 < 2**24: sums of int8 products are exact in float32
 
@@ -128,7 +129,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, query_rows:
     right = rows.select("*", place.cast("int").alias("j"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("i"))
     tiles = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(_with_place(_tile(k)), "tile int, " + TILE_SCHEMA)
     lists = written(tiles, "vector-tiles")
-    groups = max(1, -(-n["q"] // query_rows))
+    groups = max(1, -(-n["q"] * across * k // MERGE_ROWS))  # a query has at most k rows of each of ``across`` tiles
     return lists.withColumn("g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).groupBy("g").applyInArrow(
         _merge(k), "query_id long, rank int, vec_id long, score double")
 

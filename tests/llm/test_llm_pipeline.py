@@ -3,6 +3,7 @@ import re
 
 import corpus_pipeline as C
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from conftest import SF_SMALL
@@ -63,9 +64,26 @@ def test_stages_of_an_empty_table(spark):
         assert docs.count() == 0
 
 
+def test_stages_with_null_ids_and_clashing_names(spark):
+    from edustar.llm.common import written
+    near = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, near), (2, near + " more"), (3, "An own text with mail a@b.co and a@b.co in it"), (None, "a text without a number"), (None, "a text without a number"), (4, None), (5, ""),
+            (3, "another text under three"), (6, "AN OWN  text"), (7, "AN OWN\ntext"), (8, "z" * 1_000_000)]
+    docs = docs_of(spark, rows, clash=True).withColumn("n_chars", F.length("text"))
+    columns, kept = docs.columns, None
+    for name, stage in C.STAGES[1:]:
+        docs = written(stage(spark, docs, SF_SMALL), f"clash-{name}")
+        if name != C.STAGES[-1][0]:
+            assert docs.columns == columns
+            kept = sorted((str(r.doc_id), r.text) for r in docs.collect()) if name != "pii_masking" else kept
+    assert [i for i, _ in kept] == ["1", "3", "3", "4", "6", "8", "None"] and ("None", "a text without a number") in kept
+    pieces = docs.collect()
+    assert {str(r.doc_id) for r in pieces} == {i for i, _ in kept}
+
+
 def test_operators_do_not_hide_import_errors():
-    for m in ("bpe", "common", "components", "exact_dedup", "license_scan", "ngram_join", "packing", "pii_crf", "quality_fm", "queries", "toxicity",
-              "vector_search", "warc"):
+    for m in ("bpe", "common", "components", "exact_dedup", "fill_middle", "license_scan", "line_dedup", "ngram_join", "packing", "pii_crf", "quality_fm",
+              "queries", "spelling_fst", "toxicity", "vector_search", "warc"):
         src = open(importlib.import_module(f"edustar.llm.{m}").__file__).read()
         assert "except ImportError" not in src and "except ModuleNotFoundError" not in src
 

@@ -18,6 +18,7 @@ counts per key say where each stretch of numbers begins.
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -93,7 +94,24 @@ def _before(counts: DataFrame, order: str, *by: str) -> Column:
     return F.coalesce(F.sum("_n").over(w), F.lit(0))
 
 
-def histogram_key(rows: DataFrame, first: str, second: str, order: list[str], key: str, keys: DataFrame | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Histogram:
+    """Rows per value of a dense key (key, ``_n``), written, with their sum, the largest count and the largest key."""
+
+    table: DataFrame
+    total: int
+    most: int
+    top: int
+
+    @classmethod
+    def of(cls, keys: DataFrame, first: str) -> "Histogram":
+        counts = keys.groupBy(first).agg(F.count(F.lit(1)).alias("_n"))
+        table, seen = _written(counts, "key-histogram", total=F.sum("_n"), most=F.max("_n"), top=F.max(first))
+        return cls(table, seen["total"] or 0, seen["most"] or 0, seen["top"] or 1)
+
+
+def histogram_key(rows: DataFrame, first: str, second: str, order: list[str], key: str, keys: DataFrame | None = None,
+                  known: Histogram | None = None) -> DataFrame:
     """Add ``key`` = 1..n in ascending (first, second, *order), without sampling, ranges or a global sort.
 
     ``first`` and ``second`` are dense surrogate keys (1..m). The rows are counted per ``first`` (a map-side
@@ -104,13 +122,13 @@ def histogram_key(rows: DataFrame, first: str, second: str, order: list[str], ke
     A value that holds more rows than two buckets should leaves its bucket and is split by ``second``, with offsets from
     a second histogram over such rows alone. A pair that still holds that many rows has few distinct ``order`` values
     per row; its equal rows are counted map-side, numbered as one entry and written out again by many tasks.
-    Rows that agree in all of these columns take consecutive numbers.
+    Rows that agree in all of these columns take consecutive numbers. ``known``: the histogram of ``first``, if there is one already.
     """
     spark = rows.sparkSession
     keys = (rows if keys is None else keys).select(first, second)
     n = F.count(F.lit(1)).alias("_n")
-    hist, seen = _written(keys.groupBy(first).agg(n), "key-histogram", total=F.sum("_n"), most=F.max("_n"), top=F.max(first))
-    total, top = seen["total"] or 0, seen["top"] or 1
+    known = known or Histogram.of(keys, first)
+    hist, total, top = known.table, known.total, known.top
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(1, min(top, max(-(-total // ROWS_PER_BUCKET), BUCKETS_PER_PARTITION * parts)))
     width, limit = -(-top // buckets), max(2 * total // buckets, 1)
@@ -118,7 +136,7 @@ def histogram_key(rows: DataFrame, first: str, second: str, order: list[str], ke
     # one entry per bucket: the running total and its broadcast are bounded by ``buckets``
     at = hist.groupBy(bucket).agg(F.sum("_n").alias("_n"))
     at = at.select("_b", _before(at, "_b").alias("_at"))
-    if (seen["most"] or 0) <= limit:
+    if known.most <= limit:
         w = Window.partitionBy("_b").orderBy(first, second, *order)
         return rows.withColumn("_b", bucket).withColumn("_i", F.row_number().over(w)).join(F.broadcast(at), "_b") \
             .select((F.col("_at") + F.col("_i")).alias(key), *rows.columns)

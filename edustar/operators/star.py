@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from edustar.functions.expr import risk_band
 from edustar.operators.joins import (HOT_SEED, HotKeys, collapse_copies, detect_hot_keys, expand_copies,
                                      lookup_join, most_copies)
-from edustar.operators.keys import dense_key, first_per_key, histogram_key, partitions_for
+from edustar.operators.keys import Histogram, dense_key, first_per_key, histogram_key, partitions_for
 
 ENROLMENT = ["id_student", "code_module", "code_presentation"]
 
@@ -160,15 +160,24 @@ def with_keys(fb: DataFrame, dims: dict[str, DataFrame], sizes: dict[str, int],
     return fb
 
 
+def _all_keys() -> Column:
+    return reduce(Column.__and__, [F.col(k).isNotNull() for _, _, k in LOOKUPS])
+
+
+def fact_rows_per_student(fb: DataFrame) -> Histogram:
+    """Rows of the fact per student_key, from the fact base with its keys."""
+    return Histogram.of(fb.where(_all_keys()), "student_key")
+
+
 FACT_ORDER = ["student_key", "assessment_key", "score", "total_clicks", "final_result"]
 
 
 def fact_performance(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
-                     sizes: dict[str, int] | None = None, fb: DataFrame | None = None) -> DataFrame:
+                     sizes: dict[str, int] | None = None, fb: DataFrame | None = None, per_student: Histogram | None = None) -> DataFrame:
     """The fact. ``fb`` is ``fact_base`` already written, best with its keys (the warehouse writes
     it once): the per-assessment average, the join back and the numbering's counts then all
     read it, instead of running the enrolment joins, the largest shuffle of the build,
-    and the dimension lookups once for each branch."""
+    and the dimension lookups once for each branch. ``per_student``: ``fact_rows_per_student`` of it."""
     sizes = sizes or {}
     n_asm = sizes.get("dim_assessment")
     n_sub = sizes.get("silver_student_assessment")
@@ -186,13 +195,12 @@ def fact_performance(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
     if "student_key" not in fb.columns:
         fb = with_keys(fb, dims, sizes, hot_on)
     # The average comes before the rows without a dimension row go.
-    known = reduce(Column.__and__, [F.col(k).isNotNull() for _, _, k in LOOKUPS])
-    scored = (with_score_vs_avg(fb, n_asm, hot_on("id_assessment")).where(known)
+    scored = (with_score_vs_avg(fb, n_asm, hot_on("id_assessment")).where(_all_keys())
               .withColumn("risk_group", risk_band()))
     # fact_id: a dense key over the grain. A repeated enrolment or submission fans out to rows
     # that agree in both keys, so the measures decide among them. The counting pass reads the keys only.
     return histogram_key(scored.select(*FACT_COLUMNS[1:]), *FACT_ORDER[:2], FACT_ORDER[2:], "fact_id",
-                         keys=fb.where(known)).select(*FACT_COLUMNS)
+                         keys=fb.where(_all_keys()), known=per_student).select(*FACT_COLUMNS)
 
 
 def staging(fact: DataFrame, dims: dict[str, DataFrame], sizes: dict[str, int] | None = None) -> DataFrame:

@@ -131,7 +131,7 @@ def _score_vs_avg(spark, sf_dir):
 @query("fact_performance")
 def _fact(spark, sf_dir):
     w = W(spark, sf_dir)
-    return star.fact_performance(w.silver(), w.dims(), w.sizes, fb=w.fact_base())
+    return star.fact_performance(w.silver(), w.dims(), w.sizes, fb=w.fact_base(), per_student=w.fact_rows_per_student())
 
 
 @query("risk_group_distribution")

@@ -21,6 +21,7 @@ from edustar.operators import reports as R
 from edustar.operators import silver as S
 from edustar.operators import star
 from edustar.operators.joins import HotKeys, detect_hot_keys, fits_broadcast
+from edustar.operators.keys import Histogram
 from edustar.plans.tables import Buckets, EnrolmentTables, bucket_count, save
 from edustar.session import ensure_checkpoint_dir
 from edustar.sources import fixtures
@@ -71,6 +72,7 @@ class Warehouse:
         self.sizes: dict[str, int] = {}
         self._hot: dict[str, HotKeys] = {}
         self._enrolment_tables: EnrolmentTables | None = None
+        self._per_student: Histogram | None = None
         # One builder per layer at a time: callers on other threads wait for it.
         self._lock = threading.RLock()
 
@@ -170,12 +172,19 @@ class Warehouse:
             self._put("fact_base", star.with_keys(fb, self.dims(), z, hot_on))
         return self._tables["fact_base"]
 
+    @_locked
+    def fact_rows_per_student(self) -> Histogram:
+        """Statistics of the written fact base, counted once."""
+        if self._per_student is None:
+            self._per_student = star.fact_rows_per_student(self.fact_base())
+        return self._per_student
+
     @_locked
     def fact(self) -> DataFrame:
         if "fact_performance" not in self._tables:
             dims = self.dims()
             self._put("fact_performance",
-                      star.fact_performance(self.silver(), dims, self.sizes, fb=self.fact_base()))
+                      star.fact_performance(self.silver(), dims, self.sizes, fb=self.fact_base(), per_student=self.fact_rows_per_student()))
         return self._tables["fact_performance"]
 
     @_locked

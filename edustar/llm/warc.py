@@ -64,17 +64,20 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
     return pages.select(F.col("page_id").alias("key"), F.concat(head, F.lit(CRLF * 2), http, html, F.lit(CRLF * 2)).alias("record"))
 
 
-def _field(head: Column, name: str) -> Column:
-    return F.trim(F.regexp_extract(head, rf"(?im)^{name}:([^\r\n]*)", 1))
+def _field(head: Column, folded: Column, name: str) -> Column:
+    """A header field, found in the head with A-Z lower-cased and a line end before its first line."""
+    at = F.locate(f"{CRLF}{name.lower()}:", folded)
+    return F.when(at > 0, F.trim(F.substring_index(F.substr(head, at + len(name) + 1), CRLF, 1))).otherwise("")
 
 
 def plain_text(html: Column) -> Column:
     t = F.regexp_replace(html, DROPPED, " ")
-    t = F.regexp_replace(F.regexp_replace(t, r"\s+", " "), BREAKS, "\n")
+    # one space needs no replacement by one space: only longer runs and other white space are matched
+    t = F.regexp_replace(F.regexp_replace(t, r"\s{2,}|[^\S ]", " "), BREAKS, "\n")
     t = F.regexp_replace(t, TAGS, "")
     for a, b in ENTITIES:
         t = F.replace(t, F.lit(a), F.lit(b))
-    t = F.regexp_replace(t, r"[ \t]+", " ")
+    t = F.regexp_replace(t, r"[ \t]{2,}|\t", " ")
     return F.regexp_replace(F.regexp_replace(t, r" ?\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
 
 
@@ -83,15 +86,16 @@ def parsed(records: DataFrame) -> DataFrame:
     r = F.coalesce("record", F.lit(""))
     cut = F.locate(CRLF * 2, r)
     head = F.when(cut > 0, F.substr(r, F.lit(1), cut - 1)).otherwise(F.lit(""))
-    d = records.select("key", head.alias("head"), F.when(cut > 0, F.substr(r, cut + 4)).otherwise(F.lit("")).alias("rest"))
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    d = records.select("key", head.alias("head"), F.concat(F.lit(CRLF), F.translate(head, upper, upper.lower())).alias("folded"), F.when(cut > 0, F.substr(r, cut + 4)).otherwise(F.lit("")).alias("rest"))
     # the record ends with two line ends that are no part of the block
     block = F.when(F.col("rest").endswith(CRLF * 2), F.substr("rest", F.lit(1), F.length("rest") - 4)).otherwise(F.col("rest"))
-    d = d.select("key", "head", block.alias("block"))
+    d = d.select("key", "head", "folded", block.alias("block"))
     cut = F.locate(CRLF * 2, F.col("block"))
     return d.select(
-        "key", F.filter(F.split("head", CRLF), lambda x: x.contains(":")).alias("warc"), _field(F.col("head"), "WARC-Record-ID").alias("refers_to"), _field(F.col("head"), "WARC-Target-URI").alias("target_uri"),
-        _field(F.col("head"), "WARC-Date").alias("date"), _field(F.col("head"), "WARC-Payload-Digest").alias("payload_digest"),
-        _field(F.col("head"), "WARC-Block-Digest").alias("source_block_digest"),
+        "key", F.filter(F.split("head", CRLF), lambda x: x.contains(":")).alias("warc"), _field(F.col("head"), F.col("folded"), "WARC-Record-ID").alias("refers_to"), _field(F.col("head"), F.col("folded"), "WARC-Target-URI").alias("target_uri"),
+        _field(F.col("head"), F.col("folded"), "WARC-Date").alias("date"), _field(F.col("head"), F.col("folded"), "WARC-Payload-Digest").alias("payload_digest"),
+        _field(F.col("head"), F.col("folded"), "WARC-Block-Digest").alias("source_block_digest"),
         F.when(cut > 0, F.substr("block", F.lit(1), cut - 1)).otherwise(F.lit("")).alias("http"),
         F.when(cut > 0, F.substr("block", cut + 4)).otherwise(F.col("block")).alias("payload"))
 

@@ -48,3 +48,22 @@ def test_enrolment_grain_keeps_every_enrolment_in_one_shuffle(spark):
     want = g.groupBy(*by).agg(F.min("min_reg").alias("date_registration"), F.max("max_unreg").alias("date_unregistration"))
     got = fixtures.raw_student_registration(e)
     assert _rows(got, *want.columns) == _rows(want, *want.columns)
+
+
+def test_staging_is_written_unsorted_and_shuffles_the_fact_alone(spark, monkeypatch):
+    from edustar.operators import joins
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 20_000)  # Dim_Student no longer fits
+    w = Warehouse(spark, SF_SMALL)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        dims = {**w.dims()}
+        plan = _plan(star.staging(w.fact(), dims, {**w.sizes, "dim_course": 1, "dim_assessment": 1, "dim_time": 1}))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plan.index("BroadcastHashJoin") < plan.index("SortMergeJoin")  # the dimensions are looked up above the shuffle
+    from edustar.plans.warehouse import SORTED_WITHIN
+    assert "stg_fact_performance" not in SORTED_WITHIN

@@ -50,6 +50,13 @@ def test_enrolment_grain_keeps_every_enrolment_in_one_shuffle(spark):
     assert _rows(got, *want.columns) == _rows(want, *want.columns)
 
 
+def test_average_and_band_join_after_the_numbering(spark):
+    w = Warehouse.of(spark, SF_SMALL)
+    p = _plan(star.fact_performance(w.silver(), w.dims(), w.sizes, fb=w.fact_base(), per_student=w.fact_rows_per_student()))
+    shuffled = p[p.index("Exchange hashpartitioning(_b"):]
+    assert "_avg_score" not in shuffled.split("BroadcastExchange")[0] and "risk_group" not in shuffled
+
+
 def test_staging_is_written_unsorted_and_shuffles_the_fact_alone(spark, monkeypatch):
     from edustar.operators import joins
     monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 20_000)  # Dim_Student no longer fits
@@ -67,3 +74,14 @@ def test_staging_is_written_unsorted_and_shuffles_the_fact_alone(spark, monkeypa
     assert plan.index("BroadcastHashJoin") < plan.index("SortMergeJoin")  # the dimensions are looked up above the shuffle
     from edustar.plans.warehouse import SORTED_WITHIN
     assert "stg_fact_performance" not in SORTED_WITHIN
+
+
+def test_checks_and_reports_build_no_table_they_do_not_read(spark, tmp_path):
+    link = tmp_path / "sf"
+    link.symlink_to(SF_SMALL)
+    QUERIES["dq_accepted_values"](spark, str(link)).collect()
+    w = Warehouse.of(spark, str(link))
+    assert "fact_performance" in w.sizes and not any(n.startswith(("mart_", "stg_")) for n in w._tables)
+    want = sorted(map(tuple, QUERIES["top20_at_risk"](spark, SF_SMALL).collect()))
+    assert sorted(map(tuple, QUERIES["top20_at_risk"](spark, str(link)).collect())) == want
+    assert [n for n in w._tables if n.startswith(("mart_", "stg_"))] == ["mart_at_risk_students"]

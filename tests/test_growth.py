@@ -76,6 +76,14 @@ def test_staging_is_written_unsorted_and_shuffles_the_fact_alone(spark, monkeypa
     assert "stg_fact_performance" not in SORTED_WITHIN
 
 
+def test_cube_rolls_up_a_word_of_students_in_one_task(spark):
+    w = Warehouse.of(spark, SF_SMALL)
+    d = w.dims()
+    p = _plan(R.report_cube(w.fact(), d["dim_student"], d["dim_course"], w.sizes))
+    assert "Exchange hashpartitioning(_word" in p and "REPARTITION_BY_COL" in p
+    assert not any("course_key" in line for line in p.splitlines() if "Exchange hashpartitioning" in line)
+
+
 def test_checks_and_reports_build_no_table_they_do_not_read(spark, tmp_path):
     link = tmp_path / "sf"
     link.symlink_to(SF_SMALL)

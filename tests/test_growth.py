@@ -93,3 +93,14 @@ def test_checks_and_reports_build_no_table_they_do_not_read(spark, tmp_path):
     want = sorted(map(tuple, QUERIES["top20_at_risk"](spark, SF_SMALL).collect()))
     assert sorted(map(tuple, QUERIES["top20_at_risk"](spark, str(link)).collect())) == want
     assert [n for n in w._tables if n.startswith(("mart_", "stg_"))] == ["mart_at_risk_students"]
+
+
+def test_narrow_rows_are_not_merged_into_few_large_tasks(spark, monkeypatch):
+    from edustar.operators import joins
+    from edustar.operators.keys import histogram_key
+    t = fixtures.read_tables(spark, SF_SMALL, ["lineitem", "orders"])
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 0)
+    monkeypatch.setattr(fixtures, "ROWS_PER_TASK", 500)
+    assert "l_orderkey" in _plan(fixtures.base_lines(t)) and "12), REPARTITION_BY_NUM" in _plan(fixtures.base_lines(t))  # 6,000 lines
+    rows = spark.range(100).select((F.col("id") + 1).alias("a"), F.lit(1).cast("long").alias("b"))
+    assert "REPARTITION_BY_NUM" in _plan(histogram_key(rows, "a", "b", [], "key"))

@@ -35,8 +35,12 @@ DATE = "2024-01-01T00:00:00Z"  # the pages carry no fetch time
 # Entities that are decoded, in this order (others stay as they are).
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
 DROPPED = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>"
+# DROPPED, or white space other than spaces; one class of characters leads, so that other characters are passed over quickly.
+DROPPED_OR_SPACE = r"[<\t\n\x0B\f\r](?:(?<!<)[\t\n\x0B\f\r]*|(?is:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>|head\b.*?</head\s*>))"
 BREAKS = r"(?i)</?(?:p|div|br|hr|li|ul|ol|tr|table|h[1-6]|nav|section|article|header|footer|main|aside|blockquote|pre|dl|dt|dd|form)\b[^>]*>"
 TAGS = r"<[!/?a-zA-Z][^>]*>"
+# Runs of spaces and line ends: one line end (first group) stays of those with any, one space (second group) of others.
+RUNS = r"(?=[ \n])(?: *(\n)[ \n]*| +( ))"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 LINKS = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
 
@@ -70,15 +74,24 @@ def _field(head: Column, folded: Column, name: str) -> Column:
     return F.when(at > 0, F.trim(F.substring_index(F.substr(head, at + len(name) + 1), CRLF, 1))).otherwise("")
 
 
+def _entities(t: Column) -> Column:
+    """Entities decoded; looking for one costs much less than replacing it."""
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ENTITIES])
+    return F.aggregate(pairs, t, lambda t, e: F.when(t.contains(e.a), F.replace(t, e.a, e.b)).otherwise(t))
+
+
+def _trimmed(t: Column) -> Column:
+    # "$" also stands before a closing U+0085, U+2028 or U+2029: white space before it goes as well
+    closed = t.endswith("\u0085") | t.endswith("\u2028") | t.endswith("\u2029")
+    return F.when(closed, F.regexp_replace(t, r"^[ \n]+|[ \n]+$", "")).otherwise(F.btrim(t, F.lit(" \n")))
+
+
 def plain_text(html: Column) -> Column:
-    t = F.regexp_replace(html, DROPPED, " ")
-    # one space needs no replacement by one space: only longer runs and other white space are matched
-    t = F.regexp_replace(F.regexp_replace(t, r"\s{2,}|[^\S ]", " "), BREAKS, "\n")
-    t = F.regexp_replace(t, TAGS, "")
-    for a, b in ENTITIES:
-        t = F.replace(t, F.lit(a), F.lit(b))
-    t = F.regexp_replace(t, r"[ \t]{2,}|\t", " ")
-    return F.regexp_replace(F.regexp_replace(t, r" ?\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
+    # every pass over the text costs much: white space is mapped along with the dropped parts, its runs collapse once, at the end
+    t = F.regexp_replace(html, DROPPED_OR_SPACE, " ")
+    t = F.regexp_replace(F.regexp_replace(t, BREAKS, "\n"), TAGS, "")
+    t = F.regexp_replace(_entities(t), RUNS, "$1$2")
+    return F.transform(F.array(t), _trimmed)[0]  # the lambda's variable: t is computed once for all its uses
 
 
 def parsed(records: DataFrame) -> DataFrame:

@@ -116,6 +116,34 @@ def test_different_pages_have_different_record_ids(spark):
     assert len({x.record_id for x in got}) == 8 and len({x.refers_to for x in got}) == 4
 
 
+def naive_text(html):
+    """The text with every step as a replacement of its own."""
+    t = F.regexp_replace(html, W.DROPPED, " ")
+    t = F.regexp_replace(F.regexp_replace(t, r"\s+", " "), W.BREAKS, "\n")
+    t = F.regexp_replace(t, W.TAGS, "")
+    for a, b in W.ENTITIES:
+        t = F.replace(t, F.lit(a), F.lit(b))
+    t = F.regexp_replace(t, r"[ \t]+", " ")
+    return F.regexp_replace(F.regexp_replace(t, r" ?\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
+
+
+def test_text_in_few_passes_equals_one_replacement_a_step(spark):
+    r = random.Random(7)
+    parts = ["<!--", "-->", "<script>", "</script\n>", "<style>", "</STYLE >", "<head>", "</head>", "<header>", "<p>", "</p>", "<P class='x'\n y>", "<br/>", "<b>", "<", ">",
+             "&", *[a for a, _ in W.ENTITIES], "amp;", "lt;", "&copy;", "a", "b", "é", "日本", "$1", "\\", " ", " ", "  ", "\t", "\n", "\r\n", "\x0b", "\x85", "\u2028", "\xa0"]
+    rows = [("".join(r.choice(parts) for _ in range(r.randint(0, r.choice([4, 12, 60])))),) for _ in range(4000)]
+    rows += [(None,), (" " * 50_000,), ("<p>" * 20_000,), ("\n " * 20_000 + "x",), ("&" * 20_000,), ("&amp;lt;" * 5_000,)]
+    d = spark.createDataFrame(rows, "html string").select("html", naive_text(F.col("html")).alias("a"), W.plain_text(F.col("html")).alias("b"))
+    assert d.filter(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
+
+
+def test_text_is_passed_over_few_times(spark):
+    plan = spark.createDataFrame([("x",)], "html string").select(W.plain_text(F.col("html")).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    # four patterns over the whole text, and one over the few texts with a special end
+    patterns = plan.count("regexp_replace(")
+    assert patterns <= 5 and plan.count("replace(") - patterns <= 1
+
+
 def test_written_members_are_gzip_records(spark):
     d = W.derive(W.responses(pages(spark)))
     got = sorted(gzip.decompress(bytes(r.member)).decode() for r in spark.read.parquet(W.write_warc(d)).collect())
